@@ -1,0 +1 @@
+"""Synthetic tables, loading and reconciliation on Spark."""

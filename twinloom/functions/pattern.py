@@ -174,7 +174,7 @@ class _PatternWriter:
         groups = dict(self._groups)
 
         def body_text(position: Column) -> Column:
-            return self.sequence(body, [*scope, Term(position, depth)]).column
+            return self.sequence(body, [*scope, Term(position.cast("bigint"), depth)]).column
 
         text = F.when(count.column == 0, F.lit("")).otherwise(
             F.array_join(F.transform(F.sequence(F.lit(1), count.column), body_text), "")

@@ -13,6 +13,7 @@ from twinloom.functions.stages import Stages, Term, combine
 
 _CHUNK_SPACE = 1 << 40
 _DIGITS_PER_DRAW = 12
+_TAIL = 1 << 58  # separates the free tail's stream from the one that chose the index
 
 
 def pool_array(pool: str) -> Column:
@@ -71,5 +72,5 @@ def distinct_text(
     prefix = combine(lambda v: F.concat(*encode_index(v, pool, head)), index)
     if head == length:
         return prefix
-    tail = random_text(stages, pool, length - head, key, row)
+    tail = random_text(stages, pool, length - head, key ^ _TAIL, row)
     return combine(lambda a, b: F.concat(a, b), prefix, tail)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from twinloom.functions.draws import bigint
@@ -59,7 +59,3 @@ def settle(frame: DataFrame) -> DataFrame:
     if frame.sparkSession.sparkContext.getCheckpointDir() is None:
         return frame
     return frame.checkpoint()
-
-
-def position_column() -> Column:
-    return F.col("position")

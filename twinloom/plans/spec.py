@@ -14,7 +14,7 @@ from typing import Any
 
 from dateutil.parser import parse as parse_moment
 
-from twinloom.errors import SpecError
+from twinloom.errors import SpecError, UnsatisfiableError
 from twinloom.functions.convert import DERIVATIONS, check_conversion
 from twinloom.functions.pattern import parse_pattern, single_class
 from twinloom.plans.types import Cardinality
@@ -430,19 +430,25 @@ def _date_domain(limits: Fields, grow: int, as_of: date) -> Span:
     low = date(as_of.year, 1, 1)
     if limits.get("min_value") is not None:
         low = limits.moment("min_value", limits.get("min_value")).date()
-    high = max(date(as_of.year, 12, 31), low + timedelta(days=grow)) if grow else date(as_of.year, 12, 31)
+    high = max(date(as_of.year, 12, 31), _later(limits, low, timedelta(days=grow))) if grow else date(as_of.year, 12, 31)
     if limits.get("max_value") is not None:
         high = limits.moment("max_value", limits.get("max_value")).date()
     return _span(limits, (low - _EPOCH_DAY).days, (high - _EPOCH_DAY).days, "day")
 
 
+def _later(limits: Fields, start: date, step: timedelta) -> date:
+    try:
+        return start + step
+    except OverflowError as error:
+        raise UnsatisfiableError(f"{limits.place}: the calendar ends before all rows have a value") from error
+
+
 def _timestamp_domain(limits: Fields, grow: int, as_of: date) -> Span:
     low = datetime(as_of.year, 1, 1)
     if limits.get("min_timestamp") is not None:
         low = limits.moment("min_timestamp", limits.get("min_timestamp"))
     high = datetime(as_of.year, 12, 31, 23, 59, 59)
-    if grow:
-        high = max(high, low + timedelta(seconds=grow))
+    high = max(high, _later(limits, low, timedelta(seconds=grow))) if grow else high
     if limits.get("max_timestamp") is not None:
         high = limits.moment("max_timestamp", limits.get("max_timestamp"))
     if high < low:
