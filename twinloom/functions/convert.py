@@ -58,13 +58,15 @@ def convert(value: Column, source: T, target: T, fmt: str | None = None) -> Colu
 def float_text(value: Column) -> Column:
     """A double as Python prints it: plain from 1e-4 to 1e16, otherwise ``1e+16`` style.
 
-    Spark switches to ``1.0E7`` style at 1e7 and below 1e-3; only those values are rewritten.
+    Spark switches to ``1.0E7`` style at 1e7 and below 1e-3, and on older JVMs may print a
+    digit more than needed; short texts need no such check.
     """
     text = value.cast("string")
+    text = F.when(F.length(text) <= 17, text).otherwise(_shortest(value, text))
     size = F.abs(value)
     digits = text.cast("decimal(38,21)").cast("string")
     plain = F.regexp_replace(F.regexp_replace(digits, "0+$", ""), r"\.$", ".0")
-    mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", "")
+    mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.?0*$", "")
     exponent = F.substring_index(text, "E", -1).cast("int")
     scientific = F.concat(
         mantissa, F.when(exponent < 0, "e-").otherwise("e+"), F.lpad(F.abs(exponent).cast("string"), 2, "0")
@@ -76,6 +78,14 @@ def float_text(value: Column) -> Column:
     )
 
 
+def _shortest(value: Column, text: Column) -> Column:
+    """The fewest digits (15 to 17) that still read back as the same double."""
+    for digits in (17, 16, 15):
+        candidate = F.format_string(f"%.{digits - 1}E", value)
+        text = F.when(candidate.cast("double") == value, candidate).otherwise(text)
+    return text
+
+
 def is_injective(source: T, target: T, fmt: str | None = None) -> bool:
     """True when distinct source values certainly stay distinct."""
     if source is target:
