@@ -107,12 +107,12 @@ VERDICT = """SELECT *, abs(left_count - right_count) AS count_delta,
 
 @query("cmp_counts", f"{COUNTS} SELECT * FROM m")
 def _(spark, sf_dir):
-    return difference_metrics(*normalized_sides(spark, sf_dir))
+    return difference_metrics(*sides(spark, sf_dir))
 
 
 @query("cmp_metrics", f"{COUNTS} {VERDICT}")
 def _(spark, sf_dir):
-    return with_verdict(difference_metrics(*normalized_sides(spark, sf_dir)))
+    return with_verdict(difference_metrics(*sides(spark, sf_dir)))
 
 
 @query(
@@ -172,7 +172,7 @@ def typed_match(name: str, table: str, left_sql: str, right_sql: str) -> None:
     def _(spark, sf_dir):
         rows = read(spark, sf_dir, table)
         left, right = rows.selectExpr(left_sql), rows.selectExpr(right_sql)
-        return difference_metrics(normalize(left, left.columns), normalize(right, right.columns))
+        return difference_metrics(left, right)
 
 
 typed_match("cmp_norm_int", "lineitem", "cast(l_linenumber AS tinyint) AS v", "cast(l_linenumber AS bigint) AS v")

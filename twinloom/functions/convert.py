@@ -59,11 +59,17 @@ def float_text(value: Column) -> Column:
     """A double as Python prints it: plain from 1e-4 to 1e16, otherwise ``1e+16`` style.
 
     Spark switches to ``1.0E7`` style at 1e7 and below 1e-3, and on older JVMs may print a
-    digit more than needed; short texts need no such check.
+    digit more than needed. Most values need neither repair and take the first branch.
     """
     text = value.cast("string")
-    text = F.when(F.length(text) <= 17, text).otherwise(_shortest(value, text))
-    size = F.abs(value)
+    usual = (F.length(text) <= 17) & ~text.contains("E")
+    # The one-element transform binds the repaired text to a name used several times.
+    repaired = F.transform(F.array(_shortest(value, text)), _python_style)
+    return F.when(usual, text).otherwise(F.get(repaired, F.lit(0)))
+
+
+def _python_style(text: Column) -> Column:
+    size = F.abs(text.cast("double"))
     digits = text.cast("decimal(38,21)").cast("string")
     plain = F.regexp_replace(F.regexp_replace(digits, "0+$", ""), r"\.$", ".0")
     mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.?0*$", "")

@@ -55,5 +55,4 @@ def pick(values: list, key: int, *ids: Column) -> Column:
     """One of the literal columns, uniformly; repeated entries carry their weight."""
     if len(values) == 1:
         return values[0]
-    index = draw_below(len(values), key, *ids).cast("int") + F.lit(1)
-    return F.element_at(F.array(*values), index)
+    return F.get(F.array(*values), draw_below(len(values), key, *ids).cast("int"))

@@ -143,7 +143,7 @@ class _PatternWriter:
         return combine(
             lambda *ids: F.concat(
                 *(
-                    F.element_at(pool_array(pool), draw_below(len(pool), key + 2 * n, *ids).cast("int") + 1)
+                    F.get(pool_array(pool), draw_below(len(pool), key + 2 * n, *ids).cast("int"))
                     for n in range(length)
                 )
             ),

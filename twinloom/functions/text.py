@@ -39,7 +39,7 @@ def encode_index(index: Column, pool: str, length: int) -> list[Column]:
         digit = index if place == 0 else int_div(index, base**place)
         if place != length - 1:
             digit = digit % bigint(base)
-        digits.append(F.element_at(chars, digit.cast("int") + F.lit(1)))
+        digits.append(F.get(chars, digit.cast("int")))
     return digits
 
 

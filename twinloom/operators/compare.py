@@ -62,9 +62,13 @@ def comparison_columns(
     )
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def normalized(field: st.StructField) -> Column:
     """The column in the type both engines are compared in."""
-    column = F.col("`" + field.name.replace("`", "``") + "`")
+    column = F.col(_quoted(field.name))
     if isinstance(field.dataType, _NESTED):
         raise CompareError(
             "COMPARISON_UNSUPPORTED_TYPE",
@@ -96,10 +100,10 @@ def row_balance(left: DataFrame, right: DataFrame) -> DataFrame:
     One union and one aggregation replace two EXCEPT ALL passes. Equal rows are combined
     before the shuffle, so a row that fills a third of a side still moves once per task.
     """
-    columns = left.columns
+    columns = list(map(_quoted, left.columns))
     one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
     tagged = left.select("*", one.alias("left_rows"), none.alias("right_rows")).unionByName(
-        right.select(*left.columns, none.alias("left_rows"), one.alias("right_rows"))
+        right.select(*columns, none.alias("left_rows"), one.alias("right_rows"))
     )
     return tagged.groupBy(*columns).agg(
         F.sum("left_rows").alias("left_rows"), F.sum("right_rows").alias("right_rows")
@@ -112,14 +116,37 @@ def exclusive_rows(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def difference_metrics(left: DataFrame, right: DataFrame) -> DataFrame:
-    """One row: counts per side and rows exclusive to each side, in a single job."""
+    """One row: counts per side and rows exclusive to each side, in a single job.
+
+    The rows are compared in their normalised types. Where both sides have the same type,
+    rows that balance as they are also balance after normalisation, so only the rest is
+    converted and combined again: usually a small remainder. Unbalanced rows can still
+    meet there, since normalisation may map different values to one.
+    """
+    columns = left.columns
+    left_types, right_types = dict(left.dtypes), dict(right.dtypes)
+
+    def keys(frame: DataFrame) -> list[Column]:
+        same = {name for name in columns if left_types[name] == right_types[name]}
+        return [F.col(_quoted(n)) if n in same else normalized(frame.schema[n]) for n in columns]
+
+    plain_left, plain_right = left.select(*keys(left)), right.select(*keys(right))
+    balance = row_balance(plain_left, plain_right)
+    if any(_merges_values(field.dataType) for field in plain_left.schema):
+        even = F.col("left_rows") == F.col("right_rows")
+        converted = [F.when(~even, normalized(f)).alias(f.name) for f in plain_left.schema]
+        balance = (
+            balance.select(even.alias("__even"), *converted, "left_rows", "right_rows")
+            .groupBy("__even", *map(_quoted, columns))
+            .agg(F.sum("left_rows").alias("left_rows"), F.sum("right_rows").alias("right_rows"))
+        )
     surplus = F.col("left_rows") - F.col("right_rows")
     zero = F.lit(0).cast("bigint")
 
     def total(column: Column) -> Column:
         return F.coalesce(F.sum(column), zero)
 
-    return row_balance(left, right).agg(
+    return balance.agg(
         total(F.col("left_rows")).alias("left_count"),
         total(F.col("right_rows")).alias("right_count"),
         total(F.greatest(surplus, zero)).alias("left_exclusive"),
@@ -127,6 +154,13 @@ def difference_metrics(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
+def _merges_values(data_type: st.DataType) -> bool:
+    """Whether normalisation may map two different values of the type to one."""
+    if isinstance(data_type, st.DecimalType):
+        return data_type.scale > 18 or data_type.precision - data_type.scale > 20
+    return isinstance(data_type, (st.FloatType, st.DoubleType))
+
+
 def with_verdict(metrics: DataFrame) -> DataFrame:
     """Add the count delta, the exclusive ratios and the status."""
 
@@ -160,9 +194,9 @@ def compare(
         (*technical["iceberg"], *right_excludes),
         compare_temporal,
     )
-    left, right = normalize(left, columns.compared), normalize(right, columns.compared)
-    check_same_types(left, right)
-    return columns, with_verdict(difference_metrics(left, right))
+    check_same_types(normalize(left, columns.compared), normalize(right, columns.compared))
+    kept = list(map(_quoted, columns.compared))
+    return columns, with_verdict(difference_metrics(left.select(*kept), right.select(*kept)))
 
 
 def report_frame(

@@ -39,6 +39,7 @@ from twinloom.plans.spec import (
 )
 from twinloom.plans.types import Cardinality
 from twinloom.plans.types import LogicalType as T
+from twinloom.session import compile_small_methods
 
 ROW_ID = "row_id"
 ROWS_PER_TASK = 5_000_000
@@ -101,6 +102,7 @@ class Generator:
         self._columns = {(t.name, c.name): c for t in self.ordered for c in t.columns}
         self._indexes: dict[tuple[str, str], object] = {}
         self._check_time_zone()
+        compile_small_methods(spark)
         for table in self.ordered:
             for column in table.columns:
                 self._check_capacity(table, column)
@@ -351,9 +353,7 @@ class _RowWriter:
             if not column.unique:
                 return combine(lambda s: pick(values, key, s), seat)
             options = [F.lit(v).cast(column.source.spark_type) for v in dict.fromkeys(domain.values)]
-            return combine(
-                lambda i: F.element_at(F.array(*options), i.cast("int") + F.lit(1)), distinct(len(options))
-            )
+            return combine(lambda i: F.get(F.array(*options), i.cast("int")), distinct(len(options)))
         if isinstance(domain, Span):
             offset = distinct(domain.capacity) if column.unique else _span_offset(domain, key, seat)
             return combine(lambda o: _render_span(domain, o), offset)

@@ -8,6 +8,10 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+_METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+_METHOD_LIMIT_DEFAULT = "65535"
+_HOTSPOT_LIMIT = "8000"
+
 
 @contextmanager
 def session_conf(spark: SparkSession, settings: dict[str, str]):
@@ -25,6 +29,17 @@ def session_conf(spark: SparkSession, settings: dict[str, str]):
                 spark.conf.set(name, value)
 
 
+def compile_small_methods(spark: SparkSession) -> None:
+    """Let Spark leave whole-stage codegen where the JVM would not compile its method.
+
+    HotSpot only interprets methods above 8000 bytes, which a wide generated table exceeds
+    and which is ten times slower. Spark's limit defaults to 65535 and is meant to be set
+    to 8000 on HotSpot; a value chosen by the caller is kept.
+    """
+    if spark.conf.get(_METHOD_LIMIT) == _METHOD_LIMIT_DEFAULT:
+        spark.conf.set(_METHOD_LIMIT, _HOTSPOT_LIMIT)
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name under the cluster's shared checkpoint folder.
 
