@@ -74,9 +74,9 @@ def _python_style(text: Column) -> Column:
     plain = F.regexp_replace(F.regexp_replace(digits, "0+$", ""), r"\.$", ".0")
     mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.?0*$", "")
     exponent = F.substring_index(text, "E", -1).cast("int")
-    scientific = F.concat(
-        mantissa, F.when(exponent < 0, "e-").otherwise("e+"), F.lpad(F.abs(exponent).cast("string"), 2, "0")
-    )
+    power = F.abs(exponent)
+    sign = F.when(exponent < 0, "e-").otherwise("e+")
+    scientific = F.concat(mantissa, sign, F.when(power < 10, "0").otherwise(""), power.cast("string"))
     return (
         F.when(~text.contains("E"), text)
         .when((size >= 1e-4) & (size < 1e16), plain)

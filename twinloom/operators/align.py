@@ -46,7 +46,7 @@ def _by_lower_name(names: Sequence[str]) -> dict[str, str]:
     return by_key
 
 
-def _quoted(name: str) -> Column:
+def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
@@ -56,7 +56,7 @@ def select_load_columns(source: DataFrame, columns: Sequence[str]) -> DataFrame:
     missing = [name for name in columns if name.lower() not in available]
     if missing:
         raise LoadError("LOAD_COLUMNS_MISSING_IN_PARQUET", f"Staged data lacks: {', '.join(missing)}")
-    return source.select(*(_quoted(available[name.lower()]).alias(name) for name in columns))
+    return source.select(*(quoted(available[name.lower()]).alias(name) for name in columns))
 
 
 def align_to_schema(source: DataFrame, target: st.StructType) -> DataFrame:
@@ -69,7 +69,7 @@ def align_to_schema(source: DataFrame, target: st.StructType) -> DataFrame:
     cells = []
     for field in target.fields:
         name = present.get(field.name.lower())
-        value = _quoted(name) if name is not None else _filler(field)
+        value = quoted(name) if name is not None else _filler(field)
         cells.append(value.cast(field.dataType).alias(field.name))
     return source.select(*cells)
 

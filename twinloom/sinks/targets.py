@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinloom.errors import LoadError
-from twinloom.operators.align import align_to_schema, select_load_columns, strict_casts
+from twinloom.operators.align import align_to_schema, quoted, select_load_columns, strict_casts
 from twinloom.plans.types import WriteMode
 from twinloom.session import session_conf
 from twinloom.sources.tables import (
@@ -64,7 +64,8 @@ def _write_v1(rows: DataFrame, target: str, mode: WriteMode, provider: str) -> N
     if keys:
         # Bring the rows of a partition together so each task does not open every partition;
         # unlike repartition, rebalance also splits a partition that holds most of the rows.
-        rows = rows.hint("rebalance", *(F.col(key) for key in keys))
+        # Like the insert, this goes by position: the partition columns come last.
+        rows = rows.hint("rebalance", *map(quoted, rows.columns[-len(keys):]))
     overwrite = mode is not WriteMode.APPEND
     if mode is WriteMode.OVERWRITE_TABLE and keys and provider == "hive":
         # A static overwrite of a Hive-format table keeps partitions the input lacks.
