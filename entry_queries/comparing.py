@@ -13,7 +13,7 @@ from twinloom.operators.compare import (
     exclusive_rows,
     normalize,
     report_frame,
-    row_balance,
+    unbalanced_rows,
     with_verdict,
 )
 
@@ -54,12 +54,6 @@ def sides(spark, sf_dir):
     return spark.sql(ORIGINAL.format("{rows}"), rows=lineitem), spark.sql(changed, rows=lineitem)
 
 
-def normalized_sides(spark, sf_dir):
-    left, right = sides(spark, sf_dir)
-    names = comparison_columns(left.schema, right.schema).compared
-    return normalize(left, names), normalize(right, names)
-
-
 def as_doubles(frame):
     """Decimals back to doubles for output; every value here has at most two decimals."""
     return frame.select(
@@ -78,12 +72,12 @@ LEFT_ONLY, RIGHT_ONLY = "(SELECT * FROM a EXCEPT ALL SELECT * FROM b)", "(SELECT
 
 @query("cmp_except_all_left", f"{PARTS} SELECT * FROM {LEFT_ONLY}")
 def _(spark, sf_dir):
-    return as_doubles(exclusive_rows(*normalized_sides(spark, sf_dir)))
+    return as_doubles(exclusive_rows(*sides(spark, sf_dir)))
 
 
 @query("cmp_except_all_right", f"{PARTS} SELECT * FROM {RIGHT_ONLY}")
 def _(spark, sf_dir):
-    left, right = normalized_sides(spark, sf_dir)
+    left, right = sides(spark, sf_dir)
     return as_doubles(exclusive_rows(right, left))
 
 
@@ -94,8 +88,7 @@ def _(spark, sf_dir):
     "GROUP BY ALL HAVING sum(l) <> sum(r)",
 )
 def _(spark, sf_dir):
-    balance = row_balance(*normalized_sides(spark, sf_dir))
-    return as_doubles(balance.where("left_rows <> right_rows"))
+    return as_doubles(unbalanced_rows(*sides(spark, sf_dir)))
 
 
 COUNTS = f"""{PARTS}, m AS (SELECT (SELECT count(*) FROM a) AS left_count, (SELECT count(*) FROM b) AS right_count,

@@ -41,8 +41,9 @@ def test_one_pass_equals_except_all_of_normalised_rows(spark, left, right):
     try:
         a, b = (spark.createDataFrame(side, "i int, x double, s string") for side in (left, right))
         na, nb = normalize(a, a.columns), normalize(b, b.columns)
-        expected = (len(left), len(right), exclusive_rows(na, nb).count(), exclusive_rows(nb, na).count())
+        expected = (len(left), len(right), na.exceptAll(nb).count(), nb.exceptAll(na).count())
         assert metrics(a, b) == expected
+        assert sorted(map(str, exclusive_rows(a, b, 2).collect())) == sorted(map(str, na.exceptAll(nb).collect()))
     finally:
         spark.conf.unset("spark.sql.ansi.enabled")
 
@@ -56,6 +57,14 @@ def test_bag_semantics(spark):
     assert Counter(tuple(r) for r in exclusive_rows(left, right).collect()) == {(1, None): 1, (2, "x"): 1}
 
 
+def test_a_row_with_many_copies_is_split(spark):
+    left = spark.range(1000).selectExpr("1 AS a").unionAll(spark.range(5).selectExpr("int(id) AS a"))
+    right = spark.range(90).selectExpr("1 AS a")
+    found = exclusive_rows(left, right, copies_per_task=100)
+    assert Counter(r.a for r in found.collect()) == {0: 1, 1: 911, 2: 1, 3: 1, 4: 1}
+    assert exclusive_rows(right, left).isEmpty()
+
+
 def test_one_shuffle_per_combination(spark):
     left = spark.range(10).selectExpr("id AS a", "cast(id AS string) AS b")
     plan = difference_metrics(left, left)._jdf.queryExecution().executedPlan().toString()

@@ -86,10 +86,9 @@ def _python_style(text: Column) -> Column:
 
 def _shortest(value: Column, text: Column) -> Column:
     """The fewest digits (15 to 17) that still read back as the same double."""
-    for digits in (17, 16, 15):
-        candidate = F.format_string(f"%.{digits - 1}E", value)
-        text = F.when(candidate.cast("double") == value, candidate).otherwise(text)
-    return text
+    candidates = F.array(*(F.format_string(f"%.{digits - 1}E", value) for digits in (15, 16, 17)), text)
+    first = F.get(F.filter(candidates, lambda candidate: candidate.cast("double") == value), F.lit(0))
+    return F.when(F.length(text) <= 17, text).otherwise(first)
 
 
 def is_injective(source: T, target: T, fmt: str | None = None) -> bool:

@@ -23,7 +23,7 @@ def stream_key(seed: int, *parts: object) -> int:
 
 
 def bigint(value: int) -> Column:
-    return F.lit(value).cast("bigint")
+    return F.lit(value) if abs(value) >= 1 << 31 else F.lit(value).cast("bigint")
 
 
 def draw(key: int, *ids: Column) -> Column:

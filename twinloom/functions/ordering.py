@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from twinloom.errors import SpecError
-from twinloom.functions.draws import bigint, draw, draw_within, int_div, stream_key
+from twinloom.functions.draws import bigint, draw_within, int_div, stream_key
 from twinloom.functions.stages import Stages, Term, combine
 
 ROUNDS = 4
@@ -91,13 +91,10 @@ class Permutation:
         )
 
     def _swap_or_not(self, stages: Stages, key: int, position: Term) -> Term:
-        mirror = bigint(key % self.size)
-
-        def swapped(x: Column) -> Column:
-            partner = F.pmod(mirror - x, bigint(self.size))
-            return F.when(draw(key, F.least(x, partner)) < bigint(0), partner).otherwise(x)
-
-        return stages.let(combine(swapped, position))
+        x, size = position.name, f"{self.size}L"
+        partner = f"pmod({key % self.size}L - {x}, {size})"
+        swap = f"xxhash64({key}L, least({x}, {partner})) < 0"
+        return stages.let(Term(F.expr(f"CASE WHEN {swap} THEN {partner} ELSE {x} END"), position.depth))
 
 
 def spread_index(rank: Column, count: int, space: int, key: int, *ids: Column) -> Column:

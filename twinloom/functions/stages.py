@@ -21,6 +21,7 @@ class Term:
 
     column: Column
     depth: int
+    name: str | None = None
 
 
 def combine(build: Callable[..., Column], *terms: Term) -> Term:
@@ -47,7 +48,7 @@ class Stages:
         name = f"__step{self._count}"
         self._count += 1
         self._layers[term.depth].append(term.column.alias(name))
-        return Term(F.col(name), term.depth + 1)
+        return Term(F.col(name), term.depth + 1, name)
 
     def apply(self, rows: DataFrame) -> DataFrame:
         for layer in self._layers:

@@ -110,18 +110,13 @@ def row_balance(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
-def exclusive_rows(left: DataFrame, right: DataFrame) -> DataFrame:
-    """The rows of ``left`` that ``right`` does not match, as often as they are unmatched."""
-    return left.exceptAll(right)
+def normalized_balance(left: DataFrame, right: DataFrame) -> DataFrame:
+    """The row balance in the normalised types; rows balanced as they are may be merged.
 
-
-def difference_metrics(left: DataFrame, right: DataFrame) -> DataFrame:
-    """One row: counts per side and rows exclusive to each side, in a single job.
-
-    The rows are compared in their normalised types. Where both sides have the same type,
-    rows that balance as they are also balance after normalisation, so only the rest is
-    converted and combined again: usually a small remainder. Unbalanced rows can still
-    meet there, since normalisation may map different values to one.
+    Where both sides have the same type, rows that balance as they are also balance after
+    normalisation, so only the rest is converted and combined again: usually a small
+    remainder. Unbalanced rows can still meet there, since normalisation may map
+    different values to one. ``even`` marks what balanced before.
     """
     columns = left.columns
     left_types, right_types = dict(left.dtypes), dict(right.dtypes)
@@ -131,22 +126,58 @@ def difference_metrics(left: DataFrame, right: DataFrame) -> DataFrame:
         return [F.col(_quoted(n)) if n in same else normalized(frame.schema[n]) for n in columns]
 
     plain_left, plain_right = left.select(*keys(left)), right.select(*keys(right))
-    balance = row_balance(plain_left, plain_right)
+    even = F.col("left_rows") == F.col("right_rows")
+    converted = [F.when(~even, normalized(field)).alias(field.name) for field in plain_left.schema]
+    balance = row_balance(plain_left, plain_right).select(
+        *converted, even.alias("__even"), "left_rows", "right_rows"
+    )
     if any(_merges_values(field.dataType) for field in plain_left.schema):
-        even = F.col("left_rows") == F.col("right_rows")
-        converted = [F.when(~even, normalized(f)).alias(f.name) for f in plain_left.schema]
-        balance = (
-            balance.select(even.alias("__even"), *converted, "left_rows", "right_rows")
-            .groupBy("__even", *map(_quoted, columns))
-            .agg(F.sum("left_rows").alias("left_rows"), F.sum("right_rows").alias("right_rows"))
+        balance = balance.groupBy(*map(_quoted, columns), "__even").agg(
+            F.sum("left_rows").alias("left_rows"), F.sum("right_rows").alias("right_rows")
         )
+    return balance
+
+
+def _merges_values(data_type: st.DataType) -> bool:
+    """Whether normalisation may map two different values of the type to one."""
+    if isinstance(data_type, st.DecimalType):
+        return data_type.scale > 18 or data_type.precision - data_type.scale > 20
+    return isinstance(data_type, (st.FloatType, st.DoubleType))
+
+
+def unbalanced_rows(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Every distinct normalised row that one side has more often, with both counts."""
+    uneven = ~F.col("__even") & (F.col("left_rows") != F.col("right_rows"))
+    return normalized_balance(left, right).where(uneven).drop("__even")
+
+
+def exclusive_rows(left: DataFrame, right: DataFrame, copies_per_task: int = 100_000) -> DataFrame:
+    """The normalised rows of ``left`` that ``right`` does not match, as often as they are unmatched.
+
+    The result of EXCEPT ALL, which writes all copies of a row from one task. Here a row
+    with very many unmatched copies is first split into parts that are spread over tasks.
+    """
+    columns = list(map(_quoted, left.columns))
+    surplus = F.col("left_rows") - F.col("right_rows")
+    unmatched = unbalanced_rows(left, right).select(*columns, surplus.alias("__copies"))
+    copies, limit, one = F.col("__copies"), F.lit(copies_per_task).cast("bigint"), F.lit(1).cast("bigint")
+    few = unmatched.where((copies > 0) & (copies <= limit))
+    parts = F.explode(F.sequence(one, F.ceil(copies / limit))).alias("__part")
+    many = unmatched.where(copies > limit).select(*columns, "__copies", parts).repartition("__part", *columns)
+    many = many.select(*columns, F.least(limit, copies - (F.col("__part") - 1) * limit).alias("__copies"))
+    repeated = few.unionByName(many).select(*columns, F.explode(F.sequence(one, copies)).alias("__copy"))
+    return repeated.select(*columns)
+
+
+def difference_metrics(left: DataFrame, right: DataFrame) -> DataFrame:
+    """One row: counts per side and rows exclusive to each side, in a single job."""
     surplus = F.col("left_rows") - F.col("right_rows")
     zero = F.lit(0).cast("bigint")
 
     def total(column: Column) -> Column:
         return F.coalesce(F.sum(column), zero)
 
-    return balance.agg(
+    return normalized_balance(left, right).agg(
         total(F.col("left_rows")).alias("left_count"),
         total(F.col("right_rows")).alias("right_count"),
         total(F.greatest(surplus, zero)).alias("left_exclusive"),
@@ -154,13 +185,6 @@ def difference_metrics(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
-def _merges_values(data_type: st.DataType) -> bool:
-    """Whether normalisation may map two different values of the type to one."""
-    if isinstance(data_type, st.DecimalType):
-        return data_type.scale > 18 or data_type.precision - data_type.scale > 20
-    return isinstance(data_type, (st.FloatType, st.DoubleType))
-
-
 def with_verdict(metrics: DataFrame) -> DataFrame:
     """Add the count delta, the exclusive ratios and the status."""
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from twinloom.functions.draws import bigint
+from twinloom.session import shared_folder
 
 ROWS_PER_BUCKET = 500_000
 MAX_BUCKETS = 65_536
@@ -55,7 +56,10 @@ def dense_index(values: DataFrame, at_most: int, seed_key: int) -> DenseIndex:
 
 
 def settle(frame: DataFrame) -> DataFrame:
-    """Checkpoint where the cluster provides a shared folder; otherwise keep the lineage."""
-    if frame.sparkSession.sparkContext.getCheckpointDir() is None:
-        return frame
-    return frame.checkpoint()
+    """Write the rows to the shared folder and read them back, so they are computed once.
+
+    A lost executor then costs a re-read, not a re-run of everything before.
+    """
+    uri = shared_folder(frame.sparkSession, "settled")
+    frame.write.parquet(uri)
+    return frame.sparkSession.read.schema(frame.schema).parquet(uri)

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from twinloom.errors import CodedError, LoadError
 from twinloom.operators.runs import next_pointers
@@ -22,9 +23,12 @@ def stage_table(rows: DataFrame, uri: str, rows_per_file: int = 10_000_000) -> N
     rows.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(uri)
 
 
+def one_row(spark: SparkSession, **values) -> DataFrame:
+    return spark.range(0, 1, 1, 1).select(*(F.lit(value).alias(name) for name, value in values.items()))
+
+
 def stage_query(spark: SparkSession, sql: str, uri: str) -> None:
-    text = spark.createDataFrame([(sql.strip(),)], "value string")
-    text.coalesce(1).write.mode("overwrite").text(uri)
+    one_row(spark, value=sql.strip()).write.mode("overwrite").text(uri)
 
 
 def materialize_query(spark: SparkSession, query_uri: str, result_uri: str) -> None:
@@ -42,10 +46,8 @@ def write_report(report: DataFrame, uri: str) -> None:
 
 
 def write_diagnostic(spark: SparkSession, uri: str, run_id: str, task_id: str, code: str, message: str) -> None:
-    row = spark.createDataFrame(
-        [(run_id, task_id, code, message)], "run_id string, task_id string, code string, message string"
-    )
-    row.coalesce(1).write.mode("overwrite").json(uri)
+    row = one_row(spark, run_id=run_id, task_id=task_id, code=code, message=message)
+    row.write.mode("overwrite").json(uri)
 
 
 def run_with_diagnostic(
@@ -66,17 +68,15 @@ def run_with_diagnostic(
 
 
 def record_run(spark: SparkSession, layout: RunLayout, event: str) -> None:
-    row = spark.createDataFrame([(layout.run_id, event)], RUN_SCHEMA)
-    row.coalesce(1).write.mode("append").json(layout.runs_table)
+    one_row(spark, run_id=layout.run_id, event=event).write.mode("append").json(layout.runs_table)
 
 
 def commit_pointers(
     spark: SparkSession, layout: RunLayout, tables: Iterable[str], updated_at: datetime
 ) -> None:
     """Append one pointer per published table; readers follow the newest one."""
-    commits = spark.createDataFrame(
-        [(table, layout.run_id, updated_at) for table in tables],
-        "table_name string, run_id string, updated_at timestamp",
+    commits = one_row(spark, tables=list(tables), run_id=layout.run_id, updated_at=updated_at).select(
+        F.explode("tables").alias("table_name"), "run_id", "updated_at"
     )
     rows = next_pointers(read_pointers(spark, layout), commits)
     rows.coalesce(1).write.mode("append").json(layout.pointers_table)
