@@ -27,6 +27,15 @@ def test_float_ends_have_half_weight(spark):
     assert 2_200 < counts[0.0] < 2_800 and 2_200 < counts[4.0] < 2_800 and 4_600 < counts[2.0] < 5_400
 
 
+def test_float_ranges_beyond_the_64_bit_grid(spark):
+    found = values(spark, 500, "FLOAT", min_value=-1e300, max_value=1e300)
+    assert min(found) < -5e299 and max(found) > 5e299 and len(set(found)) == 500
+    found = values(spark, 500, "FLOAT", min_value=0, max_value=1e15, precision=2)
+    assert all(0 <= v <= 1e15 and v == round(v, 2) for v in found)
+    with pytest.raises(SpecError):
+        values(spark, 5, "FLOAT", min_value=0, max_value=1e18, unique=True)
+
+
 def test_int64_extremes(spark):
     found = values(spark, 2_000, "INT", min_value=-(2**63), max_value=2**63 - 1)
     assert min(found) < -(2**62) and max(found) > 2**62

@@ -41,6 +41,11 @@ def draw_below(bound: int, key: int, *ids: Column) -> Column:
     return F.pmod(wide.cast("decimal(38,0)"), F.lit(str(bound)).cast("decimal(38,0)")).cast("decimal(38,0)")
 
 
+def draw_unit(key: int, *ids: Column) -> Column:
+    """A uniform double in ``[0, 1)``."""
+    return F.shiftrightunsigned(draw(key, *ids), 11) * F.lit(2.0**-53)
+
+
 def int_div(column: Column, divisor: int | Column) -> Column:
     """Integer division (truncating; every use here has non-negative operands)."""
     return F.call_function("div", column, bigint(divisor) if isinstance(divisor, int) else divisor)

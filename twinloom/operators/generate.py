@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from twinloom.errors import SpecError, UnsatisfiableError
 from twinloom.functions import convert as cv
-from twinloom.functions.draws import bigint, draw_below, pick, stream_key
+from twinloom.functions.draws import bigint, draw_below, draw_unit, pick, stream_key
 from twinloom.functions.ordering import MAX_SPACE, Permutation, spread_index
 from twinloom.functions.pattern import pattern_text
 from twinloom.functions.stages import Stages, Term, combine
@@ -31,7 +31,7 @@ from twinloom.plans.spec import (
     Column,
     DerivedColumn,
     GeneratedColumn,
-    Pattern,
+    Real,
     ReferenceColumn,
     Span,
     Table,
@@ -357,6 +357,8 @@ class _RowWriter:
         if isinstance(domain, Span):
             offset = distinct(domain.capacity) if column.unique else _span_offset(domain, key, seat)
             return combine(lambda o: _render_span(domain, o), offset)
+        if isinstance(domain, Real):
+            return combine(lambda s: _real(domain, draw_unit(key, s)), seat)
         if isinstance(domain, Text):
             return self._text(domain, column.unique, key, seat, distinct)
         text = pattern_text(self.stages, domain.regex, key, seat)
@@ -384,6 +386,12 @@ def _span_offset(domain: Span, key: int, seat: Term) -> Term:
     return combine(lambda s: draw_below(domain.capacity, key, s), seat)
 
 
+def _real(domain: Real, unit: SparkColumn) -> SparkColumn:
+    # Weighting the two ends avoids an overflow when the range spans most doubles.
+    value = F.lit(domain.low) * (F.lit(1.0) - unit) + F.lit(domain.high) * unit
+    return F.round(value, domain.precision)
+
+
 def _render_span(domain: Span, offset: SparkColumn) -> SparkColumn:
     if domain.unit == "second":
         start = (domain.origin - datetime(1970, 1, 1)) // _MICROSECOND

@@ -1,6 +1,6 @@
 """What a synthetic table looks like: typed, validated, and free of data.
 
-Every generated column is reduced to one of five value domains. Dates, timestamps, fixed
+Every generated column is reduced to a few value domains. Dates, timestamps, fixed
 precision floats and digit strings are all integer spans that differ only in how the
 integer is rendered, so ranges, uniqueness and capacity checks are written once.
 """
@@ -73,6 +73,19 @@ class Span:
         return self.high - self.low + 1
 
 
+@dataclass(frozen=True)
+class Real:
+    """A rounded real number of a closed range whose decimal grid does not fit 64 bits."""
+
+    low: float
+    high: float
+    precision: int
+
+    @property
+    def capacity(self) -> int:
+        return (round(self.high * 10**self.precision)) - round(self.low * 10**self.precision) + 1
+
+
 @dataclass(frozen=True)
 class Text:
     """A string of fixed length over a character pool; the first character may be restricted."""
@@ -99,7 +112,7 @@ class GeneratedColumn:
     name: str
     source: T
     output: T
-    domain: Choice | Span | Text | Pattern
+    domain: Choice | Span | Real | Text | Pattern
     null_ratio: float = 0.0
     unique: bool = False
     fmt: str | None = None
@@ -412,7 +425,7 @@ def _digit_range(limits: Fields, field: str, digits: int) -> tuple[int, int]:
     return (0 if digits == 1 else 10 ** (digits - 1)), 10**digits - 1
 
 
-def _float_domain(limits: Fields, grow: int, as_of: date) -> Span:
+def _float_domain(limits: Fields, grow: int, as_of: date) -> Span | Real:
     precision = limits.integer("precision", FLOAT_PRECISION)
     if precision < 0:
         raise SpecError(f"{limits.place}: precision must not be negative")
@@ -421,9 +434,11 @@ def _float_domain(limits: Fields, grow: int, as_of: date) -> Span:
     high = limits.number("max_value", max(FLOAT_RANGE[1], low + grow / scale))
     if high < low:
         raise SpecError(f"{limits.place}: the maximum is below the minimum")
-    low, high = round(low * scale), round(high * scale)
-    _check_int64(limits, low, high)
-    return Span(low, high, "decimal", precision)
+    if max(abs(low), abs(high)) * scale >= 1 << 53:
+        if limits.flag("is_unique", "unique") and not limits.get("allowed_values"):
+            raise SpecError(f"{limits.place}: a unique FLOAT column needs a grid below 2**53")
+        return Real(low, high, precision)
+    return Span(round(low * scale), round(high * scale), "decimal", precision)
 
 
 def _date_domain(limits: Fields, grow: int, as_of: date) -> Span:
@@ -470,7 +485,8 @@ def _text_domain(limits: Fields, grow: int, as_of: date) -> Text | Span | Patter
             raise SpecError(f"{limits.place}: a unique column cannot use a regular expression")
         if pool := single_class(regex):  # the pattern decides length and case on its own
             return Text(*pool)
-        parse_pattern(regex)
+        if not limits.get("allowed_values"):
+            parse_pattern(regex)
         return Pattern(regex, case)
     if charset == "digits":
         if length > 18:  # beyond 64 bits
