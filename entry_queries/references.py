@@ -183,15 +183,15 @@ def _integrity(spark, sf_dir):
         spark, sf_dir, p_int=("customer", [INN]), c_int=("orders", [reference("v", "p_int", "inn", null_ratio=0.1)])
     )
     child = frames["c_int"]
-    orphans = orphan_values(child, "v", frames["p_int"], "inn").agg(F.count("*").alias("orphans"))
-    nulls = null_counts(child.select("v")).select("n_rows", F.col("v").alias("n_nulls"))
-    one = F.lit(1).alias("one")
-    return nulls.select("*", one).join(orphans.select("*", one), "one").drop("one")
+    orphans = orphan_values(child, "v", frames["p_int"], "inn").agg(F.count("*").alias("n")).select(F.lit("orphans").alias("what"), "n")
+    counted = null_counts(child.select("v"))
+    return counted.selectExpr("stack(2, 'rows', n_rows, 'nulls', v) AS (what, n)").unionByName(orphans)
 
 
 QUERIES["ref_integrity"] = _integrity
 ORACLES["ref_integrity"] = (
-    "SELECT count(*) AS n_rows, CAST(floor(count(*) * 0.1::DOUBLE) AS BIGINT) AS n_nulls, 0::BIGINT AS orphans FROM orders"
+    "SELECT 'rows' AS what, count(*) AS n FROM orders UNION ALL "
+    "SELECT 'nulls', CAST(floor(count(*) * 0.1::DOUBLE) AS BIGINT) FROM orders UNION ALL SELECT 'orphans', 0"
 )
 QUERIES["ref_orphans"] = lambda spark, sf_dir: orphan_values(
     read(spark, sf_dir, "lineitem"), "l_orderkey", read(spark, sf_dir, "customer"), "c_custkey"

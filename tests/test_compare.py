@@ -34,7 +34,7 @@ CELLS = hs.tuples(
 )
 
 
-@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(hs.lists(CELLS, max_size=12), hs.lists(CELLS, max_size=12))
 def test_one_pass_equals_except_all_of_normalised_rows(spark, left, right):
     spark.conf.set("spark.sql.ansi.enabled", "false")  # NaN has no decimal under ANSI
