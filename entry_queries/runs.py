@@ -107,29 +107,47 @@ def _(spark, sf_dir):
 
 @query(
     "report_files",
-    "SELECT strftime(o_orderdate, '%Y') AS run_id, count(*) AS n_reports, "
+    "SELECT 'run=' || strftime(o_orderdate, '%Y') AS run_id, count(*) AS n_reports, "
     "count(*) FILTER (WHERE o_orderstatus = 'P') AS n_faulty FROM orders GROUP BY ALL",
 )
 def _(spark, sf_dir):
-    """Reports written under run folders (one per year of orders) and scanned from there."""
+    """Reports written under run folders (one run per year of orders) and scanned from there."""
     base = shared_folder(spark, "reports")
     orders = read(spark, sf_dir, "orders").withColumn("run", F.date_format("o_orderdate", "yyyy"))
-    claimed = F.when(F.col("o_orderstatus") == "P", "other").otherwise(F.col("run"))
+    claimed = F.when(F.col("o_orderstatus") == "P", "other").otherwise(F.concat(F.lit("run="), "run"))
     text = F.concat(
         F.lit('{"run_id":"'), claimed, F.lit('","checked_at":"t","status":"MATCH","summary":{"row_count":{"hive":'),
         F.col("o_custkey"), F.lit(',"iceberg":'), F.col("o_custkey"),
         F.lit('},"row_count_delta":0,"exclusive_row_count":{"hive":0,"iceberg":0},"exclusive_row_ratio":'
               '{"hive":0.0,"iceberg":0}},"artifacts":{"hive_result_uri":"a","iceberg_result_uri":"b"}}'),
     )
-    orders.select(text.alias("value"), F.concat(F.lit("r"), "run").alias("runs")).write.partitionBy("runs").text(f"{base}/runs")
-    # Partition folders are named runs=rYYYY; give the run id as the expected one.
-    lines = spark.read.text(f"{base}/runs").select(F.col("value").alias("payload"), F.substring("runs", 2, 4).alias("run"))
-    reports = parse_reports(lines, expected_run="run")
-    return reports.groupBy(F.col("run").alias("run_id")).agg(
+    orders.select(text.alias("value"), "run").write.partitionBy("run").text(f"{base}/runs")
+    reports = read_reports(spark, f"{base}/runs")
+    return reports.groupBy(F.col("expected_run").alias("run_id")).agg(
         F.count("*").alias("n_reports"), F.count("problem").alias("n_faulty")
     )
 
 
+@query(
+    "diagnostics_files",
+    "SELECT 'run=' || event_type AS run_id, user_id::VARCHAR AS task_id, count(*) AS n FROM events "
+    "WHERE user_id <> 3 GROUP BY ALL",
+)
+def _(spark, sf_dir):
+    """Diagnostics written under run folders (one run per event type); user 3 claims another run."""
+    base = shared_folder(spark, "diagnostics")
+    claimed = F.when(F.col("user_id") == 3, "other").otherwise(F.concat(F.lit("run="), "event_type"))
+    entry = F.struct(
+        claimed.alias("run_id"),
+        F.col("user_id").cast("string").alias("task_id"),
+        F.lit("TECHNICAL_FAILURE").alias("code"),
+        F.col("props").alias("message"),
+    )
+    rows = read(spark, sf_dir, "events").select(F.to_json(entry).alias("value"), F.col("event_type").alias("run"))
+    rows.write.partitionBy("run").text(f"{base}/runs")
+    return read_diagnostics(spark, f"{base}/runs").groupBy("run_id", "task_id").agg(F.count("*").alias("n"))
+
+
 @query(
     "diagnostics_scan",
     "SELECT 'run_1' AS run_id, event_type AS task_id, 'TECHNICAL_FAILURE' AS code, 'user ' || user_id AS message, count(*) AS n "

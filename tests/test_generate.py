@@ -9,6 +9,9 @@ from tests.helpers import build, col, ref, specs, table, values
 from twinloom.errors import SpecError, UnsatisfiableError
 from twinloom.operators.checks import orphan_values
 from twinloom.operators.generate import dependency_order, generate_table, generate_tables
+from twinloom.plans.spec import ReferenceColumn, Table
+from twinloom.plans.types import Cardinality
+from twinloom.plans.types import LogicalType as T
 
 
 def test_ranges_are_closed(spark):
@@ -261,3 +264,30 @@ def test_timestamps_need_utc(spark):
             generate_tables(spark, spec)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_bad_text_fails_whatever_the_session_says(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+            values(spark, 5, "STRING", "INT", allowed_values=["4x"])
+        assert spark.conf.get("spark.sql.ansi.enabled") == "false"
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_hand_made_specs_are_checked(spark):
+    link = lambda parent, name, output: ReferenceColumn("r", output, parent, name, Cardinality.ONE_TO_MANY)
+    parent = specs(table("p", 5, col("v", "INT")))[0]
+    for broken in (link("q", "v", T.INT), link("p", "w", T.INT), link("p", "v", T.STRING)):
+        with pytest.raises(SpecError, match="Invalid references"):
+            generate_tables(spark, [parent, Table("c", 5, (broken,))])
+    with pytest.raises(SpecError, match="repeats"):
+        Table("t", 5, parent.columns * 2)
+
+
+def test_schema(spark):
+    spec = specs(table("t", 5, col("a", "INT"), col("b", "DATE", "STRING", null_ratio=0.5)))[0]
+    assert spec.schema.simpleString() == "struct<a:bigint,b:string>"
+    assert [field.nullable for field in spec.schema] == [False, True]
+    assert generate_table(spark, spec).dtypes == [("a", "bigint"), ("b", "string")]

@@ -1,5 +1,5 @@
 import uuid
-from datetime import date
+from unittest.mock import MagicMock
 
 import pytest
 from pyspark.sql import types as st
@@ -7,6 +7,7 @@ from pyspark.sql import types as st
 from twinloom.errors import CodedError, LoadError
 from twinloom.operators.align import align_to_schema, select_load_columns, strict_casts
 from twinloom.plans.layout import RunLayout
+from twinloom.sinks import targets
 from twinloom.sinks.artifacts import materialize_query, run_with_diagnostic, stage_query, stage_table
 from twinloom.sinks.targets import TableLoad, load_table, load_tables, write_target
 from twinloom.sources.tables import is_partitioned, partition_columns, table_provider
@@ -58,6 +59,17 @@ def test_append_and_overwrites(spark, target):
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
 
 
+def test_v2_tables_use_the_v2_writer(spark, monkeypatch):
+    """No V2 catalog is available here, so only the chosen call is checked."""
+    for name, value in (("table_provider", "iceberg"), ("is_partitioned", True)):
+        monkeypatch.setattr(targets, name, lambda *_, value=value: value)
+    for mode, call in (("APPEND", "append"), ("OVERWRITE_TABLE", "overwrite"), ("OVERWRITE_PARTITIONS", "overwritePartitions")):
+        frame = MagicMock()
+        write_target(frame, "cat.db.t", mode)
+        frame.writeTo.assert_called_once_with("cat.db.t")
+        assert [c[0] for c in frame.writeTo.return_value.method_calls] == [call]
+
+
 def test_write_mode_errors(spark, target):
     flat = target(partitioned="")
     with fails("PARTITIONED_TARGET_REQUIRED"):

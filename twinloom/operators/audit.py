@@ -92,18 +92,19 @@ def audit_reports(reports: DataFrame) -> DataFrame:
         return F.coalesce(F.round(number(f"exclusive_row_count.{side}") / whole, 6), F.lit(0.0))
 
     sides = ("hive", "iceberg")
-    rules = [(f"{n}.{s} negative", number(f"{n}.{s}") >= 0) for n in ("row_count", "exclusive_row_count") for s in sides]
-    rules += [(f"exclusive_row_ratio.{s} outside 0..1", number(f"exclusive_row_ratio.{s}").between(0, 1)) for s in sides]
-    rules += [
-        (f"exclusive_row_count.{s} above row_count", number(f"exclusive_row_count.{s}") <= number(f"row_count.{s}"))
-        for s in sides
-    ]
+    rules = []
+    for name in ("row_count", "exclusive_row_count"):
+        rules += [(f"{name}.{s} negative", number(f"{name}.{s}") >= 0) for s in sides]
+    for s in sides:
+        rules.append((f"exclusive_row_ratio.{s} outside 0..1", number(f"exclusive_row_ratio.{s}").between(0, 1)))
+    for s in sides:
+        fits = number(f"exclusive_row_count.{s}") <= number(f"row_count.{s}")
+        rules.append((f"exclusive_row_count.{s} above row_count", fits))
     delta = F.abs(number("row_count.hive") - number("row_count.iceberg"))
     rules.append(("row_count_delta", number("row_count_delta") == delta))
-    rules += [
-        (f"exclusive_row_ratio.{s} does not match", F.abs(number(f"exclusive_row_ratio.{s}") - share(s)) <= RATIO_TOLERANCE)
-        for s in sides
-    ]
+    for s in sides:
+        close = F.abs(number(f"exclusive_row_ratio.{s}") - share(s)) <= RATIO_TOLERANCE
+        rules.append((f"exclusive_row_ratio.{s} does not match", close))
     nothing = reduce(lambda a, b: a & b, (number(f"exclusive_row_count.{s}") == 0 for s in sides))
     rules.append(("status", F.col("status") == F.when(nothing, "MATCH").otherwise("MISMATCH")))
     return reports.withColumn("inconsistency", first_problem(rules))

@@ -24,6 +24,7 @@ from twinloom.functions.ordering import MAX_SPACE, Permutation, spread_index
 from twinloom.functions.pattern import pattern_text
 from twinloom.functions.stages import Stages, Term, combine
 from twinloom.functions.text import distinct_text, random_text
+from twinloom.operators.align import strict_casts
 from twinloom.operators.checks import has_duplicates
 from twinloom.operators.indexing import dense_index
 from twinloom.plans.spec import (
@@ -50,6 +51,7 @@ _EXACT_DOUBLE = 1 << 53
 def dependency_order(tables: Iterable[Table]) -> list[Table]:
     """Parents before children; a table that depends on itself is an error."""
     by_name = {table.name: table for table in tables}
+    _check_references(by_name)
     parents = {
         table.name: [c.parent_table for c in table.columns if isinstance(c, ReferenceColumn)]
         for table in by_name.values()
@@ -60,6 +62,24 @@ def dependency_order(tables: Iterable[Table]) -> list[Table]:
         raise SpecError(f"Tables reference each other in a cycle: {' -> '.join(error.args[1])}") from error
 
 
+def _check_references(tables: Mapping[str, Table]) -> None:
+    broken = []
+    for table in tables.values():
+        for column in table.columns:
+            if not isinstance(column, ReferenceColumn):
+                continue
+            parent = tables.get(column.parent_table)
+            source = next((c for c in parent.columns if c.name == column.parent_column), None) if parent else None
+            fault = "missing table" if parent is None else "missing column" if source is None else None
+            if source is not None and source.output is not column.output:
+                fault = f"type {source.output.value} is not {column.output.value}"
+            if fault:
+                link = f"{column.parent_table}.{column.parent_column}"
+                broken.append(f"{table.name}.{column.name} -> {link} ({fault})")
+    if broken:
+        raise SpecError("Invalid references: " + "; ".join(broken))
+
+
 def generate_tables(
     spark: SparkSession,
     tables: Iterable[Table],
@@ -77,7 +97,8 @@ def generate_tables(
     generator = Generator(spark, tables, seed, rows)
     frames = {}
     for table in generator.ordered:
-        frames[table.name] = generator.frame(table)
+        with strict_casts(spark):
+            frames[table.name] = generator.frame(table)
         if verify:
             generator.verify(table, frames[table.name])
     return frames

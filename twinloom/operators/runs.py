@@ -43,13 +43,17 @@ def protected_runs(pointers: DataFrame) -> DataFrame:
     return pointers.select(checked.alias("run_id")).distinct()
 
 
+def check_keep(keep: int) -> None:
+    if isinstance(keep, bool) or not isinstance(keep, int) or keep < 1:
+        raise SpecError("The number of retained runs must be a positive integer")
+
+
 def runs_to_remove(runs: DataFrame, pointers: DataFrame, keep: int) -> DataFrame:
     """Runs outside the ``keep`` to be retained: protected ones first, then the newest.
 
     Two scans with small results: a count of the protected runs and a distributed top-k.
     """
-    if isinstance(keep, bool) or not isinstance(keep, int) or keep < 1:
-        raise SpecError("The number of retained runs must be a positive integer")
+    check_keep(keep)
     existing = runs.select("run_id").distinct()
     protected = protected_runs(pointers)
     free = existing.join(protected, "run_id", "left_anti")

@@ -44,7 +44,7 @@ def engine_columns(raw_table: Mapping, engine: str) -> tuple[str, ...]:
 
 
 def _scope(column: Fields) -> EngineScope:
-    return column.one_of("engine_scope", EngineScope, EngineScope.ALL) if column.get("engine_scope") else EngineScope.ALL
+    return column.one_of("engine_scope", EngineScope) if column.get("engine_scope") else EngineScope.ALL
 
 
 def read_contract(raw: Mapping, as_of: date) -> Contract:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
@@ -13,7 +14,7 @@ from twinloom.errors import CompareError
 from twinloom.operators.audit import audit_reports
 from twinloom.operators.compare import compare, report_frame
 from twinloom.operators.generate import generate_tables
-from twinloom.operators.runs import latest_pointers, runs_to_remove
+from twinloom.operators.runs import check_keep, latest_pointers, runs_to_remove
 from twinloom.plans.contract import ENGINES, Contract, read_contract
 from twinloom.plans.layout import RunLayout, new_run_id
 from twinloom.sinks import artifacts
@@ -22,6 +23,9 @@ from twinloom.sources.tables import read_staged
 from twinloom.sources.texts import read_reports
 
 
+logger = logging.getLogger(__name__)
+
+
 @dataclass(frozen=True)
 class RunResult:
     layout: RunLayout
@@ -44,6 +48,7 @@ def run_pipeline(
     Pointers move only after every step has succeeded, also when the report says
     MISMATCH; readers therefore never see the tables of a failed run.
     """
+    check_keep(keep_runs)
     contract = read_contract(raw_contract, as_of)
     layout = RunLayout(base.rstrip("/"), run_id or new_run_id())
     artifacts.record_run(spark, layout, "started")
@@ -59,7 +64,12 @@ def run_pipeline(
     now = datetime.now(timezone.utc)
     artifacts.commit_pointers(spark, layout, [t.name for t in contract.tables], now)
     report = checked_report(spark, layout)
-    return RunResult(layout, report, retain(spark, layout, keep_runs))
+    try:
+        removed = retain(spark, layout, keep_runs)
+    except Exception:  # the run itself has succeeded and is published
+        logger.exception("Old runs could not be removed after run %s", layout.run_id)
+        removed = ()
+    return RunResult(layout, report, removed)
 
 
 def stage(

@@ -13,6 +13,7 @@ from datetime import date, datetime, timedelta, timezone
 from typing import Any
 
 from dateutil.parser import parse as parse_moment
+from pyspark.sql import types as st
 
 from twinloom.errors import SpecError, UnsatisfiableError
 from twinloom.functions.convert import DERIVATIONS, check_conversion
@@ -153,6 +154,16 @@ class Table:
             raise SpecError(f"Table {self.name} needs a positive number of rows")
         if not self.columns:
             raise SpecError(f"Table {self.name} needs at least one column")
+        names = [column.name for column in self.columns]
+        if repeated := sorted({name for name in names if names.count(name) > 1}):
+            raise SpecError(f"Table {self.name} repeats columns {', '.join(repeated)}")
+
+    @property
+    def schema(self) -> st.StructType:
+        """Output types; a column is nullable when it may hold NULLs."""
+        return st.StructType(
+            [st.StructField(c.name, c.output.spark_type, c.null_ratio > 0) for c in self.columns]
+        )
 
     def column(self, name: str) -> Column:
         return next(column for column in self.columns if column.name == name)
