@@ -178,6 +178,20 @@ def test_pipeline_matches_publishes_and_retires(spark, tmp_path):
     assert sorted(map(tuple, data.collect()), key=str) == sorted(map(tuple, spark.table(raw["tables"][1]["hive_target_table"]).collect()), key=str)
 
 
+def test_only_single_runs_are_deleted(spark, tmp_path):
+    for run_id in ("", " ", ".", "..", "a/b", "../x"):
+        with pytest.raises(ValueError):
+            artifacts.delete_run(spark, RunLayout(str(tmp_path), run_id))
+
+
+def test_a_run_id_is_used_once(spark, tmp_path):
+    raw = contract(spark, tmp_path)
+    run_pipeline(spark, raw, str(tmp_path / "base"), AS_OF, run_id="run_1")
+    with pytest.raises(SpecError, match="exists already"):
+        run_pipeline(spark, raw, str(tmp_path / "base"), AS_OF, run_id="run_1")
+    assert latest_table(spark, str(tmp_path / "base"), "p").count() == 40
+
+
 def test_pipeline_mismatch_still_publishes(spark, tmp_path):
     raw = contract(spark, tmp_path, "SELECT p.k, cast(0 AS bigint) AS n, cast(1 AS decimal(28,2)) AS v FROM {p} p")
     result = run_pipeline(spark, raw, str(tmp_path / "base"), AS_OF)

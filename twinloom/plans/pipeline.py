@@ -10,7 +10,7 @@ from datetime import date, datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinloom.errors import CompareError
+from twinloom.errors import CompareError, SpecError
 from twinloom.operators.audit import audit_reports
 from twinloom.operators.compare import compare, report_frame
 from twinloom.operators.generate import generate_tables
@@ -51,6 +51,8 @@ def run_pipeline(
     check_keep(keep_runs)
     contract = read_contract(raw_contract, as_of)
     layout = RunLayout(base.rstrip("/"), run_id or new_run_id())
+    if artifacts.exists(spark, layout.run_folder):
+        raise SpecError(f"Run {layout.run_id} exists already")
     artifacts.record_run(spark, layout, "started")
     try:
         stage(spark, contract, layout, seed, rows)

@@ -83,7 +83,7 @@ def commit_pointers(
 
 
 def read_pointers(spark: SparkSession, layout: RunLayout) -> DataFrame:
-    if not _exists(spark, layout.pointers_table):
+    if not exists(spark, layout.pointers_table):
         return spark.createDataFrame([], POINTER_SCHEMA)
     return spark.read.schema(POINTER_SCHEMA).json(layout.pointers_table)
 
@@ -95,13 +95,15 @@ def read_runs(spark: SparkSession, layout: RunLayout) -> DataFrame:
     return started.join(events.where("event = 'removed'"), "run_id", "left_anti").distinct()
 
 
-def _exists(spark: SparkSession, uri: str) -> bool:
+def exists(spark: SparkSession, uri: str) -> bool:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
 
 def delete_run(spark: SparkSession, layout: RunLayout) -> None:
     """Remove the files of one run and record that it is gone."""
+    if not layout.run_id.strip(". ") or "/" in layout.run_id:
+        raise ValueError(f"Not the id of one run: {layout.run_id!r}")
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(layout.run_folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
     record_run(spark, layout, "removed")
