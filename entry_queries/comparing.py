@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from entry_queries.base import read, use_utc
+from twinloom.operators.align import strict_casts
 from twinloom.operators.compare import (
     TECHNICAL_COLUMNS,
     compare,
@@ -187,4 +188,5 @@ def _(spark, sf_dir):
         F.col("l_partkey"),
     )
     text = normalize(rows, rows.columns)
-    return text.select(*(F.col(n).cast("string").alias(n) if n.startswith("from") else n for n in text.columns))
+    with strict_casts(spark):  # its decimal text has no exponent
+        return text.select(*(F.col(n).cast("string").alias(n) if n.startswith("from") else n for n in text.columns))
