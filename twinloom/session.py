@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -43,9 +44,11 @@ def compile_small_methods(spark: SparkSession) -> None:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name under the cluster's shared checkpoint folder.
 
-    Only where the session names none, as in local tests, a temporary folder is used.
+    A session that names none is refused, unless driver and executors are one process.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if base is None:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="twinloom-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
