@@ -4,18 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from twinloom.llm import packing
+from twinloom.llm import exact, packing
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op4_exact_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact.decisions(_read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+OP4_SQL = r"""
+WITH plain AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = min(doc_id) OVER same AS kept, sha256(body) AS text_sha256
+FROM plain WINDOW same AS (PARTITION BY body)
+"""
+
+
 def op8_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op4_exact_groups": op4_exact_groups,
     "op8_harmonic_packing": op8_harmonic_packing,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op4_exact_groups": OP4_SQL,
+}
