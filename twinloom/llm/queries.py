@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from twinloom.llm import exact, packing
+from twinloom.llm import classifier, exact, packing
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -24,12 +25,22 @@ FROM plain WINDOW same AS (PARTITION BY body)
 """
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    weights = classifier.learned(docs, _read(spark, sf_dir, "labels"), ~held_out)
+    return classifier.score(docs.select("doc_id", "text"), weights).select(
+        "doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted")
+    )
+
+
 def op8_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op4_exact_groups": op4_exact_groups,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_harmonic_packing": op8_harmonic_packing,
 }
 ORACLES = {
