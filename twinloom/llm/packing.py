@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -41,6 +42,18 @@ SCHEMA = (
 )
 
 
+def stem(word: bytes) -> tuple[bytes, bytes]:
+    """A word whose ids, followed by those of the mark, are the word's own.
+
+    The tokenizer ignores case and always ends a piece between a letter or digit and a mark. Only
+    plain ASCII is touched: composition of letters and special tokens depend on case.
+    """
+    if not word.isascii() or b"<" in word:
+        return word, b""
+    word = word.lower()
+    return (word[:-1], word[-1:]) if word[-1:] in b".,;:!?" and word[-2:-1].isalnum() else (word, b"")
+
+
 class WordTokens:
     """Token ids of texts, by words.
 
@@ -55,26 +68,32 @@ class WordTokens:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(name if os.path.isabs(name) else public_tokenizers.path(name))
         self.remembered = remembered
+        self.marks = {b"": b""}
+        for mark in (b".", b",", b";", b":", b"!", b"?"):
+            self.marks[mark] = array("I", self.tokenizer.encode(mark.decode(), add_special_tokens=False).ids).tobytes()
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
-        """Of each text, its ids as little-endian unsigned 32-bit integers."""
+        """Of each text, its ids as unsigned 32-bit integers, little-endian on all machines that Spark supports."""
         split = [text.split() for text in texts]
-        new = set().union(*split) - self.young.keys() if split else set()
+        words = set().union(*split)
+        new = words.difference(self.young)
         if len(self.young) + len(new) > self.remembered and self.young:
             self.old, self.young = self.young, {}
-            new = set().union(*split)
-        unknown = []
+            new = words
+        stems = {word: stem(word) for word in new if word not in self.old}
+        unknown = list({core for core, _ in stems.values()}.difference(self.young, self.old))
+        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in unknown], add_special_tokens=False)
+        found = {word: array("I", one.ids).tobytes() for word, one in zip(unknown, encoded, strict=True)}
         for word in new:
             known = self.old.get(word)
             if known is None:
-                unknown.append(word)
-            else:
-                self.young[word] = known
-        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in unknown], add_special_tokens=False)
-        for word, one in zip(unknown, encoded, strict=True):
-            self.young[word] = np.array(one.ids, "<u4").tobytes()
+                core, mark = stems[word]
+                ids = found.get(core)
+                known = (self.young.get(core) or self.old[core] if ids is None else ids) + self.marks[mark]
+            self.young[word] = known
+        self.young.update(found)
         find = self.young.__getitem__
         return [b"".join(map(find, words)) for words in split]
 
