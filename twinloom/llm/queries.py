@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinloom.llm import classifier, exact, packing
+from twinloom.llm import classifier, exact, mixing, packing
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -38,7 +38,14 @@ def op8_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"))
 
 
+def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_read(spark, sf_dir, "documents")).select(
+        "doc.doc_id", "source", "pass", "block", "place", "n_words", F.round("weight", 9).alias("weight")
+    )
+
+
 QUERIES = {
+    "op10_temperature_mixing": op10_temperature_mixing,
     "op4_exact_groups": op4_exact_groups,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_harmonic_packing": op8_harmonic_packing,
