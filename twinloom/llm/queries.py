@@ -5,13 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinloom.llm import classifier, exact, mixing, packing
+from twinloom.llm import classifier, codes, exact, mixing, packing, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.archived(_read(spark, sf_dir, "pages"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP1_SQL = """
+WITH captured AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+     hashed AS (SELECT page_id, body, sha1(body) AS digits, max(page_id) OVER (PARTITION BY body) AS first FROM captured)
+SELECT page_id, octet_length(encode(body)) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           ((('0x' || substr(digits, (i // 4) * 5 + 1, 5))::BIGINT >> (15 - 5 * (i % 4))::BIGINT) & 31)::BIGINT + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM hashed
+"""
+
+
 def op4_exact_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact.decisions(_read(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -25,6 +42,21 @@ FROM plain WINDOW same AS (PARTITION BY body)
 """
 
 
+def op6_nearest_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.nearest(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=10)
+
+
+OP6_SQL = """
+WITH codes AS (SELECT vec_id, list_transform(embedding, lambda x: (x > 0)::INT) AS bits FROM embeddings),
+     pairs AS (
+         SELECT q.vec_id AS query_id, c.vec_id,
+                list_sum(list_transform(list_zip(q.bits, c.bits), lambda z: (z[1] <> z[2])::INT))::INT AS distance
+         FROM codes q JOIN codes c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+     ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id)::INT AS rank FROM pairs)
+SELECT query_id, rank, vec_id, distance FROM ranked WHERE rank <= 10
+"""
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
@@ -45,11 +77,15 @@ def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_capture_index": op1_capture_index,
     "op10_temperature_mixing": op10_temperature_mixing,
     "op4_exact_groups": op4_exact_groups,
+    "op6_nearest_codes": op6_nearest_codes,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_harmonic_packing": op8_harmonic_packing,
 }
 ORACLES = {
+    "op1_capture_index": OP1_SQL,
     "op4_exact_groups": OP4_SQL,
+    "op6_nearest_codes": OP6_SQL,
 }
