@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinloom.llm import classifier, codes, exact, mixing, packing, warc
+from twinloom.llm import classifier, codes, exact, mixing, packing, repeats, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -70,6 +70,10 @@ def op8_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"))
 
 
+def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(_read(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_read(spark, sf_dir, "documents")).select(
         "doc.doc_id", "source", "pass", "block", "place", "n_words", F.round("weight", 9).alias("weight")
@@ -77,6 +81,7 @@ def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op9_repeated_passages": op9_repeated_passages,
     "op1_capture_index": op1_capture_index,
     "op10_temperature_mixing": op10_temperature_mixing,
     "op4_exact_groups": op4_exact_groups,

@@ -122,11 +122,17 @@ def windows(bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return np.arange(per_text.sum()) - before[text] + bounds[:-1][text], text
 
 
-def joined(words: Words, text: int, keep: np.ndarray | None = None) -> bytes:
-    """The words of a text, or those kept, joined by one space."""
-    a, b = words.bounds[text], words.bounds[text + 1]
-    raw = words.data
-    ends = zip(words.starts[a:b].tolist(), words.ends[a:b].tolist(), strict=True)
-    if keep is None:
-        return b" ".join(raw[s:e].tobytes() for s, e in ends)
-    return b" ".join(raw[s:e].tobytes() for (s, e), k in zip(ends, keep.tolist(), strict=True) if k)
+def joined(words: Words, offsets: np.ndarray, keep: np.ndarray | None = None) -> list[bytes]:
+    """Of each text, its words, or those kept, joined by one space."""
+    keep = slice(None) if keep is None else keep
+    offsets = np.asarray(offsets) - offsets[0]
+    starts, ends = words.starts[keep], words.ends[keep]
+    ends = ends + (ends < np.repeat(offsets[1:], words.counts)[keep])  # with the separator, if one follows
+    change = np.zeros(len(words.data) + 1, np.int8)
+    change[starts] += 1
+    change[ends] -= 1
+    inside = np.cumsum(change[:-1], dtype=np.int8) > 0
+    data = words.data[inside]
+    data[(data >= 9) & (data <= 13)] = 32
+    at = np.concatenate(([0], np.cumsum(inside)))[offsets]
+    return [data[s:e].tobytes().rstrip(b" ") for s, e in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
