@@ -19,6 +19,7 @@ rows are packed each; other columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
 from collections import defaultdict
@@ -42,16 +43,24 @@ SCHEMA = (
 )
 
 
-def stem(word: bytes) -> tuple[bytes, bytes]:
-    """A word whose ids, followed by those of the mark, are the word's own.
+_SIMPLE = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\xbf])+)([.,;:!?*$%&#]*)")
+_SHOWN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+#: Byte-level tokenizers write a byte that is not printable as a character from 256 on.
+_BYTE_LEVEL = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
 
-    The tokenizer ignores case and always ends a piece between a letter or digit and a mark. Only
-    plain ASCII is touched: composition of letters and special tokens depend on case.
+
+def stem(word: bytes) -> tuple[str | None, bytes]:
+    """Of Latin-1 letters and closing marks, the letters in lower case and the marks; else (None, word).
+
+    For such words the tokenizer's normal form is the lower case, and the letters and the run of
+    marks are one piece each, so their ids follow each other.
     """
-    if not word.isascii() or b"<" in word:
-        return word, b""
-    word = word.lower()
-    return (word[:-1], word[-1:]) if word[-1:] in b".,;:!?" and word[-2:-1].isalnum() else (word, b"")
+    found = _SIMPLE.fullmatch(word)
+    if found:
+        letters = found[1].decode()
+        if letters.isalpha():
+            return letters.lower(), found[2]
+    return None, word
 
 
 class WordTokens:
@@ -61,16 +70,14 @@ class WordTokens:
     Ids of words are remembered in two generations of bounded size.
     """
 
-    def __init__(self, name: str, remembered: int = 500_000):
+    def __init__(self, name: str, remembered: int = 800_000):
         import public_tokenizers
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(name if os.path.isabs(name) else public_tokenizers.path(name))
         self.remembered = remembered
-        self.marks = {b"": b""}
-        for mark in (b".", b",", b";", b":", b"!", b"?"):
-            self.marks[mark] = array("I", self.tokenizer.encode(mark.decode(), add_special_tokens=False).ids).tobytes()
+        self.model = self.tokenizer.model
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
@@ -82,18 +89,25 @@ class WordTokens:
         if len(self.young) + len(new) > self.remembered and self.young:
             self.old, self.young = self.young, {}
             new = words
-        stems = {word: stem(word) for word in new if word not in self.old}
-        unknown = list({core for core, _ in stems.values()}.difference(self.young, self.old))
-        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in unknown], add_special_tokens=False)
-        found = {word: array("I", one.ids).tobytes() for word, one in zip(unknown, encoded, strict=True)}
+        plain, parts = [], []
         for word in new:
             known = self.old.get(word)
-            if known is None:
-                core, mark = stems[word]
-                ids = found.get(core)
-                known = (self.young.get(core) or self.old[core] if ids is None else ids) + self.marks[mark]
-            self.young[word] = known
-        self.young.update(found)
+            if known is not None:
+                self.young[word] = known
+                continue
+            letters, marks = stem(word)
+            if letters is None:
+                plain.append(word)
+            else:
+                parts.append((word, letters, marks))
+        plain += {marks for _, _, marks in parts if marks and marks not in self.young}
+        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in plain], add_special_tokens=False)
+        for word, one in zip(plain, encoded, strict=True):
+            self.young[word] = array("I", one.ids).tobytes()
+        for word, letters, marks in parts:
+            shown = letters if letters.isascii() else letters.encode().decode("latin-1").translate(_BYTE_LEVEL)
+            ids = array("I", [token.id for token in self.model.tokenize(shown)]).tobytes()
+            self.young[word] = ids + self.young[marks] if marks else ids
         find = self.young.__getitem__
         return [b"".join(map(find, words)) for words in split]
 
