@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinloom.llm import classifier, codes, exact, mixing, packing, repeats, warc
+from twinloom.llm import classifier, codes, exact, mixing, near, packing, repeats, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -42,6 +42,11 @@ FROM plain WINDOW same AS (PARTITION BY body)
 """
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near.near_duplicates(_read(spark, sf_dir, "documents"), size=3, similar=(85, 100))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op6_nearest_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.nearest(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=10)
 
@@ -85,6 +90,7 @@ QUERIES = {
     "op1_capture_index": op1_capture_index,
     "op10_temperature_mixing": op10_temperature_mixing,
     "op4_exact_groups": op4_exact_groups,
+    "op5_near_duplicates": op5_near_duplicates,
     "op6_nearest_codes": op6_nearest_codes,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_harmonic_packing": op8_harmonic_packing,

@@ -51,10 +51,10 @@ def rolling(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     """A position-free hash of ``values[start:end]`` for each pair, from one prefix sum."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    up, down = powers(len(values))
+    up, down = powers(len(values) + 1)
     sums = np.empty(len(values) + 1, np.uint64)
     sums[0] = 0
-    np.cumsum(values * up, out=sums[1:])
+    np.cumsum(values * up[:-1], out=sums[1:])
     length = (ends - starts).astype(np.uint64)
     return mixed((sums[ends] - sums[starts]) * down[starts] + mixed(length))
 
