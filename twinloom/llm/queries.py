@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinloom.llm import classifier, codes, exact, mixing, near, packing, repeats, warc
+from twinloom.llm import classifier, codes, exact, mixing, near, packing, pitman_yor, repeats, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -29,6 +29,11 @@ FROM hashed
 """
 
 
+def op2_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    return pitman_yor.score(_read(spark, sf_dir, "documents"), held_out)
+
+
 def op4_exact_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact.decisions(_read(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -89,6 +94,7 @@ QUERIES = {
     "op9_repeated_passages": op9_repeated_passages,
     "op1_capture_index": op1_capture_index,
     "op10_temperature_mixing": op10_temperature_mixing,
+    "op2_pitman_yor": op2_pitman_yor,
     "op4_exact_groups": op4_exact_groups,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_nearest_codes": op6_nearest_codes,
