@@ -31,7 +31,8 @@ from twinloom.llm.words import Words, mixed, steps, text_bytes, windows
 SLOTS = 1 << 18
 #: Labelled documents that learning takes at most.
 SAMPLE = 12_000
-PASSES = 3
+#: Passes over the sample at least; a small sample has more, up to this many updates.
+PASSES, UPDATES = 3, 10_000
 _REPEAT = np.uint64(0x5851F42D4C957F2D)
 _SECOND = np.uint64(0xD1342543DE82EF95)
 
@@ -106,7 +107,7 @@ def learned(docs: DataFrame, labels: DataFrame, learn_from: Column | str, sample
         rows = [row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
         rows.sort()
         model = FollowTheLeader()
-        for _ in range(passes):
+        for _ in range(max(passes, UPDATES // max(1, len(rows)))):
             for _, label, slots, amounts in rows:
                 model.learn(np.frombuffer(slots, np.int32), np.frombuffer(amounts, np.float32).astype(float), label)
         out = io.BytesIO()

@@ -154,6 +154,9 @@ def decisions(docs: DataFrame, row: str | None = None, primes: tuple[int, ...] =
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The documents, with all their columns, of which one of each group of equal texts stays."""
-    rows = numbered(docs)
-    dropped = written(decisions(rows, "_row").where("not kept").select(F.col("row").alias("_row")), "dropped")
-    return matching(rows, dropped, ["_row"], "left_anti").drop("_row").select(docs.columns)
+    number = "_row"
+    while number in docs.columns:
+        number += "_"
+    rows = numbered(docs, number)
+    dropped = written(decisions(rows, number).where("not kept").select(F.col("row").alias(number)), "dropped")
+    return matching(rows, dropped, [number], "left_anti").select(docs.columns)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twinloom.llm.graph import components
-from twinloom.llm.rows import matching, written
+from twinloom.llm.rows import matching, numbered, written
 from twinloom.llm.words import Words, mixed, rolling, steps, text_bytes, windows
 
 BANDS, ROWS = 40, 6
@@ -108,7 +108,7 @@ def possible(n_a: np.ndarray, n_b: np.ndarray, same: np.ndarray, filled: np.ndar
     return (np.minimum(n_a, n_b) >= (threshold - 1e-9) * np.maximum(n_a, n_b)) & (estimate >= threshold - margin)
 
 
-def _sketched(docs: DataFrame, size: int) -> DataFrame:
+def _sketched(docs: DataFrame, size: int, given: str | None) -> DataFrame:
     """Numbered texts with their sets' sizes, 128-bit identities and registers."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,7 +122,7 @@ def _sketched(docs: DataFrame, size: int) -> DataFrame:
                 identity = [rolling(f, ends - [len(s) for s in sets], ends) for f in (flat, mixed(flat ^ _SECOND))]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.arange(row, row + b - a)),
+                        batch.column(2).slice(a, b - a) if given else pa.array(np.arange(row, row + b - a)),
                         batch.column(0).slice(a, b - a),
                         pa.array([len(s) for s in sets], pa.int64()),
                         *(pa.array(i.astype(np.int64)) for i in identity),
@@ -133,7 +133,8 @@ def _sketched(docs: DataFrame, size: int) -> DataFrame:
                 )
                 row += b - a
 
-    rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+    own = [F.col(given).cast("bigint")] if given else []
+    rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), *own)
     schema = "row bigint, doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, registers binary, text string"
     return written(rows.mapInArrow(work, schema), "sketches")
 
@@ -290,9 +291,14 @@ def _linked(classes: DataFrame, texts: DataFrame, size: int, similar: tuple[int,
         low, high = high, 3 * high
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, similar: tuple[int, int] = (80, 100)) -> DataFrame:
-    """One row a document: (row, doc_id, n_shingles, component_id, kept)."""
-    texts = _sketched(docs, size)
+def near_duplicates(
+    docs: DataFrame, size: int = 5, similar: tuple[int, int] = (80, 100), row: str | None = None
+) -> DataFrame:
+    """One row a document: (row, doc_id, n_shingles, component_id, kept).
+
+    ``row`` names a column of different numbers for the rows; without it they are numbered as read.
+    """
+    texts = _sketched(docs, size, row)
     full = texts.where("n_shingles > 0")
     classes = full.groupBy("set_a", "set_b").agg(F.min("row").alias("id"), F.first("n_shingles").alias("n_shingles"))
     classes = written(classes, "classes")
@@ -308,9 +314,21 @@ def near_duplicates(docs: DataFrame, size: int = 5, similar: tuple[int, int] = (
     firsts = written(firsts.select("component", F.col("first.doc_id").alias("component_id"), F.col("first.row").alias("kept_row")), "firsts")
     alone = F.col("kept_row").isNull()
     return narrow.join(firsts, "component", "left").select(
-        "row",
+        F.col("row").alias(row or "row"),
         "doc_id",
         "n_shingles",
         F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         (alone | (F.col("row") == F.col("kept_row"))).alias("kept"),
     )
+
+
+def deduplicated(docs: DataFrame, size: int = 5, similar: tuple[int, int] = (80, 100)) -> DataFrame:
+    """The documents, with all their columns, of which one of each group of near duplicates stays."""
+    number = "_row"
+    while number in docs.columns:
+        number += "_"
+    rows = numbered(docs, number)
+    texts = rows.select(F.col(number).alias("given"), "doc_id", "text")
+    found = near_duplicates(texts, size, similar, "given")
+    dropped = written(found.where("not kept").select(F.col("given").alias(number)), "dropped")
+    return matching(rows, dropped, [number], "left_anti").select(docs.columns)

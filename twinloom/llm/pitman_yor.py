@@ -39,7 +39,7 @@ from twinloom.llm.words import Words, mixed, rolling, steps, text_bytes
 CONTEXTS = 1 << 16
 #: Share of all tokens from which on a word is dealt over all shards.
 FREQUENT = 1 / 1024
-STEP_BYTES, STEP_TEXTS = 8 << 20, 30_000
+STEP_BYTES, STEP_TEXTS = 3 << 20, 30_000
 END, START = np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9FB21C651E98DF25)
 HELD = np.uint16(1 << 15)
 #: Sweeps before totals are exchanged, before samples are taken, and samples.
@@ -398,7 +398,7 @@ def score(docs: DataFrame, held_out: Column, seed: int = 42) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), held_out.alias("held_out"))
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     totals = Totals(_frequent(docs))
-    shards = written(_shards(_packed(docs, totals.frequent, 2 * partitions), partitions), "shards")
+    shards = written(_shards(_packed(docs, totals.frequent, 4 * partitions), partitions), "shards")
     _gathered(shards, totals, seed, None)
     _gathered(shards, totals, seed, EXCHANGE)
     return _by_document(shards, _scored(shards, totals, seed), totals)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinloom.llm import classifier, codes, exact, mixing, near, packing, pitman_yor, repeats, warc
+from twinloom.llm import classifier, codes, exact, mixing, near, packing, pii, pitman_yor, repeats, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op2_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pitman_yor.score(_read(spark, sf_dir, "documents"), held_out)
 
 
+def op3_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(_read(spark, sf_dir, "documents")).drop("row")
+
+
 def op4_exact_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact.decisions(_read(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -95,6 +99,7 @@ QUERIES = {
     "op1_capture_index": op1_capture_index,
     "op10_temperature_mixing": op10_temperature_mixing,
     "op2_pitman_yor": op2_pitman_yor,
+    "op3_contextual_pii": op3_contextual_pii,
     "op4_exact_groups": op4_exact_groups,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_nearest_codes": op6_nearest_codes,

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from twinloom.llm import queries
 
-QUERIES = dict(queries.QUERIES)
-ORACLES = dict(queries.ORACLES)
+QUERIES = queries.QUERIES | {"pipeline": corpus_pipeline.run}
+ORACLES = queries.ORACLES | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

@@ -134,7 +134,7 @@ def _suffixes(texts: DataFrame, size: int, gram: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
-            for a, b in steps(offsets, 16 << 20):
+            for a, b in steps(offsets, 4 << 20):
                 rows = np.asarray(batch.column("row").slice(a, b - a))
                 words = Words(data, offsets[a : b + 1])
                 hashes = words.hashes()

@@ -17,10 +17,10 @@ _BYTES = np.random.Generator(np.random.PCG64(20240607)).integers(1, 1 << 63, 256
 _BYTES += np.uint64(1)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_powers = (np.ones(1, np.uint64), np.ones(1, np.uint64))
 
 #: Bytes of text that one step of array work takes at most, a longer single text aside.
-STEP = 4 << 20
+STEP = 1 << 20
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -34,17 +34,15 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers, modulo 2^64, of the base of rolling hashes and of its inverse."""
-    size = 1 << max(12, (n - 1).bit_length())
-    if size not in _powers:
-        _powers.clear()
-        ladders = []
+    global _powers
+    if n > len(_powers[0]):
+        size, ladders = 1 << max(12, (n - 1).bit_length()), []
         for base in (_BASE, _INVERSE):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            ladders.append(np.multiply.accumulate(steps))
-        _powers[size] = tuple(ladders)
-    up, down = _powers[size]
-    return up[:n], down[:n]
+            ladder = np.full(size, base, np.uint64)
+            ladder[0] = 1
+            ladders.append(np.multiply.accumulate(ladder))
+        _powers = tuple(ladders)
+    return _powers[0][:n], _powers[1][:n]
 
 
 def rolling(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -54,7 +52,8 @@ def rolling(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     up, down = powers(len(values) + 1)
     sums = np.empty(len(values) + 1, np.uint64)
     sums[0] = 0
-    np.cumsum(values * up[:-1], out=sums[1:])
+    np.multiply(values, up[:-1], out=sums[1:])
+    np.cumsum(sums[1:], out=sums[1:])
     length = (ends - starts).astype(np.uint64)
     return mixed((sums[ends] - sums[starts]) * down[starts] + mixed(length))
 
