@@ -9,18 +9,18 @@ from pyspark.sql import functions as F
 
 from entry_queries.base import AS_OF, KEYS, read, use_utc
 from entry_queries.duck import SEED
-from entry_queries.references import GROUPS, ORACLES as REFERENCE_ORACLES, SUBJECTS
+from entry_queries.references import DEPOTS, ORACLES as REFERENCE_ORACLES, PARCELS
 from twinloom.plans.pipeline import run_pipeline
 from twinloom.session import shared_folder
 from twinloom.sources.tables import read_staged
 
 QUERIES, ORACLES = {}, {}
 
-GROUP_FIELDS = "inn bigint, group_id_dm bigint, main_company_flg_dm bigint, value_day bigint"
-SUBJECT_FIELDS = "stype string, sinn bigint, sogrn bigint, spin string, sabscode string, idsubject bigint"
+DEPOT_FIELDS = "code bigint, zone bigint, shift_count bigint, opened bigint"
+PARCEL_FIELDS = "size_class string, depot bigint, grams bigint, seal string, carrier string, route bigint"
 REPORT_SQL = """
-    SELECT s.stype, g.value_day, count(*) AS n_subjects, count(s.sogrn) AS n_registered, max(s.spin) AS last_pin
-    FROM {subjects} s JOIN {groups} g ON s.sinn = g.inn GROUP BY s.stype, g.value_day"""
+    SELECT p.size_class, d.opened, count(*) AS n_parcels, count(p.grams) AS n_weighed, max(p.seal) AS last_seal
+    FROM {parcels} p JOIN {depots} d ON p.depot = d.code GROUP BY p.size_class, d.opened"""
 
 
 def create_target(spark: SparkSession, fields: str) -> str:
@@ -32,7 +32,7 @@ def create_target(spark: SparkSession, fields: str) -> str:
 def run(spark: SparkSession, sf_dir: str):
     use_utc(spark)
     rows, tables, targets = {}, [], {}
-    plan = (("company_groups", "customer", GROUPS, GROUP_FIELDS), ("subjects", "orders", SUBJECTS, SUBJECT_FIELDS))
+    plan = (("depots", "customer", DEPOTS, DEPOT_FIELDS), ("parcels", "orders", PARCELS, PARCEL_FIELDS))
     for name, given, columns, fields in plan:
         ids = read(spark, sf_dir, given).select(F.col(KEYS[given]).alias("row_id"))
         rows[name] = ids
@@ -49,7 +49,7 @@ def run(spark: SparkSession, sf_dir: str):
         )
     queries = {
         f"{engine}_sql": REPORT_SQL.format(
-            subjects=targets["subjects"][engine], groups=targets["company_groups"][engine]
+            parcels=targets["parcels"][engine], depots=targets["depots"][engine]
         )
         for engine in ("hive", "iceberg")
     }
@@ -72,7 +72,7 @@ def _flat_report(spark, sf_dir):
 
 
 _GROUPED = (
-    "SELECT stype, value_day, count(*) AS n_subjects, count(sogrn) AS n_registered, max(spin) AS last_pin "
+    "SELECT size_class, opened, count(*) AS n_parcels, count(grams) AS n_weighed, max(seal) AS last_seal "
     f"FROM ({REFERENCE_ORACLES['gen_two_tables']}) t GROUP BY ALL"
 )
 

@@ -110,20 +110,17 @@ unique(
 )
 unique("null_with_unique", "INT", "5000000000", "(7 + idx)::BIGINT", ratio="0.1", null_ratio=0.1, min_value=7, max_value=5_000_000_006)
 
-# A list of allowed values bounds how many rows can be unique: about 30 rows get one, the rest are NULL.
-WORDS = [f"word_{number}" for number in range(40)]
-
-
+# A list of allowed values bounds how many rows can be unique: here a word for every 25 rows, and 2% of rows get one.
 def _allowed_unique(spark, sf_dir):
-    rows = read(spark, sf_dir, "orders").count()
-    spec = column("v", "STRING", unique=True, allowed_values=WORDS, null_ratio=1 - 30 / rows)
+    words = [f"word_{number}" for number in range(read(spark, sf_dir, "orders").count() // 25)]
+    spec = column("v", "STRING", unique=True, allowed_values=words, null_ratio=0.98)
     return synthetic(spark, sf_dir, gen_allowed_unique=("orders", [spec]))["gen_allowed_unique"]
 
 
 QUERIES["gen_allowed_unique"] = _allowed_unique
 ORACLES["gen_allowed_unique"] = (
-    over("gen_allowed_unique").permute("pos", "gen_allowed_unique", "v").nulls("1 - 30::DOUBLE / n")
-    .spread("idx", "40", key("gen_allowed_unique", "v"))
+    over("gen_allowed_unique").permute("pos", "gen_allowed_unique", "v").nulls("0.98")
+    .spread("idx", "n // 25", key("gen_allowed_unique", "v"))
     .select("id AS o_orderkey, CASE WHEN rank >= 0 THEN 'word_' || idx::VARCHAR END AS v")
 )
 

@@ -150,10 +150,11 @@ def order_rows(spark, sf_dir):
     return read(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
 
 
-def doubled(spark, sf_dir):
-    """New content for the finished orders only."""
-    finished = order_rows(spark, sf_dir).where("o_orderstatus = 'F'")
-    return finished.withColumn("o_totalprice", F.col("o_totalprice") * 2)
+def doubled(spark, sf_dir, status: str | None = "F"):
+    """New content for the orders of one status, which is what an overwrite tells apart, or for all."""
+    rows = order_rows(spark, sf_dir)
+    rows = rows if status is None else rows.where(F.col("o_orderstatus") == status)
+    return rows.withColumn("o_totalprice", F.col("o_totalprice") * 2)
 
 
 BASE_SQL = "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders"
@@ -174,15 +175,15 @@ def _(spark, sf_dir):
     )
 
 
-def sink_query(name: str, mode: str, sql: str, partitioned: bool = True):
+def sink_query(name: str, mode: str, sql: str, partitioned: bool = True, status: str | None = "F"):
     @query(name, sql)
     def _(spark, sf_dir):
         target = orders_target(spark, sf_dir, partitioned)
-        write_target(doubled(spark, sf_dir), target, mode)
+        write_target(doubled(spark, sf_dir, status), target, mode)
         return spark.table(target)
 
 
-sink_query("sink_append", "APPEND", f"{BASE_SQL} UNION ALL {DOUBLED_SQL}")
+sink_query("sink_append", "APPEND", f"{BASE_SQL} UNION ALL {DOUBLED_SQL.partition(' WHERE')[0]}", status=None)
 sink_query("sink_overwrite_table", "OVERWRITE_TABLE", DOUBLED_SQL)
 sink_query("sink_overwrite_flat_table", "OVERWRITE_TABLE", DOUBLED_SQL, partitioned=False)
 sink_query(

@@ -29,19 +29,19 @@ def with_parts(*rows, main: str) -> str:
     return f"WITH {', '.join(chain.ctes() for chain in rows)} {main}"
 
 
-def inn_parent(table: str, prefix: str, source: str = "customer", id_column: str = "c_custkey"):
+def code_parent(table: str, prefix: str, source: str = "customer", id_column: str = "c_custkey"):
     """A unique ten-digit key: value by rank."""
-    rows = rows_of(source, id_column, prefix).permute("pos", table, "inn").nulls("0")
-    return rows.spread("idx", "9000000000", key(table, "inn")).let(val="(1000000000 + idx)::BIGINT")
+    rows = rows_of(source, id_column, prefix).permute("pos", table, "code").nulls("0")
+    return rows.spread("idx", "9000000000", key(table, "code")).let(val="(1000000000 + idx)::BIGINT")
 
 
-INN = column("inn", "INT", digits_count=10, is_unique=True)
+CODE = column("code", "INT", digits_count=10, is_unique=True)
 GROUP = column("grp", "INT", min_value=1, max_value=50, null_ratio=0.2)
 
 # One to many, unique parent.
-child_of("ref_one_to_many", ("p_many", "customer", [INN]), child=[reference("v", "p_many", "inn", null_ratio=0.1)])
+child_of("ref_one_to_many", ("p_many", "customer", [CODE]), child=[reference("v", "p_many", "code", null_ratio=0.1)])
 ORACLES["ref_one_to_many"] = with_parts(
-    inn_parent("p_many", "p"),
+    code_parent("p_many", "p"),
     rows_of("orders", "o_orderkey", "c").permute("pos", "ref_one_to_many", "v").nulls("0.1")
     .let(seat=below("(SELECT count(*) FROM customer)", key("ref_one_to_many", "v"), "id")),
     main="SELECT c.id AS o_orderkey, CASE WHEN c.rank >= 0 THEN p.val END AS v "
@@ -79,9 +79,9 @@ ORACLES["ref_one_to_one"] = with_parts(
 )
 
 # One to one with a unique parent: no join on the Spark side.
-child_of("ref_one_to_one_unique", ("p_uniq", "orders", [INN]), child=[reference("v", "p_uniq", "inn", "ONE_TO_ONE", null_ratio=0.1)], given="customer")
+child_of("ref_one_to_one_unique", ("p_uniq", "orders", [CODE]), child=[reference("v", "p_uniq", "code", "ONE_TO_ONE", null_ratio=0.1)], given="customer")
 ORACLES["ref_one_to_one_unique"] = with_parts(
-    inn_parent("p_uniq", "p", "orders", "o_orderkey"),
+    code_parent("p_uniq", "p", "orders", "o_orderkey"),
     rows_of("customer", "c_custkey", "c").permute("pos", "ref_one_to_one_unique", "v").nulls("0.1")
     .spread("seat", "(SELECT count(*) FROM orders)", key("ref_one_to_one_unique", "v", "stratum")),
     main="SELECT c.id AS c_custkey, CASE WHEN c.rank >= 0 THEN p.val END AS v FROM {c} c JOIN {p} p ON p.rank = c.seat",
@@ -90,14 +90,14 @@ ORACLES["ref_one_to_one_unique"] = with_parts(
 # A chain: orders -> customer -> supplier, each drawing from the one above.
 child_of(
     "ref_chain",
-    ("g_top", "supplier", [INN]),
-    ("g_mid", "customer", [reference("inn", "g_top", "inn", null_ratio=0.3)]),
-    child=[reference("v", "g_mid", "inn")],
+    ("g_top", "supplier", [CODE]),
+    ("g_mid", "customer", [reference("code", "g_top", "code", null_ratio=0.3)]),
+    child=[reference("v", "g_mid", "code")],
 )
 ORACLES["ref_chain"] = with_parts(
-    inn_parent("g_top", "p", "supplier", "s_suppkey"),
-    rows_of("customer", "c_custkey", "m").permute("pos", "g_mid", "inn").nulls("0.3")
-    .let(seat=below("(SELECT count(*) FROM supplier)", key("g_mid", "inn"), "id")),
+    code_parent("g_top", "p", "supplier", "s_suppkey"),
+    rows_of("customer", "c_custkey", "m").permute("pos", "g_mid", "code").nulls("0.3")
+    .let(seat=below("(SELECT count(*) FROM supplier)", key("g_mid", "code"), "id")),
     rows_of("orders", "o_orderkey", "c")
     .let(filled="(SELECT count(*) - CAST(floor(count(*) * 0.3::DOUBLE) AS BIGINT) FROM customer)")
     .let(seat=below("filled", key("ref_chain", "v"), "id")),
@@ -121,55 +121,54 @@ ORACLES["ref_to_derived"] = with_parts(
 )
 
 # Two whole tables, in dependency order and declared column order.
-GROUPS = [
-    INN,
-    column("group_id_dm", "INT", min_value=1, max_value=6_000_000, null_ratio=0),
-    column("main_company_flg_dm", "INT", allowed_values=[0, 1]),
-    column("value_day", "DATE", "INT", date_format="%Y%m%d"),
+DEPOTS = [
+    CODE,
+    column("zone", "INT", min_value=1, max_value=900, null_ratio=0),
+    column("shift_count", "INT", allowed_values=[1, 2, 3]),
+    column("opened", "DATE", "INT", date_format="%Y%m%d"),
 ]
-SUBJECTS = [
-    column("stype", "STRING", allowed_values=["c", "cpr"]),
-    reference("sinn", "company_groups", "inn"),
-    column("sogrn", "INT", min_value=10**12, max_value=2 * 10**12, null_ratio=0.1),
-    column("spin", "STRING", regular_expr="^[A-Z0-9]{6}$", case_mode="upper", null_ratio=0.1),
-    column("sabscode", "STRING", allowed_values=["SFAProd"]),
-    column("idsubject", "INT", min_value=1, max_value=20_000_000),
+PARCELS = [
+    column("size_class", "STRING", allowed_values=["small", "bulky"]),
+    reference("depot", "depots", "code"),
+    column("grams", "INT", min_value=50, max_value=2 * 10**6, null_ratio=0.1),
+    column("seal", "STRING", regular_expr="^[A-Z0-9]{6}$", case_mode="upper", null_ratio=0.1),
+    column("carrier", "STRING", allowed_values=["road"]),
+    column("route", "INT", min_value=1, max_value=40_000),
 ]
 
 
 def _two_tables(spark, sf_dir):
-    frames = synthetic(spark, sf_dir, subjects=("orders", SUBJECTS), company_groups=("customer", GROUPS))
-    groups = frames["company_groups"].drop("c_custkey")
-    return frames["subjects"].join(groups, F.col("sinn") == F.col("inn")).drop("inn")
+    frames = synthetic(spark, sf_dir, parcels=("orders", PARCELS), depots=("customer", DEPOTS))
+    depots = frames["depots"].drop("c_custkey")
+    return frames["parcels"].join(depots, F.col("depot") == F.col("code")).drop("code")
 
 
 QUERIES["gen_two_tables"] = _two_tables
 
 
 def _two_tables_sql() -> str:
-    k = lambda name: key("subjects", name)
-    g = lambda name: key("company_groups", name)
-    groups = inn_parent("company_groups", "p").let(
-        group_id_dm=f"(1 + {below(6_000_000, g('group_id_dm'), 'id')})::BIGINT",
-        main_company_flg_dm=pick(["0::BIGINT", "1"], g("main_company_flg_dm"), "id"),
-        value_day=f"strftime(DATE '2025-01-01' + {below(365, g('value_day'), 'id')}::INT, '%Y%m%d')::BIGINT",
+    parcel, depot = (lambda name, table=table: key(table, name) for table in ("parcels", "depots"))
+    depots = code_parent("depots", "p").let(
+        zone=f"(1 + {below(900, depot('zone'), 'id')})::BIGINT",
+        shift_count=pick(["1::BIGINT", "2", "3"], depot("shift_count"), "id"),
+        opened=f"strftime(DATE '2025-01-01' + {below(365, depot('opened'), 'id')}::INT, '%Y%m%d')::BIGINT",
     )
-    subjects = rows_of("orders", "o_orderkey", "c").permute("pos", "subjects", "sogrn").nulls("0.1")
-    subjects.let(
-        sogrn=f"CASE WHEN rank >= 0 THEN ({10**12} + {below(10**12 + 1, k('sogrn'), 'id')})::BIGINT END",
-        stype=pick(["'c'", "'cpr'"], k("stype"), "id"),
-        seat=below("(SELECT count(*) FROM customer)", k("sinn"), "id"),
-        idsubject=f"(1 + {below(20_000_000, k('idsubject'), 'id')})::BIGINT",
-        draw=below(36**6, k("spin"), "id"),
+    parcels = rows_of("orders", "o_orderkey", "c").permute("pos", "parcels", "grams").nulls("0.1")
+    parcels.let(
+        grams=f"CASE WHEN rank >= 0 THEN (50 + {below(2 * 10**6 - 49, parcel('grams'), 'id')})::BIGINT END",
+        size_class=pick(["'small'", "'bulky'"], parcel("size_class"), "id"),
+        seat=below("(SELECT count(*) FROM customer)", parcel("depot"), "id"),
+        route=f"(1 + {below(40_000, parcel('route'), 'id')})::BIGINT",
+        draw=below(36**6, parcel("seal"), "id"),
     )
-    spins = rows_of("orders", "o_orderkey", "q").permute("pos", "subjects", "spin").nulls("0.1")
+    seals = rows_of("orders", "o_orderkey", "q").permute("pos", "parcels", "seal").nulls("0.1")
     return with_parts(
-        groups,
-        subjects,
-        spins,
-        main="SELECT c.id AS o_orderkey, stype, p.val AS sinn, sogrn, "
-        f"CASE WHEN q.rank >= 0 THEN {chars('draw', UPPER_DIGITS, 6)} END AS spin, 'SFAProd' AS sabscode, idsubject, "
-        "group_id_dm, main_company_flg_dm, value_day "
+        depots,
+        parcels,
+        seals,
+        main="SELECT c.id AS o_orderkey, size_class, p.val AS depot, grams, "
+        f"CASE WHEN q.rank >= 0 THEN {chars('draw', UPPER_DIGITS, 6)} END AS seal, 'road' AS carrier, route, "
+        "zone, shift_count, opened "
         "FROM {c} c JOIN {p} p ON p.rank = c.seat JOIN {q} q ON q.id = c.id",
     )
 
@@ -180,10 +179,10 @@ ORACLES["gen_two_tables"] = _two_tables_sql()
 # Integrity: a generated child has no orphans, and the checker finds those of real tables.
 def _integrity(spark, sf_dir):
     frames = synthetic(
-        spark, sf_dir, p_int=("customer", [INN]), c_int=("orders", [reference("v", "p_int", "inn", null_ratio=0.1)])
+        spark, sf_dir, p_int=("customer", [CODE]), c_int=("orders", [reference("v", "p_int", "code", null_ratio=0.1)])
     )
     child = frames["c_int"]
-    orphans = orphan_values(child, "v", frames["p_int"], "inn").agg(F.count("*").alias("n")).select(F.lit("orphans").alias("what"), "n")
+    orphans = orphan_values(child, "v", frames["p_int"], "code").agg(F.count("*").alias("n")).select(F.lit("orphans").alias("what"), "n")
     counted = null_counts(child.select("v"))
     return counted.selectExpr("stack(2, 'rows', n_rows, 'nulls', v) AS (what, n)").unionByName(orphans)
 

@@ -213,14 +213,14 @@ def _(spark, sf_dir):
     return next_pointers(past, known.unionByName(fresh.select("*", moment)))
 
 
-@query("latest_table_data", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'")
+@query("latest_table_data", "SELECT o_orderkey, o_totalprice + 3 AS o_totalprice FROM orders")
 def _(spark, sf_dir):
-    """Two runs stage the same table; readers follow the pointer to the second."""
+    """Three runs stage the same table with other prices; readers follow the pointer to the last."""
     base = shared_folder(spark, "catalogue")
-    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
-    for day, status in enumerate("OF", start=1):
+    orders = read(spark, sf_dir, "orders")
+    for day in (1, 2, 3):
         layout = RunLayout(base, f"2025010{day}_000000_0000000{day}")
-        stage_table(orders.where(F.col("o_orderstatus") == status).drop("o_orderstatus"), layout.table_data("orders"))
+        stage_table(orders.select("o_orderkey", (F.col("o_totalprice") + day).alias("o_totalprice")), layout.table_data("orders"))
         commit_pointers(spark, layout, ["orders"], datetime(2025, 1, day))
     return latest_table(spark, base, "orders")
 

@@ -280,7 +280,7 @@ def test_hand_made_specs_are_checked(spark):
     link = lambda parent, name, output: ReferenceColumn("r", output, parent, name, Cardinality.ONE_TO_MANY)
     parent = specs(table("p", 5, col("v", "INT")))[0]
     for broken in (link("q", "v", T.INT), link("p", "w", T.INT), link("p", "v", T.STRING)):
-        with pytest.raises(SpecError, match="Invalid references"):
+        with pytest.raises(SpecError, match="c.r needs"):
             generate_tables(spark, [parent, Table("c", 5, (broken,))])
     with pytest.raises(SpecError, match="repeats"):
         Table("t", 5, parent.columns * 2)
@@ -291,3 +291,20 @@ def test_schema(spark):
     assert spec.schema.simpleString() == "struct<a:bigint,b:string>"
     assert [field.nullable for field in spec.schema] == [False, True]
     assert generate_table(spark, spec).dtypes == [("a", "bigint"), ("b", "string")]
+
+
+@pytest.mark.parametrize("ids", [[0, 2, 4], [0, 1, 1], [1, 2, 3], [0, 1]])
+def test_supplied_rows_must_be_numbered_densely(spark, ids):
+    rows = spark.createDataFrame([(i,) for i in ids], "row_id long")
+    with pytest.raises(SpecError, match="0..2"):
+        generate_table(spark, specs(table("t", 3, col("v", "INT")))[0], 1, rows)
+
+
+def test_generation_leaves_the_session_as_it_was(spark):
+    before = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    values(spark, 5, "INT")
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == before
+
+
+def test_a_class_repeated_no_times_is_empty(spark):
+    assert values(spark, 3, "STRING", regular_expr="^[A-Z]{0}$") == ["", "", ""]

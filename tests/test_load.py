@@ -8,7 +8,7 @@ from twinloom.errors import CodedError, LoadError
 from twinloom.operators.align import align_to_schema, select_load_columns, strict_casts
 from twinloom.plans.layout import RunLayout
 from twinloom.sinks import targets
-from twinloom.sinks.artifacts import materialize_query, run_with_diagnostic, stage_query, stage_table
+from twinloom.sinks.artifacts import failures_recorded, materialize_query, stage_query, stage_table
 from twinloom.sinks.targets import TableLoad, load_table, load_tables, write_target
 from twinloom.sources.tables import is_partitioned, partition_columns, table_provider
 from twinloom.sources.texts import read_diagnostics, read_text
@@ -147,6 +147,22 @@ def test_query_text_and_result(spark, tmp_path):
         materialize_query(spark, query, result)
 
 
+def test_columns_named_like_the_catalog_s_own_rows(spark, tmp_path):
+    spark.sql(f"CREATE TABLE odd (`Provider` string, `# Partitioning` string, v int) USING PARQUET LOCATION '{tmp_path}/odd'")
+    assert table_provider(spark, "odd") == "parquet" and not is_partitioned(spark, "odd")
+    write_target(spark.createDataFrame([("a", "b", 1)], "`Provider` string, `# Partitioning` string, v int"), "odd", "APPEND")
+    assert spark.table("odd").count() == 1
+    spark.sql(f"CREATE TABLE odder (v int, `Provider` string) USING PARQUET PARTITIONED BY (`Provider`) LOCATION '{tmp_path}/odder'")
+    assert table_provider(spark, "odder") == "parquet" and is_partitioned(spark, "odder")
+    spark.sql("DROP TABLE odd")
+    spark.sql("DROP TABLE odder")
+
+
+def test_repeated_names_are_ambiguous(spark):
+    with fails("LOAD_COLUMNS_AMBIGUOUS_BY_CASE"):
+        select_load_columns(spark.createDataFrame([(1,)], "a int"), ["a", "a"])
+
+
 def test_diagnostics_keep_the_original_error(spark, tmp_path):
     layout = RunLayout(str(tmp_path), "run_1")
 
@@ -157,10 +173,13 @@ def test_diagnostics_keep_the_original_error(spark, tmp_path):
         raise ValueError("secret detail")
 
     with fails("TARGET_TABLE_NOT_FOUND"):
-        run_with_diagnostic(spark, layout, "load", bad)
+        with failures_recorded(spark, layout, "load"):
+            bad()
     with pytest.raises(ValueError, match="secret"):
-        run_with_diagnostic(spark, layout, "compare", worse)
-    assert run_with_diagnostic(spark, layout, "fine", lambda: 5) == 5
+        with failures_recorded(spark, layout, "compare"):
+            worse()
+    with failures_recorded(spark, layout, "fine"):
+        pass
     found = {r.task_id: r for r in read_diagnostics(spark, layout.diagnostics).collect()}
     assert found["load"].code == "TARGET_TABLE_NOT_FOUND" and found["load"].message == "no table"
     assert found["compare"].code == "TECHNICAL_FAILURE" and "secret" not in found["compare"].message

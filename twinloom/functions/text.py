@@ -45,6 +45,8 @@ def encode_index(index: Column, pool: str, length: int) -> list[Column]:
 
 def random_text(stages: Stages, pool: str, length: int, key: int, row: Term) -> Term:
     """``length`` independent characters; one hash serves as many of them as it can hold."""
+    if length == 0:
+        return combine(lambda _: F.lit(""), row)
     numeric = pool == string.digits
     per_draw = _DIGITS_PER_DRAW if numeric else chars_within(len(pool), _CHUNK_SPACE)
     pieces: list[Term] = []

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,15 +37,29 @@ def strict_casts(spark: SparkSession):
     )
 
 
-def _by_lower_name(names: Sequence[str]) -> dict[str, str]:
-    by_key: dict[str, str] = {}
-    for name in names:
-        other = by_key.setdefault(name.lower(), name)
-        if other is not name:
-            raise LoadError(
-                "LOAD_COLUMNS_AMBIGUOUS_BY_CASE", f"Columns differ only by case: {other}, {name}"
-            )
-    return by_key
+@dataclass(frozen=True)
+class ColumnMatch:
+    """How requested names meet given ones when case is ignored; decided from names alone."""
+
+    found: dict[str, str]  # requested name -> given name
+    missing: tuple[str, ...]
+    unused: tuple[str, ...]
+
+
+def match_columns(given: Sequence[str], requested: Sequence[str]) -> ColumnMatch:
+    for names in (given, requested):
+        times = Counter(map(str.lower, names))
+        clashing = [name for name in names if times[name.lower()] > 1]
+        if clashing:
+            raise LoadError("LOAD_COLUMNS_AMBIGUOUS_BY_CASE", f"Equal up to case: {', '.join(clashing)}")
+    spelled = {name.lower(): name for name in given}
+    found = {name: spelled[name.lower()] for name in requested if name.lower() in spelled}
+    used = set(found.values())
+    return ColumnMatch(
+        found,
+        tuple(name for name in requested if name not in found),
+        tuple(name for name in given if name not in used),
+    )
 
 
 def quoted(name: str) -> Column:
@@ -52,34 +68,28 @@ def quoted(name: str) -> Column:
 
 def select_load_columns(source: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The requested columns, in the requested order and spelling; case is ignored."""
-    available = _by_lower_name(source.columns)
-    missing = [name for name in columns if name.lower() not in available]
-    if missing:
-        raise LoadError("LOAD_COLUMNS_MISSING_IN_PARQUET", f"Staged data lacks: {', '.join(missing)}")
-    return source.select(*(quoted(available[name.lower()]).alias(name) for name in columns))
+    match = match_columns(source.columns, columns)
+    if match.missing:
+        raise LoadError("LOAD_COLUMNS_MISSING_IN_PARQUET", f"The staged table has no {list(match.missing)}")
+    return source.select(*(quoted(match.found[name]).alias(name) for name in columns))
 
 
 def align_to_schema(source: DataFrame, target: st.StructType) -> DataFrame:
     """Cast to the target's types, names and order in one select; fill what is missing."""
-    wanted = _by_lower_name(target.fieldNames())
-    present = _by_lower_name(source.columns)
-    extra = sorted(name for key, name in present.items() if key not in wanted)
-    if extra:
-        raise LoadError("LOAD_COLUMNS_ABSENT_IN_TARGET", f"Not in the target: {', '.join(extra)}")
-    cells = []
-    for field in target.fields:
-        name = present.get(field.name.lower())
-        value = quoted(name) if name is not None else _filler(field)
-        cells.append(value.cast(field.dataType).alias(field.name))
-    return source.select(*cells)
+    match = match_columns(source.columns, target.fieldNames())
+    if match.unused:
+        raise LoadError("LOAD_COLUMNS_ABSENT_IN_TARGET", f"The target has no {sorted(match.unused)}")
+    cells = {name: quoted(given) for name, given in match.found.items()}
+    cells |= {name: _filler(target[name]) for name in match.missing}
+    return source.select(*(cells[f.name].cast(f.dataType).alias(f.name) for f in target.fields))
 
 
 def _filler(field: st.StructField) -> Column:
-    if field.nullable:
-        return F.lit(None)
-    if type(field.dataType) not in TECHNICAL_FILLERS:
+    """NULL, or for a column that forbids it the fixed value of its type."""
+    value = None if field.nullable else TECHNICAL_FILLERS.get(type(field.dataType))
+    if value is None and not field.nullable:
         raise LoadError(
             "LOAD_NON_NULLABLE_TARGET_COLUMN_MISSING",
-            f"{field.name} is missing and {field.dataType.simpleString()} has no technical value",
+            f"Nothing to put into {field.name}: {field.dataType.simpleString()} NOT NULL",
         )
-    return F.lit(TECHNICAL_FILLERS[type(field.dataType)])
+    return F.lit(value)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -66,21 +66,24 @@ def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def _exact(data_type: str) -> Callable[[Column], Column]:
+    return lambda column: column.cast(data_type)
+
+
+#: What a value of a type is compared as; types not listed are compared as they are.
+_COMPARED_AS: dict[type[st.DataType], Callable[[Column], Column]] = {
+    **dict.fromkeys(_INTEGERS, _exact("bigint")),
+    **dict.fromkeys(_FRACTIONS, _exact("decimal(38,18)")),
+    st.BooleanType: lambda column: F.lower(column.cast("string")),
+}
+
+
 def normalized(field: st.StructField) -> Column:
     """The column in the type both engines are compared in."""
-    column = F.col(_quoted(field.name))
-    if isinstance(field.dataType, _NESTED):
-        raise CompareError(
-            "COMPARISON_UNSUPPORTED_TYPE",
-            f"Nested type cannot be compared: {field.name} {field.dataType.simpleString()}",
-        )
-    if isinstance(field.dataType, _INTEGERS):
-        column = column.cast("bigint")
-    elif isinstance(field.dataType, _FRACTIONS):
-        column = column.cast("decimal(38,18)")
-    elif isinstance(field.dataType, st.BooleanType):
-        column = F.lower(column.cast("string"))
-    return column.alias(field.name)
+    kind = type(field.dataType)
+    if kind in _NESTED:
+        raise CompareError("COMPARISON_UNSUPPORTED_TYPE", f"{field.name}: values of type {field.dataType.simpleString()} are not compared")
+    return _COMPARED_AS.get(kind, lambda column: column)(F.col(_quoted(field.name))).alias(field.name)
 
 
 def normalize(frame: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -40,7 +40,6 @@ from twinloom.plans.spec import (
 )
 from twinloom.plans.types import Cardinality
 from twinloom.plans.types import LogicalType as T
-from twinloom.session import compile_small_methods
 
 ROW_ID = "row_id"
 ROWS_PER_TASK = 5_000_000
@@ -51,33 +50,18 @@ _EXACT_DOUBLE = 1 << 53
 def dependency_order(tables: Iterable[Table]) -> list[Table]:
     """Parents before children; a table that depends on itself is an error."""
     by_name = {table.name: table for table in tables}
-    _check_references(by_name)
-    parents = {
-        table.name: [c.parent_table for c in table.columns if isinstance(c, ReferenceColumn)]
-        for table in by_name.values()
-    }
+    links = [(t, c) for t in by_name.values() for c in t.columns if isinstance(c, ReferenceColumn)]
+    outputs = {(t.name, c.name): c.output for t in by_name.values() for c in t.columns}
+    for table, column in links:
+        target = column.parent_table, column.parent_column
+        if outputs.get(target) is not column.output:
+            found = outputs[target].value if target in outputs else "nothing"
+            raise SpecError(f"{table.name}.{column.name} needs {column.output.value} at {'.'.join(target)}, which is {found}")
+    order = TopologicalSorter({name: [c.parent_table for t, c in links if t.name == name] for name in by_name})
     try:
-        return [by_name[name] for name in TopologicalSorter(parents).static_order()]
+        return [by_name[name] for name in order.static_order()]
     except CycleError as error:
-        raise SpecError(f"Tables reference each other in a cycle: {' -> '.join(error.args[1])}") from error
-
-
-def _check_references(tables: Mapping[str, Table]) -> None:
-    broken = []
-    for table in tables.values():
-        for column in table.columns:
-            if not isinstance(column, ReferenceColumn):
-                continue
-            parent = tables.get(column.parent_table)
-            source = next((c for c in parent.columns if c.name == column.parent_column), None) if parent else None
-            fault = "missing table" if parent is None else "missing column" if source is None else None
-            if source is not None and source.output is not column.output:
-                fault = f"type {source.output.value} is not {column.output.value}"
-            if fault:
-                link = f"{column.parent_table}.{column.parent_column}"
-                broken.append(f"{table.name}.{column.name} -> {link} ({fault})")
-    if broken:
-        raise SpecError("Invalid references: " + "; ".join(broken))
+        raise SpecError(f"A cycle of references leaves no first table: {' -> '.join(error.args[1])}") from error
 
 
 def generate_tables(
@@ -122,8 +106,8 @@ class Generator:
         self._tables = {table.name: table for table in self.ordered}
         self._columns = {(t.name, c.name): c for t in self.ordered for c in t.columns}
         self._indexes: dict[tuple[str, str], object] = {}
+        self._dense: set[str] = set()
         self._check_time_zone()
-        compile_small_methods(spark)
         for table in self.ordered:
             for column in table.columns:
                 self._check_capacity(table, column)
@@ -188,10 +172,24 @@ class Generator:
     def row_frame(self, table: Table) -> DataFrame:
         supplied = self._rows.get(table.name)
         if supplied is not None:
-            return supplied
+            return self._checked_rows(table, supplied)
         tasks = max(self._spark.sparkContext.defaultParallelism, -(-table.rows // ROWS_PER_TASK))
         return self._spark.range(0, table.rows, 1, tasks).withColumnRenamed("id", ROW_ID)
 
+    def _checked_rows(self, table: Table, supplied: DataFrame) -> DataFrame:
+        """The supplied rows, once it is known that they are numbered 0..n-1 and as many as declared."""
+        if table.name not in self._dense:
+            n = F.col(ROW_ID)
+            seen = supplied.agg(F.count("*"), F.count_distinct(n), F.min(n), F.max(n)).first()
+            dense = (table.rows, table.rows, 0, table.rows - 1) if table.rows else (0, 0, None, None)
+            if tuple(seen) != dense:
+                raise SpecError(
+                    f"Rows of {table.name} must have the {ROW_ID} values 0..{table.rows - 1}, each once; "
+                    f"found {seen[0]} rows, {seen[1]} values from {seen[2]} to {seen[3]}"
+                )
+            self._dense.add(table.name)
+        return supplied
+
     def frame(self, table: Table) -> DataFrame:
         rows = self.row_frame(table)
         kept = [name for name in rows.columns if name != ROW_ID]

@@ -17,6 +17,7 @@ from twinloom.operators.generate import generate_tables
 from twinloom.operators.runs import check_keep, latest_pointers, runs_to_remove
 from twinloom.plans.contract import ENGINES, Contract, read_contract
 from twinloom.plans.layout import RunLayout, new_run_id
+from twinloom.session import small_methods
 from twinloom.sinks import artifacts
 from twinloom.sinks.targets import TableLoad, load_tables
 from twinloom.sources.tables import read_staged
@@ -59,10 +60,11 @@ def run_pipeline(
     except Exception:
         artifacts.delete_run(spark, layout)
         raise
-    for engine in ENGINES:
-        step = lambda engine=engine: load_engine(spark, contract, layout, engine)
-        artifacts.run_with_diagnostic(spark, layout, f"load_{engine}", step)
-    artifacts.run_with_diagnostic(spark, layout, "compare", lambda: reconcile(spark, contract, layout))
+    for engine in ENGINES:  # one after the other: both set the casting rules of the same session
+        with artifacts.failures_recorded(spark, layout, f"load_{engine}"):
+            load_engine(spark, contract, layout, engine)
+    with artifacts.failures_recorded(spark, layout, "compare"):
+        reconcile(spark, contract, layout)
     now = datetime.now(timezone.utc)
     artifacts.commit_pointers(spark, layout, [t.name for t in contract.tables], now)
     report = checked_report(spark, layout)
@@ -81,8 +83,9 @@ def stage(
     seed: int,
     rows: Mapping[str, DataFrame] | None = None,
 ) -> None:
-    for name, frame in generate_tables(spark, contract.tables, seed, rows).items():
-        artifacts.stage_table(frame, layout.table_data(name))
+    with small_methods(spark):
+        for name, frame in generate_tables(spark, contract.tables, seed, rows).items():
+            artifacts.stage_table(frame, layout.table_data(name))
     for engine in ENGINES:
         artifacts.stage_query(spark, contract.queries[engine], layout.query(engine))
 

@@ -35,12 +35,21 @@ def compile_small_methods(spark: SparkSession) -> None:
 
     HotSpot only interprets methods above 8000 bytes, which a wide generated table exceeds
     and which is ten times slower. Spark's limit defaults to 65535 and is meant to be set
-    to 8000 on HotSpot; a value chosen by the caller is kept.
+    to 8000 on HotSpot. Generated frames are lazy, so this is the caller's choice for the
+    session; a value chosen by the caller is kept.
     """
     if spark.conf.get(_METHOD_LIMIT) == _METHOD_LIMIT_DEFAULT:
         spark.conf.set(_METHOD_LIMIT, _HOTSPOT_LIMIT)
 
 
+@contextmanager
+def small_methods(spark: SparkSession):
+    """The same for the actions inside the block only."""
+    with session_conf(spark, {_METHOD_LIMIT: spark.conf.get(_METHOD_LIMIT)}):
+        compile_small_methods(spark)
+        yield
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name under the cluster's shared checkpoint folder.
 

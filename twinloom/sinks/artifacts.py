@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,23 +51,32 @@ def write_diagnostic(spark: SparkSession, uri: str, run_id: str, task_id: str, c
     row.write.mode("overwrite").json(uri)
 
 
-def run_with_diagnostic(
-    spark: SparkSession, layout: RunLayout, task_id: str, action: Callable[[], object]
-) -> object:
-    """Run a step; when it fails, leave a diagnostic and raise the original error."""
+@contextmanager
+def failures_recorded(spark: SparkSession, layout: RunLayout, task_id: str) -> Iterator[None]:
+    """Leave a diagnostic of what fails inside; the error itself goes on unchanged.
+
+    Only errors of this library say more than their kind, since others may quote data.
+    """
     try:
-        return action()
+        yield
     except Exception as error:
-        code, message = TECHNICAL_FAILURE, f"Technical failure in {task_id}; see the job log."
-        if isinstance(error, CodedError):
-            code, message = error.code, str(error)
-        try:
-            write_diagnostic(spark, layout.diagnostic(task_id), layout.run_id, task_id, code, message)
-        except Exception as second:  # the diagnostic must not hide the failure it describes
-            error.add_note(f"The diagnostic could not be written either: {second}")
+        known = isinstance(error, CodedError)
+        code = error.code if known else TECHNICAL_FAILURE
+        text = str(error) if known else f"{type(error).__name__} in step {task_id}"
+        with _noted(error):
+            write_diagnostic(spark, layout.diagnostic(task_id), layout.run_id, task_id, code, text)
         raise
 
 
+@contextmanager
+def _noted(error: Exception) -> Iterator[None]:
+    """A second failure becomes a note of the first one."""
+    try:
+        yield
+    except Exception as second:
+        error.add_note(f"No diagnostic was stored: {second}")
+
+
 def record_run(spark: SparkSession, layout: RunLayout, event: str) -> None:
     one_row(spark, run_id=layout.run_id, event=event).write.mode("append").json(layout.runs_table)
 

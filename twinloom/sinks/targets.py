@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from twinloom.errors import LoadError
 from twinloom.operators.align import align_to_schema, quoted, select_load_columns, strict_casts
 from twinloom.plans.types import WriteMode
-from twinloom.session import session_conf
+from twinloom.session import session_conf, shared_folder
 from twinloom.sources.tables import (
     is_partitioned,
     partition_columns,
@@ -69,7 +69,10 @@ def _write_v1(rows: DataFrame, target: str, mode: WriteMode, provider: str) -> N
     overwrite = mode is not WriteMode.APPEND
     if mode is WriteMode.OVERWRITE_TABLE and keys and provider == "hive":
         # A static overwrite of a Hive-format table keeps partitions the input lacks.
-        # Emptying it first gives the right content; the two steps are not atomic.
+        # Emptying it first gives the right content. All casts run before that, into a shared
+        # folder, so that a bad value or a source that reads the target cannot lose the table;
+        # emptying and inserting are still two steps.
+        rows = _computed(rows)
         spark.sql(f"TRUNCATE TABLE {target}")
         overwrite = False
     dynamic = mode is WriteMode.OVERWRITE_PARTITIONS
@@ -80,6 +83,12 @@ def _write_v1(rows: DataFrame, target: str, mode: WriteMode, provider: str) -> N
         rows.write.insertInto(target, overwrite=overwrite)
 
 
+def _computed(rows: DataFrame) -> DataFrame:
+    folder = shared_folder(rows.sparkSession, "aligned")
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
 def load_table(spark: SparkSession, load: TableLoad) -> None:
     """Check the target, read, select, align under strict casts, write."""
     require_table(spark, load.target)

@@ -1,12 +1,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as st
 
 from twinloom.errors import LoadError
 
-_PARTITION_MARKS = ("# Partitioning", "# Partition Information")
+# The headings that announce partitioning.
+_PARTITION_MARKS = {"# Partitioning", "# Partition Information"}
 _V1_PROVIDERS = {"hive", "parquet", "orc", "csv", "json", "text", "avro"}
 
 
@@ -25,15 +25,23 @@ def target_schema(spark: SparkSession, table: str) -> st.StructType:
     return spark.table(table).schema
 
 
-def partition_marks(spark: SparkSession, table: str) -> DataFrame:
-    """The DESCRIBE rows that announce partitioning; empty for an unpartitioned table."""
-    name = F.col("col_name")
-    described = spark.sql(f"DESCRIBE {table}")
-    return described.where((name == _PARTITION_MARKS[0]) | (name == _PARTITION_MARKS[1])).limit(1)
+def _described(spark: SparkSession, table: str) -> dict[str, list[tuple[str, str]]]:
+    """DESCRIBE EXTENDED by section: columns under "", then what follows each heading.
+
+    A heading begins with a number sign and has no type, which tells it from a column so named.
+    """
+    sections: dict[str, list[tuple[str, str]]] = {"": []}
+    rows = sections[""]
+    for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect():
+        if row.col_name.startswith("# ") and not row.data_type:
+            rows = sections.setdefault(row.col_name, [])
+        else:
+            rows.append((row.col_name, row.data_type))
+    return sections
 
 
 def is_partitioned(spark: SparkSession, table: str) -> bool:
-    return not partition_marks(spark, table).isEmpty()
+    return not _PARTITION_MARKS.isdisjoint(_described(spark, table))
 
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
@@ -41,9 +49,9 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
 
 
 def table_provider(spark: SparkSession, table: str) -> str:
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Provider'")
-    row = described.select("data_type").first()
-    return row[0].lower() if row else ""
+    """The table's format; a column of the name Provider is no answer."""
+    details = [row for name, rows in _described(spark, table).items() if name.startswith("# Detailed") for row in rows]
+    return next((value.lower() for name, value in details if name == "Provider"), "")
 
 
 def uses_v2_writer(provider: str) -> bool:
