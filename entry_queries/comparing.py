@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from entry_queries.base import read, use_utc
 from twinloom.operators.align import strict_casts
+from twinloom.operators.audit import audit_reports, parse_reports
 from twinloom.operators.compare import (
     TECHNICAL_COLUMNS,
     compare,
@@ -190,3 +191,49 @@ def _(spark, sf_dir):
     text = normalize(rows, rows.columns)
     with strict_casts(spark):  # its decimal text has no exponent
         return text.select(*(F.col(n).cast("string").alias(n) if n.startswith("from") else n for n in text.columns))
+
+
+SHIPPED = "SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem"
+DELAYED = (
+    "SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity < 10 THEN l_shipdate + INTERVAL 1 DAY ELSE l_shipdate END AS l_shipdate "
+    "FROM lineitem"
+)
+
+
+@query(
+    "cmp_report_temporal",
+    f"WITH a AS ({SHIPPED}), b AS ({DELAYED}) SELECT 'MISMATCH' AS status, (SELECT count(*) FROM a) AS hive_rows, "
+    "(SELECT count(*) FROM (FROM a EXCEPT ALL FROM b)) AS hive_only, (SELECT count(*) FROM (FROM b EXCEPT ALL FROM a)) AS iceberg_only, "
+    "3::BIGINT AS n_compared, false AS counts_only",
+)
+def _(spark, sf_dir):
+    """Dates on both sides, compared because they are asked for."""
+    left = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_quantity")
+    later = F.when(F.col("l_quantity") < 10, F.col("l_shipdate") + F.expr("INTERVAL 1 DAY")).otherwise(F.col("l_shipdate"))
+    return stored_report(left.drop("l_quantity"), left.withColumn("l_shipdate", later).drop("l_quantity"), compare_temporal=True)
+
+
+@query(
+    "cmp_no_columns",
+    "SELECT 'MATCH' AS status, count(*) AS hive_rows, 0::BIGINT AS hive_only, 0::BIGINT AS iceberg_only, "
+    "0::BIGINT AS n_compared, true AS counts_only FROM lineitem",
+)
+def _(spark, sf_dir):
+    """Nothing but different dates: equal counts are all there is, and the stored report says so."""
+    left = read(spark, sf_dir, "lineitem").select("l_shipdate")
+    return stored_report(left, left.select((F.col("l_shipdate") + F.expr("INTERVAL 1 DAY")).alias("l_shipdate")))
+
+
+def stored_report(left, right, **options):
+    """What is left of a comparison after its report has been written and read."""
+    columns, verdict = compare(left, right, **options)
+    report = report_frame(columns, verdict, "run", "2025-06-30T00:00:00+00:00", "left", "right")
+    text = report.select(F.to_json(F.struct(*report.columns)).alias("payload"))
+    return audit_reports(parse_reports(text)).select(
+        "status",
+        F.col("summary.row_count.hive").alias("hive_rows"),
+        F.col("summary.exclusive_row_count.hive").alias("hive_only"),
+        F.col("summary.exclusive_row_count.iceberg").alias("iceberg_only"),
+        F.size("compared_columns").cast("bigint").alias("n_compared"),
+        "counts_only",
+    )

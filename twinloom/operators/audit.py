@@ -18,8 +18,9 @@ REPORT_SCHEMA = """
         exclusive_row_count: struct<hive: bigint, iceberg: bigint>,
         exclusive_row_ratio: struct<hive: double, iceberg: double>>,
     artifacts struct<hive_result_uri: string, iceberg_result_uri: string>,
-    excluded_columns struct<hive: array<string>, iceberg: array<string>, temporal: array<string>>
+    excluded_columns string, compared_columns array<string>
 """
+EXCLUDED_SCHEMA = "hive array<string>, iceberg array<string>, temporal array<string>"
 
 _NUMBERS = (
     "row_count.hive",
@@ -50,13 +51,9 @@ def parse_reports(payloads: DataFrame, payload: str = "payload", expected_run: s
     parsed = payloads.withColumn("report", report)
     empty = F.array().cast("array<string>")
     sections = ("hive", "iceberg", "temporal")
-    given = F.get_json_object(payload, "$.excluded_columns").isNotNull()
-    lists = F.struct(
-        *(
-            F.when(given, F.col(f"report.excluded_columns.{name}")).otherwise(empty).alias(name)
-            for name in sections
-        )
-    )
+    given = F.col("report.excluded_columns")  # still JSON text, so absence and bad content differ
+    excluded = F.from_json(given, EXCLUDED_SCHEMA)
+    lists = F.struct(*(F.when(given.isNull(), empty).otherwise(excluded[name]).alias(name) for name in sections))
     texts = ("run_id", "checked_at", "status", "artifacts.hive_result_uri", "artifacts.iceberg_result_uri")
     rules = [(name, F.length(f"report.{name}") > 0) for name in texts]
     if expected_run is not None:
@@ -77,12 +74,16 @@ def parse_reports(payloads: DataFrame, payload: str = "payload", expected_run: s
         *kept,
         *(F.col(f"report.{n}").alias(n) for n in ("run_id", "checked_at", "status", "summary", "artifacts")),
         "excluded_columns",
+        F.col("report.compared_columns").alias("compared_columns"),
         "problem",
     )
 
 
 def audit_reports(reports: DataFrame) -> DataFrame:
-    """Add ``inconsistency``: the first rule the report's own numbers break, or NULL."""
+    """Add ``inconsistency``: the first rule the report's own numbers break, or NULL.
+
+    ``counts_only`` warns that no column was comparable, so MATCH says no more than equal counts.
+    """
 
     def number(name: str) -> Column:
         return F.col(f"summary.{name}")
@@ -107,7 +108,8 @@ def audit_reports(reports: DataFrame) -> DataFrame:
         rules.append((f"exclusive_row_ratio.{s} does not match", close))
     nothing = reduce(lambda a, b: a & b, (number(f"exclusive_row_count.{s}") == 0 for s in sides))
     rules.append(("status", F.col("status") == F.when(nothing, "MATCH").otherwise("MISMATCH")))
-    return reports.withColumn("inconsistency", first_problem(rules))
+    counts_only = F.coalesce(F.size("compared_columns") == 0, F.lit(False))
+    return reports.withColumn("inconsistency", first_problem(rules)).withColumn("counts_only", counts_only)
 
 
 def parse_diagnostics(payloads: DataFrame, payload: str = "payload", expected_run: str = "expected_run") -> DataFrame:

@@ -51,14 +51,17 @@ def check_keep(keep: int) -> None:
 def runs_to_remove(runs: DataFrame, pointers: DataFrame, keep: int) -> DataFrame:
     """Runs outside the ``keep`` to be retained: protected ones first, then the newest.
 
-    Two scans with small results: a count of the protected runs and a distributed top-k.
+    One aggregate marks the existing and the protected runs; the oldest unprotected run of a
+    distributed top-k is the threshold.
     """
     check_keep(keep)
-    existing = runs.select("run_id").distinct()
-    protected = protected_runs(pointers)
-    free = existing.join(protected, "run_id", "left_anti")
-    slots = max(keep - existing.join(protected, "run_id", "left_semi").count(), 0)
-    if not slots:
-        return free
-    newest = free.orderBy(F.desc("run_id")).limit(slots)
-    return free.join(newest, "run_id", "left_anti")
+    yes, no = F.lit(True), F.lit(False)
+    marked = runs.select("run_id", yes.alias("exists"), no.alias("protected")).unionByName(
+        protected_runs(pointers).select("run_id", no.alias("exists"), yes.alias("protected"))
+    )
+    marked = marked.groupBy("run_id").agg(F.max("exists").alias("exists"), F.max("protected").alias("protected"))
+    marked = marked.where("exists")
+    retained = marked.orderBy(F.desc("protected"), F.desc("run_id")).limit(keep)
+    oldest = retained.agg(F.min(F.when(~F.col("protected"), F.col("run_id")))).first()[0]
+    free = marked.where("NOT protected").select("run_id")
+    return free if oldest is None else free.where(F.col("run_id") < oldest)
