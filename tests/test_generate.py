@@ -308,3 +308,17 @@ def test_generation_leaves_the_session_as_it_was(spark):
 
 def test_a_class_repeated_no_times_is_empty(spark):
     assert values(spark, 3, "STRING", regular_expr="^[A-Z]{0}$") == ["", "", ""]
+
+
+def test_unique_integers_reach_the_whole_64_bit_range(spark):
+    low, high = -(2**63), 2**63 - 1
+    found = values(spark, 2000, "INT", unique=True, min_value=low, max_value=high)
+    assert len(set(found)) == 2000 and min(found) < low * 0.99 and max(found) > high * 0.99
+    upper = values(spark, 1000, "INT", unique=True, min_value=0, max_value=high)
+    assert len(set(upper)) == 1000 and sum(v > high // 2 for v in upper) in range(450, 550)
+
+
+@pytest.mark.parametrize("most", [1, 7, 250])
+def test_open_repeats_stop_where_the_column_says(spark, most):
+    lengths = {len(v) - 1 for v in values(spark, 400, "STRING", regular_expr="^x[ab]+$", max_repeat=most)}
+    assert min(lengths) == 1 and max(lengths) > 0.9 * most and max(lengths) <= most

@@ -56,6 +56,14 @@ def draw_within(width: Column, key: int, *ids: Column) -> Column:
     return F.pmod(draw(key, *ids), width)
 
 
+def draw_within_wide(width: Column, key: int, *ids: Column) -> Column:
+    """The same for a decimal width beyond 64 bits: 94 drawn bits modulo the width."""
+    high = F.pmod(draw(key, *ids), bigint(1 << 62)).cast("decimal(19,0)")
+    low = F.pmod(draw(key ^ 1, *ids), bigint(1 << 32)).cast("decimal(10,0)")
+    bits = (high * F.lit(1 << 32).cast("decimal(10,0)") + low).cast("decimal(38,0)")
+    return F.pmod(bits, width).cast("decimal(38,0)")
+
+
 def pick(values: list, key: int, *ids: Column) -> Column:
     """One of the literal columns, uniformly; repeated entries carry their weight."""
     if len(values) == 1:

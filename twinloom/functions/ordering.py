@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from twinloom.errors import SpecError
-from twinloom.functions.draws import bigint, draw_within, int_div, stream_key
+from twinloom.functions.draws import bigint, draw_within, draw_within_wide, int_div, stream_key
 from twinloom.functions.stages import Stages, Term, combine
 
 ROUNDS = 4
@@ -97,6 +97,22 @@ class Permutation:
         return stages.let(Term(F.expr(f"CASE WHEN {swap} THEN {partner} ELSE {x} END"), position.depth))
 
 
+def _wide_index(rank: Column, count: int, width: int, extra: int, key: int, *ids: Column) -> Column:
+    """The same for spaces beyond 64-bit arithmetic, in decimals; at most 2^64 values, rows below 2^62."""
+
+    def number(value: int) -> Column:
+        return F.lit(str(value)).cast("decimal(20,0)")
+
+    def start(position: Column) -> Column:
+        whole = position.cast("decimal(18,0)" if count < 10**18 else "decimal(19,0)")
+        steps = int_div((whole * number(extra)).cast("decimal(38,0)"), number(count)).cast("decimal(20,0)")
+        return ((whole * number(width)).cast("decimal(38,0)") + steps).cast("decimal(38,0)")
+
+    first = start(rank)
+    size = (start(rank + bigint(1)) - first).cast("decimal(38,0)")
+    return (first + draw_within_wide(size, key, *ids)).cast("decimal(38,0)")
+
+
 def spread_index(rank: Column, count: int, space: int, key: int, *ids: Column) -> Column:
     """Map the dense ranks ``0..count-1`` to distinct integers in ``[0, space)``.
 
@@ -104,9 +120,9 @@ def spread_index(rank: Column, count: int, space: int, key: int, *ids: Column) -
     inside it: distinct by construction, every value of the space is reachable, and no
     lookup table or shuffle is needed.
     """
-    if space >= MAX_SPACE:
-        raise SpecError(f"A distinct index needs a space below {MAX_SPACE}")
     width, extra = divmod(space, count)
+    if space >= MAX_SPACE:
+        return _wide_index(rank, count, width, extra, key, *ids)
     if extra == 0:
         return rank if width == 1 else rank * bigint(width) + draw_within(bigint(width), key, *ids)
 

@@ -2,7 +2,7 @@
 
 The pattern is read once on the driver with the standard library's own parser; each node
 becomes a draw, so generation stays inside Spark. Anchors produce nothing. Look-around
-is refused. A repeat without an upper limit stops at ``UNBOUNDED_REPEAT``.
+is refused. A repeat without an upper limit stops at a given number of times.
 """
 
 from __future__ import annotations
@@ -42,6 +42,7 @@ _CATEGORIES = {
     rx.CATEGORY_NOT_WORD: "".join(c for c in string.printable if c not in _WORD),
 }
 
+#: Where a repeat without an upper limit stops unless the column says otherwise.
 UNBOUNDED_REPEAT = 100
 _UNROLLED_CHARS = 32
 _UNROLLED_DIGITS = 128
@@ -64,13 +65,14 @@ def parse_pattern(pattern: str):
         raise SpecError(f"Invalid regular expression {pattern!r}: {error}") from error
 
 
-def pattern_text(stages: Stages, pattern: str, key: int, row: Term) -> Term:
-    return _PatternWriter(stages, key).sequence(parse_pattern(pattern), [row])
+def pattern_text(stages: Stages, pattern: str, key: int, row: Term, most: int = UNBOUNDED_REPEAT) -> Term:
+    return _PatternWriter(stages, key, most).sequence(parse_pattern(pattern), [row])
 
 
 class _PatternWriter:
-    def __init__(self, stages: Stages, key: int) -> None:
+    def __init__(self, stages: Stages, key: int, most: int) -> None:
         self._stages = stages
+        self._most = most
         self._key = key
         self._groups: dict[int, tuple[int, Term]] = {}
 
@@ -151,7 +153,7 @@ class _PatternWriter:
         )
 
     def _repeat(self, low: int, high, body, scope: list[Term]) -> Term:
-        high = max(low, UNBOUNDED_REPEAT) if high is rx.MAXREPEAT else int(high)
+        high = max(low, self._most) if high is rx.MAXREPEAT else int(high)
         if high == 0:
             return combine(lambda *_: F.lit(""), *scope)
         pool = self._pool(*body[0]) if len(body) == 1 else None

@@ -365,7 +365,7 @@ class _RowWriter:
         needed = table.rows - table.null_count(column)
 
         def distinct(space: int) -> Term:
-            return combine(lambda r: spread_index(r, needed, min(space, MAX_SPACE - 1), key, r), seat)
+            return combine(lambda r: spread_index(r, needed, space, key, r), seat)
 
         if isinstance(domain, Choice):
             values = [F.lit(v).cast(column.source.spark_type) for v in domain.values]
@@ -380,7 +380,7 @@ class _RowWriter:
             return combine(lambda s: _real(domain, draw_unit(key, s)), seat)
         if isinstance(domain, Text):
             return self._text(domain, column.unique, key, seat, distinct)
-        text = pattern_text(self.stages, domain.regex, key, seat)
+        text = pattern_text(self.stages, domain.regex, key, seat, domain.most)
         change = {"lower": F.lower, "upper": F.upper}.get(domain.case, lambda c: c)
         return combine(change, text)
 

@@ -8,10 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from twinloom.functions.draws import bigint
-from twinloom.session import shared_folder
 
 ROWS_PER_BUCKET = 500_000
-MAX_BUCKETS = 65_536
 
 
 @dataclass(frozen=True)
@@ -23,43 +21,20 @@ class DenseIndex:
 def dense_index(values: DataFrame, at_most: int, seed_key: int) -> DenseIndex:
     """Number the distinct non-null values of the single column of ``values``.
 
-    Distinct values hash evenly into buckets, so no bucket is hot. The per-bucket counts
-    (at most ``MAX_BUCKETS`` rows, whatever the data size) give each bucket its offset;
-    inside a bucket a window numbers the values. The order depends on the values only,
-    so a recomputed task gives the same numbers.
+    Distinct values hash evenly into buckets of about ``ROWS_PER_BUCKET``, so no bucket is hot.
+    A running sum over the bucket sizes gives each bucket its offset; inside a bucket a window
+    numbers the values. The order depends on the values only, so a recomputed task gives the
+    same numbers, and all of it is lazy but the count.
     """
     name = values.columns[0]
-    buckets = max(1, min(MAX_BUCKETS, -(-at_most // ROWS_PER_BUCKET)))
+    buckets = max(1, -(-at_most // ROWS_PER_BUCKET))
     hashed = F.xxhash64(bigint(seed_key), F.col("value"))
-    distinct = (
-        values.select(F.col(name).alias("value"))
-        .where(F.col("value").isNotNull())
-        .distinct()
-        .withColumn("bucket", F.pmod(hashed, F.lit(buckets)).cast("int"))
-    )
-    distinct = settle(distinct)
-    sizes = dict(distinct.groupBy("bucket").count().collect())
-    offsets, total = [], 0
-    for bucket in sorted(sizes):
-        offsets.append((bucket, total))
-        total += sizes[bucket]
+    distinct = values.select(F.col(name).alias("value")).where(F.col("value").isNotNull()).distinct()
+    distinct = distinct.withColumn("bucket", F.pmod(hashed, bigint(buckets)))
+    earlier = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = distinct.groupBy("bucket").count()  # one row for half a million values
+    starts = starts.select("bucket", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("start"))
     within = Window.partitionBy("bucket").orderBy(hashed, "value")
     numbered = distinct.withColumn("rank", F.row_number().over(within) - 1)
-    spark = values.sparkSession
-    if not offsets:
-        return DenseIndex(numbered.select(F.col("rank").cast("bigint").alias("position"), "value"), 0)
-    starts = spark.createDataFrame(offsets, "bucket int, start bigint")
-    rows = numbered.join(F.broadcast(starts), "bucket").select(
-        (F.col("start") + F.col("rank")).alias("position"), "value"
-    )
-    return DenseIndex(rows, total)
-
-
-def settle(frame: DataFrame) -> DataFrame:
-    """Write the rows to the shared folder and read them back, so they are computed once.
-
-    A lost executor then costs a re-read, not a re-run of everything before.
-    """
-    uri = shared_folder(frame.sparkSession, "settled")
-    frame.write.parquet(uri)
-    return frame.sparkSession.read.schema(frame.schema).parquet(uri)
+    rows = numbered.join(starts, "bucket").select((F.col("start") + F.col("rank")).alias("position"), "value")
+    return DenseIndex(rows, distinct.count())

@@ -17,7 +17,7 @@ from pyspark.sql import types as st
 
 from twinloom.errors import SpecError, UnsatisfiableError
 from twinloom.functions.convert import DERIVATIONS, check_conversion
-from twinloom.functions.pattern import parse_pattern, single_class
+from twinloom.functions.pattern import UNBOUNDED_REPEAT, parse_pattern, single_class
 from twinloom.plans.types import Cardinality
 from twinloom.plans.types import LogicalType as T
 
@@ -102,10 +102,14 @@ class Text:
 
 @dataclass(frozen=True)
 class Pattern:
-    """A string that matches a regular expression, then changed to the given case."""
+    """A string that matches a regular expression, then changed to the given case.
+
+    A repeat without an upper limit stops at ``most``, the constraint ``max_repeat``.
+    """
 
     regex: str
     case: str
+    most: int = UNBOUNDED_REPEAT
 
 
 @dataclass(frozen=True)
@@ -498,7 +502,10 @@ def _text_domain(limits: Fields, grow: int, as_of: date) -> Text | Span | Patter
             return Text(*pool)
         if not limits.get("allowed_values"):
             parse_pattern(regex)
-        return Pattern(regex, case)
+        most = limits.integer("max_repeat", UNBOUNDED_REPEAT)
+        if most < 1:
+            raise SpecError(f"{limits.place}: max_repeat must be greater than 0")
+        return Pattern(regex, case, most)
     if charset == "digits":
         if length > 18:  # beyond 64 bits
             return Text(DIGITS, length, lead=DIGITS[1:])
