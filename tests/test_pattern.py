@@ -19,6 +19,12 @@ PATTERNS = [
     r"",
     r"пре-[а-я]{5}",
     r"a{40}[bc]{40}",
+    r"(?P<x>[a-c])-(?P=x)(?#note)\x41\u00e9\101\t",
+    r"[]a-][^]a][\d\-x-z\]]",
+    r"a{,2}b{2,}?c{x}d{1}|(?>e|f)++g\Z",
+    r"((a)(b|c))\3\1",
+    r"|x",
+    r"[\b]?\.\*\\",
 ]
 
 
@@ -39,7 +45,7 @@ def test_variety(spark):
     assert len(found) > 120 and {v[0] for v in found} == {"a", "b"}
 
 
-@pytest.mark.parametrize("pattern", [r"a(?=b)", r"(?<!a)b", r"[a-", r"(a)(?(1)b|c)"])
+@pytest.mark.parametrize("pattern", [r"a(?=b)", r"(?i)a", r"(?<!a)b", r"[a-", r"(a)(?(1)b|c)"])
 def test_unsupported_patterns(spark, pattern):
     with pytest.raises(SpecError):
         values(spark, 5, "STRING", regular_expr=pattern)

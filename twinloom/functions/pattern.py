@@ -1,7 +1,7 @@
 """Strings that match a regular expression, as a plain column expression.
 
-The pattern is read once on the driver with the standard library's own parser; each node
-becomes a draw, so generation stays inside Spark. Anchors produce nothing. Look-around
+The pattern is read once on the driver, after the standard library has found it valid; each
+node becomes a draw, so generation stays inside Spark. Anchors produce nothing. Look-around
 is refused. A repeat without an upper limit stops at a given number of times.
 """
 
@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import re
 import string
-from re import _constants as rx
-from re import _parser
+import unicodedata
+from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -33,14 +34,49 @@ CLASS_POOLS = {
 
 # What a class escape may produce.
 _WORD = string.ascii_letters + string.digits + "_"
-_CATEGORIES = {
-    rx.CATEGORY_DIGIT: string.digits,
-    rx.CATEGORY_SPACE: string.whitespace,
-    rx.CATEGORY_WORD: _WORD,
-    rx.CATEGORY_NOT_DIGIT: "".join(c for c in string.printable if c not in string.digits),
-    rx.CATEGORY_NOT_SPACE: "".join(c for c in string.printable if c not in string.whitespace),
-    rx.CATEGORY_NOT_WORD: "".join(c for c in string.printable if c not in _WORD),
+_ESCAPED_CLASSES = {
+    "d": string.digits,
+    "s": string.whitespace,
+    "w": _WORD,
+    "D": "".join(c for c in string.printable if c not in string.digits),
+    "S": "".join(c for c in string.printable if c not in string.whitespace),
+    "W": "".join(c for c in string.printable if c not in _WORD),
 }
+_ESCAPED_CHARS = {"n": "\n", "t": "\t", "r": "\r", "f": "\f", "v": "\v", "a": "\a"}
+_HEX_LENGTH = {"x": 2, "u": 4, "U": 8}
+
+
+@dataclass(frozen=True)
+class Chars:
+    """One character of a pool; an entry that occurs twice counts twice."""
+
+    pool: str
+
+
+@dataclass(frozen=True)
+class Branch:
+    options: tuple[tuple, ...]
+
+
+@dataclass(frozen=True)
+class Group:
+    number: int
+    body: tuple
+
+
+@dataclass(frozen=True)
+class Same:
+    """A back-reference."""
+
+    number: int
+
+
+@dataclass(frozen=True)
+class Repeat:
+    low: int
+    high: int | None
+    body: tuple
+
 
 #: Where a repeat without an upper limit stops unless the column says otherwise.
 UNBOUNDED_REPEAT = 100
@@ -58,11 +94,134 @@ def single_class(pattern: str) -> tuple[str, int] | None:
     return None
 
 
-def parse_pattern(pattern: str):
+def parse_pattern(pattern: str) -> tuple:
+    """The pattern as a sequence of nodes; what cannot be generated is refused."""
     try:
-        return _parser.parse(pattern)
+        compiled = re.compile(pattern)
     except re.error as error:
         raise SpecError(f"Invalid regular expression {pattern!r}: {error}") from error
+    return _Reader(pattern, compiled.groupindex).whole()
+
+
+class _Reader:
+    """Reads a pattern that is known to be valid, so it need not report syntax errors."""
+
+    def __init__(self, pattern: str, names: Mapping[str, int]) -> None:
+        self._text, self._names, self._at, self._groups = pattern, names, 0, 0
+
+    def whole(self) -> tuple:
+        return self._options()
+
+    def _next(self) -> str:
+        self._at += 1
+        return self._text[self._at - 1]
+
+    def _take(self, form: str) -> re.Match | None:
+        found = re.compile(form, re.DOTALL).match(self._text, self._at)
+        self._at = found.end() if found else self._at
+        return found
+
+    def _options(self) -> tuple:
+        options = [self._sequence()]
+        while self._take(r"\|"):
+            options.append(self._sequence())
+        return options[0] if len(options) == 1 else (Branch(tuple(options)),)
+
+    def _sequence(self) -> tuple:
+        nodes: list = []
+        while self._at < len(self._text) and self._text[self._at] not in "|)":
+            piece = self._item()
+            bounds = self._bounds() if piece is not None else None
+            if bounds is not None:
+                piece = (Repeat(*bounds, piece),)
+            nodes += piece or ()
+        return tuple(nodes)
+
+    def _bounds(self) -> tuple[int, int | None] | None:
+        """Limits of a quantifier; whether it is greedy makes no difference to what it may match."""
+        found = self._take(r"(?:([*+?])|\{(\d+)\}|\{(?=[\d,])(?!,\})(\d*),(\d*)\})[?+]?")
+        if not found:
+            return None
+        sign, exact, low, high = found.groups()
+        if sign:
+            return {"*": (0, None), "+": (1, None), "?": (0, 1)}[sign]
+        if exact:
+            return int(exact), int(exact)
+        return int(low or 0), int(high) if high else None
+
+    def _item(self) -> tuple | None:
+        """The nodes of one item, none for a comment or an anchor."""
+        char = self._next()
+        if char in "^$":
+            return None
+        if char == ".":
+            return (Chars(string.printable.replace("\n", "")),)
+        if char == "[":
+            return (Chars(self._class()),)
+        if char == "(":
+            return self._group()
+        return self._escape() if char == "\\" else (Chars(char),)
+
+    def _group(self) -> tuple | None:
+        if self._take(r"\?#[^)]*\)"):
+            return None
+        if same := self._take(r"\?P=(\w+)\)"):
+            return (Same(self._names[same[1]]),)
+        plain = self._take(r"\?[:>]")
+        if not plain and not self._take(r"\?P<\w+>") and self._take(r"\?"):
+            raise SpecError(f"Look-around, conditions and flags are not supported: {self._text!r}")
+        number = None
+        if not plain:
+            self._groups += 1
+            number = self._groups
+        body = self._options()
+        self._next()
+        return body if number is None else (Group(number, body),)
+
+    def _escape(self) -> tuple | None:
+        char = self._next()
+        if char in "bBAZ":
+            return None
+        if char in "123456789":
+            octal = self._take(r"[0-7]{2}") if char in "123" else None
+            if octal:
+                return (Chars(chr(int(char + octal[0], 8))),)
+            more = self._take(r"\d")
+            return (Same(int(char + (more[0] if more else ""))),)
+        return (Chars(self._escaped(char)),)
+
+    def _escaped(self, char: str) -> str:
+        """The pool behind an escape that stands for characters."""
+        if char in _ESCAPED_CLASSES:
+            return _ESCAPED_CLASSES[char]
+        if char in _HEX_LENGTH:
+            return chr(int(self._take("[0-9A-Fa-f]" * _HEX_LENGTH[char])[0], 16))
+        if char == "N":
+            return unicodedata.lookup(self._take(r"\{([^}]*)\}")[1])
+        if char in "01234567":
+            return chr(int(char + self._take("[0-7]{0,2}")[0], 8))
+        return _ESCAPED_CHARS.get(char, char)
+
+    def _class(self) -> str:
+        negated, pool, first = bool(self._take(r"\^")), "", True
+        while first or self._text[self._at] != "]":
+            first, low = False, self._member()
+            if len(low) == 1 and self._take(r"-(?!\])"):
+                low = "".join(map(chr, range(ord(low), ord(self._member()) + 1)))
+            pool += low
+        self._next()
+        if negated:
+            pool = "".join(c for c in string.printable if c not in pool)
+        if not pool:
+            raise SpecError("A regular expression class matches no printable character")
+        return pool
+
+    def _member(self) -> str:
+        char = self._next()
+        if char != "\\":
+            return char
+        char = self._next()
+        return "\b" if char == "b" else self._escaped(char)
 
 
 def pattern_text(stages: Stages, pattern: str, key: int, row: Term, most: int = UNBOUNDED_REPEAT) -> Term:
@@ -81,60 +240,32 @@ class _PatternWriter:
         return self._key
 
     def sequence(self, nodes, scope: list[Term]) -> Term:
-        parts = [part for op, arg in nodes if (part := self._node(op, arg, scope)) is not None]
+        parts = [self._node(node, scope) for node in nodes]
         if not parts:
             return combine(lambda *_: F.lit(""), *scope)
         return parts[0] if len(parts) == 1 else combine(lambda *texts: F.concat(*texts), *parts)
 
-    def _node(self, op, arg, scope: list[Term]) -> Term | None:
-        if op is rx.AT:
-            return None
-        if (pool := self._pool(op, arg)) is not None:
-            return self._characters(pool, 1, scope)
-        if op is rx.BRANCH:
-            options = [self.sequence(branch, scope) for branch in arg[1]]
+    def _node(self, node, scope: list[Term]) -> Term:
+        if isinstance(node, Chars):
+            return self._characters(node.pool, 1, scope)
+        if isinstance(node, Branch):
+            options = [self.sequence(branch, scope) for branch in node.options]
             key = self._next_key()
             return combine(
                 lambda *cols: pick(list(cols[len(scope):]), key, *cols[: len(scope)]), *scope, *options
             )
-        if op is rx.SUBPATTERN:
-            text = self.sequence(arg[3], scope)
-            if arg[0] is not None:
-                if len(scope) == 1:
-                    text = self._stages.let(text)
-                self._groups[arg[0]] = (len(scope), text)
+        if isinstance(node, Group):
+            text = self.sequence(node.body, scope)
+            if len(scope) == 1:
+                text = self._stages.let(text)
+            self._groups[node.number] = (len(scope), text)
             return text
-        if op is rx.ATOMIC_GROUP:
-            return self.sequence(arg, scope)
-        if op is rx.GROUPREF:
-            level, text = self._groups[arg]
+        if isinstance(node, Same):
+            level, text = self._groups[node.number]
             if level > len(scope):
                 raise SpecError("A back-reference to a group inside a repeat is not supported")
             return text
-        if op in (rx.MAX_REPEAT, rx.MIN_REPEAT, rx.POSSESSIVE_REPEAT):
-            return self._repeat(*arg, scope)
-        raise SpecError(f"Unsupported regular expression element: {op}")
-
-    def _pool(self, op, arg) -> str | None:
-        if op is rx.LITERAL:
-            return chr(arg)
-        if op is rx.NOT_LITERAL:
-            return "".join(c for c in string.printable if ord(c) != arg)
-        if op is rx.ANY:
-            return string.printable.replace("\n", "")
-        if op is rx.CATEGORY:
-            return _CATEGORIES[arg]
-        if op is rx.RANGE:
-            return "".join(map(chr, range(arg[0], arg[1] + 1)))
-        if op is rx.IN:
-            negated = arg[0][0] is rx.NEGATE
-            members = "".join(self._pool(*item) for item in arg[negated:])
-            if negated:
-                members = "".join(c for c in string.printable if c not in members)
-            if not members:
-                raise SpecError("A regular expression class matches no printable character")
-            return members
-        return None
+        return self._repeat(node.low, node.high, node.body, scope)
 
     def _characters(self, pool: str, length: int, scope: list[Term]) -> Term:
         if len(pool) == 1:
@@ -152,11 +283,11 @@ class _PatternWriter:
             *scope,
         )
 
-    def _repeat(self, low: int, high, body, scope: list[Term]) -> Term:
-        high = max(low, self._most) if high is rx.MAXREPEAT else int(high)
+    def _repeat(self, low: int, high: int | None, body: tuple, scope: list[Term]) -> Term:
+        high = max(low, self._most) if high is None else high
         if high == 0:
             return combine(lambda *_: F.lit(""), *scope)
-        pool = self._pool(*body[0]) if len(body) == 1 else None
+        pool = body[0].pool if len(body) == 1 and isinstance(body[0], Chars) else None
         unrolled = _UNROLLED_DIGITS if pool == string.digits else _UNROLLED_CHARS
         if pool is not None and low == high and (len(pool) == 1 or high <= unrolled):
             return self._characters(pool, high, scope)
