@@ -138,6 +138,14 @@ def new_table(spark, columns: str, partitioned_by: str = "") -> str:
     return name
 
 
+def contents(spark, name: str):
+    """The rows of a table, which itself is dropped: its files stay where they were put."""
+    schema = spark.table(name).schema
+    place = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first().data_type
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.schema(schema).parquet(place).select(schema.fieldNames())
+
+
 def orders_target(spark, sf_dir, partitioned: bool = True) -> str:
     """A table that already holds all orders."""
     columns = "o_orderkey bigint, o_totalprice double, o_orderstatus string"
@@ -167,12 +175,10 @@ DOUBLED_SQL = "SELECT o_orderkey, o_totalprice * 2 AS o_totalprice, o_orderstatu
 )
 def _(spark, sf_dir):
     parted, flat = orders_target(spark, sf_dir), orders_target(spark, sf_dir, partitioned=False)
-    counts = spark.table(parted).groupBy("o_orderstatus").agg(F.count("*").alias("n_rows"))
-    return counts.select(
-        "*",
-        F.lit(is_partitioned(spark, parted)).alias("partitioned"),
-        F.lit(is_partitioned(spark, flat)).alias("flat_partitioned"),
-    )
+    marks = is_partitioned(spark, parted), is_partitioned(spark, flat)
+    spark.sql(f"DROP TABLE {flat}")
+    counts = contents(spark, parted).groupBy("o_orderstatus").agg(F.count("*").alias("n_rows"))
+    return counts.select("*", F.lit(marks[0]).alias("partitioned"), F.lit(marks[1]).alias("flat_partitioned"))
 
 
 def sink_query(name: str, mode: str, sql: str, partitioned: bool = True, status: str | None = "F"):
@@ -180,7 +186,7 @@ def sink_query(name: str, mode: str, sql: str, partitioned: bool = True, status:
     def _(spark, sf_dir):
         target = orders_target(spark, sf_dir, partitioned)
         write_target(doubled(spark, sf_dir, status), target, mode)
-        return spark.table(target)
+        return contents(spark, target)
 
 
 sink_query("sink_append", "APPEND", f"{BASE_SQL} UNION ALL {DOUBLED_SQL.partition(' WHERE')[0]}", status=None)
@@ -210,7 +216,7 @@ def _(spark, sf_dir):
     )
     columns = ("o_orderpriority", "o_orderkey", "o_totalprice")
     load_table(spark, TableLoad(f"{sf_dir}/orders.parquet", target, "OVERWRITE_PARTITIONS", columns))
-    return spark.table(target).withColumnRenamed("O_ORDERKEY", "o_orderkey")
+    return contents(spark, target).withColumnRenamed("O_ORDERKEY", "o_orderkey")
 
 
 SQL_TEXTS = {
@@ -229,15 +235,18 @@ SQL_TEXTS = {
 }
 
 
-def register_views(spark, sf_dir) -> None:
+def with_views(spark, sf_dir):
+    """A session of its own with the tables as views, so that the caller's views stay."""
+    session = spark.newSession()
     for table in ("orders", "customer", "nation", "lineitem"):
-        read(spark, sf_dir, table).createOrReplaceTempView(table)
+        read(session, sf_dir, table).createOrReplaceTempView(table)
+    return session
 
 
 def sql_query(name: str, text: str):
     @query(name, text)
     def _(spark, sf_dir):
-        register_views(spark, sf_dir)
+        spark = with_views(spark, sf_dir)
         uri = shared_folder(spark, "query")
         stage_query(spark, text, uri)
         return query_from_text(spark, uri)
@@ -249,7 +258,7 @@ for _name, _text in SQL_TEXTS.items():
 
 @query("sql_materialize", SQL_TEXTS["sql_join_agg"])
 def _(spark, sf_dir):
-    register_views(spark, sf_dir)
+    spark = with_views(spark, sf_dir)
     text_uri, result_uri = shared_folder(spark, "query"), shared_folder(spark, "result")
     stage_query(spark, SQL_TEXTS["sql_join_agg"], text_uri)
     materialize_query(spark, text_uri, result_uri)
