@@ -95,7 +95,7 @@ def test_pairs_at_the_threshold_share_a_band():
 @pytest.mark.parametrize("seed, size, num, block", [(1, 3, 85, 1024), (2, 5, 80, 4), (3, 1, 60, 3)])
 def test_components_equal_brute_force(spark, seed, size, num, block, monkeypatch):
     monkeypatch.setattr(N, "BLOCK", block)
-    monkeypatch.setattr(N, "PARTNERS", 1)
+    monkeypatch.setattr(N, "PAIRS", 50)
     rows = near_rows(seed) + [(500, None), (501, ""), (502, " \n"), (None, "q q q q"), (None, "r r"), (3, "s t u v"), (3, "s t u v")]
     docs = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, row int, registers string").repartition(3)
     found = N.near_duplicates(docs, size, (num, 100)).collect()
@@ -112,6 +112,14 @@ def test_sample_table(spark):
     assert N.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(1, 9), max_size=9), st.integers(1, 12))
+def test_pairs_of_groups(sizes, limit):
+    ends = np.repeat(np.cumsum(sizes, dtype=np.int64), sizes).astype(np.int64)
+    found = [(i, j) for a, b in N._pairs(ends, limit) for i, j in zip(a.tolist(), b.tolist())]
+    assert found == [(i, j) for i in range(len(ends)) for j in range(i + 1, int(ends[i]))]
+
+
 @settings(max_examples=5, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 25), st.integers(0, 25)), min_size=1, max_size=30))
 def test_components(spark, links):

@@ -7,14 +7,15 @@ a register keeps the number of leading zeros and ``MANTISSA`` further bits, 16 b
 probability of 5e-6, at 0.85 of 6e-9. Sets so small that most registers are empty share bands by
 their common shingles.
 
-Candidates are never expanded within a bucket at first: each member is paired with the smallest
-member only. Pairs pass a bound by set sizes and an estimate from the registers, corrected for
-registers that agree by chance and lowered by 4.5 standard deviations; those left are confirmed on
-full sets. Links give components. Buckets in which more than one component is left are compared in
-blocks of bounded size with the registers, and each member's next best partners from other
-components are confirmed, twice as many in each round, until no untested pair of different
-components passes the estimate. So every pair in a bucket is linked, tested, or known to be
-connected already.
+Candidates are never emitted as all pairs of a bucket. Each member is first paired with the smallest
+member only; pairs that pass a bound by set sizes and an estimate from the registers, corrected for
+registers that agree by chance and lowered by 4.5 standard deviations, join members to families.
+Buckets in which more than one family is left are compared by registers in blocks of bounded size,
+which emit only pairs that join families, a forest. So families are exactly the components of all
+plausible candidate pairs. Then each family's full sets meet once, large families in pairs of
+blocks: plausible pairs that are not connected yet are confirmed on full sets, and again only the
+links that connect are emitted. Every pair in a bucket is linked, tested, implausible by a proven
+margin, or connected already.
 
 Defined cases: texts without words have an empty set and are linked with nothing; a text with
 fewer words than a shingle is one shingle; a null doc_id counts as larger than any other; repeated
@@ -23,7 +24,7 @@ rows are equal sets, of which the first read is kept; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +41,8 @@ BUCKETS = BANDS * ROWS
 MANTISSA = 10
 #: Members of a bucket that are compared with each other at once.
 BLOCK = 1024
-#: Partners that a member tries in the first round on its buckets.
-PARTNERS = 8
+#: Pairs that are looked at in one step of array work.
+PAIRS = 1 << 16
 _SECOND = np.uint64(0xE7037ED1A0B428DB)
 
 
@@ -100,12 +101,19 @@ def chance(n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
     return (cells(n_a) * cells(n_b)).sum(axis=0) / (1 << MANTISSA)
 
 
+def _near_enough(same: np.ndarray, filled: np.ndarray, threshold: float, estimate: np.ndarray | None = None) -> np.ndarray:
+    """Whether an estimate, at most the share of registers that agree, is within the margin."""
+    filled = np.maximum(filled, 1)
+    margin = 4.5 * np.sqrt(threshold * (1 - threshold) / filled)
+    return (same / filled if estimate is None else estimate) >= threshold - margin
+
+
 def possible(n_a: np.ndarray, n_b: np.ndarray, same: np.ndarray, filled: np.ndarray, threshold: float) -> np.ndarray:
     """Whether sizes and the corrected estimate leave room for a link."""
     by_chance = chance(n_a.astype(float), n_b.astype(float))
     estimate = (same / np.maximum(filled, 1) - by_chance) / (1 - by_chance)
-    margin = 4.5 * np.sqrt(threshold * (1 - threshold) / np.maximum(filled, 1))
-    return (np.minimum(n_a, n_b) >= (threshold - 1e-9) * np.maximum(n_a, n_b)) & (estimate >= threshold - margin)
+    sizes = np.minimum(n_a, n_b) >= (threshold - 1e-9) * np.maximum(n_a, n_b)
+    return sizes & _near_enough(same, filled, threshold, estimate)
 
 
 def _sketched(docs: DataFrame, size: int, given: str | None) -> DataFrame:
@@ -188,72 +196,145 @@ def _plausible(pairs: DataFrame, sketches: DataFrame, threshold: float) -> DataF
     return _beside(pairs, sketches, "sketch").mapInArrow(work, "a bigint, b bigint")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
-    """The pairs whose full sets are similar enough: den * intersection >= num * union."""
-    num, den = similar
+class _Forest:
+    """Union-find over positions."""
+
+    def __init__(self, labels: np.ndarray):
+        _, first, inverse = np.unique(labels, return_index=True, return_inverse=True)
+        self.parent = first[inverse].tolist()
+
+    def root(self, i: int) -> int:
+        parent = self.parent
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    def roots(self) -> np.ndarray:
+        return np.array([self.root(i) for i in range(len(self.parent))])
+
+    def join(self, i: int, j: int) -> bool:
+        """Whether the two were apart."""
+        i, j = self.root(i), self.root(j)
+        self.parent[max(i, j)] = min(i, j)
+        return i != j
+
+
+def _pairs(ends: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of positions i < j with j before the end of i's group, some at a time."""
+    counts = ends - np.arange(len(ends)) - 1
+    upto, start = np.cumsum(counts), 0
+    while start < len(ends):
+        done = upto[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(upto, done + limit, "right")))
+        left = np.repeat(np.arange(start, stop), counts[start:stop])
+        first = upto[start:stop] - counts[start:stop] - done
+        yield left, left + 1 + np.arange(len(left)) - np.repeat(first, counts[start:stop])
+        start = stop
+
+
+def _grouped(table: pa.Table, wanted: list[str]) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+    """Columns sorted by group, each position's end of group, and whether a group has two blocks."""
+    columns = {c: table.column(c).to_numpy() for c in wanted}
+    order = np.lexsort((columns["id"], columns["group"]))
+    columns = {c: v[order] for c, v in columns.items()}
+    cut = np.flatnonzero(np.diff(columns["group"], prepend=columns["group"][:1] - 1))
+    sizes = np.diff(np.append(cut, len(order)))
+    blocks = columns["block"].astype(np.int64)
+    mixed_blocks = np.minimum.reduceat(blocks, cut) != np.maximum.reduceat(blocks, cut)
+    columns["order"] = order
+    return columns, np.repeat(cut + sizes, sizes), np.repeat(mixed_blocks, sizes)
+
+
+def _dealt(members: DataFrame, key: str, size: str) -> DataFrame:
+    """Members by group: a key's, or for a key of more than BLOCK members each pair of its blocks."""
+    split = members.withColumn("blocks", F.ceil(F.col(size) / BLOCK).cast("int"))
+    split = split.withColumn("block", F.pmod(F.xxhash64("id", key), F.col("blocks")).cast("int"))
+    split = split.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return split.withColumn("group", F.xxhash64(key, F.least("block", "other"), F.greatest("block", "other")))
+
+
+def _plausible_pairs(
+    columns: dict[str, np.ndarray], ends: np.ndarray, two: np.ndarray, regs: np.ndarray, threshold: float, apart: Callable[[], np.ndarray]
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of different labels (looked up anew for each step) whose sizes and registers allow a link, best first."""
+    n, block, some = columns["n_shingles"], columns["block"], regs > 0
+    for i, j in _pairs(ends, PAIRS):
+        labels = apart()
+        good = (labels[i] != labels[j]) & (~two[i] | (block[i] != block[j]))
+        good &= np.minimum(n[i], n[j]) >= (threshold - 1e-9) * np.maximum(n[i], n[j])
+        i, j = i[good], j[good]
+        same = ((regs[i] == regs[j]) & some[i]).sum(axis=1)
+        filled = (some[i] | some[j]).sum(axis=1)
+        good = np.flatnonzero(_near_enough(same, filled, threshold))
+        if len(good):
+            good = good[possible(n[i[good]], n[j[good]], same[good], filled[good], threshold)]
+            good = good[np.argsort(-same[good] / filled[good], kind="stable")]
+            yield i[good], j[good]
+
+
+def _joining(members: DataFrame, threshold: float) -> DataFrame:
+    """Plausible pairs that join families within buckets; of each block a forest."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = []
-            for left, right in zip(batch.column(2), batch.column(3), strict=True):
-                left, right = (np.frombuffer(x.as_py(), np.uint64) for x in (left, right))
-                common = len(np.intersect1d(left, right, assume_unique=True))
-                good.append(den * common >= num * (len(left) + len(right) - common))
-            mask = pa.array(good, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
+        held = list(batches)
+        if not held:
+            return
+        table = pa.Table.from_batches(held)
+        columns, ends, two = _grouped(table, ["group", "id", "family", "n_shingles", "block"])
+        regs = _stacked(table, columns["order"])
+        # a family has one label in each group: forests of different buckets are not mixed
+        forest = _Forest(mixed(columns["family"].astype(np.uint64) * _SECOND + columns["group"].astype(np.uint64)))
+        found = []
+        for i, j in _plausible_pairs(columns, ends, two, regs, threshold, forest.roots):
+            found += [(x, y) for x, y in zip(i.tolist(), j.tolist(), strict=True) if forest.join(x, y)]
+        yield _links(columns["id"], found)
 
-    return _beside(pairs, sets, "members").mapInArrow(work, "a bigint, b bigint")
+    wanted = ["group", "id", "family", "n_shingles", "block", "registers"]
+    return _dealt(members, "key", "size").select(wanted).repartition("group").mapInArrow(work, "a bigint, b bigint").distinct()
 
 
-def _partners(n: np.ndarray, regs: np.ndarray, part: np.ndarray, threshold: float) -> Iterator[tuple[int, np.ndarray]]:
-    """Of each member of a block, its plausible partners, best first; with two parts, those of the other part."""
-    both = len(np.unique(part)) > 1
-    for i in range(len(n)):
-        same = ((regs == regs[i]) & (regs > 0)).sum(axis=1)
-        filled = ((regs > 0) | (regs[i] > 0)).sum(axis=1)
-        good = possible(np.full(len(n), n[i]), n, same, filled, threshold) & ((part != part[i]) if both else True)
-        good[i] = False
-        order = np.argsort(-same / np.maximum(filled, 1), kind="stable")
-        yield i, order[good[order]]
+def _stacked(table: pa.Table, order: np.ndarray) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column("registers").to_pylist()), np.uint16).reshape(-1, BUCKETS)[order]
 
 
-def _next_pairs(members: DataFrame, low: int, high: int, threshold: float) -> DataFrame:
-    """Pairs of different components, each member's plausible partners from rank low to high.
+def _links(ids: np.ndarray, found: list[tuple[int, int]]) -> pa.RecordBatch:
+    pairs = ids[np.array(found, np.int64).reshape(-1, 2)]
+    return pa.RecordBatch.from_arrays([pa.array(pairs.max(axis=1)), pa.array(pairs.min(axis=1))], ["a", "b"])
 
-    A row with a = b = -1 says that some member has further ones.
-    """
-    split = members.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
-    split = split.withColumn("block", F.pmod(F.xxhash64("id", "key"), F.col("blocks")).cast("int"))
-    split = split.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    split = split.withColumn("group", F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")))
+
+def _confirmed(members: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """Links that connect: den * intersection >= num * union on full sets, within families."""
+    num, den = similar
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = list(batches)
         if not held:
             return
         table = pa.Table.from_batches(held)
-        group, ids, comp, n, part = (table.column(c).to_numpy() for c in ("group", "id", "component", "n_shingles", "block"))
-        order = np.lexsort((ids, group))
-        sketches = table.column("registers").combine_chunks()
-        edges = np.append(np.flatnonzero(np.diff(group[order], prepend=group[order[0]] - 1)), len(order))
-        found, more = [np.zeros((0, 2), np.int64)], False
-        for start, end in zip(edges[:-1], edges[1:], strict=True):
-            at = order[start:end]
-            if comp[at].min() == comp[at].max():
-                continue
-            regs = np.stack([np.frombuffer(sketches[int(i)].as_py(), np.uint16) for i in at])
-            for i, partners in _partners(n[at], regs, part[at], threshold):
-                different = comp[at[partners]] != comp[at[i]]
-                more |= bool(different[high:].any())
-                chosen = ids[at[partners[low:high][different[low:high]]]]
-                found.append(np.stack((np.maximum(chosen, ids[at[i]]), np.minimum(chosen, ids[at[i]])), axis=1))
-        if more:
-            found.append(np.array([[-1, -1]]))
-        pairs = np.unique(np.concatenate(found), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
-
-    columns = ["group", "id", "component", "n_shingles", "block", "registers"]
-    return split.select(columns).repartition("group").mapInArrow(work, "a bigint, b bigint").distinct()
+        columns, ends, two = _grouped(table, ["group", "id", "n_shingles", "block"])
+        regs, sets = _stacked(table, columns["order"]), table.column("members").combine_chunks()
+        order, forest, found = columns["order"].tolist(), _Forest(np.arange(len(columns["id"]))), []
+        full: dict[int, np.ndarray] = {}
+
+        def members_of(x: int) -> np.ndarray:
+            if x not in full:
+                if len(full) > 4 * BLOCK:
+                    full.clear()
+                full[x] = np.frombuffer(sets[order[x]].as_py(), np.uint64)
+            return full[x]
+
+        for i, j in _plausible_pairs(columns, ends, two, regs, num / den, forest.roots):
+            for x, y in zip(i.tolist(), j.tolist(), strict=True):
+                if forest.root(x) != forest.root(y):
+                    a, b = members_of(x), members_of(y)
+                    common = len(np.intersect1d(a, b, assume_unique=True))
+                    if den * common >= num * (len(a) + len(b) - common) and forest.join(x, y):
+                        found.append((x, y))
+        yield _links(columns["id"], found)
+
+    wanted = ["group", "id", "n_shingles", "block", "registers", "members"]
+    return _dealt(members, "family", "size").select(wanted).repartition("group").mapInArrow(work, "a bigint, b bigint")
 
 
 def _linked(classes: DataFrame, texts: DataFrame, size: int, similar: tuple[int, int]) -> DataFrame:
@@ -262,33 +343,22 @@ def _linked(classes: DataFrame, texts: DataFrame, size: int, similar: tuple[int,
     buckets = written(_buckets(classes), "buckets")
     shared = buckets.groupBy("key").agg(F.count("*").alias("size"), F.min("id").alias("centre")).where("size > 1")
     members = written(buckets.join(written(shared, "shared-buckets"), "key"), "bucket-members")
-    ids = written(members.select("id").distinct(), "candidates")
-    sketches = written(matching(classes, ids, ["id"]), "candidate-sketches")
-    wanted = matching(texts.select(F.col("row").alias("id"), "text"), ids, ["id"])
-    sets = _full_sets(wanted, size)
+    sketches = written(matching(classes, written(members.select("id").distinct(), "candidates"), ["id"]), "candidate-sketches")
     pairs = members.where("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct()
-    tested = written(_plausible(written(pairs, "pairs"), sketches, threshold), "tested")
-    links = written(_confirmed(tested, sets, similar), "links")
-    labels = written(components(links), "components")
-    low, high = 0, PARTNERS
-    while True:
-        named = members.select("key", "id", "size").join(labels, "id", "left")
-        named = written(named.withColumn("component", F.coalesce("component", "id")), "named-members")
-        mixed_keys = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
-        open_members = named.join(written(mixed_keys, "mixed-buckets"), "key", "left_semi")
-        open_members = open_members.join(sketches.select("id", "n_shingles", "registers"), "id")
-        fresh = written(_next_pairs(open_members, low, high, threshold), "pairs")
-        more = not fresh.where("a < 0").isEmpty()
-        fresh = written(fresh.where("a >= 0").join(tested, ["a", "b"], "left_anti"), "pairs")
-        if not fresh.isEmpty():
-            tested = tested.unionByName(fresh)
-            found = written(_confirmed(fresh, sets, similar), "links")
-            if not found.isEmpty():
-                links = links.unionByName(found)
-                labels = written(components(links), "components")
-        if not more:
-            return labels
-        low, high = high, 3 * high
+    joined = written(_plausible(written(pairs, "pairs"), sketches, threshold), "joined")
+    families = written(components(joined), "families")
+    named = members.select("key", "id", "size").join(families, "id", "left")
+    named = written(named.select("key", "id", "size", F.coalesce("component", "id").alias("family")), "named-members")
+    several = named.groupBy("key").agg(F.min("family").alias("x"), F.max("family").alias("y")).where("x <> y").select("key")
+    several = named.join(written(several, "open-buckets"), "key", "left_semi")
+    joined = joined.unionByName(written(_joining(several.join(sketches.select("id", "n_shingles", "registers"), "id"), threshold), "joined"))
+    families = written(components(joined), "families").withColumnRenamed("component", "family")
+    sizes = families.groupBy("family").agg(F.count("*").alias("size"))
+    families = families.join(written(sizes, "family-sizes"), "family")
+    families = written(families, "families")
+    sets = _full_sets(matching(texts.select(F.col("row").alias("id"), "text"), families.select("id"), ["id"]), size)
+    full = families.join(sketches.select("id", "n_shingles", "registers"), "id").join(sets, "id")
+    return written(components(written(_confirmed(full, similar), "links")), "components")
 
 
 def near_duplicates(
