@@ -40,6 +40,8 @@ CONTEXTS = 1 << 16
 #: Share of all tokens from which on a word is dealt over all shards.
 FREQUENT = 1 / 1024
 STEP_BYTES, STEP_TEXTS = 3 << 20, 30_000
+#: Shards of each shuffle partition; one is held in memory at a time.
+SHARDS = 12
 END, START = np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9FB21C651E98DF25)
 HELD = np.uint16(1 << 15)
 #: Sweeps before totals are exchanged, before samples are taken, and samples.
@@ -326,11 +328,49 @@ def _gathered(shards: DataFrame, totals: Totals, seed: int, sweeps: int | None)
         totals.discount, totals.root_discount = _discount(*plain[1]), _discount(*plain[2])
 
 
+class _Sums:
+    """Partial sums by step and text over a task's shards, given away when they fill their room."""
+
+    ROOM = 2_000_000
+
+    def __init__(self):
+        self.held: dict[int, list[tuple[np.ndarray, list[np.ndarray]]]] = {}
+        self.entries = 0
+
+    def add(self, step: int, texts: np.ndarray, sums: list[np.ndarray]) -> None:
+        self.held.setdefault(step, []).append((texts, sums))
+        self.entries += len(texts)
+
+    def _merge(self) -> None:
+        self.entries = 0
+        for step, parts in self.held.items():
+            texts, at = np.unique(np.concatenate([t for t, _ in parts]), return_inverse=True)
+            sums = [np.bincount(at, np.concatenate([s[i] for _, s in parts]), len(texts)) for i in range(3)]
+            self.held[step] = [(texts, sums)]
+            self.entries += len(texts)
+
+    def full(self) -> Iterator[pa.RecordBatch]:
+        if self.entries > self.ROOM:
+            self._merge()
+            if self.entries > self.ROOM // 2:
+                yield from self.taken()
+
+    def taken(self) -> Iterator[pa.RecordBatch]:
+        self._merge()
+        rows = [(step, t.tobytes(), *(x.tobytes() for x in sums)) for step, [(t, sums)] in self.held.items()]
+        self.held, self.entries = {}, 0
+        if rows:
+            types = [pa.int64(), *[pa.binary()] * 4]
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, ["step", "texts", "score", "base", "known"])
+
+
 def _scored(shards: DataFrame, totals: Totals, seed: int) -> DataFrame:
     """Sparse sums by step: texts, log10 probabilities, base scores and known tokens."""
     shared = shards.sparkSession.sparkContext.broadcast(totals)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = _Sums()
         for row in _rows(batches):
             shard = Shard(row, shared.value, seed)
             shard.seat()
@@ -348,11 +388,10 @@ def _scored(shards: DataFrame, totals: Totals, seed: int) -> DataFrame:
             keys, at = np.unique(key, return_inverse=True)
             sums = [np.bincount(at, w, len(keys)) for w in (np.log10(mean)[of_cell], base[of_word], (known > 0)[of_word].astype(float))]
             cut = np.flatnonzero(np.diff(keys >> 16, prepend=-1))
-            rows = []
             for s, e in zip(cut, np.append(cut[1:], len(keys)), strict=True):
-                rows.append([int(shard.step[keys[s] >> 16]), (keys[s:e] & 0xFFFF).astype(np.uint16).tobytes(), *(x[s:e].tobytes() for x in sums)])
-            types = [pa.int64(), *[pa.binary()] * 4]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], ["step", "texts", "score", "base", "known"])
+                held.add(int(shard.step[keys[s] >> 16]), (keys[s:e] & 0xFFFF).astype(np.uint16), [x[s:e] for x in sums])
+            yield from held.full()
+        yield from held.taken()
 
     return shards.where("about IS NULL").mapInArrow(work, "step bigint, texts binary, score binary, base binary, known binary")
 
@@ -398,7 +437,7 @@ def score(docs: DataFrame, held_out: Column, seed: int = 42) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), held_out.alias("held_out"))
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     totals = Totals(_frequent(docs))
-    shards = written(_shards(_packed(docs, totals.frequent, 4 * partitions), partitions), "shards")
+    shards = written(_shards(_packed(docs, totals.frequent, SHARDS * partitions), partitions), "shards")
     _gathered(shards, totals, seed, None)
     _gathered(shards, totals, seed, EXCHANGE)
     return _by_document(shards, _scored(shards, totals, seed), totals)
