@@ -21,7 +21,7 @@ rows.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -128,8 +128,33 @@ def _ranges(row: np.ndarray, start: np.ndarray, size: int) -> tuple[np.ndarray,
     return row[first], start[first], start[last] + size
 
 
-def _suffixes(texts: DataFrame, size: int, gram: int) -> DataFrame:
-    """Suffixes (prefix, window, row, start), and what their batch resolved as stretches (row, start, end)."""
+_PACKED = {"prefix": np.uint64, "window": np.uint64, "row": np.int64, "start": np.int32, "end": np.int32}
+
+
+def _packed_schema(names: Iterable[str]) -> str:
+    return "shard int, " + ", ".join(f"{name} binary" for name in names)
+
+
+def _packed(columns: Sequence[np.ndarray], hashes: np.ndarray, shards: int, names: list[str]) -> pa.RecordBatch:
+    """The columns cut into shards by hash, one row a shard."""
+    shard = (hashes >> np.uint64(32)).astype(np.int64) % shards
+    order = np.argsort(shard, kind="stable")
+    cut = np.searchsorted(shard[order], np.arange(shards + 1))
+    some = np.flatnonzero(np.diff(cut))
+    packed = [pa.array([c[order[cut[i] : cut[i + 1]]].tobytes() for i in some], pa.binary()) for c in columns]
+    return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *packed], ["shard", *names])
+
+
+def _unpacked(batches: list[pa.RecordBatch], kinds: dict[str, type]) -> Iterator[np.ndarray]:
+    for name, kind in kinds.items():
+        yield np.concatenate([np.frombuffer(x, kind) for batch in batches for x in batch.column(name).to_pylist()])
+
+
+def _suffixes(texts: DataFrame, size: int, gram: int, shards: int) -> DataFrame:
+    """Suffixes (prefix, window, row, start), and what their batch resolved as stretches (row, start, end).
+
+    They are dealt to shards by prefix and travel as packed arrays, half the size of rows.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,18 +180,17 @@ def _suffixes(texts: DataFrame, size: int, gram: int) -> DataFrame:
                 done = done[np.lexsort((local[done], text[done]))]
                 row, begin, end = _ranges(rows[text[done]], local[done], size)
                 count = len(row)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate((mixed(row.astype(np.uint64)), prefix[new])).astype(np.int64)),
-                        pa.array(np.concatenate((np.zeros(count, np.uint64), window[new])).astype(np.int64)),
-                        pa.array(np.concatenate((row, rows[text[new]]))),
-                        pa.array(np.concatenate((begin, local[new])).astype(np.int32)),
-                        pa.array(np.concatenate((end, np.where(many[new], -1, 0))).astype(np.int32)),
-                    ],
-                    ["prefix", "window", "row", "start", "end"],
+                columns = (
+                    np.concatenate((mixed(row.astype(np.uint64)), prefix[new])),
+                    np.concatenate((np.zeros(count, np.uint64), window[new])),
+                    np.concatenate((row, rows[text[new]])),
+                    np.concatenate((begin, local[new])).astype(np.int32),
+                    np.concatenate((end, np.where(many[new], -1, 0))).astype(np.int32),
                 )
+                yield _packed(columns, columns[0], shards, list(_PACKED))
 
-    return texts.select("row", "text", "shared").mapInArrow(work, "prefix bigint, window bigint, row bigint, start int, end int")
+    schema = _packed_schema(_PACKED)
+    return texts.select("row", "text", "shared").mapInArrow(work, schema)
 
 
 def _wanted(shared: pa.Array, text: np.ndarray, least: np.ndarray) -> np.ndarray:
@@ -179,15 +203,20 @@ def _wanted(shared: pa.Array, text: np.ndarray, least: np.ndarray) -> np.ndarray
     return out
 
 
-def _subtrees(suffixes: DataFrame, size: int) -> DataFrame:
-    """Stretches (row, start, end) below the deep nodes. ``end`` of a suffix is -1 for a witness, else 0."""
+_STRETCHES = {name: _PACKED[name] for name in ("row", "start", "end")}
+
+
+def _subtrees(suffixes: DataFrame, size: int, shards: int) -> DataFrame:
+    """Stretches (row, start, end) below the deep nodes, dealt to shards by row and packed.
+
+    ``end`` of a suffix is -1 for a witness, else 0.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = list(batches)
         if not held:
             return
-        table = pa.Table.from_batches(held)
-        prefix, window, row, start, end = (table.column(i).to_numpy() for i in range(5))
+        prefix, window, row, start, end = _unpacked(held, _PACKED)
         stretch = end > 0
         done = [a[stretch] for a in (row, start, end)]
         prefix, window, row, start, end = (a[~stretch] for a in (prefix, window, row, start, end))
@@ -201,12 +230,42 @@ def _subtrees(suffixes: DataFrame, size: int) -> DataFrame:
         row, start = row[deep], start[deep]
         order = np.lexsort((start, row))
         found = _ranges(row[order], start[order], size)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate((d, f)).astype(t)) for d, f, t in zip(done, found, (np.int64, np.int32, np.int32), strict=True)],
-            ["row", "start", "end"],
-        )
+        columns = [np.concatenate(pair).astype(kind) for *pair, kind in zip(done, found, _STRETCHES.values(), strict=True)]
+        yield _packed(columns, mixed(columns[0].astype(np.uint64)), shards, list(_STRETCHES))
+
+    return suffixes.repartition("shard").mapInArrow(work, _packed_schema(_STRETCHES))
 
-    return suffixes.repartition("prefix").mapInArrow(work, "row bigint, start int, end int")
+
+def _maximal(stretches: DataFrame) -> DataFrame:
+    """Rows (row, spans): each text's stretches joined to maximal ones."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)
+        if not held:
+            return
+        row, start, end = _unpacked(held, _STRETCHES)
+        order = np.lexsort((end, start, row))
+        row, start, end = row[order], start[order], end[order]
+        rows = np.unique(row)
+        for i in range(0, len(rows), 10_000):
+            at = np.searchsorted(row, rows[i : i + 10_000], "left")
+            stop = np.searchsorted(row, rows[min(len(rows), i + 10_000) - 1], "right")
+            bounds = np.append(at, stop)
+            spans = [_joined(start[a:b], end[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            offsets = np.concatenate(([0], np.cumsum([len(s) for s, _ in spans]))).astype(np.int32)
+            values = [pa.array(np.concatenate([span[k] for span in spans]), pa.int32()) for k in (0, 1)]
+            lists = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(values, ["start", "end"]))
+            yield pa.RecordBatch.from_arrays([pa.array(rows[i : i + 10_000]), lists], ["row", "spans"])
+
+    return stretches.repartition("shard").mapInArrow(work, "row bigint, spans array<struct<start:int,end:int>>")
+
+
+def _joined(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Stretches sorted by start, those that touch or overlap made one."""
+    reach = np.maximum.accumulate(end)
+    first = np.append(True, start[1:] > reach[:-1])
+    at = np.flatnonzero(first)
+    return start[at], reach[np.append(at[1:], len(start)) - 1]
 
 
 def _without(texts: DataFrame) -> DataFrame:
@@ -249,8 +308,8 @@ def without_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
     sieved = written(_sieved(texts, gram, size), "sieved")
     some = matching(texts.select("row", "text"), sieved.select("row"), ["row"]).join(sieved, "row")
     some = written(some, "texts-to-split")
-    found = _subtrees(_suffixes(some, size, gram), size)
-    spans = found.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    shards = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spans = _maximal(_subtrees(_suffixes(some, size, gram, shards), size, shards))
     changed = _without(some.select("row", "text").join(spans, "row"))
     kept = texts.select("row", "doc_id", "n_words", "whole_sha256").join(changed, "row", "left")
     return kept.select(

@@ -14,7 +14,7 @@ BROADCAST_KEYS = 4_000_000
 def written(frame: DataFrame, purpose: str) -> DataFrame:
     """The frame, computed once into the shared folder, so that a lost executor costs a read only."""
     folder = shared_folder(frame.sparkSession, purpose)
-    frame.write.parquet(folder)
+    frame.write.option("compression", "zstd").parquet(folder)
     return frame.sparkSession.read.schema(frame.schema).parquet(folder)
 
 
