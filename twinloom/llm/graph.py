@@ -18,8 +18,8 @@ def components(links: DataFrame) -> DataFrame:
 
     Alternates large-star and small-star steps on (u, v) with u > v: each step links the
     neighbours of a node to the smallest of them, until all edges point at their component.
-    Smallest neighbours are combined before the shuffle and written, so that the join with a node
-    of very many links can be split.
+    Smallest neighbours are combined before the shuffle. In large-star steps, where a node may
+    have very many neighbours, they are written, so that the join can be split there.
     """
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     edges, before = written(edges, "edges"), None
@@ -28,9 +28,7 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = written(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        large = written(large.distinct(), "edges")
-        least = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
-        small = large.join(least, "u")
+        small = large.join(large.groupBy("u").agg(F.min("v").alias("m")), "u")
         small = small.select("u", F.col("m").alias("v")).unionByName(small.select(F.col("v").alias("u"), F.col("m").alias("v")))
         edges = written(small.where("u <> v").distinct(), "edges")
     own = edges.select(F.col("v").alias("id"), F.col("v").alias("component"))
