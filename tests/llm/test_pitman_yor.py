@@ -107,3 +107,67 @@ def test_scores_do_not_depend_on_the_order_of_rows(spark, sample):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").repartition(6)
     again = {r.doc_id: r.score for r in P.score(docs, HELD()).collect()}
     assert all(abs(again[r.doc_id] - r.score) < 1e-3 * abs(r.score) for r in sample[1])
+
+
+def exact_stirling(size, discount):
+    rows = [np.array([0.0])]  # log S(n, 0..n)
+    with np.errstate(divide="ignore"):
+        rows[0] = np.log(np.array([1.0]))
+        for n in range(size):
+            stay = rows[-1] + np.log(np.maximum(n - discount * np.arange(n + 1), 0))
+            rows.append(np.logaddexp(np.append(stay, -np.inf), np.append(-np.inf, rows[-1])))
+    return rows
+
+
+@pytest.mark.parametrize("discount", [0.05, 0.5, 0.8, 0.95])
+def test_stirling_numbers_equal_the_recursion(discount):
+    rows = exact_stirling(2500, discount)
+    for n in (5, 64, 900, 1025, 2500):
+        t = np.arange(1, n + 1)
+        t = t[rows[n][1:] > rows[n][1:].max() - 60]
+        error = P.log_stirling(np.full(len(t), n), t, discount) - rows[n][t]
+        assert np.abs(np.diff(error)).max(initial=0) < (1e-8 if n <= P.TABULATED else 0.01)
+
+
+@pytest.mark.parametrize("size, steps", [(12, 1), (400, 3), (2000, 3)])
+def test_a_sweep_seats_all_customers_of_a_cell_anew(size, steps):
+    """From one table each, some sweeps reach the exact distribution; with one customer a sweep they cannot."""
+    cells = 4000
+    totals = P.Totals(np.zeros(0, np.uint64), round=1, frequent_tables=np.zeros(0))
+    totals.tables[:] = 50
+    totals.customers[:] = size
+    totals.root, totals.words = 1e6, cells
+    word = np.arange(1, cells + 1, dtype=np.uint64)
+    row = dict(shard=0, word=word.tobytes(), cells=np.ones(cells, np.uint32).tobytes(), context=np.arange(cells, dtype=np.uint16).tobytes(), trained=np.full(cells, size, np.uint32).tobytes())
+    shard = P.Shard(row, totals, 1)
+    shard.go_on(np.ones(cells, np.uint32).tobytes())
+    for _ in range(steps):
+        shard.sweep()
+    t = np.arange(1, size + 1)
+    # a word met in this cell only: its root table is opened by the first table here
+    opening = [math.log(totals.strength + totals.discount * (49 + k)) for k in range(size)]
+    root = [0.0, *(math.log(k - totals.root_discount) - math.log(totals.root_strength + 1e6 - 1 + k) for k in range(1, size))]
+    weight = exact_stirling(size, totals.discount)[size][1:] + np.cumsum(opening) + np.cumsum(root)
+    weight = np.exp(weight - weight.max())
+    weight /= weight.sum()
+    mean, spread = (weight * t).sum(), math.sqrt((weight * t * t).sum() - (weight * t).sum() ** 2)
+    assert abs(shard.tables.mean() - mean) < 5 * spread / math.sqrt(cells) + 0.01 * mean
+    assert np.abs(np.bincount(shard.tables, minlength=size + 1)[1:] / cells - weight).max() < 0.05
+
+
+def test_chains_go_on_between_exchanges(spark, sample, monkeypatch):
+    told = []
+    gathered = P._gathered
+
+    def kept(shards, totals, seed, seating):
+        before = None if seating is None else {r.shard: r.seating for r in seating.collect()}
+        after = gathered(shards, totals, seed, seating)
+        told.append((before, {r.shard: r.seating for r in after.collect()}, totals.root))
+        return after
+
+    monkeypatch.setattr(P, "_gathered", kept)
+    P.score(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").limit(100), HELD()).count()
+    assert len(told) > 3
+    for (_, after, _), (before, _, _) in zip(told, told[1:]):
+        assert before == after
+    assert sum(np.frombuffer(x, np.uint32).sum() for x in told[-1][1].values()) == told[-1][2]

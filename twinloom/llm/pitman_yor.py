@@ -9,9 +9,12 @@ Words are dealt to shards by hash, so that all restaurants' customers of a word,
 at the root, are in one shard. Words that fill a noticeable part of all tokens are dealt by word
 and context, and their number at the root is kept centrally; there are at most ``1 / FREQUENT`` of
 them. What couples shards are the totals of the restaurants, two vectors of fixed length: shards
-sweep with the totals of the round before, as in distributed topic models. In a sweep each cell
-(restaurant, word) lets one random customer leave and sit again by the Chinese restaurant rule.
-The predictive probabilities of several sweeps are averaged before the logarithm is taken.
+sweep with the totals of the round before, as in distributed topic models, corrected by what they
+changed themselves. In a sweep all customers of each cell (restaurant, word) sit anew: predictions
+need the number of a cell's tables only, so who sits where is summed out (generalised Stirling
+numbers) and the number is drawn given all others, whatever the cell's size. The seating is written
+after each of ``ROUNDS`` exchanges and the next one goes on from there. The predictive
+probabilities of several sweeps are averaged before the logarithm is taken.
 
 Texts are tokenised once. A map task emits its tokens by shard in packed arrays (4 bytes a token
 and 12 a distinct word), which are shuffled once and written as shards; later rounds read these.
@@ -26,6 +29,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,8 +48,12 @@ STEP_BYTES, STEP_TEXTS = 3 << 20, 30_000
 SHARDS = 12
 END, START = np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9FB21C651E98DF25)
 HELD = np.uint16(1 << 15)
-#: Sweeps before totals are exchanged, before samples are taken, and samples.
-EXCHANGE, BURN_IN, SAMPLES = 3, 4, 3
+#: Exchanges of totals, sweeps before each of them, sweeps before samples are taken, and samples.
+ROUNDS, EXCHANGE, BURN_IN, SAMPLES = 3, 2, 1, 3
+#: Cells up to ENUMERATED customers draw their tables from all numbers, larger ones by STEPS Metropolis steps.
+ENUMERATED, STEPS = 64, 12
+#: Customers up to which Stirling numbers are tabulated; beyond, a saddle point gives them.
+TABULATED = 1024
 
 
 def _pieces(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, Words]]:
@@ -168,6 +176,7 @@ class Totals:
     """What all shards need of each other; of fixed size."""
 
     frequent: np.ndarray
+    round: int = 0
     customers: np.ndarray = field(default_factory=lambda: np.zeros(CONTEXTS))
     tables: np.ndarray = field(default_factory=lambda: np.zeros(CONTEXTS))
     frequent_counts: np.ndarray | None = None
@@ -186,16 +195,78 @@ def _discount(ones: float, twos: float) -> float:
     return min(0.95, max(0.05, ones / (ones + 2 * twos))) if ones else 0.5
 
 
+def _lgamma(x: np.ndarray) -> np.ndarray:
+    """log Gamma of positive numbers."""
+    low = np.where(x < 8, x, 8.0)
+    shift = np.ones_like(low)
+    for i in range(8):
+        shift *= np.where(x < 8, low + i, 1.0)
+    y = np.where(x < 8, x + 8, x)
+    series = (1 / 12 - (1 / 360 - 1 / (1260 * y * y)) / (y * y)) / y
+    return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + series - np.log(shift)
+
+
+@lru_cache(2)
+def _tabulated(discount: float) -> np.ndarray:
+    """log S(n, t), in how many weighted ways n customers fill t tables, for n and t up to TABULATED."""
+    table = np.full((TABULATED + 1, TABULATED + 1), -np.inf)
+    table[0, 0] = 0.0
+    t = np.arange(TABULATED + 1)
+    with np.errstate(divide="ignore"):
+        for n in range(TABULATED):
+            stay = table[n] + np.log(np.maximum(n - discount * t, 0.0))
+            table[n + 1, 1:] = np.logaddexp(table[n, :-1], stay[1:])
+    return table
+
+
+def _saddle(n: np.ndarray, t: np.ndarray, discount: float) -> np.ndarray:
+    """log S(n, t) by the saddle point of t * log(1 - (1 - x)^discount) - n * log(x)."""
+    low, high = np.full(len(n), -30.0), np.full(len(n), np.log(700.0))
+    for _ in range(50):  # of log(-log(1 - x))
+        middle = (low + high) / 2
+        u = -np.exp(middle)
+        slope = np.log(-np.expm1(u)) + (discount - 1) * u - np.log(-np.expm1(discount * u))
+        below = slope < np.log(n / (t * discount))
+        low, high = np.where(below, middle, low), np.where(below, high, middle)
+    u = -np.exp((low + high) / 2)
+    x = -np.expm1(u)
+    bend = np.maximum(n * (1 + (1 - discount) * x * np.exp(-u) - n / t), 1e-9)
+    top = t * np.log(-np.expm1(discount * u)) - n * np.log(x)
+    return _lgamma(n + 1.0) - _lgamma(t + 1.0) - t * np.log(discount) + top - 0.5 * np.log(2 * np.pi * bend)
+
+
+@lru_cache(2)
+def _correction(discount: float) -> tuple[np.ndarray, np.ndarray]:
+    """What the saddle point lacks, by log(t / n ** discount), on which alone it depends for many customers."""
+    t = np.arange(1, TABULATED // 2 + 1)
+    lacking = _tabulated(discount)[TABULATED, t] - _saddle(np.full(len(t), TABULATED), t, discount)
+    at = np.log(t) - discount * np.log(TABULATED)
+    slope = (1 - 2 * discount) / (2 - 2 * discount)  # towards few tables
+    return np.append(at[0] - 50, at), np.append(lacking[0] - 50 * slope, lacking)
+
+
+def log_stirling(n: np.ndarray, t: np.ndarray, discount: float) -> np.ndarray:
+    """log S(n, t) for 1 <= t <= n."""
+    out = _tabulated(discount)[np.minimum(n, TABULATED), np.minimum(t, TABULATED)]
+    large = np.flatnonzero(n > TABULATED)
+    if len(large):
+        n, t = n[large], t[large]
+        lacking = np.interp(np.log(t) - discount * np.log(n), *_correction(discount))
+        out[large] = np.where(t < n, _saddle(n, np.minimum(t, n - 1), discount) + lacking, 0.0)
+    return out
+
+
 class Shard:
-    """The seating of the words of one shard."""
+    """The seating of the words of one shard: each cell's number of tables."""
 
     def __init__(self, row: dict, totals: Totals, seed: int):
         for name, kind in _ARRAYS.items():
             if row.get(name) is not None:
                 setattr(self, name, np.frombuffer(row[name], kind))
-        self.totals, self.random = totals, np.random.default_rng((seed, int(row["shard"])))
+        self.totals, self.random = totals, np.random.default_rng((seed, int(row["shard"]), totals.round))
         self.of_word = np.repeat(np.arange(len(self.word)), self.cells)
         self.count = np.bincount(self.of_word, self.trained, len(self.word))
+        self.many = np.flatnonzero(self.trained > 1)
         self.spread = _is_in(self.word, totals.frequent)
         self.central = np.searchsorted(totals.frequent, self.word[self.spread])
 
@@ -206,17 +277,34 @@ class Shard:
         return counts
 
     def seat(self) -> None:
-        """A first seating: about the expected number of tables, evenly filled."""
-        self.tables = (self.trained > 0).astype(np.int64)
-        many = np.flatnonzero(self.trained > 1)
-        self.many, size = many, self.trained[many].astype(np.int64)
+        """A first seating: about the expected number of tables."""
+        many = self.many
+        self._begin((self.trained > 0).astype(np.int64))
+        size = self.trained[many].astype(np.int64)
         open_rate = np.maximum(self._opening(self._root())[many], 1e-12)
-        start = np.clip(np.rint(open_rate * np.log1p(size / open_rate)), 1, size).astype(np.int64)
-        self.tables[many] = start
-        self.cell = np.repeat(np.arange(len(many)), start)
-        first = np.cumsum(start) - start
-        number = np.arange(len(self.cell)) - np.repeat(first, start)
-        self.size = np.repeat(size // start, start) + (number < np.repeat(size % start, start))
+        self.tables[many] = np.clip(np.rint(open_rate * np.log1p(size / open_rate)), 1, size).astype(np.int64)
+
+    def go_on(self, seating: bytes | None) -> None:
+        """From the seating that the round before left and told the others; without one, from a first seating."""
+        if seating is None:
+            self.seat()
+        else:
+            self._begin(np.frombuffer(seating, np.uint32).astype(np.int64))
+
+    def _begin(self, tables: np.ndarray) -> None:
+        self.tables, self.told = tables, tables.copy()
+
+    @property
+    def cell(self) -> np.ndarray:
+        """Of each table in cells of two customers or more, the cell."""
+        return np.repeat(np.arange(len(self.many)), self.tables[self.many])
+
+    @property
+    def size(self) -> np.ndarray:
+        """One seating with these numbers of tables, evenly filled; nothing else depends on it."""
+        size, tables = self.trained[self.many].astype(np.int64), self.tables[self.many]
+        number = np.arange(tables.sum()) - np.repeat(np.cumsum(tables) - tables, tables)
+        return np.repeat(size // tables, tables) + (number < np.repeat(size % tables, tables))
 
     def _root(self) -> np.ndarray:
         """The root's probability of each word."""
@@ -232,34 +320,58 @@ class Shard:
         return (t.strength + t.discount * t.tables[self.context]) * root[self.of_word]
 
     def sweep(self) -> None:
-        """In every cell of two customers or more, a random one leaves and sits again."""
-        many, discount = self.many, self.totals.discount
-        if not len(many):
-            return
-        opening = self._opening(self._root())[many]
-        customers = self.trained[many].astype(np.int64)
-        upto = np.cumsum(self.size)
-        leaving = np.searchsorted(upto, np.cumsum(customers) - customers + (self.random.random(len(many)) * customers).astype(np.int64), "right")
-        self.size[leaving] -= 1
-        empty = self.size[leaving] == 0
-        tables = self.tables[many] - empty
-        stay = customers - 1 - discount * tables
-        new = self.random.random(len(many)) * (stay + opening) >= stay
-        weight = np.where(self.size > 0, self.size - discount, 0.0)
-        upto = np.cumsum(weight)
-        last = np.append(np.flatnonzero(np.diff(self.cell)), len(self.cell) - 1)
-        below = np.append(0.0, upto[last[:-1]])
-        chosen = np.searchsorted(upto, below + self.random.random(len(many)) * (upto[last] - below), "right")
-        chosen = np.clip(chosen, np.append(0, last[:-1] + 1), last)
-        closed = self.size[chosen] == 0  # by rounding only
-        new |= closed
-        np.add.at(self.size, chosen[~new], 1)
-        self.tables[many] = tables + new
-        cell = np.concatenate((self.cell, np.flatnonzero(new)))
-        size = np.concatenate((self.size, np.ones(int(new.sum()), np.int64)))
-        cell, size = cell[size > 0], size[size > 0]
-        order = np.argsort(cell, kind="stable")
-        self.cell, self.size = cell[order], size[order]
+        """All customers of each cell of two or more sit anew, one random half of the cells after the other."""
+        first = self.random.random(len(self.many)) < 0.5
+        for part in (self.many[first], self.many[~first]):
+            if len(part):
+                self._draw(part)
+
+    def _draw(self, part: np.ndarray) -> None:
+        """Numbers of tables of some cells, each given all others."""
+        t = self.totals
+        own, n = self.tables[part], self.trained[part].astype(np.int64)
+        moved = np.bincount(self.context, self.tables - self.told, len(t.tables))
+        here = np.maximum(t.tables[self.context[part]] + moved[self.context[part]] - own, 0.0) + t.strength / t.discount
+        of_word = np.bincount(self.of_word, self.tables, len(self.word))
+        known = np.bincount(self.of_word, self.told, len(self.word))[self.spread]
+        everywhere = np.maximum(t.root + of_word.sum() - self.told.sum() - own, 0.0) + t.root_strength
+        of_word[self.spread] += t.frequent_tables[self.central] - known
+        dish = np.maximum(of_word[self.of_word[part]] - own, 0.0) - t.root_discount
+        few = n <= ENUMERATED
+        for draw, at in ((self._enumerated, few), (self._metropolis, ~few)):
+            if at.any():
+                own[at] = draw(own[at], n[at], here[at], dish[at], everywhere[at])
+        self.tables[part] = own
+
+    def _enumerated(self, own, n, here, dish, everywhere) -> np.ndarray:
+        first = np.cumsum(n) - n
+        cell = np.repeat(np.arange(len(n)), n)
+        number = np.arange(len(cell)) - first[cell]  # tables beside the first
+        t = number.astype(float)
+        # the weight of t + 1 tables over that of t, summed up within each cell
+        step = np.log(self.totals.discount * (here[cell] + t) * (dish[cell] + t) / (everywhere[cell] + t), where=number > 0, out=np.zeros(len(t)))
+        weight = np.cumsum(step)
+        weight += _tabulated(self.totals.discount)[n[cell], number + 1] - weight[first][cell]
+        upto = np.cumsum(np.exp(weight - np.maximum.reduceat(weight, first)[cell]))
+        below, last = np.append(0.0, upto[first[1:] - 1]), first + n - 1
+        chosen = np.searchsorted(upto, below + self.random.random(len(n)) * (upto[last] - below), "right")
+        return np.clip(chosen, first, last) - first + 1
+
+    def _metropolis(self, own, n, here, dish, everywhere) -> np.ndarray:
+        discount = self.totals.discount
+
+        def weight(t: np.ndarray) -> np.ndarray:
+            return log_stirling(n, t, discount) + t * np.log(discount) + _lgamma(here + t) + _lgamma(dish + t) - _lgamma(everywhere + t)
+
+        spread, now = n ** (discount / 2), weight(own)
+        for i in range(STEPS):  # strides from a quarter of the tables' usual spread to many times as much
+            stride = np.rint(self.random.normal(size=len(n)) * np.maximum(1.0, spread * 2.0 ** (4 - i % 6))).astype(np.int64)
+            to = own + stride
+            to = np.where((to >= 1) & (to <= n), to, own)
+            then = weight(to)
+            taken = np.log(self.random.random(len(n))) < then - now
+            own, now = np.where(taken, to, own), np.where(taken, then, now)
+        return own
 
     def predictions(self) -> np.ndarray:
         """The probability of each cell's word after its context."""
@@ -274,25 +386,24 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield {name: batch.column(j)[i].as_py() for j, name in enumerate(batch.schema.names)}
 
 
-def _sums(kinds: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    columns = [np.concatenate([np.full(len(k), kind) for kind, k, _, _ in kinds]), *(np.concatenate([np.asarray(x[i], float) if i > 1 else x[i] for x in kinds]) for i in (1, 2, 3))]
-    types = [pa.int32(), pa.int64(), pa.float64(), pa.float64()]
-    return pa.RecordBatch.from_arrays([pa.array(c).cast(t) for c, t in zip(columns, types, strict=True)], ["kind", "key", "x", "y"])
+def _sums(kinds: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+    return [np.concatenate([np.full(len(k), kind) for kind, k, _, _ in kinds]), *(np.concatenate([np.asarray(x[i], float) if i > 1 else x[i] for x in kinds]) for i in (1, 2, 3))]
 
 
-def _gathered(shards: DataFrame, totals: Totals, seed: int, sweeps: int | None) -> None:
-    """Sum up restaurants over shards: as counted (sweeps None), or after some sweeps."""
+def _gathered(shards: DataFrame, totals: Totals, seed: int, seating: DataFrame | None) -> DataFrame:
+    """Seat, or sweep from the written seating on, and sum up restaurants over shards. Gives rows (shard, seating)."""
     columns = ["shard", "word", "cells", "context", "trained"]
     shared = shards.sparkSession.sparkContext.broadcast(totals)
+    counted = seating is None
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             shard = Shard(row, shared.value, seed)
-            if sweeps is None:
+            if counted:
                 shard.tables = (shard.trained > 0).astype(np.int64)
             else:
-                shard.seat()
-                for _ in range(sweeps):
+                shard.go_on(row["seating"])
+                for _ in range(EXCHANGE):
                     shard.sweep()
             customers = np.bincount(shard.context, shard.trained, CONTEXTS)
             tables = np.bincount(shard.context, shard.tables, CONTEXTS)
@@ -304,15 +415,25 @@ def _gathered(shards: DataFrame, totals: Totals, seed: int, sweeps: int | None)
                 (1, (shard.trained == 1).sum(), (shard.trained == 2).sum()),
                 (2, (of_word[light] == 1).sum(), (of_word[light] == 2).sum()),
             ]
-            yield _sums(
+            sums = _sums(
                 [
                     (0, some, customers[some], tables[some]),
                     (1, shard.word[spread].view(np.int64), shard.count[spread], of_word[spread]),
                     (2, *(np.array(c) for c in zip(*plain, strict=True))),
                 ]
             )
-
-    found = shards.where("about IS NULL").select(columns).mapInArrow(work, "kind int, key bigint, x double, y double")
+            types = [pa.int32(), pa.int64(), pa.float64(), pa.float64()]
+            told = [pa.array(c).cast(t) for c, t in zip(sums, types, strict=True)]
+            rest = len(told[0])
+            yield pa.RecordBatch.from_arrays([pa.nulls(rest, pa.int32()), pa.nulls(rest, pa.binary()), *told], names)
+            state = None if counted else shard.tables.astype(np.uint32).tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([row["shard"]], pa.int32()), pa.array([state], pa.binary()), *(pa.nulls(1, t) for t in types)], names)
+
+    names = ["shard", "seating", "kind", "key", "x", "y"]
+    rows = shards.where("about IS NULL").select(columns)
+    rows = rows if counted else rows.join(seating, "shard")
+    after = written(rows.mapInArrow(work, "shard int, seating binary, kind int, key bigint, x double, y double"), "seating")
+    found = after.where("kind IS NOT NULL")
     rows = found.groupBy("kind", "key").agg(F.sum("x").alias("x"), F.sum("y").alias("y")).collect()  # of fixed size
     by_kind = {k: {r.key: (r.x, r.y) for r in rows if r.kind == k} for k in range(3)}
     totals.customers, totals.tables = np.zeros(CONTEXTS), np.zeros(CONTEXTS)
@@ -324,8 +445,10 @@ def _gathered(shards: DataFrame, totals: Totals, seed: int, sweeps: int | None)
     totals.words = int(plain[0][0] + (totals.frequent_counts > 0).sum())
     totals.tokens = int(plain[0][1] + totals.frequent_counts.sum())
     totals.root = totals.tables.sum()
-    if sweeps is None:
+    totals.round += 1
+    if counted:
         totals.discount, totals.root_discount = _discount(*plain[1]), _discount(*plain[2])
+    return after.where("shard IS NOT NULL").select("shard", "seating")
 
 
 class _Sums:
@@ -365,7 +488,7 @@ class _Sums:
             yield pa.RecordBatch.from_arrays(columns, ["step", "texts", "score", "base", "known"])
 
 
-def _scored(shards: DataFrame, totals: Totals, seed: int) -> DataFrame:
+def _scored(shards: DataFrame, totals: Totals, seed: int, seating: DataFrame) -> DataFrame:
     """Sparse sums by step: texts, log10 probabilities, base scores and known tokens."""
     shared = shards.sparkSession.sparkContext.broadcast(totals)
 
@@ -373,7 +496,7 @@ def _scored(shards: DataFrame, totals: Totals, seed: int) -> DataFrame:
         held = _Sums()
         for row in _rows(batches):
             shard = Shard(row, shared.value, seed)
-            shard.seat()
+            shard.go_on(row["seating"])
             for _ in range(BURN_IN):
                 shard.sweep()
             mean = np.zeros(len(shard.context))
@@ -393,7 +516,7 @@ def _scored(shards: DataFrame, totals: Totals, seed: int) -> DataFrame:
             yield from held.full()
         yield from held.taken()
 
-    return shards.where("about IS NULL").mapInArrow(work, "step bigint, texts binary, score binary, base binary, known binary")
+    return shards.where("about IS NULL").drop("about").join(seating, "shard").mapInArrow(work, "step bigint, texts binary, score binary, base binary, known binary")
 
 
 def _by_document(shards: DataFrame, sums: DataFrame, totals: Totals) -> DataFrame:
@@ -438,6 +561,7 @@ def score(docs: DataFrame, held_out: Column, seed: int = 42) -> DataFrame:
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     totals = Totals(_frequent(docs))
     shards = written(_shards(_packed(docs, totals.frequent, SHARDS * partitions), partitions), "shards")
-    _gathered(shards, totals, seed, None)
-    _gathered(shards, totals, seed, EXCHANGE)
-    return _by_document(shards, _scored(shards, totals, seed), totals)
+    seating = _gathered(shards, totals, seed, None)
+    for _ in range(ROUNDS):
+        seating = _gathered(shards, totals, seed, seating)
+    return _by_document(shards, _scored(shards, totals, seed, seating), totals)
