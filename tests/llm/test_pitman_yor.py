@@ -159,11 +159,11 @@ def test_chains_go_on_between_exchanges(spark, sample, monkeypatch):
     told = []
     gathered = P._gathered
 
-    def kept(shards, totals, seed, seating):
+    def kept(shards, totals, seed, seating=None, keys=None):
         before = None if seating is None else {r.shard: r.seating for r in seating.collect()}
-        after = gathered(shards, totals, seed, seating)
+        after, keys = gathered(shards, totals, seed, seating, keys)
         told.append((before, {r.shard: r.seating for r in after.collect()}, totals.root))
-        return after
+        return after, keys
 
     monkeypatch.setattr(P, "_gathered", kept)
     P.score(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").limit(100), HELD()).count()
@@ -171,3 +171,28 @@ def test_chains_go_on_between_exchanges(spark, sample, monkeypatch):
     for (_, after, _), (before, _, _) in zip(told, told[1:]):
         assert before == after
     assert sum(np.frombuffer(x, np.uint32).sum() for x in told[-1][1].values()) == told[-1][2]
+
+
+def test_each_previous_word_has_its_own_restaurant(spark, monkeypatch):
+    """Beyond 65,536 different words none shares a restaurant, and totals are those of the whole corpus."""
+    texts = [" ".join(f"w{i}" for i in range(a, a + 1000)) for a in range(0, 80_000, 1000)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts + texts[:3])], "doc_id long, text string").repartition(4)
+    states = []
+    gathered = P._gathered
+
+    def kept(shards, totals, seed, seating=None, keys=None):
+        after, keys = gathered(shards, totals, seed, seating, keys)
+        states.append((shards, after))
+        return after, keys
+
+    monkeypatch.setattr(P, "_gathered", kept)
+    P.score(docs, F.lit(False)).count()
+    shards, after = states[-1]
+    customers = {}
+    for row in shards.where("about IS NULL").select("shard", "restaurant").join(after, "shard").collect():
+        totals = np.concatenate([np.frombuffer(r.customers, np.int64) for r in row.totals])
+        for key, n in zip(np.frombuffer(row.restaurant, np.uint64).tolist(), totals.tolist(), strict=True):
+            assert customers.setdefault(key, n) == n
+    assert len(customers) == 80_001
+    counts = Counter(customers.values())
+    assert counts == {1: 77_000, 2: 3000, 83: 1}

@@ -2,22 +2,23 @@
 
 The root restaurant holds all words; its base is diffuse, so it has one table a word, and the mass
 of its new tables is the probability of the one unknown word. Below it is one restaurant for each
-of ``CONTEXTS`` hash classes of the previous word (a fixed-size model, whatever the corpus); all
-share the root as parent: a customer who opens a table there becomes a customer of the root.
+previous word, known by its 64-bit hash, so that the model grows with the corpus; all share the root
+as parent: a customer who opens a table there becomes a customer of the root.
 
 Words are dealt to shards by hash, so that all restaurants' customers of a word, and its customers
 at the root, are in one shard. Words that fill a noticeable part of all tokens are dealt by word
 and context, and their number at the root is kept centrally; there are at most ``1 / FREQUENT`` of
-them. What couples shards are the totals of the restaurants, two vectors of fixed length: shards
-sweep with the totals of the round before, as in distributed topic models, corrected by what they
-changed themselves. In a sweep all customers of each cell (restaurant, word) sit anew: predictions
+them. What couples shards are the totals of the restaurants. Each shard sends its restaurants' sums
+in packed ranges of the hash; a task sums a range over all shards and returns to each of them the
+totals of its own restaurants, in its order. Shards sweep with the totals of the round before, as in
+distributed topic models, corrected by what they changed themselves. In a sweep all customers of each cell (restaurant, word) sit anew: predictions
 need the number of a cell's tables only, so who sits where is summed out (generalised Stirling
 numbers) and the number is drawn given all others, whatever the cell's size. The seating is written
 after each of ``ROUNDS`` exchanges and the next one goes on from there. The predictive
 probabilities of several sweeps are averaged before the logarithm is taken.
 
-Texts are tokenised once. A map task emits its tokens by shard in packed arrays (4 bytes a token
-and 12 a distinct word), which are shuffled once and written as shards; later rounds read these.
+Texts are tokenised once. A map task emits its tokens by shard in packed arrays (4 bytes a token, 12
+a distinct word and 8 a distinct context), which are shuffled once and written as shards; later rounds read these.
 Scores come back as sparse sums by document.
 
 Defined cases: a null or empty text is the end token alone; a null doc_id belongs to training
@@ -28,7 +29,7 @@ without training texts every word is unknown; an empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import lru_cache
 
 import numpy as np
@@ -39,13 +40,17 @@ from pyspark.sql import functions as F
 
 from twinloom.llm.rows import written
 from twinloom.llm.words import Words, mixed, rolling, steps, text_bytes
+from twinloom.session import session_conf
 
-CONTEXTS = 1 << 16
 #: Share of all tokens from which on a word is dealt over all shards.
 FREQUENT = 1 / 1024
 STEP_BYTES, STEP_TEXTS = 3 << 20, 30_000
 #: Shards of each shuffle partition; one is held in memory at a time.
 SHARDS = 12
+#: What a round shuffles goes when its result is written.
+_CLEANED = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+#: Ranges of restaurants: one a partition, beyond RANGES one for SHARDS partitions more.
+RANGES = 256
 END, START = np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9FB21C651E98DF25)
 HELD = np.uint16(1 << 15)
 #: Exchanges of totals, sweeps before each of them, sweeps before samples are taken, and samples.
@@ -104,37 +109,39 @@ def _packed(docs: DataFrame, frequent: np.ndarray, shards: int) -> DataFrame:
                 before = np.empty_like(word)
                 before[1:] = word[:-1]
                 before[np.append(0, ends[:-1] + 1)] = START
-                context = (mixed(before) & np.uint64(CONTEXTS - 1)).astype(np.uint16)
+                context = mixed(before)
                 spread = _is_in(word, frequent)
                 place = np.where(spread, mixed(word + context), mixed(word))
                 shard = ((place >> np.uint64(32)) % np.uint64(shards)).astype(np.int32)
-                order = np.lexsort((context, word, shard))
+                order = np.lexsort((word, shard))
                 shard, word, context, text = shard[order], word[order], context[order], text[order].astype(np.uint16)
                 text |= np.where(held[a:b][text], HELD, np.uint16(0))
                 cut = np.flatnonzero(np.diff(shard, prepend=-1))
                 ids = np.asarray(batch.column(0).slice(a, texts).fill_null(0)).astype(np.int64)
                 null = np.asarray(batch.column(0).slice(a, texts).is_null())
-                rows = [(-1, step, ids, null, (words.counts + 1).astype(np.int64), held[a:b])]
+                rows = [(-1, step, ids, null, (words.counts + 1).astype(np.int64), held[a:b], ids[:0])]
                 for s, e in zip(cut, np.append(cut[1:], len(shard)), strict=True):
                     new = np.flatnonzero(word[s:e] != np.append(~word[s : s + 1], word[s : e - 1]))
                     counts = np.diff(np.append(new, e - s)).astype(np.uint32)
-                    rows.append((int(shard[s]), step, word[s:e][new], counts, context[s:e], text[s:e]))
+                    restaurants, at = np.unique(context[s:e], return_inverse=True)
+                    at = at.astype(np.uint16 if len(restaurants) <= 1 << 16 else np.uint32)
+                    rows.append((int(shard[s]), step, word[s:e][new], counts, at, text[s:e], restaurants))
                 columns = [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64())]
-                columns += [pa.array([np.ascontiguousarray(r[i]).tobytes() for r in rows], pa.binary()) for i in range(2, 6)]
-                yield pa.RecordBatch.from_arrays(columns, ["shard", "step", "words", "counts", "contexts", "texts"])
+                columns += [pa.array([np.ascontiguousarray(r[i]).tobytes() for r in rows], pa.binary()) for i in range(2, 7)]
+                yield pa.RecordBatch.from_arrays(columns, ["shard", "step", "words", "counts", "contexts", "texts", "restaurants"])
                 step += 1
 
-    schema = "shard int, step bigint, words binary, counts binary, contexts binary, texts binary"
+    schema = "shard int, step bigint, words binary, counts binary, contexts binary, texts binary, restaurants binary"
     return docs.select("doc_id", "text", "held_out").mapInArrow(work, schema)
 
 
-_ARRAYS = {"word": np.uint64, "cells": np.uint32, "context": np.uint16, "trained": np.uint32, "used": np.uint32, "step": np.int64, "of_step": np.uint32, "text": np.uint16}
+_ARRAYS = {"word": np.uint64, "cells": np.uint32, "context": np.uint32, "trained": np.uint32, "used": np.uint32, "step": np.int64, "of_step": np.uint32, "text": np.uint16, "restaurant": np.uint64}
 #: A row with ``about`` describes the documents of that step instead: ids, nulls, token counts, held out.
 _SHARD = "shard int, about bigint, " + ", ".join(f"{name} binary" for name in _ARRAYS)
 
 
 def _shards(packed: DataFrame, partitions: int) -> DataFrame:
-    """One row a shard: its words, each word's cells by context, each cell's counts and uses."""
+    """One row a shard: its words, each word's cells by context, each cell's counts and uses, and its restaurants."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple]] = {}
@@ -143,24 +150,26 @@ def _shards(packed: DataFrame, partitions: int) -> DataFrame:
                 if shard >= 0:
                     held.setdefault(shard, []).append(rest)
                 else:
-                    yield _shard_batch([shard, *rest, None, None, None, None])
+                    yield _shard_batch([shard, *rest[:5], None, None, None, None, None])
         for shard in sorted(held):
             parts = held.pop(shard)
             counts = np.concatenate([np.frombuffer(p[2], np.uint32) for p in parts])
             word = np.repeat(np.concatenate([np.frombuffer(p[1], np.uint64) for p in parts]), counts)
-            context = np.concatenate([np.frombuffer(p[3], np.uint16) for p in parts])
+            restaurant, at = np.unique(np.concatenate([np.frombuffer(p[5], np.uint64) for p in parts]), return_inverse=True)
+            ends = np.cumsum([len(p[5]) // 8 for p in parts])
+            context = np.concatenate([at[e - len(p[5]) // 8 : e][np.frombuffer(p[3], f"u{2 * len(p[3]) // len(p[4])}")] for p, e in zip(parts, ends, strict=True)])
             text = np.concatenate([np.frombuffer(p[4], np.uint16) for p in parts])
             of_step = np.repeat(np.arange(len(parts), dtype=np.uint32), [len(p[4]) // 2 for p in parts])
             order = np.lexsort((context, word))
             word, context, text, of_step = word[order], context[order], text[order], of_step[order]
             new_word = np.diff(word, prepend=~word[:1]) != 0
-            new_cell = new_word | (np.diff(context.astype(np.int32), prepend=-1) != 0)
+            new_cell = new_word | (np.diff(context, prepend=-1) != 0)
             first = np.flatnonzero(new_cell)
             used = np.diff(np.append(first, len(word)))
             trained = np.add.reduceat((text < HELD).astype(np.uint32), first)
             cells = np.diff(np.append(np.flatnonzero(new_word[first]), len(first)))
             step = np.array([p[0] for p in parts], np.int64)
-            arrays = dict(word=word[new_word], cells=cells, context=context[first], trained=trained, used=used, step=step, of_step=of_step, text=text)
+            arrays = dict(word=word[new_word], cells=cells, context=context[first], trained=trained, used=used, step=step, of_step=of_step, text=text, restaurant=restaurant)
             yield _shard_batch([shard, None, *(np.ascontiguousarray(arrays[n], t).tobytes() for n, t in _ARRAYS.items())])
 
     return packed.repartition(partitions, "shard", F.when(F.col("shard") < 0, F.col("step"))).mapInArrow(work, _SHARD)
@@ -173,12 +182,12 @@ def _shard_batch(row: list) -> pa.RecordBatch:
 
 @dataclass
 class Totals:
-    """What all shards need of each other; of fixed size."""
+    """What all shards need of each other, of fixed size; a shard adds the totals of its restaurants."""
 
     frequent: np.ndarray
     round: int = 0
-    customers: np.ndarray = field(default_factory=lambda: np.zeros(CONTEXTS))
-    tables: np.ndarray = field(default_factory=lambda: np.zeros(CONTEXTS))
+    customers: np.ndarray = field(default_factory=lambda: np.zeros(1 << 16))
+    tables: np.ndarray = field(default_factory=lambda: np.zeros(1 << 16))
     frequent_counts: np.ndarray | None = None
     frequent_tables: np.ndarray | None = None
     tokens: int = 0
@@ -197,13 +206,15 @@ def _discount(ones: float, twos: float) -> float:
 
 def _lgamma(x: np.ndarray) -> np.ndarray:
     """log Gamma of positive numbers."""
-    low = np.where(x < 8, x, 8.0)
-    shift = np.ones_like(low)
-    for i in range(8):
-        shift *= np.where(x < 8, low + i, 1.0)
-    y = np.where(x < 8, x + 8, x)
-    series = (1 / 12 - (1 / 360 - 1 / (1260 * y * y)) / (y * y)) / y
-    return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + series - np.log(shift)
+    y, shift = x, 0.0
+    low = x < 8
+    if low.any():
+        y = np.where(low, x + 8, x)
+        small = np.where(low, x, 1.0)
+        shift = np.where(low, np.log(np.prod([small + i for i in range(8)], axis=0)), 0.0)
+    square = 1 / (y * y)
+    series = (1 / 12 - (1 / 360 - square / 1260) * square) / y
+    return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + series - shift
 
 
 @lru_cache(2)
@@ -263,6 +274,10 @@ class Shard:
         for name, kind in _ARRAYS.items():
             if row.get(name) is not None:
                 setattr(self, name, np.frombuffer(row[name], kind))
+        self.context = np.frombuffer(row["context"], f"u{len(row['context']) // len(self.trained)}")
+        if row.get("totals") is not None:
+            customers, tables = (np.concatenate([np.frombuffer(r[n], np.int64) for r in row["totals"]]).astype(float) for n in ("customers", "tables"))
+            totals = replace(totals, customers=customers, tables=tables)
         self.totals, self.random = totals, np.random.default_rng((seed, int(row["shard"]), totals.round))
         self.of_word = np.repeat(np.arange(len(self.word)), self.cells)
         self.count = np.bincount(self.of_word, self.trained, len(self.word))
@@ -360,8 +375,11 @@ class Shard:
     def _metropolis(self, own, n, here, dish, everywhere) -> np.ndarray:
         discount = self.totals.discount
 
+        others = np.stack((here, dish, everywhere))
+
         def weight(t: np.ndarray) -> np.ndarray:
-            return log_stirling(n, t, discount) + t * np.log(discount) + _lgamma(here + t) + _lgamma(dish + t) - _lgamma(everywhere + t)
+            rising = _lgamma(others + t)
+            return log_stirling(n, t, discount) + t * np.log(discount) + rising[0] + rising[1] - rising[2]
 
         spread, now = n ** (discount / 2), weight(own)
         for i in range(STEPS):  # strides from a quarter of the tables' usual spread to many times as much
@@ -390,11 +408,42 @@ def _sums(kinds: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]) -> list[n
     return [np.concatenate([np.full(len(k), kind) for kind, k, _, _ in kinds]), *(np.concatenate([np.asarray(x[i], float) if i > 1 else x[i] for x in kinds]) for i in (1, 2, 3))]
 
 
-def _gathered(shards: DataFrame, totals: Totals, seed: int, seating: DataFrame | None) -> DataFrame:
-    """Seat, or sweep from the written seating on, and sum up restaurants over shards. Gives rows (shard, seating)."""
-    columns = ["shard", "word", "cells", "context", "trained"]
+def _returned(keys: DataFrame, parts: DataFrame, partitions: int) -> DataFrame:
+    """Totals of each shard's restaurants, by ranges, from all shards' restaurants and tables: rows (shard, totals)."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, dict[int, list]] = {}
+        for batch in batches:
+            for part, shard, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                row = held.setdefault(part, {}).setdefault(shard, [shard, None, None, None])
+                row[1:] = [new if new is not None else old for new, old in zip(rest, row[1:], strict=True)]
+        for part in sorted(held):
+            rows = list(held.pop(part).values())
+            keys, at = np.unique(np.concatenate([np.frombuffer(r[1], np.uint64) for r in rows]), return_inverse=True)
+            sums = [np.bincount(at, np.concatenate([np.frombuffer(r[i], np.int64) for r in rows]), len(keys)).astype(np.int64)[at] for i in (2, 3)]
+            upto = np.cumsum([0, *(len(r[1]) // 8 for r in rows)])
+            packed = [[x[s:e].tobytes() for s, e in zip(upto, upto[1:], strict=False)] for x in sums]
+            for i in range(0, len(rows), 1000):
+                columns = [pa.array([r[0] for r in rows[i : i + 1000]], pa.int32()), pa.array([part] * len(rows[i : i + 1000]), pa.int32())]
+                yield pa.RecordBatch.from_arrays([*columns, *(pa.array(p[i : i + 1000], pa.binary()) for p in packed)], ["shard", "range", "customers", "tables"])
+
+    none = F.lit(None).cast("binary")
+    keys = keys.select("range", "shard", "restaurants", "customers", none.alias("tables"))
+    parts = parts.select("range", "shard", none.alias("restaurants"), none.alias("customers"), "tables")
+    found = keys.union(parts).repartition(partitions, "range").mapInArrow(work, "shard int, range int, customers binary, tables binary")
+    return found.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("range", "customers", "tables"))).alias("totals"))
+
+
+def _gathered(shards: DataFrame, totals: Totals, seed: int, seating: DataFrame | None = None, keys: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Count, or sweep from the written seating on, and sum up restaurants over shards.
+
+    Gives rows (shard, seating, totals), and the restaurants of each shard, which are written when counted only.
+    """
+    columns = ["shard", "word", "cells", "context", "trained", "restaurant"]
     shared = shards.sparkSession.sparkContext.broadcast(totals)
     counted = seating is None
+    partitions = int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = min(partitions, RANGES + partitions // SHARDS)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
@@ -405,50 +454,50 @@ def _gathered(shards: DataFrame, totals: Totals, seed: int, seating: DataFrame |
                 shard.go_on(row["seating"])
                 for _ in range(EXCHANGE):
                     shard.sweep()
-            customers = np.bincount(shard.context, shard.trained, CONTEXTS)
-            tables = np.bincount(shard.context, shard.tables, CONTEXTS)
-            some = np.flatnonzero(customers)
+            own = len(shard.restaurant)
+            kept = {"tables": np.bincount(shard.context, shard.tables, own).astype(np.int64)}
+            if counted:
+                kept |= {"restaurants": shard.restaurant, "customers": np.bincount(shard.context, shard.trained, own).astype(np.int64)}
+            part = ((shard.restaurant >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int32)
+            cut = np.flatnonzero(np.diff(part, prepend=-1))
+            pieces = list(zip(cut, np.append(cut[1:], own), strict=True))
             of_word = np.bincount(shard.of_word, shard.tables, len(shard.word))
             light, spread = ~shard.spread & (shard.count > 0), shard.spread
             plain = [
                 (0, light.sum(), shard.count[light].sum()),
                 (1, (shard.trained == 1).sum(), (shard.trained == 2).sum()),
                 (2, (of_word[light] == 1).sum(), (of_word[light] == 2).sum()),
+                (3, shard.tables.sum(), 0),
             ]
-            sums = _sums(
-                [
-                    (0, some, customers[some], tables[some]),
-                    (1, shard.word[spread].view(np.int64), shard.count[spread], of_word[spread]),
-                    (2, *(np.array(c) for c in zip(*plain, strict=True))),
-                ]
-            )
-            types = [pa.int32(), pa.int64(), pa.float64(), pa.float64()]
-            told = [pa.array(c).cast(t) for c, t in zip(sums, types, strict=True)]
-            rest = len(told[0])
-            yield pa.RecordBatch.from_arrays([pa.nulls(rest, pa.int32()), pa.nulls(rest, pa.binary()), *told], names)
+            few = _sums([(1, shard.word[spread].view(np.int64), shard.count[spread], of_word[spread]), (2, *(np.array(c) for c in zip(*plain, strict=True)))])
             state = None if counted else shard.tables.astype(np.uint32).tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([row["shard"]], pa.int32()), pa.array([state], pa.binary()), *(pa.nulls(1, t) for t in types)], names)
+            yield told(1, shard=[row["shard"]], seating=[state])
+            yield told(len(pieces), shard=[row["shard"]] * len(pieces), range=part[cut], **{n: [x[s:e].tobytes() for s, e in pieces] for n, x in kept.items()})
+            yield told(len(few[0]), **dict(zip(("kind", "key", "x", "y"), few, strict=True)))
+
+    types = {"shard": pa.int32(), "seating": pa.binary(), "range": pa.int32(), "restaurants": pa.binary(), "customers": pa.binary(), "tables": pa.binary(), "kind": pa.int32(), "key": pa.int64(), "x": pa.float64(), "y": pa.float64()}
+
+    def told(size: int, **values) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(values[n]).cast(t) if n in values else pa.nulls(size, t) for n, t in types.items()], list(types))
 
-    names = ["shard", "seating", "kind", "key", "x", "y"]
     rows = shards.where("about IS NULL").select(columns)
     rows = rows if counted else rows.join(seating, "shard")
-    after = written(rows.mapInArrow(work, "shard int, seating binary, kind int, key bigint, x double, y double"), "seating")
-    found = after.where("kind IS NOT NULL")
-    rows = found.groupBy("kind", "key").agg(F.sum("x").alias("x"), F.sum("y").alias("y")).collect()  # of fixed size
-    by_kind = {k: {r.key: (r.x, r.y) for r in rows if r.kind == k} for k in range(3)}
-    totals.customers, totals.tables = np.zeros(CONTEXTS), np.zeros(CONTEXTS)
-    for key, (x, y) in by_kind[0].items():
-        totals.customers[key], totals.tables[key] = x, y
+    after = written(rows.mapInArrow(work, "shard int, seating binary, range int, restaurants binary, customers binary, tables binary, kind int, key bigint, x double, y double"), "seating")
+    rows = after.where("kind IS NOT NULL").groupBy("kind", "key").agg(F.sum("x").alias("x"), F.sum("y").alias("y")).collect()  # of fixed size
+    by_kind = {k: {r.key: (r.x, r.y) for r in rows if r.kind == k} for k in (1, 2)}
     pairs = [by_kind[1].get(int(w), (0.0, 0.0)) for w in totals.frequent.view(np.int64)]
     totals.frequent_counts, totals.frequent_tables = (np.array([p[i] for p in pairs]) for i in (0, 1))
-    plain = by_kind[2] or {i: (0.0, 0.0) for i in range(3)}
+    plain = by_kind[2] or {i: (0.0, 0.0) for i in range(4)}
     totals.words = int(plain[0][0] + (totals.frequent_counts > 0).sum())
     totals.tokens = int(plain[0][1] + totals.frequent_counts.sum())
-    totals.root = totals.tables.sum()
+    totals.root = plain[3][0]
     totals.round += 1
     if counted:
         totals.discount, totals.root_discount = _discount(*plain[1]), _discount(*plain[2])
-    return after.where("shard IS NOT NULL").select("shard", "seating")
+    seated = after.where("shard IS NOT NULL AND range IS NULL").select("shard", "seating")
+    parts = after.where("range IS NOT NULL")
+    keys = parts if counted else keys
+    return seated.join(_returned(keys, parts, partitions), "shard"), keys
 
 
 class _Sums:
@@ -559,9 +608,10 @@ def score(docs: DataFrame, held_out: Column, seed: int = 42) -> DataFrame:
     """One row a document: (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)."""
     docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), held_out.alias("held_out"))
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    totals = Totals(_frequent(docs))
-    shards = written(_shards(_packed(docs, totals.frequent, SHARDS * partitions), partitions), "shards")
-    seating = _gathered(shards, totals, seed, None)
-    for _ in range(ROUNDS):
-        seating = _gathered(shards, totals, seed, seating)
+    with session_conf(docs.sparkSession, _CLEANED):
+        totals = Totals(_frequent(docs))
+        shards = written(_shards(_packed(docs, totals.frequent, SHARDS * partitions), partitions), "shards")
+        seating, keys = _gathered(shards, totals, seed)
+        for _ in range(ROUNDS):
+            seating, _ = _gathered(shards, totals, seed, seating, keys)
     return _by_document(shards, _scored(shards, totals, seed, seating), totals)
