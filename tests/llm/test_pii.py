@@ -70,3 +70,23 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert found[100].spans == "phone:19:33" and found[100].n_added == 1
     assert found[300].spans == "ip:11:19"
     assert sum(r.n_added for r in found.values()) == 2
+
+
+@pytest.mark.parametrize("seen, unseen", [(80, 20), (50, 50), (20, 3)])
+def test_unseen_identifiers_do_not_speak_against_their_pattern(spark, seen, unseen):
+    rows = [(i, f"please dial phone: +1 (212) 555-{1000 + i} at any time") for i in range(seen)]
+    rows += [(1000 + i, f"please dial phone: (212) 555-{7000 + i} at any time") for i in range(unseen)]
+    found = {r.doc_id: r for r in check(rows, spark.createDataFrame(rows, "doc_id long, text string"))}
+    assert all(found[1000 + i].spans == "phone:19:33" for i in range(unseen))
+    assert sum(r.n_added for r in found.values()) == unseen
+
+
+@pytest.mark.parametrize("other", ["version 7.{}", "+49 911 {} 1 2 3 4 5 6 7 8 9 0", "x{}@mail.org"])
+def test_instances_that_contradict_the_kind_do(spark, other):
+    rows = [(i, f"please dial number: +1 (212) 555-{1000 + i} at any time") for i in range(20)]
+    rows += [(500 + i, f"please dial number: {other.format(100 + i)} at any time") for i in range(20)]
+    if other.startswith("version"):
+        rows = [(i, t.replace("version ", "")) for i, t in rows]
+    rows += [(1000, "please dial number: (212) 555-7777 at any time")]
+    found = {r.doc_id: r for r in check(rows, spark.createDataFrame(rows, "doc_id long, text string"))}
+    assert found[1000].n_added == 0

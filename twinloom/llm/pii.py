@@ -4,10 +4,12 @@ All work is DataFrame operations. Base spans come from regular expressions and c
 the seeds: the words beside a seed induce lexical patterns (the word before, the two words before,
 the word before with the word after). Instances are the seeds and all other runs of words with a
 digit or an at sign. On the graph of patterns and instances, counted by different instance texts,
-a pattern's confidence in a kind is the mean score of its instances, an unseen instance's score is
-the noisy-or of its confident patterns; accepted instances count as seeds in the next round. A
-pattern needs ``SUPPORT`` different seeds and ``CONFIDENCE``. An accepted instance also has to
-look like its kind, roughly.
+a pattern's confidence in a kind is the share of its instances' scores that speak for the kind:
+seeds of other kinds and unseen instances that do not look like the kind, roughly, speak against
+it, and unseen ones that do look like it say nothing until they are accepted. An unseen instance's
+score is the noisy-or of its confident patterns; accepted instances count as seeds in the next
+round. A pattern needs ``SUPPORT`` different seeds and ``CONFIDENCE``. An accepted instance also has
+to look like its kind.
 
 One pass reads the texts and keeps the matches with their contexts, written once; positions are
 running sums over the pieces between matches. Scores are sums, combined before each shuffle, so a
@@ -153,14 +155,23 @@ def _discovered(instances: DataFrame, support: int, confidence: float, rounds: i
     """Rows (text, kind): unseen instances that confident patterns vouch for."""
     edges = instances.select(F.explode(_patterns()).alias("pattern"), F.lower("text").alias("text"), "kind").distinct()
     edges = written(edges, "pattern-graph")
-    size = edges.groupBy("pattern").agg(F.count_distinct("text").alias("size"))
-    seeds = edges.where("kind IS NOT NULL").select("pattern", "text", "kind", F.lit(1.0).alias("score"))
+    # by pattern: different texts, and of these the seeds and the unseen ones that look like each kind
+    kinds = F.array_compact(F.array(*(F.when(_looks_like(F.lit(k), F.col("text")), F.lit(k)) for k in KINDS)))
+    seeded = F.max(F.col("kind").isNotNull()).alias("seeded")
+    texts = edges.groupBy("pattern", "text").agg(seeded)
+    like = [F.sum((~F.col("seeded") & F.array_contains(kinds, k)).cast("int")).alias(k) for k in KINDS]
+    size = texts.groupBy("pattern").agg(F.count("*").alias("size"), *like)
+    seeds = edges.where("kind IS NOT NULL").select("pattern", "text", "kind", F.lit(1.0).alias("score"), F.lit(0).alias("new"))
     unseen = edges.where("kind IS NULL").select("pattern", "text")
     known = None
     for _ in range(rounds):
-        scored = seeds if known is None else seeds.unionByName(unseen.join(known, "text").select("pattern", "text", "kind", "score"))
-        trusted = scored.groupBy("pattern", "kind").agg(F.sum("score").alias("found")).where(F.col("found") >= support)
-        trusted = trusted.join(size, "pattern").withColumn("trust", F.least(F.col("found") / F.col("size"), F.lit(0.999999)))
+        scored = seeds if known is None else seeds.unionByName(unseen.join(known, "text").select("pattern", "text", "kind", "score", F.lit(1).alias("new")))
+        # every accepted text looks like its kind, so it counts once, with its score, and is no longer neutral
+        found, accepted = F.sum("score").alias("found"), F.sum("new").alias("accepted")
+        trusted = scored.groupBy("pattern", "kind").agg(found, accepted).where(F.col("found") >= support)
+        alike = F.coalesce(*(F.when(F.col("kind") == k, F.col(k)) for k in KINDS))
+        judged = F.greatest(F.col("size") - alike + F.col("accepted"), F.col("found"))
+        trusted = trusted.join(size, "pattern").withColumn("trust", F.least(F.col("found") / judged, F.lit(0.999999)))
         trusted = written(trusted.where(F.col("trust") >= confidence).select("pattern", "kind", "trust"), "trusted-patterns")
         votes = unseen.join(trusted, "pattern").where(_looks_like(F.col("kind"), F.col("text")))
         votes = votes.groupBy("text", "kind").agg((1 - F.exp(F.sum(F.log(1 - F.col("trust"))))).alias("score"))
