@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinloom.llm import classifier, codes, exact, mixing, near, packing, pii, pitman_yor, repeats, warc
+from twinloom.llm import classifier, codes, exact, lexical, mixing, near, packing, pii, pitman_yor, repeats, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -94,9 +94,39 @@ def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_ranked_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical.build(_read(spark, sf_dir, "documents"))
+    return lexical.search(index, _read(spark, sf_dir, "benchmark"), k=10)
+
+
+OP11_SQL = r"""
+WITH doc_terms AS (
+         SELECT d, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+         FROM (SELECT row_number() OVER () AS d, * FROM documents)),
+     postings AS (SELECT d, any_value(doc_id) AS doc_id, term, count(*) AS tf FROM doc_terms GROUP BY d, term),
+     lengths AS (SELECT d, sum(tf)::BIGINT AS n FROM postings GROUP BY d),
+     totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM lengths),
+     norms AS (SELECT d, 25 + (75 * n * docs) // terms AS m FROM lengths, totals),
+     weights AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM postings, totals GROUP BY term, docs),
+     item_terms AS (
+         SELECT i, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+         FROM (SELECT row_number() OVER () AS i, * FROM benchmark)),
+     asked AS (SELECT i, any_value(item_id) AS item_id, term, count(*) AS times FROM item_terms GROUP BY i, term),
+     scored AS (
+         SELECT i, any_value(item_id) AS item_id, d, any_value(doc_id) AS doc_id,
+                sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+         FROM asked JOIN postings USING (term) JOIN weights USING (term) JOIN norms USING (d) GROUP BY i, d),
+     ranked AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id)::INT AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 QUERIES = {
     "op9_repeated_passages": op9_repeated_passages,
     "op1_capture_index": op1_capture_index,
+    "op11_ranked_lexical": op11_ranked_lexical,
     "op10_temperature_mixing": op10_temperature_mixing,
     "op2_pitman_yor": op2_pitman_yor,
     "op3_contextual_pii": op3_contextual_pii,
@@ -108,6 +138,7 @@ QUERIES = {
 }
 ORACLES = {
     "op1_capture_index": OP1_SQL,
+    "op11_ranked_lexical": OP11_SQL,
     "op4_exact_groups": OP4_SQL,
     "op6_nearest_codes": OP6_SQL,
 }
