@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinloom.llm import classifier, codes, exact, lexical, mixing, near, packing, pii, pitman_yor, repeats, warc
+from twinloom.llm import classifier, codes, divergence, exact, lexical, mixing, near, packing, pii, pitman_yor, repeats, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -123,11 +123,47 @@ SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
 """
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_read(spark, sf_dir, "documents"), min_docs=30, shown=50)
+
+
+OP12_SQL = r"""
+WITH docs AS (SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM documents),
+     terms AS (SELECT d, lang, source, unnest(regexp_extract_all(body, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+     kept AS (SELECT lang, term, count(*) AS lang_n FROM terms GROUP BY ALL HAVING count(DISTINCT d) >= 30),
+     langs AS (SELECT lang, count(*) AS v, sum(lang_n)::BIGINT AS lang_total FROM kept GROUP BY lang),
+     occurring AS (SELECT DISTINCT lang, source FROM docs),
+     counted AS (SELECT lang, source, term, count(*) AS n FROM terms SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+     totals AS (SELECT lang, source, sum(n)::BIGINT AS total FROM counted GROUP BY ALL),
+     dense AS (
+         SELECT o.lang, o.source, k.term, coalesce(c.n, 0) AS n,
+                1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (coalesce(t.total, 0) + 5 * l.v) AS p,
+                1 + (1000000000::HUGEINT * (k.lang_n + 5)) // (l.lang_total + 5 * l.v) AS q
+         FROM occurring o JOIN langs l USING (lang) JOIN kept k USING (lang)
+         LEFT JOIN counted c USING (lang, source, term) LEFT JOIN totals t USING (lang, source)),
+     term_part AS (
+         SELECT lang, source, 'term' AS part, term AS item, (p - q)::BIGINT AS value,
+                row_number() OVER (PARTITION BY lang, source ORDER BY p - q DESC, term)::INT AS rank
+         FROM dense WHERE n > 0 AND p > q),
+     apart AS (
+         SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p))::BIGINT AS value
+         FROM dense a JOIN dense b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL),
+     pair_part AS (
+         SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0) AS value,
+                row_number() OVER (PARTITION BY a.lang, a.source ORDER BY coalesce(x.value, 0) DESC, b.source)::INT AS rank
+         FROM occurring a JOIN occurring b ON a.lang = b.lang AND a.source <> b.source
+         LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source)
+SELECT * FROM pair_part UNION ALL SELECT * FROM term_part WHERE rank <= 50
+"""
+
+
 QUERIES = {
     "op9_repeated_passages": op9_repeated_passages,
     "op1_capture_index": op1_capture_index,
     "op11_ranked_lexical": op11_ranked_lexical,
     "op10_temperature_mixing": op10_temperature_mixing,
+    "op12_source_divergence": op12_source_divergence,
     "op2_pitman_yor": op2_pitman_yor,
     "op3_contextual_pii": op3_contextual_pii,
     "op4_exact_groups": op4_exact_groups,
@@ -139,6 +175,7 @@ QUERIES = {
 ORACLES = {
     "op1_capture_index": OP1_SQL,
     "op11_ranked_lexical": OP11_SQL,
+    "op12_source_divergence": OP12_SQL,
     "op4_exact_groups": OP4_SQL,
     "op6_nearest_codes": OP6_SQL,
 }
