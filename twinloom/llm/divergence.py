@@ -1,16 +1,18 @@
 """Source divergence audit by chunk factorization.
 
 White-space chunks are counted per document in blocks of texts, so that one row stands for all
-documents of a block, language and source that hold a chunk. Every globally distinct chunk is
+documents of a block that hold a chunk, by group (language and source). Every globally distinct chunk is
 tokenized once; its terms are joined back to the counts and aggregated.
 
-A term belongs to a language's vocabulary if enough distinct documents hold it. Of the chunks
-that yield a term, the most frequent one in a (language, source) gives a lower bound of its
-documents there and the sum over chunks an upper one. Only where the bounds leave the answer
-open are documents themselves compared; chunks then occur in few documents, whose numbers the
-blocks carry (a chunk held by ``min_docs`` documents of one block settles its terms).
+A term belongs to a language's vocabulary if enough distinct documents hold it. The documents of
+the chunk that is the bare term, or those of a block and another chunk, are a lower bound, the
+sum over all its chunks an upper one.
+Only where they leave the answer open are documents themselves compared, by the numbers that the
+blocks carry with each chunk. A block lists no documents of a chunk and group that has ``min_docs``
+of them there, since these alone put the chunk's terms into the vocabulary.
 
-Proportions are integers, p = 1 + floor(10^9 (count + 5) / (N + 5 V)), in decimal arithmetic.
+Proportions are integers, p = 1 + floor(10^9 (count + 5) / (N + 5 V)), by long division in steps
+of a thousand, which is exact up to 9 * 10^15 occurrences.
 The sum of |p - q| over a whole vocabulary is taken for blocks of sources and buckets of
 terms, so a task holds ``BUCKET`` terms of two blocks of sources; a term that none of them holds
 adds the same amount for each, so it is counted and never listed.
@@ -31,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from twinloom.llm.rows import written
+from twinloom.llm.rows import numbered, written
 from twinloom.llm.runs import LOWER, distinct, gathered, kind, runs
 
 #: White space is 0x20 and 0x09-0x0D.
@@ -44,131 +46,131 @@ BLOCK = 32 << 20
 BUCKET, SOURCES = 20_000, 256
 #: (language, term) rows that are sent to all tasks; beyond, the same join shuffles.
 BROADCAST_TERMS = 500_000
-COUNTS = "block bigint, lang string, source string, chunk string, n bigint, d bigint, docs array<int>"
+COUNTS = "block bigint, chunk string, groups array<bigint>, n array<bigint>, d array<int>, docs array<array<int>>"
 
 
-def chunk_counts(docs: DataFrame, min_docs: int) -> DataFrame:
-    """One row for each block, language, source and chunk: occurrences, documents, and which if few."""
+def _filled(docs: DataFrame) -> DataFrame:
+    return docs.select(*(F.coalesce(F.col(name).cast("string"), F.lit("")).alias(name) for name in ("lang", "source", "text")))
+
+
+def _few(frame: DataFrame) -> DataFrame:
+    return F.broadcast(frame) if frame.count() <= BROADCAST_TERMS else frame
+
+
+def chunk_counts(texts: DataFrame, min_docs: int) -> DataFrame:
+    """Of (group, text) rows, one row for each block and chunk.
+
+    For each group that holds the chunk: its occurrences, its documents, and which if fewer than ``min_docs``.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
         for rows, data, offsets in gathered(batches, BLOCK):
-            yield from _counted(block, rows, LOWER[data], offsets, min_docs)
+            yield from _counted(block, rows.column(0).to_numpy(), LOWER[data], offsets, min_docs)
             block += 1
 
-    return _filled(docs).mapInArrow(work, COUNTS)
+    return texts.select("group", "text").mapInArrow(work, COUNTS)
 
 
-def _filled(docs: DataFrame) -> DataFrame:
-    return docs.select(*(F.coalesce(F.col(name).cast("string"), F.lit("")).alias(name) for name in ("lang", "source", "text")))
-
-
-def _counted(block: int, rows: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, min_docs: int) -> Iterator[pa.RecordBatch]:
+def _counted(block: int, group: np.ndarray, data: np.ndarray, offsets: np.ndarray, min_docs: int) -> Iterator[pa.RecordBatch]:
     starts, ends, bounds = runs(data, offsets, CHUNK_BYTES)
     codes, names = distinct(data, starts, ends)
     names = names.cast(pa.string())
-    lang, source = (rows.column(i).dictionary_encode() for i in (0, 1))
-    group = lang.indices.to_numpy().astype(np.int64) * len(source.dictionary) + source.indices.to_numpy()
-    number, count = max(rows.num_rows, 1), np.diff(bounds)
+    number, count = max(len(group), 1), np.diff(bounds)
     by_group = np.argsort(group, kind="stable")  # documents renumbered so that a group's lie together
-    place = np.empty(rows.num_rows, np.int64)
-    place[by_group] = np.arange(rows.num_rows)
+    place = np.empty(len(group), np.int64)
+    place[by_group] = np.arange(len(group))
     group = group[by_group]
     pairs, times = np.unique(codes.astype(np.int64) * number + np.repeat(place, count), return_counts=True)
     code, doc = pairs // number, pairs % number
-    held = group[doc] if len(doc) else doc
+    held = group[doc]
     new = np.ones(len(code), bool)
     new[1:] = (code[1:] != code[:-1]) | (held[1:] != held[:-1])
-    first = np.flatnonzero(new)
+    first = np.flatnonzero(new)  # of each (chunk, group)
     n = np.add.reduceat(times, first) if len(first) else first
     d = np.diff(np.concatenate((first, [len(code)])))
     few = d < min_docs
     listed = pa.array(doc[np.repeat(few, d)], pa.int32())
-    list_at = np.concatenate(([0], np.cumsum(np.where(few, d, 0))))
-    held = held[first]
-    for a in range(0, len(first), 50_000):
-        part = slice(a, a + 50_000)
-        of = held[part]
-        columns = [
-            pa.array(np.full(len(of), block), pa.int64()),
-            lang.dictionary.take(pa.array(of // len(source.dictionary))),
-            source.dictionary.take(pa.array(of % len(source.dictionary))),
-            names.take(pa.array(code[first[part]])),
-            pa.array(n[part], pa.int64()),
-            pa.array(d[part], pa.int64()),
-            pa.ListArray.from_arrays(pa.array(list_at[a : a + len(of) + 1], pa.int32()), listed),
-        ]
-        yield pa.RecordBatch.from_arrays(columns, [field.split()[0] for field in COUNTS.split(", ")])
+    listed = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(np.where(few, d, 0)))), pa.int32()), listed)
+    of_chunk = np.searchsorted(code[first], np.arange(len(names) + 1))
+    groups, n, d = pa.array(held[first], pa.int64()), pa.array(n, pa.int64()), pa.array(d, pa.int32())
+    for a in range(0, len(names), 50_000):
+        at = pa.array(of_chunk[a : a + 50_001], pa.int32())
+        columns = [pa.array(np.full(len(at) - 1, block), pa.int64()), names.slice(a, 50_000)]
+        columns += [pa.ListArray.from_arrays(at, values) for values in (groups, n, d, listed)]
+        yield pa.RecordBatch.from_arrays(columns, ["block", "chunk", "groups", "n", "d", "docs"])
 
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """Written tables: occurrences by (lang, source, term) and by (lang, term), kept terms only."""
+    """Written tables: the groups (group, lang, source), and of kept terms the occurrences by group and by language."""
 
-    by_source: DataFrame
+    groups: DataFrame
+    by_group: DataFrame
     by_lang: DataFrame
 
 
-def _few(frame: DataFrame) -> DataFrame:
-    return F.broadcast(frame) if frame.count() <= BROADCAST_TERMS else frame
-
-
 def vocabulary(docs: DataFrame, min_docs: int = 30) -> Vocabulary:
     """The terms that at least ``min_docs`` documents of a language hold."""
-    counts = written(chunk_counts(docs, min_docs), "chunks")
+    docs = _filled(docs)
+    groups = numbered(docs.select("lang", "source").distinct(), "group")
+    counts = written(chunk_counts(docs.join(_few(groups), ["lang", "source"]), min_docs), "chunks")
     tokens = F.regexp_extract_all("chunk", F.lit(TERM_PATTERN), F.lit(0))
-    chunks = written(counts.select("chunk").distinct().select("chunk", tokens.alias("terms")).where(F.size("terms") > 0), "tokenized")
-    # A chunk has one row a block and group at most, so its rows may meet in one task.
-    summed = counts.select("lang", "source", "chunk", "n", "d").repartition("chunk")
-    summed = summed.groupBy("lang", "source", "chunk").agg(F.sum("n").alias("n"), F.sum("d").alias("d"))
-    joined = summed.join(chunks, "chunk")
-    single = joined.select("lang", "source", "n", "d", "terms", F.explode(F.array_distinct("terms")).alias("term"))
-    times = F.when(F.size("terms") == 1, F.lit(1)).otherwise(
-        F.aggregate("terms", F.lit(0), lambda sum_, x: sum_ + F.when(x == F.col("term"), 1).otherwise(0))
+    chunks = counts.select("chunk").distinct().select("chunk", tokens.alias("terms"))
+    chunks = written(chunks.where(F.size("terms") > 0), "tokenized")
+    entries = counts.select("chunk", F.arrays_zip("groups", "n", "d").alias("entries")).join(chunks, "chunk")
+    single = entries.select("chunk", "terms", F.explode(F.array_distinct("terms")).alias("term"), "entries")
+    times = F.when(F.size("terms") == 1, F.lit(1)).otherwise(F.size(F.filter("terms", lambda x: x == F.col("term"))))
+    single = single.select("term", times.alias("times"), (F.col("chunk") == F.col("term")).alias("bare"), F.explode("entries").alias("e"))
+    by_group = single.groupBy(F.col("e.groups").alias("group"), "term").agg(
+        F.sum(F.col("e.n") * F.col("times")).alias("n"),
+        F.greatest(F.sum(F.when(F.col("bare"), F.col("e.d")).otherwise(0)), F.max("e.d")).alias("low"),
+        F.sum("e.d").alias("high"),
     )
-    by_source = single.groupBy("lang", "source", "term").agg(
-        F.sum(F.col("n") * times).alias("n"), F.max("d").alias("low"), F.sum("d").alias("high")
-    )
-    by_source = written(by_source, "by-source")
-    bounds = by_source.groupBy("lang", "term").agg(F.sum("n").alias("n"), F.sum("low").alias("low"), F.sum("high").alias("high"))
+    by_group = written(by_group, "by-group").join(_few(groups.select("group", "lang")), "group")
+    bounds = by_group.groupBy("lang", "term").agg(F.sum("n").alias("n"), F.sum("low").alias("low"), F.sum("high").alias("high"))
     bounds = written(bounds.where(F.col("high") >= min_docs), "bounds")
     unsettled = bounds.where(F.col("low") < min_docs).select("lang", "term")
     # Documents of the open terms: their chunks' rows list all documents, or a bound would have settled them.
-    suspects = written(
-        chunks.select("chunk", F.explode(F.array_distinct("terms")).alias("term")).join(_few(unsettled), "term"), "suspects"
-    )
-    holders = counts.where(F.size("docs") > 0).select("lang", "chunk", "block", "docs").join(_few(suspects), ["lang", "chunk"])
-    holders = holders.select("lang", "term", "block", F.explode("docs").alias("doc"))
-    exact = holders.distinct().groupBy("lang", "term").agg(F.count("*").alias("df")).where(F.col("df") >= min_docs)
+    suspects = chunks.select("chunk", F.explode(F.array_distinct("terms")).alias("term")).join(_few(unsettled), "term")
+    suspects = written(suspects.select("lang", "term", "chunk"), "suspects")
+    holders = counts.select("block", "chunk", "groups", "docs").join(_few(suspects.select("chunk").distinct()), "chunk", "left_semi")
+    holders = holders.select("block", "chunk", F.explode(F.arrays_zip("groups", "docs")).alias("e"))
+    holders = holders.select("block", "chunk", F.col("e.groups").alias("group"), F.explode("e.docs").alias("doc"))
+    holders = holders.join(_few(groups.select("group", "lang")), "group").join(_few(suspects), ["lang", "chunk"])
+    exact = holders.select("lang", "term", "block", "doc").distinct().groupBy("lang", "term").count()
+    exact = exact.where(F.col("count") >= min_docs)
     settled = bounds.where(F.col("low") >= min_docs).select("lang", "term", "n")
     more = bounds.where(F.col("low") < min_docs).join(exact, ["lang", "term"]).select("lang", "term", "n")
     by_lang = written(settled.unionByName(more), "vocabulary")
-    kept = by_source.select("lang", "source", "term", "n").join(_few(by_lang.select("lang", "term")), ["lang", "term"], "left_semi")
-    return Vocabulary(written(kept, "kept"), by_lang)
+    kept = by_group.join(_few(by_lang.select("lang", "term")), ["lang", "term"], "left_semi").select("group", "term", "n")
+    return Vocabulary(groups, written(kept, "kept"), by_lang)
 
 
-def _proportion(count: Column | str, total: str, size: str) -> Column:
-    above = F.lit(1_000_000_000).cast("decimal(10,0)") * (F.col(count) if isinstance(count, str) else count).cast("decimal(19,0)")
-    below = (F.col(total) + 5 * F.col(size)).cast("decimal(19,0)")
-    return F.call_function("div", above, below) + 1
+def _proportion(count: Column, total: str, size: str) -> Column:
+    """1 + floor(10^9 * count / (total + 5 * size)) for a count that is at most the divisor."""
+    below = F.col(total) + 5 * F.col(size)
+    quotient, rest = F.lit(0).cast("bigint"), count
+    for _ in range(3):
+        rest = rest * 1000
+        quotient, rest = quotient * 1000 + F.call_function("div", rest, below), rest % below
+    return quotient + 1
 
 
 def audit(docs: DataFrame, min_docs: int = 30, shown: int = 50) -> DataFrame:
     """lang, source, part, item, value, rank: distances between sources, terms above their language."""
     found = vocabulary(docs, min_docs)
-    occurring = _filled(docs).select("lang", "source").distinct()
     sizes = found.by_lang.groupBy("lang").agg(F.count("*").alias("v"), F.sum("n").alias("lang_total"))
-    totals = found.by_source.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    groups = occurring.join(totals, ["lang", "source"], "left").join(sizes, "lang", "left")
+    totals = found.by_group.groupBy("group").agg(F.sum("n").alias("total"))
+    groups = found.groups.join(totals, "group", "left").join(sizes, "lang", "left")
     groups = groups.fillna(0, ["total", "v", "lang_total"])
     # One number for each source of a language, in blocks; a language has as many rows here as sources.
     number = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
     groups = groups.withColumn("number", number).withColumn("part_of", F.floor(F.col("number") / SOURCES))
     groups = groups.withColumn("parts", F.max("part_of").over(Window.partitionBy("lang")) + 1)
-    base = F.when(F.col("v") > 0, _proportion(F.lit(5), "total", "v"))
+    base = F.when(F.col("v") > 0, _proportion(F.lit(5).cast("bigint"), "total", "v"))
     groups = written(groups.withColumn("base", base), "groups")
-    few_groups = F.broadcast(groups) if groups.count() <= BROADCAST_TERMS else groups
-    own = found.by_source.join(few_groups, ["lang", "source"]).withColumn("p", _proportion(F.col("n") + 5, "total", "v"))
+    own = found.by_group.join(_few(groups), "group").withColumn("p", _proportion(F.col("n") + 5, "total", "v"))
     return _above(own, found, shown).unionByName(_distances(own, groups, found))
 
 
@@ -192,8 +194,9 @@ def _distances(own: DataFrame, groups: DataFrame, found: Vocabulary) -> DataFram
     dealt = dealt.select(
         "lang", "bucket", F.least("part_of", "other").alias("a"), F.greatest("part_of", "other").alias("b"), "number", "term", "p"
     )
+    block = SOURCES
     partial = dealt.groupBy("lang", "bucket", "a", "b").applyInArrow(
-        _compared, "lang string, g int, h int, value bigint, seen bigint"
+        lambda rows: _compared(rows, block), "lang string, g int, h int, value bigint, seen bigint"
     )
     summed = partial.groupBy("lang", "g", "h").agg(F.sum("value").alias("summed"), F.sum("seen").alias("seen"))
     left = groups.select("lang", "source", F.col("number").alias("g"), "v", F.col("base").alias("own_base"))
@@ -206,7 +209,7 @@ def _distances(own: DataFrame, groups: DataFrame, found: Vocabulary) -> DataFram
     return pairs.withColumn("rank", F.row_number().over(by))
 
 
-def _compared(rows: pa.Table) -> pa.Table:
+def _compared(rows: pa.Table, block: int) -> pa.Table:
     """Sums of |p - q| over the listed terms, for each two sources of two blocks in either order."""
     lang = rows.column("lang")[0].as_py()
     a, b = rows.column("a")[0].as_py(), rows.column("b")[0].as_py()
@@ -217,7 +220,7 @@ def _compared(rows: pa.Table) -> pa.Table:
     seen = len(term.dictionary)
     sides = []
     for part in (a, b):
-        of_part = number // SOURCES == part
+        of_part = number // block == part
         sources, at = np.unique(number[of_part & ~listed], return_index=True)
         matrix = np.repeat(p[of_part & ~listed][at][:, None], seen, 1)
         chosen = of_part[listed]

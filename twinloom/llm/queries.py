@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinloom.llm import classifier, codes, divergence, exact, lexical, mixing, near, packing, pii, pitman_yor, repeats, warc
+from twinloom.llm import classifier, codes, divergence, exact, lexical, mixing, near, packing, pii, pitman_yor, repeats, token_files, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -158,12 +158,19 @@ SELECT * FROM pair_part UNION ALL SELECT * FROM term_part WHERE rank <= 50
 """
 
 
+def op13_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = token_files.write(_read(spark, sf_dir, "documents"))
+    n_tokens = (F.octet_length("ids") / 4).cast("bigint")
+    return token_files.read(spark, files).select("doc_id", "start", n_tokens.alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES = {
     "op9_repeated_passages": op9_repeated_passages,
     "op1_capture_index": op1_capture_index,
     "op11_ranked_lexical": op11_ranked_lexical,
     "op10_temperature_mixing": op10_temperature_mixing,
     "op12_source_divergence": op12_source_divergence,
+    "op13_token_ids": op13_token_ids,
     "op2_pitman_yor": op2_pitman_yor,
     "op3_contextual_pii": op3_contextual_pii,
     "op4_exact_groups": op4_exact_groups,
