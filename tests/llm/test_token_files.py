@@ -26,7 +26,7 @@ def by_pieces(texts):
     return [part.tolist() for part in np.split(ids, np.cumsum(counts)[:-1])]
 
 
-ODD = " \n\t\x1c\x85\xa0 　aé́Σs'tllre1日<|endoftext|>.,"
+ODD = " \n\t\x1c\x85\xa0 　aé́Σs'tllre1日<|endoftext|>.,!)("
 
 
 @settings(max_examples=300, deadline=None)
@@ -35,6 +35,17 @@ def test_ids_by_pieces_equal_the_tokenizer(texts):
     assert by_pieces(texts) == [PLAIN.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_other_kinds_of_tokenizers_take_texts_whole():
+    other = PieceTokens("word_bpe_49k.json")
+    plain = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    assert PIECES.cuts and not other.cuts
+    texts = ["Hello there, you.\nNew", "", "a b"]
+    data = "".join(texts).encode()
+    offsets = np.concatenate(([0], np.cumsum([len(t.encode()) for t in texts]))).astype(np.int64)
+    ids, counts = other.ids(np.frombuffer(data, np.uint8), offsets)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def back(data):
     doc_ids, counts, ids = [], [], []
     for d, c, i in from_bytes(data):

@@ -9,7 +9,7 @@ A file, little-endian: ``TLID``, then 32-bit numbers of version, lanes of a grou
 blocks and bytes of the deflated document table (doc_id, whether it is known, number of ids);
 then the 32-bit columns ids, distinct ids, bytes of the id list, bytes of the code and crc32 of
 all blocks; then the id list and code of each block. An id list holds the gaps between ascending
-ids: a byte below 255, or 255 and four bytes.
+ids, a byte each; 255 stands for the next of the 32-bit gaps that follow the bytes.
 
 Files are written beside their place and renamed, under names that follow from range and number.
 A task that runs again therefore writes the same files again, and a reader never sees half of one.
@@ -22,9 +22,12 @@ tokenizer makes of it by default, its special id; other columns are ignored; no
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -47,7 +50,7 @@ LANES = 2048
 #: Bytes of text of a range of doc_ids.
 RANGE = 40 << 20
 #: Bytes of text that are tokenized at once.
-STEP = 4 << 20
+STEP = 8 << 20
 MAGIC, VERSION = b"TLID", 1
 MANIFEST = "range int, number int, file string, n_docs bigint, n_ids bigint, n_bytes bigint"
 #: Files of a manifest that is sent to all tasks.
@@ -56,15 +59,19 @@ BROADCAST_FILES = 500_000
 _PLAIN = kind((0x21, 0x7E))
 #: First bytes of two-byte characters from U+00C0 to U+07FF, none of which is white space.
 _PAIR = kind((0xC3, 0xDF))
+_LETTER = kind((0x41, 0x5A), (0x61, 0x7A))
+_STOP = np.isin(np.arange(256), list(b"!),.:;?"))
+_WORD = re.compile(rb" ?[A-Za-z]+")
 
 
 class PieceTokens:
     """Token ids of texts, by pieces that the tokenizer never merges across.
 
-    Its pre-tokenizer starts anew at a space between two characters that are no white space, so
-    a text's ids are those of the pieces cut before such spaces. Only characters that are surely no
-    white space count here; elsewhere pieces are just longer. Ids of pieces are remembered in two
-    generations of bounded size.
+    A byte-level pre-tokenizer starts anew at a space and around a line feed that stand between two
+    characters other than white space, and at a closing mark after an ASCII letter, so a text's ids
+    are those of the pieces cut there. Only characters that are surely no white space count; elsewhere
+    pieces are just longer. Whether the tokenizer is of this kind is checked once; texts of any
+    other are taken whole. Ids of pieces are remembered in two generations of bounded size.
     """
 
     def __init__(self, name: str, remembered: int = 600_000):
@@ -73,6 +80,19 @@ class PieceTokens:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(name if os.path.isabs(name) else public_tokenizers.path(name))
+        about = json.loads(self.tokenizer.to_str())
+        before = about.get("pre_tokenizer") or {}
+        added = "".join(token["content"] for token in about.get("added_tokens", ()))
+        self.cuts = (
+            about.get("normalizer") is None
+            and before.get("type") == "ByteLevel"
+            and bool(before.get("use_regex", True))
+            and not before.get("add_prefix_space", True)
+            and about["model"]["type"] == "BPE"
+            and not re.search(r"[\s!),.:;?]", added)
+            and not re.fullmatch("[A-Za-z]*", added or "<")
+        )
+        self.model = self.tokenizer.model
         self.remembered = remembered
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
@@ -80,27 +100,36 @@ class PieceTokens:
     def _known(self, pieces: list[bytes]) -> list[bytes]:
         if len(self.young) + len(pieces) > self.remembered and self.young:
             self.old, self.young = self.young, {}
-        young, old, new = self.young, self.old, []
-        for piece in pieces:
-            if piece not in young:
-                if piece in old:
-                    young[piece] = old[piece]
-                else:
-                    new.append(piece)
-        encoded = self.tokenizer.encode_batch_fast([piece.decode() for piece in new], add_special_tokens=False)
-        for piece, one in zip(new, encoded, strict=True):
-            young[piece] = np.array(one.ids, np.uint32).tobytes()
-        return [young[piece] for piece in pieces]
+        young, old, other = self.young, self.old, []
+        for piece in [piece for piece in pieces if piece not in young]:
+            if piece in old:
+                young[piece] = old[piece]
+            elif self.cuts and _WORD.fullmatch(piece):  # one word: the model alone; a space is shown as U+0120
+                word = piece.decode().replace(" ", "\u0120")
+                young[piece] = array("I", [token.id for token in self.model.tokenize(word)]).tobytes()
+            else:
+                other.append(piece)
+        encoded = self.tokenizer.encode_batch_fast([piece.decode() for piece in other], add_special_tokens=False)
+        for piece, one in zip(other, encoded, strict=True):
+            young[piece] = array("I", one.ids).tobytes()
+        return list(map(young.__getitem__, pieces))
+
+    def _starts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        mark = np.zeros(len(data) + 1, bool)
+        if self.cuts:
+            after = _PLAIN[data[2:]] | _PAIR[data[2:]]
+            before = _PLAIN[data[:-2]]
+            before[1:] |= _PAIR[data[:-3]] & (data[1:-2] >= 0x80)
+            between = before & after
+            mark[1:-2] = between & ((data[1:-1] == 32) | (data[1:-1] == 10))
+            mark[2:-1] |= between & (data[1:-1] == 10)
+            mark[1:-1] |= _STOP[data[1:]] & _LETTER[data[:-1]]
+        mark[offsets[:-1]] = True
+        return np.flatnonzero(mark[: len(data)])
 
     def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and how many each text has."""
-        space = data[1:-1] == 32
-        after = _PLAIN[data[2:]] | _PAIR[data[2:]]
-        before = _PLAIN[data[:-2]]
-        before[1:] |= _PAIR[data[:-3]] & (data[1:-2] >= 0x80)
-        cuts = np.flatnonzero(space & before & after) + 1
-        own = offsets[:-1][np.diff(offsets) > 0]
-        starts = np.union1d(cuts, own)
+        starts = self._starts(data, offsets)
         texts = pa.Array.from_buffers(
             pa.large_binary(), len(starts), [None, pa.py_buffer(np.append(starts, len(data))), pa.py_buffer(data.tobytes())]
         )
@@ -127,21 +156,13 @@ def piece_tokens(name: str) -> PieceTokens:
 
 def _gaps(ids: np.ndarray) -> bytes:
     gaps = np.diff(ids.astype(np.int64), prepend=-1) - 1
-    if len(gaps) and gaps.max() < 255:
-        return gaps.astype(np.uint8).tobytes()
-    return b"".join(bytes([gap]) if gap < 255 else b"\xff" + struct.pack("<I", gap) for gap in gaps.tolist())
+    return np.minimum(gaps, 255).astype(np.uint8).tobytes() + gaps[gaps >= 255].astype("<u4").tobytes()
 
 
 def _listed(data: bytes, count: int) -> np.ndarray:
-    if len(data) == count:
-        gaps = np.frombuffer(data, np.uint8).astype(np.int64)
-    else:
-        gaps, at = [], 0
-        while at < len(data):
-            wide = data[at] == 255
-            gaps.append(struct.unpack_from("<I", data, at + 1)[0] if wide else data[at])
-            at += 5 if wide else 1
-    return np.cumsum(np.asarray(gaps, np.int64) + 1) - 1
+    gaps = np.frombuffer(data, np.uint8, count).astype(np.int64)
+    gaps[gaps == 255] = np.frombuffer(data, "<u4", offset=count)
+    return np.cumsum(gaps + 1) - 1
 
 
 def to_bytes(doc_ids: list[int | None], counts: np.ndarray, ids: np.ndarray, lanes: int = LANES) -> bytes:
