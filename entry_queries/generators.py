@@ -92,6 +92,17 @@ def _pattern_sql(k: int) -> str:
 
 simple("gen_str_regex_general", "STRING", _pattern_sql, regular_expr=r"^[A-Z]{2}-\d{3,5}(x|yy)?$")
 
+# With assertions inside, the value is a drawn index into the sorted strings that match: here all words of four are tried.
+generated("gen_str_regex_lookahead", [column("v", "STRING", regular_expr=r"^(?=.*\d)(?=.*[A-F])(?!.*00)[A-F0-9]{4}\b$")])
+ORACLES["gen_str_regex_lookahead"] = (
+    f"WITH words AS (SELECT {chars('number', '0123456789ABCDEF', 4)} AS word FROM range({16**4}) AS numbers(number)), "
+    "language AS (SELECT word, row_number() OVER (ORDER BY word) - 1 AS place FROM words "
+    "WHERE word SIMILAR TO '.*[0-9].*' AND word SIMILAR TO '.*[A-F].*' AND NOT contains(word, '00')), "
+    "drawn AS (SELECT o_orderkey, "
+    f"{below('(SELECT count(*) FROM language)', key('gen_str_regex_lookahead', 'v'), 'o_orderkey')} AS place FROM orders) "
+    "SELECT o_orderkey, word AS v FROM drawn JOIN language USING (place)"
+)
+
 unique("gen_int_unique", "INT", "greatest(1000, n)", "(1 + idx)::BIGINT", min_value=1)
 unique("gen_int_digits", "INT", "9000000000", "(1000000000 + idx)::BIGINT", digits_count=10)
 unique("gen_float_unique", "FLOAT", "greatest(100000, n - 1) + 1", "idx::BIGINT::DOUBLE / 100.0::DOUBLE")

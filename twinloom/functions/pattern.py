@@ -1,8 +1,10 @@
 """Strings that match a regular expression, as a plain column expression.
 
 The pattern is read once on the driver, after the standard library has found it valid; each
-node becomes a draw, so generation stays inside Spark. Anchors produce nothing. Look-around
-is refused. A repeat without an upper limit stops at a given number of times.
+node becomes a draw, so generation stays inside Spark. A pattern with anchors inside, word
+boundaries or look-around becomes a finite automaton, whose strings are drawn by index. Every
+string matches the whole pattern; a pattern that no string matches is refused. A repeat without
+an upper limit stops at a given number of times.
 """
 
 from __future__ import annotations
@@ -11,12 +13,14 @@ import re
 import string
 import unicodedata
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from twinloom.errors import SpecError
+from twinloom.functions import automaton as am
 from twinloom.functions.draws import bigint, draw_below, pick
 from twinloom.functions.stages import Stages, Term, combine
 from twinloom.functions.text import pool_array, random_text
@@ -48,9 +52,10 @@ _HEX_LENGTH = {"x": 2, "u": 4, "U": 8}
 
 @dataclass(frozen=True)
 class Chars:
-    """One character of a pool; an entry that occurs twice counts twice."""
+    """One character of a pool; an entry that occurs twice counts twice. ``source`` is its spelling."""
 
     pool: str
+    source: str = field(default="", compare=False)
 
 
 @dataclass(frozen=True)
@@ -78,6 +83,24 @@ class Repeat:
     body: tuple
 
 
+@dataclass(frozen=True)
+class Edge:
+    """An assertion about a place: ``start``, ``end`` (before a last line feed too), ``stop``, ``word`` or ``inside``."""
+
+    kind: str
+
+
+@dataclass(frozen=True)
+class Look:
+    """An assertion about what follows a place or comes before it."""
+
+    ahead: bool
+    wanted: bool
+    body: tuple
+
+
+_EDGES = {"^": "start", "$": "end", "A": "start", "Z": "stop", "b": "word", "B": "inside"}
+
 #: Where a repeat without an upper limit stops unless the column says otherwise.
 UNBOUNDED_REPEAT = 100
 _UNROLLED_CHARS = 32
@@ -150,26 +173,31 @@ class _Reader:
         return int(low or 0), int(high) if high else None
 
     def _item(self) -> tuple | None:
-        """The nodes of one item, none for a comment or an anchor."""
-        char = self._next()
+        """The nodes of one item, none for a comment."""
+        begun, char = self._at, self._next()
         if char in "^$":
-            return None
+            return (Edge(_EDGES[char]),)
         if char == ".":
-            return (Chars(string.printable.replace("\n", "")),)
+            return (Chars(string.printable.replace("\n", ""), "."),)
         if char == "[":
-            return (Chars(self._class()),)
+            pool = self._class()
+            return (Chars(pool, self._text[begun : self._at]),)
         if char == "(":
             return self._group()
-        return self._escape() if char == "\\" else (Chars(char),)
+        return self._escape() if char == "\\" else (Chars(char, re.escape(char)),)
 
     def _group(self) -> tuple | None:
         if self._take(r"\?#[^)]*\)"):
             return None
         if same := self._take(r"\?P=(\w+)\)"):
             return (Same(self._names[same[1]]),)
+        if look := self._take(r"\?(<?)([=!])"):
+            body = self._options()
+            self._next()
+            return (Look(not look[1], look[2] == "=", body),)
         plain = self._take(r"\?[:>]")
         if not plain and not self._take(r"\?P<\w+>") and self._take(r"\?"):
-            raise SpecError(f"Look-around, conditions and flags are not supported: {self._text!r}")
+            raise SpecError(f"Conditions and flags are not supported: {self._text!r}")
         number = None
         if not plain:
             self._groups += 1
@@ -179,16 +207,17 @@ class _Reader:
         return body if number is None else (Group(number, body),)
 
     def _escape(self) -> tuple | None:
-        char = self._next()
-        if char in "bBAZ":
-            return None
+        begun, char = self._at - 1, self._next()
+        if char in _EDGES:
+            return (Edge(_EDGES[char]),)
         if char in "123456789":
             octal = self._take(r"[0-7]{2}") if char in "123" else None
             if octal:
-                return (Chars(chr(int(char + octal[0], 8))),)
+                return (Chars(chr(int(char + octal[0], 8)), self._text[begun : self._at]),)
             more = self._take(r"\d")
             return (Same(int(char + (more[0] if more else ""))),)
-        return (Chars(self._escaped(char)),)
+        pool = self._escaped(char)
+        return (Chars(pool, self._text[begun : self._at]),)
 
     def _escaped(self, char: str) -> str:
         """The pool behind an escape that stands for characters."""
@@ -224,8 +253,135 @@ class _Reader:
         return "\b" if char == "b" else self._escaped(char)
 
 
+def _open_ended(nodes: tuple) -> tuple:
+    """Without the anchors at either end, which hold for a whole match anyway."""
+    nodes = tuple(nodes)
+    while nodes and nodes[0] == Edge("start"):
+        nodes = nodes[1:]
+    while nodes and nodes[-1] in (Edge("end"), Edge("stop")):
+        nodes = nodes[:-1]
+    if len(nodes) == 1 and isinstance(nodes[0], Branch):
+        return (Branch(tuple(_open_ended(option) for option in nodes[0].options)),)
+    if len(nodes) == 1 and isinstance(nodes[0], Group):
+        return (Group(nodes[0].number, _open_ended(nodes[0].body)),)
+    return nodes
+
+
+def _holds(nodes, kinds) -> bool:
+    """Whether a node of one of the kinds is anywhere in the nodes."""
+    for node in nodes:
+        if isinstance(node, kinds):
+            return True
+        parts = node.options if isinstance(node, Branch) else (getattr(node, "body", ()),)
+        if any(_holds(part, kinds) for part in parts):
+            return True
+    return False
+
+
+@lru_cache(maxsize=256)
+def read_pattern(pattern: str, most: int = UNBOUNDED_REPEAT) -> tuple | am.Automaton:
+    """What the pattern is drawn from: its nodes or, with assertions inside, its automaton."""
+    nodes = _open_ended(parse_pattern(pattern))
+    if not _holds(nodes, (Edge, Look)):
+        return nodes
+    if _holds(nodes, (Same,)):
+        raise SpecError(f"A back-reference beside an assertion is not supported: {pattern!r}")
+    return _Terms(nodes, most).automaton(pattern)
+
+
+class _Terms:
+    """Turns nodes into terms of an automaton, each with what may follow it."""
+
+    def __init__(self, nodes: tuple, most: int) -> None:
+        self._nodes, self._most, self._trackers = nodes, most, []
+        asserted = frozenset("".join(self._pools(nodes, True)))
+        self._alphabet = frozenset("".join(self._pools(nodes, False))) | asserted
+        self._asserted = asserted
+
+    def automaton(self, pattern: str) -> am.Automaton:
+        term = self._sequence(self._nodes, am.EMPTY, False)
+        return am.Automaton(term, self._trackers, self._alphabet, pattern)
+
+    def _pools(self, nodes, asserted: bool, within: bool = False):
+        """The pools of the characters inside, or outside, assertions."""
+        for node in nodes:
+            if isinstance(node, Chars) and within is asserted:
+                yield node.pool
+            parts = node.options if isinstance(node, Branch) else (getattr(node, "body", ()),)
+            for part in parts:
+                yield from self._pools(part, asserted, within or isinstance(node, Look))
+
+    def _sequence(self, nodes, after: am.Language, exact: bool) -> am.Language:
+        for node in reversed(nodes):
+            after = self._node(node, after, exact)
+        return after
+
+    def _node(self, node, after: am.Language, exact: bool) -> am.Language:
+        if isinstance(node, Chars):
+            return am.then(am.chars(self._members(node, exact)), after)
+        if isinstance(node, Branch):
+            return am.either(*(self._sequence(option, after, exact) for option in node.options))
+        if isinstance(node, Group):
+            return self._sequence(node.body, after, exact)
+        if isinstance(node, Repeat):
+            return self._repeat(node, after, exact)
+        if isinstance(node, Look):
+            return self._look(node, after)
+        return self._edge(node.kind, after)
+
+    def _members(self, node: Chars, exact: bool) -> frozenset[str]:
+        """Outside assertions a class yields its pool, and what assertions name if it matches that."""
+        known = self._alphabet if exact else frozenset(node.pool) | self._asserted
+        return am.exact_members(node.source, "" if exact else node.pool, known)
+
+    def _repeat(self, node: Repeat, after: am.Language, exact: bool) -> am.Language:
+        high = node.high
+        if high is None and not exact:
+            high = max(node.low, self._most)
+        if not _holds(node.body, (Edge, Look)):
+            return am.then(am.repeated(self._sequence(node.body, am.EMPTY, exact), node.low, high), after)
+        rounds = max(node.low, self._most) if high is None else high
+        term = after
+        for done in range(rounds - 1, -1, -1):
+            term = self._sequence(node.body, term, exact)
+            term = am.either(term, after) if done >= node.low else term
+        return term
+
+    def _look(self, node: Look, after: am.Language) -> am.Language:
+        if not node.ahead:
+            if _holds(node.body, (Edge, Look)):
+                raise SpecError("An assertion inside a look-behind is not supported")
+            prefix = am.then(am.ANY, self._sequence(node.body, am.EMPTY, True))
+            return am.then(self._behind(prefix, node.wanted), after)
+        follows = self._sequence(node.body, am.ANY, True)
+        return am.both(follows if node.wanted else am.none_of(follows), after)
+
+    def _behind(self, prefix: am.Language, wanted: bool) -> am.Language:
+        if prefix not in self._trackers:
+            self._trackers.append(prefix)
+        return am.behind(self._trackers.index(prefix), wanted)
+
+    def _edge(self, kind: str, after: am.Language) -> am.Language:
+        if kind == "start":
+            return am.then(self._behind(am.EMPTY, True), after)
+        if kind == "stop":
+            return am.both(am.EMPTY, after)
+        if kind == "end":
+            return am.both(am.either(am.EMPTY, am.chars(frozenset("\n"))), after)
+        word = am.chars(am.exact_members(r"\w", "", self._alphabet))
+        before, follows = am.then(am.ANY, word), am.then(word, am.ANY)
+        ways = []
+        for here in (True, False):
+            next_is = here if kind == "inside" else not here
+            ways.append(am.then(self._behind(before, here), am.both(follows if next_is else am.none_of(follows), after)))
+        return am.either(*ways)
+
+
 def pattern_text(stages: Stages, pattern: str, key: int, row: Term, most: int = UNBOUNDED_REPEAT) -> Term:
-    return _PatternWriter(stages, key, most).sequence(parse_pattern(pattern), [row])
+    found = read_pattern(pattern, most)
+    if isinstance(found, am.Automaton):
+        return am.drawn_text(found, key, row)
+    return _PatternWriter(stages, key, most).sequence(found, [row])
 
 
 class _PatternWriter:

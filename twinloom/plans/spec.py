@@ -17,7 +17,7 @@ from pyspark.sql import types as st
 
 from twinloom.errors import SpecError, UnsatisfiableError
 from twinloom.functions.convert import DERIVATIONS, check_conversion
-from twinloom.functions.pattern import UNBOUNDED_REPEAT, parse_pattern, single_class
+from twinloom.functions.pattern import UNBOUNDED_REPEAT, read_pattern, single_class
 from twinloom.plans.types import Cardinality
 from twinloom.plans.types import LogicalType as T
 
@@ -500,11 +500,11 @@ def _text_domain(limits: Fields, grow: int, as_of: date) -> Text | Span | Patter
             raise SpecError(f"{limits.place}: a unique column cannot use a regular expression")
         if pool := single_class(regex):  # the pattern decides length and case on its own
             return Text(*pool)
-        if not limits.get("allowed_values"):
-            parse_pattern(regex)
         most = limits.integer("max_repeat", UNBOUNDED_REPEAT)
         if most < 1:
             raise SpecError(f"{limits.place}: max_repeat must be greater than 0")
+        if not limits.get("allowed_values"):
+            read_pattern(regex, most)
         return Pattern(regex, case, most)
     if charset == "digits":
         if length > 18:  # beyond 64 bits
