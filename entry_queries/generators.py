@@ -114,10 +114,38 @@ unique(
     "gen_ts_unique", "TIMESTAMP", "greatest(365 * 86400 - 1, n - 1) + 1",
     "TIMESTAMP '2025-01-01' + to_seconds(idx::BIGINT)", min_timestamp="2025-01-01",
 )
+
+
+def _long_unique(name: str, pool: str, sizes: list[int], **constraints) -> None:
+    """Unique strings of several limbs: the rank's limbs, each shifted three times by a hash of the others."""
+    generated(name, [column("v", "STRING", unique=True, **constraints)])
+    spaces, k = [len(pool) ** size for size in sizes], key(name, "v")
+    rows = over(name).permute("pos", name, "v").nulls("0").let(rest="rank::HUGEINT")
+    for place in range(len(sizes) - 1, -1, -1):
+        rows.let(**{f"s0_{place}": f"rest % {spaces[place]}", f"rest{place}": f"rest // {spaces[place]}"})
+        rows._ctes.append(f"SELECT * EXCLUDE (rest, rest{place}), rest{place} AS rest FROM {rows.name}")
+    now = [f"s0_{place}" for place in range(len(sizes))]
+    for turn in range(3):
+        for place, space in enumerate(spaces):
+            stream, others = k + 2 * (turn * len(sizes) + place), now[:place] + now[place + 1 :]
+            shifted = f"s{turn + 1}_{place}"
+            rows.let(**{shifted: f"({now[place]} + {below(space, stream, *others)}) % {space}"})
+            now[place] = shifted
+    text = " || ".join(f"({chars(limb, pool, size)})" for limb, size in zip(now, sizes, strict=True))
+    ORACLES[name] = rows.select(f"id AS o_orderkey, {text} AS v")
+
+
+_long_unique("gen_str_unique", LOWER, [10, 6], length=16, case_mode="lower")
+_long_unique("gen_str_unique_long", LOWER + UPPER + DIGITS, [8, 8, 8, 6], length=30, character_set="alphanumeric")
+
+# Two digits up to 10^15 are more numbers than there are doubles: hundredths below 2^46, then every double.
+_HUNDREDTHS = 2**46 * 100
 unique(
-    "gen_str_unique", "STRING", str(26**13),
-    f"({chars('idx', LOWER, 13)}) || ({chars(below(26**3, key('gen_str_unique', 'v') ^ (1 << 58), 'greatest(rank, 0)'), LOWER, 3)})",
-    length=16, case_mode="lower",
+    "gen_float_unique_wide", "FLOAT", str(_HUNDREDTHS + int((10**15 - 2**49) * 2**3) + 3 * 2**52 + 1),
+    f"CASE WHEN idx < {_HUNDREDTHS} THEN idx::BIGINT::DOUBLE / 100.0::DOUBLE ELSE "
+    f"({2**52} + (idx - {_HUNDREDTHS}) % {2**52})::BIGINT::DOUBLE * "
+    f"pow(2.0::DOUBLE, ((idx - {_HUNDREDTHS}) // {2**52} - 6)::INT) END",
+    min_value=0, max_value=10**15,
 )
 unique("null_with_unique", "INT", "5000000000", "(7 + idx)::BIGINT", ratio="0.1", null_ratio=0.1, min_value=7, max_value=5_000_000_006)
 

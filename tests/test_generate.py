@@ -1,12 +1,16 @@
 import string
 from collections import Counter
 from datetime import date, datetime
+from fractions import Fraction
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.helpers import build, col, ref, specs, table, values
 from twinloom.errors import SpecError, UnsatisfiableError
+from twinloom.functions.doubles import GridDoubles
 from twinloom.operators.checks import orphan_values
 from twinloom.operators.generate import dependency_order, generate_table, generate_tables
 from twinloom.plans.spec import ReferenceColumn, Table
@@ -35,8 +39,60 @@ def test_float_ranges_beyond_the_64_bit_grid(spark):
     assert min(found) < -5e299 and max(found) > 5e299 and len(set(found)) == 500
     found = values(spark, 500, "FLOAT", min_value=0, max_value=1e15, precision=2)
     assert all(0 <= v <= 1e15 and v == round(v, 2) for v in found)
-    with pytest.raises(SpecError):
-        values(spark, 5, "FLOAT", min_value=0, max_value=1e18, unique=True)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(0, 22), st.data())
+def test_doubles_of_a_grid_are_numbered_in_order(precision, data):
+    doubles = GridDoubles(precision)
+    middle = data.draw(st.sampled_from([0, doubles.points, -doubles.points, doubles.points + 2**52, 10**15, -(10**18)]))
+    ranks = range(middle - 4, middle + 5)
+    found = [doubles.value(rank) for rank in ranks]
+    assert all(a < b for a, b in zip(found, found[1:]))
+    assert [doubles.rank(value) for value in found] == list(ranks)
+    assert all(float(round(Fraction(value) * 10**precision) / Fraction(10**precision)) == value for value in found)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.integers(0, 12), st.floats(0, 1e25))
+def test_every_grid_point_becomes_a_numbered_double(precision, value):
+    point = round(Fraction(value) * 10**precision)
+    near = float(Fraction(point, 10**precision))
+    doubles = GridDoubles(precision)
+    assert doubles.value(doubles.rank(near)) == near
+
+
+@pytest.mark.parametrize("low, high, precision", [(0, 1e18, 2), (-1e300, 1e300, 2), (2**46 - 1, 2**46 + 1, 2), (-5e15, 1e15, 0)])
+def test_unique_floats_beyond_the_exact_grid(spark, low, high, precision):
+    found = values(spark, 150, "FLOAT", min_value=low, max_value=high, precision=precision, unique=True)
+    assert len(set(found)) == 150 and all(low <= v <= high for v in found)
+    doubles = GridDoubles(precision)
+    assert all(doubles.value(doubles.rank(v)) == v for v in found)
+
+
+def test_all_doubles_of_a_small_dense_range_are_used(spark):
+    low, high = 2.0**46 - 0.03, 2.0**46 + 0.0625
+    doubles = GridDoubles(2)
+    expected = [doubles.value(r) for r in range(doubles.rank(low), doubles.rank(high) + 1)]
+    assert sorted(values(spark, len(expected), "FLOAT", min_value=low, max_value=high, unique=True)) == expected
+    with pytest.raises(UnsatisfiableError):
+        values(spark, len(expected) + 1, "FLOAT", min_value=low, max_value=high, unique=True)
+
+
+@pytest.mark.parametrize("extra", [{"lowercase": True, "length": 20}, {"lowercase": True, "length": 33}])
+def test_long_unique_strings_share_beginnings_like_a_random_sample(spark, extra):
+    found = values(spark, 2_000, "STRING", unique=True, **extra)
+    assert len(set(found)) == 2_000
+    for part in (slice(0, 3), slice(10, 13), slice(-3, None)):
+        counts = Counter(text[part] for text in found)
+        pairs = sum(n * (n - 1) // 2 for n in counts.values())
+        assert 70 < pairs < 160  # 113.7 expected
+
+
+def test_long_unique_digits(spark):
+    found = values(spark, 1_000, "STRING", unique=True, length=25, character_set="digits")
+    assert len(set(found)) == 1_000 and all(len(v) == 25 and v[0] != "0" for v in found)
+    assert len({v[1:4] for v in found}) < 700  # not all different: 632 expected
 
 
 def test_int64_extremes(spark):

@@ -8,12 +8,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from twinloom.functions.draws import bigint, draw_below, int_div
-from twinloom.functions.ordering import MAX_SPACE
 from twinloom.functions.stages import Stages, Term, combine
 
 _CHUNK_SPACE = 1 << 40
 _DIGITS_PER_DRAW = 12
-_TAIL = 1 << 58  # separates the free tail's stream from the one that chose the index
+_LIMB_SPACE = 1 << 50  # a limb and a shift add up within 64 bits, and one hash is a fair draw
+#: How often each limb of a distinct string is shifted.
+SHIFTS = 3
 
 
 def pool_array(pool: str) -> Column:
@@ -62,17 +63,40 @@ def random_text(stages: Stages, pool: str, length: int, key: int, row: Term) ->
     return pieces[0] if len(pieces) == 1 else combine(lambda *parts: F.concat(*parts), *pieces)
 
 
-def distinct_text(
-    stages: Stages, pool: str, length: int, key: int, row: Term, index_of
-) -> Term:
-    """Distinct strings: a distinct index in base N, then free characters if the space is huge.
+def limbs(pool: str, length: int, lead: str | None) -> list[tuple[str, int]]:
+    """The text as pieces (pool, characters), each of which one draw can fill."""
+    pieces = [(lead, 1)] if lead else []
+    left, most = length - len(pieces), chars_within(len(pool), _LIMB_SPACE)
+    while left:
+        pieces.append((pool, min(left, most)))
+        left -= pieces[-1][1]
+    return pieces
 
-    ``index_of(space)`` supplies distinct integers below ``space``.
+
+def distinct_text(stages: Stages, pool: str, length: int, lead: str | None, key: int, rank: Term) -> Term:
+    """Distinct strings of a space beyond 64 bits, for distinct ranks below 2^62.
+
+    The rank is written as a number of several limbs, the last first. A keyed permutation of the
+    whole space follows: each limb in turn is shifted, modulo its size, by a hash of all others,
+    which can be undone and so keeps numbers distinct. After ``SHIFTS`` turns the strings lie like
+    a random sample of the space, so their first characters agree as often as such a sample's do.
     """
-    head = min(length, chars_within(len(pool), MAX_SPACE - 1))
-    index = stages.let(index_of(len(pool) ** head))
-    prefix = combine(lambda v: F.concat(*encode_index(v, pool, head)), index)
-    if head == length:
-        return prefix
-    tail = random_text(stages, pool, length - head, key ^ _TAIL, row)
-    return combine(lambda a, b: F.concat(a, b), prefix, tail)
+    pieces = limbs(pool, length, lead)
+    sizes = [len(of) ** count for of, count in pieces]
+    held, rest = [None] * len(pieces), rank
+    for place in range(len(pieces) - 1, -1, -1):
+        size = bigint(sizes[place])
+        held[place] = stages.let(combine(lambda v: v % size, rest))
+        rest = stages.let(combine(lambda v: int_div(v, size), rest))
+    for turn in range(SHIFTS):
+        for place, size in enumerate(sizes):
+            stream = key + 2 * (turn * len(pieces) + place)
+            others = held[:place] + held[place + 1 :]
+            held[place] = stages.let(
+                combine(lambda v, *ids: (v + draw_below(size, stream, *ids)) % bigint(size), held[place], *others)
+            )
+    texts = [
+        combine(lambda v, of=of, count=count: F.concat(*encode_index(v, of, count)), limb)
+        for limb, (of, count) in zip(held, pieces, strict=True)
+    ]
+    return combine(lambda *parts: F.concat(*parts), *texts)

@@ -19,11 +19,12 @@ from pyspark.sql import functions as F
 
 from twinloom.errors import SpecError, UnsatisfiableError
 from twinloom.functions import convert as cv
+from twinloom.functions.doubles import GridDoubles
 from twinloom.functions.draws import bigint, draw_below, draw_unit, pick, stream_key
 from twinloom.functions.ordering import MAX_SPACE, Permutation, spread_index
 from twinloom.functions.pattern import pattern_text
 from twinloom.functions.stages import Stages, Term, combine
-from twinloom.functions.text import distinct_text, random_text
+from twinloom.functions.text import distinct_text, encode_index, random_text
 from twinloom.operators.align import strict_casts
 from twinloom.operators.checks import has_duplicates
 from twinloom.operators.indexing import dense_index
@@ -385,11 +386,13 @@ class _RowWriter:
         return combine(change, text)
 
     def _text(self, domain: Text, unique: bool, key: int, seat: Term, distinct) -> Term:
-        length = domain.length - (domain.lead is not None)
         if unique:
-            text = distinct_text(self.stages, domain.pool, length, key, seat, distinct)
-        else:
-            text = random_text(self.stages, domain.pool, length, key, seat)
+            if domain.capacity < MAX_SPACE:
+                index = self.stages.let(distinct(domain.capacity))
+                return combine(lambda v: F.concat(*encode_index(v, domain.pool, domain.length)), index)
+            return distinct_text(self.stages, domain.pool, domain.length, domain.lead, key, seat)
+        length = domain.length - (domain.lead is not None)
+        text = random_text(self.stages, domain.pool, length, key, seat)
         if domain.lead is None:
             return text
         lead = random_text(self.stages, domain.lead, 1, key ^ (1 << 59), seat)
@@ -406,7 +409,7 @@ def _span_offset(domain: Span, key: int, seat: Term) -> Term:
 
 
 def _real(domain: Real, unit: SparkColumn) -> SparkColumn:
-    # Weighting the two ends avoids an overflow when the range spans most doubles.
+    # Uniform over the range, not over the doubles in it, which lie closer near zero. Weighting the two ends avoids an overflow when the range spans most doubles.
     value = F.lit(domain.low) * (F.lit(1.0) - unit) + F.lit(domain.high) * unit
     return F.round(value, domain.precision)
 
@@ -416,6 +419,9 @@ def _render_span(domain: Span, offset: SparkColumn) -> SparkColumn:
         start = (domain.origin - datetime(1970, 1, 1)) // _MICROSECOND
         return F.timestamp_micros(offset.cast("bigint") * bigint(1_000_000) + bigint(start))
     low = domain.low
+    if domain.unit == "double":
+        rank = (F.lit(str(low)).cast("decimal(38,0)") + offset).cast("bigint")
+        return GridDoubles(domain.precision).column(rank, low, domain.high)
     wide = low < -(1 << 62) or domain.high - low >= MAX_SPACE
     number = (F.lit(str(low)).cast("decimal(38,0)") + offset if wide else bigint(low) + offset).cast("bigint")
     if domain.unit == "decimal":

@@ -17,6 +17,7 @@ from pyspark.sql import types as st
 
 from twinloom.errors import SpecError, UnsatisfiableError
 from twinloom.functions.convert import DERIVATIONS, check_conversion
+from twinloom.functions.doubles import GridDoubles
 from twinloom.functions.pattern import UNBOUNDED_REPEAT, read_pattern, single_class
 from twinloom.plans.types import Cardinality
 from twinloom.plans.types import LogicalType as T
@@ -60,7 +61,8 @@ class Span:
     """An integer of a closed range. ``unit`` says what one step stands for.
 
     ``number`` and ``digits`` use the integer itself, ``decimal`` divides it by ten to
-    the ``precision``, ``day`` counts from the epoch and ``second`` from ``origin``.
+    the ``precision``, ``double`` numbers the doubles that such quotients become, ``day``
+    counts from the epoch and ``second`` from ``origin``.
     """
 
     low: int
@@ -76,16 +78,12 @@ class Span:
 
 @dataclass(frozen=True)
 class Real:
-    """A rounded real number of a closed range whose decimal grid does not fit 64 bits."""
+    """A rounded real number of a closed range whose decimal grid is finer than doubles are."""
 
     low: float
     high: float
     precision: int
 
-    @property
-    def capacity(self) -> int:
-        return (round(self.high * 10**self.precision)) - round(self.low * 10**self.precision) + 1
-
 
 @dataclass(frozen=True)
 class Text:
@@ -449,11 +447,13 @@ def _float_domain(limits: Fields, grow: int, as_of: date) -> Span | Real:
     high = limits.number("max_value", max(FLOAT_RANGE[1], low + grow / scale))
     if high < low:
         raise SpecError(f"{limits.place}: the maximum is below the minimum")
-    if max(abs(low), abs(high)) * scale >= 1 << 53:
-        if limits.flag("is_unique", "unique") and not limits.get("allowed_values"):
-            raise SpecError(f"{limits.place}: a unique FLOAT column needs a grid below 2**53")
-        return Real(low, high, precision)
-    return Span(round(low * scale), round(high * scale), "decimal", precision)
+    doubles = GridDoubles(precision)
+    ranks = doubles.rank(low), doubles.rank(high)
+    if doubles.is_plain(*ranks):
+        return Span(*ranks, "decimal", precision)
+    if limits.flag("is_unique", "unique"):  # of the numbers that exist, which are fewer than the grid has
+        return Span(*ranks, "double", precision)
+    return Real(low, high, precision)
 
 
 def _date_domain(limits: Fields, grow: int, as_of: date) -> Span:
