@@ -19,6 +19,34 @@ def has_duplicates(frame: DataFrame, columns: list[str]) -> bool:
     return not duplicate_values(frame, columns).isEmpty()
 
 
+def repeating_columns(frame: DataFrame, columns: list[str]) -> list[str]:
+    """Those of the columns in which a non-null value occurs more than once, from one pass over the rows.
+
+    All columns are folded into counts of (column, 128-bit hash). Only if a hash is met twice are
+    the values behind such hashes compared themselves.
+    """
+    if not columns:
+        return []
+    cells = [
+        F.when(
+            F.col(name).isNotNull(),
+            F.struct(F.lit(place).alias("place"), F.xxhash64(name).alias("a"), F.xxhash64(F.lit(place + 1), name).alias("b")),
+        )
+        for place, name in enumerate(columns)
+    ]
+    hashes = frame.select(F.explode(F.array_compact(F.array(*cells))).alias("cell")).groupBy("cell").count()
+    met = hashes.where("count > 1").select("cell.*")
+    suspects = sorted(row.place for row in met.select("place").distinct().collect())
+    found = []
+    for place in suspects:
+        name = columns[place]
+        twice = met.where(F.col("place") == place).select("a")
+        values = frame.select(F.col(name).alias("value")).where("value IS NOT NULL").withColumn("a", F.xxhash64("value"))
+        if has_duplicates(values.join(twice, "a", "left_semi"), ["value"]):
+            found.append(name)
+    return found
+
+
 def orphan_values(
     child: DataFrame, child_column: str, parent: DataFrame, parent_column: str
 ) -> DataFrame:

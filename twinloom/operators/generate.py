@@ -9,7 +9,7 @@ row, so it needs no join; only a one-to-one reference to a column that may repea
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from datetime import datetime
 from graphlib import CycleError, TopologicalSorter
 
@@ -26,13 +26,14 @@ from twinloom.functions.pattern import pattern_text
 from twinloom.functions.stages import Stages, Term, combine
 from twinloom.functions.text import distinct_text, encode_index, random_text
 from twinloom.operators.align import strict_casts
-from twinloom.operators.checks import has_duplicates
-from twinloom.operators.indexing import dense_index
+from twinloom.operators.checks import repeating_columns
+from twinloom.operators.indexing import DenseIndex, dense_index
 from twinloom.plans.spec import (
     Choice,
     Column,
     DerivedColumn,
     GeneratedColumn,
+    Listed,
     Real,
     ReferenceColumn,
     Span,
@@ -41,6 +42,7 @@ from twinloom.plans.spec import (
 )
 from twinloom.plans.types import Cardinality
 from twinloom.plans.types import LogicalType as T
+from twinloom.sinks.pools import Pools
 
 ROW_ID = "row_id"
 ROWS_PER_TASK = 5_000_000
@@ -71,22 +73,42 @@ def generate_tables(
     seed: int = 0,
     rows: Mapping[str, DataFrame] | None = None,
     verify: bool = True,
+    lists: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
     """One DataFrame per table, in dependency order, columns in declared order.
 
     ``rows`` may supply the rows of a table instead of ``spark.range``: a DataFrame whose
     ``row_id`` column numbers them 0..n-1. Its other columns are kept in front.
-    ``verify`` runs the duplicate check for unique columns whose output conversion could
-    merge values; provably unique columns cost nothing.
+    ``lists`` supplies the lists of values that columns name in ``allowed_from``: DataFrames of one
+    column, of any length. ``verify`` runs the duplicate check for unique columns whose output
+    conversion could merge values; provably unique columns cost nothing.
+
+    The frames are lazy, so the value pools that some of them read stay in the shared folder;
+    ``tables_in_turn`` removes them.
     """
-    generator = Generator(spark, tables, seed, rows)
-    frames = {}
-    for table in generator.ordered:
-        with strict_casts(spark):
-            frames[table.name] = generator.frame(table)
-        if verify:
-            generator.verify(table, frames[table.name])
-    return frames
+    generator = Generator(spark, tables, seed, rows, lists)
+    return {table.name: generator.checked_frame(table, verify) for table in generator.ordered}
+
+
+def tables_in_turn(
+    spark: SparkSession,
+    tables: Iterable[Table],
+    seed: int = 0,
+    rows: Mapping[str, DataFrame] | None = None,
+    verify: bool = True,
+    lists: Mapping[str, DataFrame] | None = None,
+) -> Iterator[tuple[str, DataFrame]]:
+    """The same tables one after the other, each to be written before the next is asked for.
+
+    A value pool is removed as soon as no later table draws from it.
+    """
+    generator = Generator(spark, tables, seed, rows, lists)
+    try:
+        for table in generator.ordered:
+            yield table.name, generator.checked_frame(table, verify)
+            generator.finish(table)
+    finally:
+        generator.pools.close()
 
 
 def generate_table(
@@ -98,20 +120,30 @@ def generate_table(
 
 class Generator:
     def __init__(
-        self, spark: SparkSession, tables: Iterable[Table], seed: int, rows: Mapping[str, DataFrame] | None
+        self,
+        spark: SparkSession,
+        tables: Iterable[Table],
+        seed: int,
+        rows: Mapping[str, DataFrame] | None,
+        lists: Mapping[str, DataFrame] | None = None,
     ) -> None:
         self._spark = spark
         self._seed = seed
         self._rows = dict(rows or {})
+        self._lists = dict(lists or {})
         self.ordered = dependency_order(tables)
         self._tables = {table.name: table for table in self.ordered}
         self._columns = {(t.name, c.name): c for t in self.ordered for c in t.columns}
-        self._indexes: dict[tuple[str, str], object] = {}
         self._dense: set[str] = set()
+        self.pools = Pools(spark)
         self._check_time_zone()
         for table in self.ordered:
             for column in table.columns:
                 self._check_capacity(table, column)
+        for table in self.ordered:
+            for column in table.columns:
+                if self._joins(column):
+                    self._expect(self._pool_key(table, column))
 
     # --- what can be known before any job runs -------------------------------------------
 
@@ -125,7 +157,12 @@ class Generator:
 
     def _check_capacity(self, table: Table, column: Column) -> None:
         needed = table.rows - table.null_count(column)
-        if isinstance(column, GeneratedColumn) and column.unique and column.domain.capacity < needed:
+        if isinstance(column, GeneratedColumn) and isinstance(column.domain, Listed):
+            if column.domain.name not in self._lists:
+                raise SpecError(f"{table.name}.{column.name}: no list {column.domain.name!r} is supplied")
+            if len(self._lists[column.domain.name].columns) != 1:
+                raise SpecError(f"{table.name}.{column.name}: the list {column.domain.name!r} needs one column")
+        elif isinstance(column, GeneratedColumn) and column.unique and column.domain.capacity < needed:
             raise UnsatisfiableError(
                 f"{table.name}.{column.name} needs {needed} unique values, only {column.domain.capacity} exist"
             )
@@ -155,7 +192,7 @@ class Generator:
     def _joins(self, column: Column) -> bool:
         """Whether the value must be looked up, because no expression of the row gives it."""
         if not isinstance(column, ReferenceColumn):
-            return False
+            return isinstance(getattr(column, "domain", None), Listed)
         _, parent = self._parent(column)
         repeats = column.cardinality is Cardinality.ONE_TO_ONE and not self._distinct_by_construction(parent)
         return repeats or self._joins(parent)
@@ -220,69 +257,122 @@ class Generator:
             frame = frame.join(lookup, key, "left").drop(key)
         return frame
 
-    def _lookup(
-        self, writer: "_RowWriter", table: Table, column: ReferenceColumn, row: Term
-    ) -> tuple[DataFrame, Term]:
-        """The parent's values by position, and the position each child row takes.
+    def _lookup(self, writer: "_RowWriter", table: Table, column: Column, row: Term) -> tuple[DataFrame, Term]:
+        """The pool that the column draws from, and the position each row takes there.
 
         Rows that stay NULL get distinct negative positions that match nothing, so they
         spread over the join partitions instead of meeting under one NULL key.
         """
-        parent, source = self._parent(column)
         needed = table.rows - table.null_count(column)
         rank = writer.rank(column, row)
-        if column.cardinality is Cardinality.ONE_TO_ONE:
-            if self._distinct_by_construction(source):
-                lookup, count = self._by_rank(parent, source), parent.rows - parent.null_count(source)
-            else:
-                index = self._distinct_values(parent, source)
-                lookup, count = index.rows, index.count
-            if needed > count:
+        pool = self._pool(self._pool_key(table, column))
+        if self._distinct_by_construction(column):
+            if needed > pool.count:
                 raise UnsatisfiableError(
-                    f"{table.name}.{column.name} needs {needed} distinct parent values, only {count} exist"
+                    f"{table.name}.{column.name} needs {needed} distinct values, only {pool.count} exist"
                 )
             if not needed:
-                return lookup, rank
+                return pool.rows, rank
+            purpose = "stratum" if isinstance(column, ReferenceColumn) else "value"
             seat = combine(lambda r: F.greatest(r, bigint(0)), rank)
-            position = combine(
-                lambda r: spread_index(r, needed, count, self._key(table, column, "stratum"), r), seat
-            )
+            position = combine(lambda r: spread_index(r, needed, pool.count, self._key(table, column, purpose), r), seat)
         else:
-            lookup, count = self._by_rank(parent, source), parent.rows - parent.null_count(source)
+            if needed and not pool.count:
+                raise UnsatisfiableError(f"{table.name}.{column.name} needs {needed} values, none exist")
+            count = max(1, pool.count)
             position = combine(lambda r: draw_below(count, self._key(table, column, "value"), r), row)
-        return lookup, combine(lambda r, p: F.when(r >= 0, p).otherwise(r), rank, position)
+        return pool.rows, combine(lambda r, p: F.when(r >= 0, p).otherwise(r), rank, position)
 
-    def _by_rank(self, table: Table, column: Column) -> DataFrame:
-        rows = self.row_frame(table).select(ROW_ID)
-        frame = self._build(table, rows, [column], with_rank=column)
-        return frame.where(F.col("__rank") >= 0).select(
-            F.col("__rank").alias("position"), F.col(column.name).alias("value")
-        )
+    # --- value pools ---------------------------------------------------------------------
 
-    def _distinct_values(self, table: Table, column: Column):
-        key = (table.name, column.name)
-        if key not in self._indexes:
-            rows = self.row_frame(table).select(ROW_ID)
-            values = self._build(table, rows, [column])
-            at_most = table.rows - table.null_count(column)
-            self._indexes[key] = dense_index(values, at_most, self._key(table, column, "index"))
-        return self._indexes[key]
+    def _pool_key(self, table: Table, column: Column) -> tuple:
+        """What the column draws from: a supplied list, a parent's distinct values, or its values by rank."""
+        if isinstance(column, GeneratedColumn):
+            weighted = column.domain.weighted and not column.unique
+            return "list", column.domain.name, column.source, column.output, column.fmt, weighted
+        parent, source = self._parent(column)
+        one_to_one = column.cardinality is Cardinality.ONE_TO_ONE
+        kind = "distinct" if one_to_one and not self._distinct_by_construction(source) else "ranks"
+        return kind, parent.name, source.name
+
+    def _inner(self, key: tuple) -> tuple | None:
+        """The pool that building this one reads."""
+        if key[0] == "list":
+            return None
+        table = self._tables[key[1]]
+        column = table.column(key[2])
+        return self._pool_key(table, column) if self._joins(column) else None
+
+    def _expect(self, key: tuple) -> None:
+        """Count a use of a pool and, at the first one, those of what it is built from."""
+        if not self.pools.expected(key) and (inner := self._inner(key)):
+            self._expect(inner)
+        self.pools.expect(key)
+
+    def finish(self, table: Table) -> None:
+        """The table has been written: its columns no longer need their pools."""
+        for column in table.columns:
+            if self._joins(column):
+                self.pools.release(self._pool_key(table, column))
+
+    def _pool(self, key: tuple) -> DenseIndex:
+        def build(folder: str) -> DenseIndex:
+            built = getattr(self, f"_build_{key[0]}")(folder, *key[1:])
+            if inner := self._inner(key):
+                self.pools.release(inner)
+            return built
+
+        return self.pools.get(key, build)
+
+    def _build_ranks(self, folder: str, table_name: str, column_name: str) -> DenseIndex:
+        table = self._tables[table_name]
+        column = table.column(column_name)
+        frame = self._build(table, self.row_frame(table).select(ROW_ID), [column], with_rank=column)
+        ranked = frame.where(F.col("__rank") >= 0).select(F.col("__rank").alias("position"), F.col(column.name).alias("value"))
+        ranked.write.parquet(folder)
+        return DenseIndex(self._spark.read.schema(ranked.schema).parquet(folder), table.rows - table.null_count(column))
+
+    def _build_distinct(self, folder: str, table_name: str, column_name: str) -> DenseIndex:
+        table = self._tables[table_name]
+        column = table.column(column_name)
+        values = self._build(table, self.row_frame(table).select(ROW_ID), [column])
+        at_most = table.rows - table.null_count(column)
+        return dense_index(values, at_most, self._key(table, column, "index"), folder)
+
+    def _build_list(self, folder: str, name: str, source: T, output: T, fmt: str | None, weighted: bool) -> DenseIndex:
+        """Positions of the list's values, and what each is converted to."""
+        given = self._lists[name]
+        with strict_casts(self._spark):
+            values = given.select(F.col(f"`{given.columns[0]}`").cast(source.spark_type).alias("value"))
+            index = dense_index(values, values.count(), stream_key(self._seed, "list", name), folder, weighted)
+        return DenseIndex(index.rows.select("position", cv.convert(F.col("value"), source, output, fmt).alias("value")), index.count)
 
     # --- the final uniqueness check ------------------------------------------------------
 
+    def checked_frame(self, table: Table, verify: bool) -> DataFrame:
+        with strict_casts(self._spark):
+            frame = self.frame(table)
+        if verify:
+            self.verify(table, frame)
+        return frame
+
     def verify(self, table: Table, frame: DataFrame) -> None:
-        for column in table.columns:
-            if isinstance(column, GeneratedColumn) and column.unique and not _stays_unique(column):
-                if has_duplicates(frame, [column.name]):
-                    raise UnsatisfiableError(
-                        f"{table.name}.{column.name} is unique, but its output conversion repeats values"
-                    )
+        """One pass over the rows for all columns whose conversion could merge values."""
+        doubtful = [
+            c.name for c in table.columns if isinstance(c, GeneratedColumn) and c.unique and not _stays_unique(c)
+        ]
+        if repeated := repeating_columns(frame.select(doubtful), doubtful):
+            raise UnsatisfiableError(
+                f"{table.name}.{', '.join(repeated)} must be unique, but the output conversion repeats values"
+            )
 
 
 def _stays_unique(column: GeneratedColumn) -> bool:
     if cv.is_injective(column.source, column.output, column.fmt):
         return True
     domain = column.domain
+    if isinstance(domain, Listed):
+        return False
     if column.source is T.INT and column.output is T.FLOAT:
         bounds = (domain.low, domain.high) if isinstance(domain, Span) else domain.values
         return max(map(abs, bounds)) <= _EXACT_DOUBLE

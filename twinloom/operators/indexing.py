@@ -1,15 +1,20 @@
-"""A dense index over distinct values, without a global sort or a single-partition window."""
+"""Dense positions of values, written once."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from twinloom.functions.draws import bigint
+from twinloom.functions.draws import bigint, int_div
 
 ROWS_PER_BUCKET = 500_000
+#: Buckets whose starts are summed together; one number for each such group reaches the driver.
+BUCKETS_PER_GROUP = 1_000
 
 
 @dataclass(frozen=True)
@@ -18,23 +23,58 @@ class DenseIndex:
     count: int
 
 
-def dense_index(values: DataFrame, at_most: int, seed_key: int) -> DenseIndex:
-    """Number the distinct non-null values of the single column of ``values``.
+def dense_index(values: DataFrame, at_most: int, seed_key: int, folder: str, weighted: bool = False) -> DenseIndex:
+    """Number the non-null values of the single column of ``values``, each distinct one once.
 
-    Distinct values hash evenly into buckets of about ``ROWS_PER_BUCKET``, so no bucket is hot.
-    A running sum over the bucket sizes gives each bucket its offset; inside a bucket a window
-    numbers the values. The order depends on the values only, so a recomputed task gives the
-    same numbers, and all of it is lazy but the count.
+    ``weighted`` gives a value as many positions, one after the other, as it has rows. The
+    values are evaluated and shuffled once: batches are thinned to distinct values before, so a
+    value that fills a third of the rows travels as a few, and the hash buckets of about
+    ``ROWS_PER_BUCKET`` distinct values that they travel by are also the groups in which they
+    are combined and numbered. The result is written to ``folder``. The starts of the buckets are running
+    sums within groups of buckets, to which the sums of the groups before are added. The order depends
+    on the values only.
     """
     name = values.columns[0]
+    kind = values.schema[0].dataType.simpleString()
     buckets = max(1, -(-at_most // ROWS_PER_BUCKET))
+    thinned = values.select(F.col(name).alias("value")).mapInArrow(_counted, f"value {kind}, n bigint")
     hashed = F.xxhash64(bigint(seed_key), F.col("value"))
-    distinct = values.select(F.col(name).alias("value")).where(F.col("value").isNotNull()).distinct()
-    distinct = distinct.withColumn("bucket", F.pmod(hashed, bigint(buckets)))
-    earlier = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = distinct.groupBy("bucket").count()  # one row for half a million values
-    starts = starts.select("bucket", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("start"))
-    within = Window.partitionBy("bucket").orderBy(hashed, "value")
-    numbered = distinct.withColumn("rank", F.row_number().over(within) - 1)
-    rows = numbered.join(starts, "bucket").select((F.col("start") + F.col("rank")).alias("position"), "value")
-    return DenseIndex(rows, distinct.count())
+    dealt = thinned.select(F.pmod(hashed, bigint(buckets)).alias("bucket"), hashed.alias("h"), "value", "n").repartition("bucket")
+    total = F.sum("n") if weighted else F.lit(1).cast("bigint")
+    combined = dealt.groupBy("bucket", "h", "value").agg(total.alias("n"))
+    earlier = Window.partitionBy("bucket").orderBy("h", "value").rowsBetween(Window.unboundedPreceding, -1)
+    place = F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("place")
+    combined.select("bucket", place, "n", "value").write.parquet(folder)
+    spark = values.sparkSession
+    numbered = spark.read.schema(f"bucket bigint, place bigint, n bigint, value {kind}").parquet(folder)
+    starts, count = _starts(numbered.groupBy("bucket").agg(F.sum("n").alias("n")))
+    positions = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)) if weighted else F.lit(0)
+    rows = numbered.join(F.broadcast(starts) if buckets <= ROWS_PER_BUCKET else starts, "bucket")
+    rows = rows.select("start", "place", "value", positions.alias("more"))
+    return DenseIndex(rows.select((F.col("start") + F.col("place") + F.col("more")).alias("position"), "value"), count)
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = pc.value_counts(batch.column(0).drop_null())
+        yield pa.RecordBatch.from_arrays(found.flatten(), ["value", "n"])
+
+
+def _starts(sizes: DataFrame) -> tuple[DataFrame, int]:
+    """Where each bucket starts, and the sum of all sizes."""
+    sizes = sizes.withColumn("part", int_div(F.col("bucket"), BUCKETS_PER_GROUP))
+    sums = dict(sizes.groupBy("part").agg(F.sum("n")).collect())
+    before, reached = [], 0
+    for part in sorted(sums):
+        before += [F.lit(part), bigint(reached)]
+        reached += sums[part]
+    if not before:
+        return sizes.select("bucket", F.col("n").alias("start")), 0
+    earlier = Window.partitionBy("part").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("n").over(earlier), F.lit(0)) + F.get(F.array(*before[1::2]), _rank_of(before[::2]))
+    return sizes.select("bucket", start.alias("start")), reached
+
+
+def _rank_of(parts: list) -> Column:
+    """The place of the row's part among the parts that occur."""
+    return (F.array_position(F.array(*parts), F.col("part")) - 1).cast("int")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from twinloom.errors import CompareError, SpecError
 from twinloom.operators.audit import audit_reports
 from twinloom.operators.compare import compare, report_frame
-from twinloom.operators.generate import generate_tables
+from twinloom.operators.generate import tables_in_turn
 from twinloom.operators.runs import check_keep, latest_pointers, runs_to_remove
 from twinloom.plans.contract import ENGINES, Contract, read_contract
 from twinloom.plans.layout import RunLayout, new_run_id
@@ -84,7 +84,7 @@ def stage(
     rows: Mapping[str, DataFrame] | None = None,
 ) -> None:
     with small_methods(spark):
-        for name, frame in generate_tables(spark, contract.tables, seed, rows).items():
+        for name, frame in tables_in_turn(spark, contract.tables, seed, rows):
             artifacts.stage_table(frame, layout.table_data(name))
     for engine in ENGINES:
         artifacts.stage_query(spark, contract.queries[engine], layout.query(engine))

@@ -56,6 +56,14 @@ class Choice:
         return len(dict.fromkeys(self.values))
 
 
+@dataclass(frozen=True)
+class Listed:
+    """A value of a list that is supplied as a table; repeated values carry weight if ``weighted``."""
+
+    name: str
+    weighted: bool
+
+
 @dataclass(frozen=True)
 class Span:
     """An integer of a closed range. ``unit`` says what one step stands for.
@@ -115,7 +123,7 @@ class GeneratedColumn:
     name: str
     source: T
     output: T
-    domain: Choice | Span | Real | Text | Pattern
+    domain: Choice | Listed | Span | Real | Text | Pattern
     null_ratio: float = 0.0
     unique: bool = False
     fmt: str | None = None
@@ -342,6 +350,8 @@ class _Reader:
         source = self._column((key[0], link.name("source_column")), path)
         if not isinstance(source, GeneratedColumn) or source.source not in (T.DATE, T.TIMESTAMP):
             raise SpecError(f"{fields.place}: the source must be a generated DATE or TIMESTAMP column")
+        if isinstance(source.domain, Listed):
+            raise SpecError(f"{fields.place}: a column drawn from a supplied list has no derived columns")
         if output not in (T.INT, T.STRING):
             raise SpecError(f"{fields.place}: a derived column is INT or STRING")
         rule = link.text("rule")
@@ -381,6 +391,10 @@ class _Reader:
         domain = builders[source](limits, grow, self._as_of)
         if allowed:
             domain = _choice(limits, source, allowed)
+        if limits.get("allowed_from") is not None:
+            if allowed is not None:
+                raise SpecError(f"{fields.place}: allowed_from cannot be combined with allowed_values")
+            domain = Listed(limits.text("allowed_from"), source not in (T.STRING, T.BOOLEAN))
         return GeneratedColumn(
             key[1], source, output, domain, limits.ratio("null_ratio"), unique, fmt
         )

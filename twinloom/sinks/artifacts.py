@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from twinloom.errors import CodedError, LoadError
 from twinloom.operators.runs import next_pointers
 from twinloom.plans.layout import RunLayout
+from twinloom.sinks.folders import delete_folder, exists
 from twinloom.sources.texts import query_from_text
 
 TECHNICAL_FAILURE = "TECHNICAL_FAILURE"
@@ -105,15 +106,9 @@ def read_runs(spark: SparkSession, layout: RunLayout) -> DataFrame:
     return started.join(events.where("event = 'removed'"), "run_id", "left_anti").distinct()
 
 
-def exists(spark: SparkSession, uri: str) -> bool:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
-
-
 def delete_run(spark: SparkSession, layout: RunLayout) -> None:
     """Remove the files of one run and record that it is gone."""
     if not layout.run_id.strip(". ") or "/" in layout.run_id:
         raise ValueError(f"Not the id of one run: {layout.run_id!r}")
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(layout.run_folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    delete_folder(spark, layout.run_folder)
     record_run(spark, layout, "removed")
