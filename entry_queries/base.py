@@ -22,10 +22,12 @@ def use_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def synthetic(spark: SparkSession, sf_dir: str, **tables: tuple[str, list[dict]]) -> dict[str, DataFrame]:
+def synthetic(
+    spark: SparkSession, sf_dir: str, lists: dict[str, DataFrame] | None = None, **tables: tuple[str, list[dict]]
+) -> dict[str, DataFrame]:
     """Tables generated over the rows of given ones: ``name=(given table, columns)``.
 
-    The given table's dense key is the row id; its row count is the table size.
+    The given table's dense key is the row id; its row count is the table size. ``lists`` are lists of values.
     """
     use_utc(spark)
     compile_small_methods(spark)
@@ -34,7 +36,7 @@ def synthetic(spark: SparkSession, sf_dir: str, **tables: tuple[str, list[dict]]
         key = KEYS[given]
         rows[name] = read(spark, sf_dir, given).select(F.col(key).alias("row_id"), key)
         raw.append({"table_name": name, "total_rows": rows[name].count(), "columns": columns})
-    frames = generate_tables(spark, read_tables(raw, AS_OF), SEED, rows)
+    frames = generate_tables(spark, read_tables(raw, AS_OF), SEED, rows, lists=lists)
     return {name: local_times(frame) for name, frame in frames.items()}
 
 

@@ -1,4 +1,4 @@
-"""The whole run: specification -> two related tables -> two targets -> two queries -> one report."""
+"""The whole run: specification -> a chain of tables -> two targets each -> two queries -> one report."""
 
 from __future__ import annotations
 
@@ -9,18 +9,23 @@ from pyspark.sql import functions as F
 
 from entry_queries.base import AS_OF, KEYS, read, use_utc
 from entry_queries.duck import SEED
-from entry_queries.references import DEPOTS, ORACLES as REFERENCE_ORACLES, PARCELS
+from entry_queries.references import CHAIN, ORACLES as REFERENCE_ORACLES
 from twinloom.plans.pipeline import run_pipeline
 from twinloom.session import shared_folder
 from twinloom.sources.tables import read_staged
 
 QUERIES, ORACLES = {}, {}
 
-DEPOT_FIELDS = "code bigint, zone bigint, shift_count bigint, opened bigint"
-PARCEL_FIELDS = "size_class string, depot bigint, grams bigint, seal string, carrier string, route bigint"
+FIELDS = {
+    "stations": "altitude double, opened date, opened_year string, station string",
+    "sensors": "in_use boolean, station string, model string",
+    "readings": "station string, taken timestamp, month bigint, celsius double",
+}
 REPORT_SQL = """
-    SELECT p.size_class, d.opened, count(*) AS n_parcels, count(p.grams) AS n_weighed, max(p.seal) AS last_seal
-    FROM {parcels} p JOIN {depots} d ON p.depot = d.code GROUP BY p.size_class, d.opened"""
+    SELECT s.model, r.month, count(*) AS n_readings, count(r.celsius) AS n_measured, max(r.celsius) AS hottest,
+           min(t.opened_year) AS since, max(t.altitude) AS highest
+    FROM {readings} r JOIN {sensors} s ON r.station = s.station JOIN {stations} t ON s.station = t.station
+    WHERE s.in_use GROUP BY s.model, r.month"""
 
 
 def create_target(spark: SparkSession, fields: str) -> str:
@@ -32,11 +37,10 @@ def create_target(spark: SparkSession, fields: str) -> str:
 def run(spark: SparkSession, sf_dir: str):
     use_utc(spark)
     rows, tables, targets = {}, [], {}
-    plan = (("depots", "customer", DEPOTS, DEPOT_FIELDS), ("parcels", "orders", PARCELS, PARCEL_FIELDS))
-    for name, given, columns, fields in plan:
+    for name, (given, columns) in CHAIN.items():
         ids = read(spark, sf_dir, given).select(F.col(KEYS[given]).alias("row_id"))
         rows[name] = ids
-        targets[name] = {engine: create_target(spark, fields) for engine in ("hive", "iceberg")}
+        targets[name] = {engine: create_target(spark, FIELDS[name]) for engine in ("hive", "iceberg")}
         tables.append(
             {
                 "table_name": name,
@@ -48,13 +52,16 @@ def run(spark: SparkSession, sf_dir: str):
             }
         )
     queries = {
-        f"{engine}_sql": REPORT_SQL.format(
-            parcels=targets["parcels"][engine], depots=targets["depots"][engine]
-        )
+        f"{engine}_sql": REPORT_SQL.format(**{name: targets[name][engine] for name in targets})
         for engine in ("hive", "iceberg")
     }
     base = shared_folder(spark, "base")
-    return run_pipeline(spark, {"tables": tables, "queries": queries}, base, AS_OF, SEED, rows=rows)
+    try:
+        return run_pipeline(spark, {"tables": tables, "queries": queries}, base, AS_OF, SEED, rows=rows)
+    finally:  # results and reports are files of their own
+        for engines in targets.values():
+            for name in engines.values():
+                spark.sql(f"DROP TABLE {name}")
 
 
 def pipeline_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,8 +79,8 @@ def _flat_report(spark, sf_dir):
 
 
 _GROUPED = (
-    "SELECT size_class, opened, count(*) AS n_parcels, count(grams) AS n_weighed, max(seal) AS last_seal "
-    f"FROM ({REFERENCE_ORACLES['gen_two_tables']}) t GROUP BY ALL"
+    "SELECT model, month, count(*) AS n_readings, count(celsius) AS n_measured, max(celsius) AS hottest, "
+    f"min(opened_year) AS since, max(altitude) AS highest FROM ({REFERENCE_ORACLES['gen_two_tables']}) t WHERE in_use GROUP BY ALL"
 )
 
 QUERIES["pipeline_report"] = _flat_report

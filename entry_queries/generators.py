@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from entry_queries.base import column, derived, read, synthetic
-from entry_queries.duck import below, chars, key, pick, rows_of
+from entry_queries.duck import SEED, below, chars, hash_sql, key, pick, rows_of, signed
+from twinloom.functions.draws import stream_key
 from twinloom.operators.checks import duplicate_values
 
 LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -149,18 +150,40 @@ unique(
 )
 unique("null_with_unique", "INT", "5000000000", "(7 + idx)::BIGINT", ratio="0.1", null_ratio=0.1, min_value=7, max_value=5_000_000_006)
 
-# A list of allowed values bounds how many rows can be unique: here a word for every 25 rows, and 2% of rows get one.
-def _allowed_unique(spark, sf_dir):
-    words = [f"word_{number}" for number in range(read(spark, sf_dir, "orders").count() // 25)]
-    spec = column("v", "STRING", unique=True, allowed_values=words, null_ratio=0.98)
-    return synthetic(spark, sf_dir, gen_allowed_unique=("orders", [spec]))["gen_allowed_unique"]
+# Lists of allowed values that are columns of a table: their distinct values, or each as often as it occurs.
+def listed(name: str, source: str, **constraints) -> None:
+    def run(spark, sf_dir):
+        values = read(spark, sf_dir, "lineitem").select(source)
+        return synthetic(spark, sf_dir, {source: values}, **{name: ("orders", [column("v", "INT", allowed_from=source, **constraints)])})[name]
 
+    QUERIES[name] = run
 
-QUERIES["gen_allowed_unique"] = _allowed_unique
+
+def _positions(source: str, rows: str) -> str:
+    """The values in the order of their hash buckets and hashes."""
+    h = signed(hash_sql(stream_key(SEED, "list", source), "val"))
+    bucket = f"(({h}) % buckets + buckets) % buckets"
+    return (
+        f"d0 AS ({rows}), d1 AS (SELECT val, greatest(1, ((SELECT count(*) FROM lineitem) + 499999) // 500000) AS buckets FROM d0), "
+        f"d AS (SELECT val, row_number() OVER (ORDER BY {bucket}, {h}, val) - 1 AS place FROM d1)"
+    )
+
+
+listed("gen_allowed_unique", "l_partkey", unique=True, null_ratio=0.95)
+_one_of_a_list = (
+    over("gen_allowed_unique").permute("pos", "gen_allowed_unique", "v").nulls("0.95")
+    .spread("idx", "(SELECT count(*) FROM d)", key("gen_allowed_unique", "v"))
+)
 ORACLES["gen_allowed_unique"] = (
-    over("gen_allowed_unique").permute("pos", "gen_allowed_unique", "v").nulls("0.98")
-    .spread("idx", "n // 25", key("gen_allowed_unique", "v"))
-    .select("id AS o_orderkey, CASE WHEN rank >= 0 THEN 'word_' || idx::VARCHAR END AS v")
+    f"WITH {_positions('l_partkey', 'SELECT DISTINCT l_partkey AS val FROM lineitem')}, {_one_of_a_list.ctes()} "
+    f"SELECT id AS o_orderkey, CASE WHEN rank >= 0 THEN val END AS v FROM {_one_of_a_list.name} JOIN d ON place = idx"
+)
+
+listed("gen_allowed_table", "l_linenumber")
+ORACLES["gen_allowed_table"] = (
+    f"WITH {_positions('l_linenumber', 'SELECT l_linenumber::BIGINT AS val FROM lineitem')}, drawn AS (SELECT o_orderkey, "
+    f"{below('(SELECT count(*) FROM lineitem)', key('gen_allowed_table', 'v'), 'o_orderkey')} AS place FROM orders) "
+    "SELECT o_orderkey, val AS v FROM drawn JOIN d USING (place)"
 )
 
 # Exact NULL counts: the row keeps its value, the permutation decides which rows lose it.

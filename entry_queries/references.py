@@ -14,7 +14,6 @@ from entry_queries.generators import LOWER
 from twinloom.operators.checks import null_counts, orphan_values
 
 QUERIES, ORACLES = {}, {}
-UPPER_DIGITS = LOWER.upper() + "0123456789"
 
 
 def child_of(name: str, *parents: tuple, child: list[dict], given: str = "orders") -> None:
@@ -120,56 +119,69 @@ ORACLES["ref_to_derived"] = with_parts(
     main="SELECT c.id AS o_orderkey, strftime(p.day, '%Y%m%d')::BIGINT AS v FROM {c} c JOIN {p} p ON p.rank = c.seat",
 )
 
-# Two whole tables, in dependency order and declared column order.
-DEPOTS = [
-    CODE,
-    column("zone", "INT", min_value=1, max_value=900, null_ratio=0),
-    column("shift_count", "INT", allowed_values=[1, 2, 3]),
-    column("opened", "DATE", "INT", date_format="%Y%m%d"),
+# A chain of whole tables: stations, some of which have one sensor each, and the readings of sensors.
+STATIONS = [
+    column("altitude", "FLOAT", min_value=-20, max_value=2500, precision=1),
+    column("opened", "DATE", min_value="2001-01-01", max_value="2009-12-31", null_ratio=0.05),
+    derived("opened_year", "opened", "YYYY", "STRING"),
+    column("station", "STRING", unique=True, length=7, case_mode="upper"),
 ]
-PARCELS = [
-    column("size_class", "STRING", allowed_values=["small", "bulky"]),
-    reference("depot", "depots", "code"),
-    column("grams", "INT", min_value=50, max_value=2 * 10**6, null_ratio=0.1),
-    column("seal", "STRING", regular_expr="^[A-Z0-9]{6}$", case_mode="upper", null_ratio=0.1),
-    column("carrier", "STRING", allowed_values=["road"]),
-    column("route", "INT", min_value=1, max_value=40_000),
+SENSORS = [
+    column("in_use", "BOOLEAN"),
+    reference("station", "stations", "station", "ONE_TO_ONE"),
+    column("model", "STRING", allowed_values=["wind", "rain", "heat"]),
 ]
+READINGS = [
+    reference("station", "sensors", "station"),
+    column("taken", "TIMESTAMP", min_timestamp="2024-02-28 12:00:00", max_timestamp="2024-03-01 19:33:20"),
+    derived("month", "taken", "MM", "INT"),
+    column("celsius", "FLOAT", min_value=-30, max_value=45, null_ratio=0.02),
+]
+CHAIN = {"stations": ("customer", STATIONS), "sensors": ("supplier", SENSORS), "readings": ("orders", READINGS)}
 
 
 def _two_tables(spark, sf_dir):
-    frames = synthetic(spark, sf_dir, parcels=("orders", PARCELS), depots=("customer", DEPOTS))
-    depots = frames["depots"].drop("c_custkey")
-    return frames["parcels"].join(depots, F.col("depot") == F.col("code")).drop("code")
+    frames = synthetic(spark, sf_dir, **CHAIN)
+    stations, sensors = frames["stations"].drop("c_custkey"), frames["sensors"].drop("s_suppkey")
+    return frames["readings"].join(sensors, "station").join(stations, "station")
 
 
 QUERIES["gen_two_tables"] = _two_tables
 
 
 def _two_tables_sql() -> str:
-    parcel, depot = (lambda name, table=table: key(table, name) for table in ("parcels", "depots"))
-    depots = code_parent("depots", "p").let(
-        zone=f"(1 + {below(900, depot('zone'), 'id')})::BIGINT",
-        shift_count=pick(["1::BIGINT", "2", "3"], depot("shift_count"), "id"),
-        opened=f"strftime(DATE '2025-01-01' + {below(365, depot('opened'), 'id')}::INT, '%Y%m%d')::BIGINT",
+    def k(table, name, purpose="value"):
+        return key(table, name, purpose)
+
+    def grid(low: int, high: int, scale: str, stream: int) -> str:
+        """A rounded uniform number: the ends of the grid have half the weight."""
+        return f"({low} + ({below(2 * (high - low), stream, 'id')} + 1) // 2)::BIGINT::DOUBLE / {scale}::DOUBLE"
+
+    stations = rows_of("customer", "c_custkey", "p").permute("pos", "stations", "station").nulls("0")
+    stations.spread("idx", str(26**7), k("stations", "station")).let(
+        station=chars("idx", LOWER.upper(), 7), altitude=grid(-200, 25_000, "10.0", k("stations", "altitude"))
+    )
+    opened = rows_of("customer", "c_custkey", "o").permute("pos", "stations", "opened").nulls("0.05")
+    opened.let(day=f"CASE WHEN rank >= 0 THEN (DATE '2001-01-01' + {below(3287, k('stations', 'opened'), 'id')}::INT)::DATE END")
+    sensors = rows_of("supplier", "s_suppkey", "m").permute("pos", "sensors", "station").nulls("0")
+    sensors.spread("seat", "(SELECT count(*) FROM customer)", k("sensors", "station", "stratum")).let(
+        in_use=pick(["true", "false"], k("sensors", "in_use"), "id"),
+        model=pick(["'wind'", "'rain'", "'heat'"], k("sensors", "model"), "id"),
     )
-    parcels = rows_of("orders", "o_orderkey", "c").permute("pos", "parcels", "grams").nulls("0.1")
-    parcels.let(
-        grams=f"CASE WHEN rank >= 0 THEN (50 + {below(2 * 10**6 - 49, parcel('grams'), 'id')})::BIGINT END",
-        size_class=pick(["'small'", "'bulky'"], parcel("size_class"), "id"),
-        seat=below("(SELECT count(*) FROM customer)", parcel("depot"), "id"),
-        route=f"(1 + {below(40_000, parcel('route'), 'id')})::BIGINT",
-        draw=below(36**6, parcel("seal"), "id"),
+    readings = rows_of("orders", "o_orderkey", "c").permute("pos", "readings", "celsius").nulls("0.02").let(
+        seat=below("(SELECT count(*) FROM supplier)", k("readings", "station"), "id"),
+        taken=f"TIMESTAMP '2024-02-28 12:00:00' + to_seconds({below(200_001, k('readings', 'taken'), 'id')}::BIGINT)",
+        degrees=grid(-3000, 4500, "100.0", k("readings", "celsius")),
     )
-    seals = rows_of("orders", "o_orderkey", "q").permute("pos", "parcels", "seal").nulls("0.1")
     return with_parts(
-        depots,
-        parcels,
-        seals,
-        main="SELECT c.id AS o_orderkey, size_class, p.val AS depot, grams, "
-        f"CASE WHEN q.rank >= 0 THEN {chars('draw', UPPER_DIGITS, 6)} END AS seal, 'road' AS carrier, route, "
-        "zone, shift_count, opened "
-        "FROM {c} c JOIN {p} p ON p.rank = c.seat JOIN {q} q ON q.id = c.id",
+        stations,
+        opened,
+        sensors,
+        readings,
+        main="SELECT c.id AS o_orderkey, p.station, c.taken, strftime(c.taken, '%m')::BIGINT AS month, "
+        "CASE WHEN c.rank >= 0 THEN c.degrees END AS celsius, m.in_use, m.model, p.altitude, o.day AS opened, "
+        "strftime(o.day, '%Y') AS opened_year "
+        "FROM {c} c JOIN {m} m ON m.rank = c.seat JOIN {p} p ON p.rank = m.seat JOIN {o} o ON o.id = p.id",
     )
 
 
