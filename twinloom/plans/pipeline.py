@@ -14,7 +14,7 @@ from twinloom.errors import CompareError, SpecError
 from twinloom.operators.audit import audit_reports
 from twinloom.operators.compare import compare, report_frame
 from twinloom.operators.generate import tables_in_turn
-from twinloom.operators.runs import check_keep, latest_pointers, runs_to_remove
+from twinloom.operators.runs import check_keep, runs_to_remove
 from twinloom.plans.contract import ENGINES, Contract, read_contract
 from twinloom.plans.layout import RunLayout, new_run_id
 from twinloom.session import small_methods
@@ -120,7 +120,7 @@ def checked_report(spark: SparkSession, layout: RunLayout) -> DataFrame:
 
 def retain(spark: SparkSession, layout: RunLayout, keep_runs: int) -> tuple[str, ...]:
     """Delete the runs that no pointer needs and that are not among the newest."""
-    pointers = latest_pointers(artifacts.read_pointers(spark, layout))
+    pointers = artifacts.current_pointers(spark, layout)
     gone = runs_to_remove(artifacts.read_runs(spark, layout), pointers, keep_runs)
     removed = tuple(sorted(row.run_id for row in gone.toLocalIterator()))
     for run_id in removed:
@@ -131,7 +131,7 @@ def retain(spark: SparkSession, layout: RunLayout, keep_runs: int) -> tuple[str,
 def latest_table(spark: SparkSession, base: str, table: str) -> DataFrame | None:
     """The newest published data of a table, or None when it was never published."""
     layout = RunLayout(base.rstrip("/"), "")
-    pointer = latest_pointers(artifacts.read_pointers(spark, layout).where(F.col("table_name") == table)).first()
+    pointer = artifacts.current_pointers(spark, layout).where(F.col("table_name") == table).first()
     if pointer is None:
         return None
     return read_staged(spark, layout.for_run(pointer.run_id).table_data(table))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from datetime import datetime
@@ -10,13 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinloom.errors import CodedError, LoadError
-from twinloom.operators.runs import next_pointers
+from twinloom.operators.runs import latest_pointers, next_pointers
 from twinloom.plans.layout import RunLayout
-from twinloom.sinks.folders import delete_folder, exists
+from twinloom.sinks.folders import create_file, delete_folder, exists, names
 from twinloom.sources.texts import query_from_text
 
 TECHNICAL_FAILURE = "TECHNICAL_FAILURE"
 POINTER_SCHEMA = "table_name string, run_id string, previous_run_id string, updated_at timestamp"
+#: Entries after which the pointers in force are written as one file.
+ENTRIES_PER_SNAPSHOT = 20
 RUN_SCHEMA = "run_id string, event string"
 
 
@@ -85,18 +88,61 @@ def record_run(spark: SparkSession, layout: RunLayout, event: str) -> None:
 def commit_pointers(
     spark: SparkSession, layout: RunLayout, tables: Iterable[str], updated_at: datetime
 ) -> None:
-    """Append one pointer per published table; readers follow the newest one."""
-    commits = one_row(spark, tables=list(tables), run_id=layout.run_id, updated_at=updated_at).select(
-        F.explode("tables").alias("table_name"), "run_id", "updated_at"
-    )
-    rows = next_pointers(read_pointers(spark, layout), commits)
-    rows.coalesce(1).write.mode("append").json(layout.pointers_table)
+    """Publish a run: one pointer per table, in one numbered entry of the catalogue.
+
+    An entry is created only if its number is free. Whoever comes second reads what the first
+    one has published and tries the next number, so no commit loses sight of the one before.
+    Moments of entries rise with their numbers, whatever the clocks say.
+    """
+    tables = list(tables)
+    while True:
+        number = _last_entry(spark, layout) + 1
+        current = current_pointers(spark, layout)
+        newest = current.agg(F.unix_millis(F.max("updated_at"))).first()[0]
+        at = F.lit(updated_at) if newest is None else F.greatest(F.lit(updated_at), F.timestamp_millis(F.lit(newest + 1)))
+        commits = one_row(spark, tables=tables, run_id=layout.run_id).select(
+            F.explode("tables").alias("table_name"), "run_id", at.alias("updated_at")
+        )
+        lines = next_pointers(current, commits).select(F.to_json(F.struct("*"))).collect()  # one for each table of the run
+        content = "\n".join(sorted(line[0] for line in lines)) + "\n"
+        if create_file(spark, f"{layout.pointers_table}/{number:012d}.json", content.encode()):
+            break
+    if number % ENTRIES_PER_SNAPSHOT == 0:
+        _compact(spark, layout, number)
+
+
+def _entries(spark: SparkSession, folder: str) -> list[int]:
+    return sorted(int(name[:12]) for name in names(spark, folder) if re.fullmatch(r"\d{12}\.json", name))
+
+
+def _last_entry(spark: SparkSession, layout: RunLayout) -> int:
+    return max(_entries(spark, layout.pointers_table), default=0)
+
+
+def _compact(spark: SparkSession, layout: RunLayout, number: int) -> None:
+    """The pointers in force after an entry, as one file; the entries stay as the history."""
+    rows = current_pointers(spark, layout, number).select(F.to_json(F.struct("*"))).collect()  # one for each table
+    content = "\n".join(sorted(row[0] for row in rows)) + "\n"
+    create_file(spark, f"{layout.pointers_table}/snapshots/{number:012d}.json", content.encode())
+
+
+def current_pointers(spark: SparkSession, layout: RunLayout, up_to: int | None = None) -> DataFrame:
+    """The pointer in force of each table, from the newest snapshot and the entries after it."""
+    folder = layout.pointers_table
+    entries = [n for n in _entries(spark, folder) if up_to is None or n <= up_to]
+    snapshot = max((n for n in _entries(spark, f"{folder}/snapshots") if up_to is None or n <= up_to), default=0)
+    files = [f"{folder}/{n:012d}.json" for n in entries if n > snapshot]
+    files += [f"{folder}/snapshots/{snapshot:012d}.json"] if snapshot else []
+    if not files:
+        return spark.createDataFrame([], POINTER_SCHEMA)
+    return latest_pointers(spark.read.schema(POINTER_SCHEMA).json(files)).select("table_name", "run_id", "previous_run_id", "updated_at")
 
 
 def read_pointers(spark: SparkSession, layout: RunLayout) -> DataFrame:
-    if not exists(spark, layout.pointers_table):
+    """The whole history of pointers."""
+    if not _last_entry(spark, layout):
         return spark.createDataFrame([], POINTER_SCHEMA)
-    return spark.read.schema(POINTER_SCHEMA).json(layout.pointers_table)
+    return spark.read.schema(POINTER_SCHEMA).json(f"{layout.pointers_table}/*.json")
 
 
 def read_runs(spark: SparkSession, layout: RunLayout) -> DataFrame:
