@@ -7,6 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tests.llm.test_words import thue_morse
 from twinloom.llm import near as N
 from twinloom.llm.graph import components
 from twinloom.llm.words import Words, text_bytes
@@ -135,3 +136,10 @@ def test_components(spark, links):
         parent[y] = x
     found = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert found == {i: root(i) for a, b in links if a != b for i in parent if root(i) == root(a)}
+
+
+def test_words_that_agree_under_every_polynomial(spark):
+    texts = [thue_morse(1024), thue_morse(1024, "ba")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = N.near_duplicates(docs, size=3, similar=(85, 100)).collect()
+    assert sorted((r.doc_id, r.component_id) for r in found) == [(0, 0), (1, 1)]

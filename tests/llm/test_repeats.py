@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from tests.llm.test_words import thue_morse
 from twinloom.llm import repeats as R
 
 
@@ -57,3 +58,10 @@ def test_sample_table_and_kept_texts(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert R.without_repeats(docs).collect() == []
+
+
+def test_words_that_agree_under_every_polynomial(spark):
+    common = " ".join(f"w{i}" for i in range(34))
+    texts = [f"{common} {thue_morse(1024)}", f"{common} {thue_morse(1024, 'ba')}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.n_removed for r in R.without_repeats(docs).collect()] == [0, 0]

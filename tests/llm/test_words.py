@@ -45,3 +45,13 @@ def test_windows_stay_within_texts(counts, size):
 def test_steps_cover_all_texts_once():
     offsets = np.array([0, 5, 5, 30, 31, 32])
     assert list(W.steps(offsets, 6)) == [(0, 2), (2, 3), (3, 5)]
+
+
+def thue_morse(size, letters="ab"):
+    return "".join(letters[bin(i).count("1") % 2] for i in range(size))
+
+
+def test_words_that_agree_under_every_polynomial():
+    pair = [thue_morse(1024), thue_morse(1024, "ba")]
+    data, offsets = W.text_bytes(pa.array([*pair, pair[0][:512] * 2, "ab", "ba"]))
+    assert len(set(W.Words(data, offsets).hashes().tolist())) == 5
