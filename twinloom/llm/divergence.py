@@ -41,7 +41,7 @@ CHUNK_BYTES = ~kind((0x09, 0x0D), (0x20, 0x20))
 #: A term is a maximal run of ASCII letters and characters outside ASCII.
 TERM_PATTERN = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 #: Bytes of text of a block.
-BLOCK = 32 << 20
+BLOCK = 24 << 20
 #: Terms that a task compares at once, and sources of a block.
 BUCKET, SOURCES = 20_000, 256
 #: (language, term) rows that are sent to all tasks; beyond, the same join shuffles.
@@ -66,22 +66,30 @@ def chunk_counts(texts: DataFrame, min_docs: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
         for rows, data, offsets in gathered(batches, BLOCK):
-            yield from _counted(block, rows.column(0).to_numpy(), LOWER[data], offsets, min_docs)
+            yield from _counted(block, rows.column(0).to_numpy(), data, offsets, min_docs)
             block += 1
 
     return texts.select("group", "text").mapInArrow(work, COUNTS)
 
 
 def _counted(block: int, group: np.ndarray, data: np.ndarray, offsets: np.ndarray, min_docs: int) -> Iterator[pa.RecordBatch]:
+    data = LOWER[data]
     starts, ends, bounds = runs(data, offsets, CHUNK_BYTES)
-    codes, names = distinct(data, starts, ends)
+    codes, names = distinct(data, starts, ends, CHUNK_BYTES)
+    del data, starts, ends
     names = names.cast(pa.string())
     number, count = max(len(group), 1), np.diff(bounds)
     by_group = np.argsort(group, kind="stable")  # documents renumbered so that a group's lie together
     place = np.empty(len(group), np.int64)
     place[by_group] = np.arange(len(group))
     group = group[by_group]
-    pairs, times = np.unique(codes.astype(np.int64) * number + np.repeat(place, count), return_counts=True)
+    pairs = codes.astype(np.int64)
+    pairs *= number
+    pairs += np.repeat(place, count)
+    pairs.sort()
+    at = np.flatnonzero(np.diff(pairs, prepend=-1))  # where each (chunk, document) starts
+    times = np.diff(np.append(at, len(pairs)))
+    pairs = pairs[at]
     code, doc = pairs // number, pairs % number
     held = group[doc]
     new = np.ones(len(code), bool)

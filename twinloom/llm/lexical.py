@@ -71,7 +71,7 @@ def _postings(shard: int, doc_ids: pa.Array, data: np.ndarray, offsets: np.ndarr
     data = LOWER[data]
     starts, ends, bounds = runs(data, offsets, TERM_BYTES)
     counts = np.diff(bounds)
-    codes, names = distinct(data, starts, ends)
+    codes, names = distinct(data, starts, ends, TERM_BYTES)
     m = np.array([25 + 75 * n * documents // max(terms, 1) for n in counts.tolist()], np.int64)
     known = doc_ids.is_valid().to_numpy(zero_copy_only=False)
     ids = doc_ids.fill_null(0).to_numpy()

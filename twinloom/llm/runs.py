@@ -38,14 +38,11 @@ def runs(data: np.ndarray, offsets: np.ndarray, flags: np.ndarray) -> tuple[np.n
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, pa.Array]:
-    """For each of the ordered ranges the number of its string, and the distinct strings."""
-    change = np.zeros(len(data) + 1, np.int8)
-    np.add.at(change, starts, 1)
-    np.add.at(change, ends, -1)
-    held = data[np.cumsum(change[:-1], dtype=np.int8) > 0]
+def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, flags: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """For each run of flagged bytes the number of its string, and the distinct strings."""
+    held = data[flags[data]]
     offsets = np.concatenate(([0], np.cumsum(ends - starts)))
-    texts = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(held.tobytes())])
+    texts = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(held)])
     found = texts.dictionary_encode()
     return found.indices.to_numpy(), found.dictionary
 
@@ -74,7 +71,8 @@ def _cut(waiting: list[pa.RecordBatch], limit: int):
     whole = pa.Table.from_batches(waiting).combine_chunks().to_batches()
     for batch in whole:
         data, offsets = text_bytes(batch.column(batch.num_columns - 1))
-        for a, b in steps(offsets, limit):
+        parts = max(1, -(-len(data) // limit))  # of about the same size
+        for a, b in steps(offsets, -(-len(data) // parts)):
             own = offsets[a : b + 1]
             yield batch.slice(a, b - a), data[own[0] : own[-1]], own - own[0]
 

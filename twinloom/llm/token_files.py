@@ -74,7 +74,7 @@ class PieceTokens:
     other are taken whole. Ids of pieces are remembered in two generations of bounded size.
     """
 
-    def __init__(self, name: str, remembered: int = 600_000):
+    def __init__(self, name: str, remembered: int = 400_000):
         import public_tokenizers
         from tokenizers import Tokenizer
 
