@@ -3,21 +3,24 @@
 from __future__ import annotations
 
 import logging
+import threading
+import uuid
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor, as_completed
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinloom.errors import CompareError, SpecError
+from twinloom.errors import CompareError, LoadError, SpecError
 from twinloom.operators.audit import audit_reports
 from twinloom.operators.compare import compare, report_frame
 from twinloom.operators.generate import tables_in_turn
 from twinloom.operators.runs import check_keep, runs_to_remove
 from twinloom.plans.contract import ENGINES, Contract, read_contract
 from twinloom.plans.layout import RunLayout, new_run_id
-from twinloom.session import small_methods
+from twinloom.session import session_like, small_methods
 from twinloom.sinks import artifacts
 from twinloom.sinks.targets import TableLoad, load_tables
 from twinloom.sources.tables import read_staged
@@ -60,9 +63,7 @@ def run_pipeline(
     except Exception:
         artifacts.delete_run(spark, layout)
         raise
-    for engine in ENGINES:  # one after the other: both set the casting rules of the same session
-        with artifacts.failures_recorded(spark, layout, f"load_{engine}"):
-            load_engine(spark, contract, layout, engine)
+    load_engines(spark, contract, layout)
     with artifacts.failures_recorded(spark, layout, "compare"):
         reconcile(spark, contract, layout)
     now = datetime.now(timezone.utc)
@@ -90,14 +91,52 @@ def stage(
         artifacts.stage_query(spark, contract.queries[engine], layout.query(engine))
 
 
-def load_engine(spark: SparkSession, contract: Contract, layout: RunLayout, engine: str) -> None:
-    load_tables(
-        spark,
-        (
-            TableLoad(layout.table_data(p.table.name), p.targets[engine], p.mode.value, p.columns[engine])
-            for p in contract.loads
-        ),
-    )
+def load_engines(spark: SparkSession, contract: Contract, layout: RunLayout) -> None:
+    """Load all engines at once, each in a session of its own, so that settings do not meet.
+
+    When one fails, the jobs of the others are cancelled; only the first failure is recorded and raised. The
+    sessions have the caller's settings and tables, but not its temporary views.
+    """
+    sessions = {engine: session_like(spark) for engine in ENGINES}
+    groups = {engine: f"{layout.run_id}-{uuid.uuid4().hex}-{engine}" for engine in ENGINES}
+    stopped = threading.Event()
+
+    def load(engine: str) -> None:
+        spark.sparkContext.setJobGroup(groups[engine], f"load {engine} of run {layout.run_id}")  # of this thread
+        with artifacts.failures_recorded(sessions[engine], layout, f"load_{engine}", stopped.is_set):
+            load_engine(sessions[engine], contract, layout, engine, stopped)
+
+    with ThreadPoolExecutor(len(ENGINES)) as pool:
+        running = {pool.submit(load, engine): engine for engine in ENGINES}
+        failures = []
+        for done in as_completed(running):
+            if done.exception() is None:
+                continue
+            failures.append(done.exception())
+            stopped.set()
+            for engine in ENGINES:
+                if engine != running[done]:
+                    spark.sparkContext.cancelJobGroup(groups[engine])
+    if failures:
+        raise failures[0]
+
+
+def load_engine(
+    spark: SparkSession, contract: Contract, layout: RunLayout, engine: str, stopped: threading.Event | None = None
+) -> None:
+    """Load the tables of one engine and save its query's result, unless told to stop between two steps."""
+
+    def go_on() -> None:
+        if stopped is not None and stopped.is_set():
+            raise LoadError("LOAD_CANCELLED", f"The load of {engine} was cancelled because another engine failed")
+
+    def loads():
+        for p in contract.loads:
+            go_on()
+            yield TableLoad(layout.table_data(p.table.name), p.targets[engine], p.mode.value, p.columns[engine])
+
+    load_tables(spark, loads())
+    go_on()
     artifacts.materialize_query(spark, layout.query(engine), layout.query_result(engine))
 
 

@@ -30,6 +30,15 @@ def session_conf(spark: SparkSession, settings: dict[str, str]):
                 spark.conf.set(name, value)
 
 
+def session_like(spark: SparkSession) -> SparkSession:
+    """A new session of the same application with the settings of the given one, free to change its own."""
+    session = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if session.conf.get(name, None) != value and session.conf.isModifiable(name):
+            session.conf.set(name, value)
+    return session
+
+
 def compile_small_methods(spark: SparkSession) -> None:
     """Let Spark leave whole-stage codegen where the JVM would not compile its method.
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from datetime import datetime
 
@@ -56,14 +56,18 @@ def write_diagnostic(spark: SparkSession, uri: str, run_id: str, task_id: str, c
 
 
 @contextmanager
-def failures_recorded(spark: SparkSession, layout: RunLayout, task_id: str) -> Iterator[None]:
-    """Leave a diagnostic of what fails inside; the error itself goes on unchanged.
+def failures_recorded(
+    spark: SparkSession, layout: RunLayout, task_id: str, cancelled: Callable[[], bool] = lambda: False
+) -> Iterator[None]:
+    """Leave a diagnostic of what fails inside unless it was cancelled; the error itself goes on unchanged.
 
     Only errors of this library say more than their kind, since others may quote data.
     """
     try:
         yield
     except Exception as error:
+        if cancelled():
+            raise
         known = isinstance(error, CodedError)
         code = error.code if known else TECHNICAL_FAILURE
         text = str(error) if known else f"{type(error).__name__} in step {task_id}"
