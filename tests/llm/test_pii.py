@@ -90,3 +90,53 @@ def test_instances_that_contradict_the_kind_do(spark, other):
     rows += [(1000, "please dial number: (212) 555-7777 at any time")]
     found = {r.doc_id: r for r in check(rows, spark.createDataFrame(rows, "doc_id long, text string"))}
     assert found[1000].n_added == 0
+
+
+def dial(n, text="please dial phone: +1 (212) 555-{} at any time"):
+    return [(i, text.format(1000 + i)) for i in range(n)]
+
+
+def spans_of(spark, rows, **options):
+    found = P.personal_data(spark.createDataFrame(rows, "doc_id long, text string"), **options).collect()
+    return {r.doc_id: r.spans for r in found}
+
+
+def test_an_instance_ends_where_its_form_does(spark):
+    rows = [*dial(20), (100, "please dial phone: (212) 555-7777 2 times"), (101, "please dial phone: 3 (212) 555-7778 at any time")]
+    found = spans_of(spark, rows)
+    assert found[100] == "phone:19:33"
+    assert found[101] == "phone:19:35"  # no pattern begins behind the 3, and all of it looks like a number
+
+
+def test_an_instance_may_begin_within_a_run(spark):
+    rows = [*dial(20, "please dial phone 2: +1 (212) 555-{} at any time"), (100, "please dial phone 2: (212) 555-7777 at any time")]
+    assert spans_of(spark, rows)[100] == "phone:21:35"
+
+
+def test_words_beside_a_base_span_are_instances(spark):
+    rows = [(i, f"write to a{i}@b.com or x") for i in range(20)]
+    rows += [(100, "write to user@localhost 10.0.0.1 or x"), (101, "write to user@localhost a9@b.com or x")]
+    found = spans_of(spark, rows)
+    assert found[100] == "email:9:23,ip:24:32"
+    assert found[101] == "email:9:23,email:24:32"
+
+
+def test_rounds_go_on_until_nothing_new(spark):
+    rows = [(i, f"c0 +1 (212) 555-{1000 + i}") for i in range(10)]
+    for level in range(5):
+        for i in range(8):
+            number = f"(212) 555-{2000 + 100 * level + i}"
+            rows += [(1000 + 100 * level + i, f"c{level} {number}".replace("c0", "zero")), (5000 + 100 * level + i, f"c{level + 1} {number}".replace("c0", "zero"))]
+    rows = [(i, text.replace("zero", "first").replace("c0 ", "first ").replace("c1", "second").replace("c2", "third").replace("c3", "fourth").replace("c4", "fifth").replace("c5", "sixth")) for i, text in rows]
+    found = spans_of(spark, rows)
+    assert all(found[i] for i, _ in rows)
+    assert sum(bool(found[i]) for i, _ in rows if i >= 1000) > sum(bool(s) for i, s in spans_of(spark, rows, rounds=3).items() if i >= 1000)
+    assert not any(s for i, s in spans_of(spark, rows, rounds=0).items() if i >= 1000)
+
+
+def test_words_of_a_context_are_whole(spark):
+    long = "x" * 200
+    rows = [(i, f"{long}{i % 2} {long}: +1 (212) 555-{1000 + i} {long}") for i in range(20)]
+    rows += [(100, f"{long}0 {long}: (212) 555-7777 {long}"), (101, f"{'x' * 199}0 {'x' * 199}: (212) 555-7778 {'x' * 199}")]
+    found = spans_of(spark, rows)
+    assert found[100] == "phone:404:418" and found[101] == ""
