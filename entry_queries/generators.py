@@ -82,6 +82,20 @@ simple(
 simple("gen_allowed_weighted", "INT", lambda k: pick(["1::BIGINT", "1", "2"], k, "id"), allowed_values=[1, 1, 2])
 simple("gen_allowed_string", "STRING", lambda k: pick(["'a'", "'b'"], k, "id"), allowed_values=["a", "a", "b"])
 
+# Several modes at once: a list wins over a pattern, a pattern over a character set, a list over a range.
+simple(
+    "gen_precedence_list", "STRING", lambda k: pick(["'a'", "'b'"], k, "id"),
+    allowed_values=["a", "b"], regular_expr="^[x-z]{4}$", character_set="digits", length=9,
+)
+simple(
+    "gen_precedence_pattern", "STRING", lambda k: text_sql(UPPER + DIGITS, [6], k),
+    regular_expr="^[A-Z0-9]{6}$", character_set="digits", length=9,
+)
+simple(
+    "gen_precedence_range", "INT", lambda k: pick(["1::BIGINT", "1", "2"], k, "id"),
+    allowed_values=[1, 1, 2], min_value=50, max_value=60,
+)
+
 
 def _pattern_sql(k: int) -> str:
     step = 1 << 20

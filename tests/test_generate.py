@@ -378,3 +378,10 @@ def test_unique_integers_reach_the_whole_64_bit_range(spark):
 def test_open_repeats_stop_where_the_column_says(spark, most):
     lengths = {len(v) - 1 for v in values(spark, 400, "STRING", regular_expr="^x[ab]+$", max_repeat=most)}
     assert min(lengths) == 1 and max(lengths) > 0.9 * most and max(lengths) <= most
+
+
+def test_all_faulty_references_are_named():
+    child = Table("c", 1, (ReferenceColumn("u", T.INT, "p", "k", Cardinality.ONE_TO_MANY), ReferenceColumn("v", T.INT, "q", "k", Cardinality.ONE_TO_MANY)))
+    parent = specs(table("p", 1, col("k", "STRING")))[0]
+    with pytest.raises(SpecError, match=r"c\.u needs INT at p\.k, which is STRING; c\.v needs INT at q\.k, which is missing"):
+        dependency_order([child, parent])

@@ -1,10 +1,11 @@
 import uuid
 from unittest.mock import MagicMock
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import types as st
 
-from twinloom.errors import CodedError, LoadError
+from twinloom.errors import CodedError, LoadError, SpecError
 from twinloom.operators.align import align_to_schema, select_load_columns, strict_casts
 from twinloom.plans.layout import RunLayout
 from twinloom.sinks import targets
@@ -198,3 +199,18 @@ def test_diagnostics_scan_skips_what_is_malformed(spark, tmp_path):
     for name, text in texts.items():
         (folder / f"{name}.json").write_text(text)
     assert [tuple(r) for r in read_diagnostics(spark, f"{folder}/*.json").collect()] == [("r1", "t", "C", "m")]
+
+
+def test_staged_files_declare_types_and_required_columns(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a", None), (2, "b", 0.5)], "n bigint, `a.b` string, x double")
+    schema = st.StructType([st.StructField("a.b", st.StringType(), False), st.StructField("n", st.LongType(), False), st.StructField("x", st.DoubleType())])
+    stage_table(rows, str(tmp_path / "t"), schema=schema)
+    files = [pq.ParquetFile(path).schema_arrow for path in (tmp_path / "t").glob("*.parquet")]
+    assert files and all([(f.name, f.nullable) for f in file] == [("a.b", False), ("n", False), ("x", True)] for file in files)
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "t")).collect())) == [("a", 1, None), ("b", 2, 0.5)]
+    strict = st.StructType([st.StructField(f.name, f.dataType, False) for f in schema.fields])
+    with pytest.raises(Exception, match="NULL in column x"):
+        stage_table(rows, str(tmp_path / "u"), schema=strict)
+    for wrong in (rows.drop("x"), rows.withColumn("y", rows.n), rows.withColumn("n", rows.n.cast("int"))):
+        with pytest.raises(SpecError):
+            stage_table(wrong, str(tmp_path / "v"), schema=schema)

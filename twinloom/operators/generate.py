@@ -51,15 +51,18 @@ _EXACT_DOUBLE = 1 << 53
 
 
 def dependency_order(tables: Iterable[Table]) -> list[Table]:
-    """Parents before children; a table that depends on itself is an error."""
+    """Parents before children; all faulty references are named at once, a cycle of tables is an error."""
     by_name = {table.name: table for table in tables}
     links = [(t, c) for t in by_name.values() for c in t.columns if isinstance(c, ReferenceColumn)]
-    outputs = {(t.name, c.name): c.output for t in by_name.values() for c in t.columns}
+    outputs = {(t.name, c.name): c.output.value for t in by_name.values() for c in t.columns}
+    faults = []
     for table, column in links:
         target = column.parent_table, column.parent_column
-        if outputs.get(target) is not column.output:
-            found = outputs[target].value if target in outputs else "nothing"
-            raise SpecError(f"{table.name}.{column.name} needs {column.output.value} at {'.'.join(target)}, which is {found}")
+        found = outputs.get(target, "missing")
+        if found != column.output.value:
+            faults.append(f"{table.name}.{column.name} needs {column.output.value} at {'.'.join(target)}, which is {found}")
+    if faults:
+        raise SpecError("Invalid references: " + "; ".join(faults))
     order = TopologicalSorter({name: [c.parent_table for t, c in links if t.name == name] for name in by_name})
     try:
         return [by_name[name] for name in order.static_order()]

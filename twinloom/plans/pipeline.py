@@ -12,6 +12,7 @@ from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as st
 
 from twinloom.errors import CompareError, LoadError, SpecError
 from twinloom.operators.audit import audit_reports
@@ -85,8 +86,11 @@ def stage(
     rows: Mapping[str, DataFrame] | None = None,
 ) -> None:
     with small_methods(spark):
+        schemas = {table.name: table.schema for table in contract.tables}
         for name, frame in tables_in_turn(spark, contract.tables, seed, rows):
-            artifacts.stage_table(frame, layout.table_data(name))
+            own = schemas[name].names
+            supplied = [st.StructField(f.name, f.dataType) for f in frame.schema.fields if f.name not in own]
+            artifacts.stage_table(frame, layout.table_data(name), schema=st.StructType(supplied + schemas[name].fields))
     for engine in ENGINES:
         artifacts.stage_query(spark, contract.queries[engine], layout.query(engine))
 

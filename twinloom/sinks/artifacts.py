@@ -5,12 +5,14 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
-from datetime import datetime
+from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as st
 
-from twinloom.errors import CodedError, LoadError
+from twinloom.errors import CodedError, LoadError, SpecError
+from twinloom.operators.align import quoted
 from twinloom.operators.runs import latest_pointers, next_pointers
 from twinloom.plans.layout import RunLayout
 from twinloom.sinks.folders import create_file, delete_folder, exists, names
@@ -23,8 +25,42 @@ ENTRIES_PER_SNAPSHOT = 20
 RUN_SCHEMA = "run_id string, event string"
 
 
-def stage_table(rows: DataFrame, uri: str, rows_per_file: int = 10_000_000) -> None:
-    """Write a generated table as a Parquet directory, one or more files per task."""
+#: Two different values of each type, for expressions that are evaluated but never yield.
+_NEVER = {
+    st.StringType: ("", "-"),
+    st.LongType: (0, 1),
+    st.DoubleType: (0.0, 1.0),
+    st.BooleanType: (False, True),
+    st.DateType: (date(1970, 1, 1), date(1970, 1, 2)),
+    st.TimestampType: (datetime(1970, 1, 1), datetime(1970, 1, 2)),
+}
+
+
+def _required(name: str, kind: st.DataType) -> Column:
+    """The column as one without NULLs; evaluating it at a NULL fails."""
+    one, other = (F.lit(value).cast(kind) for value in _NEVER[type(kind)])
+    fault = F.raise_error(F.lit(f"NULL in column {name}, which is declared without"))
+    return F.coalesce(quoted(name), F.when(fault.isNull(), one).otherwise(other)).alias(name)
+
+
+def declared(rows: DataFrame, schema: st.StructType) -> DataFrame:
+    """The rows in declared order and types; columns declared without NULLs are so in the frame's schema."""
+    found = {field.name: field.dataType for field in rows.schema.fields}
+    different = {f.name: (f.dataType.simpleString(), str(found.get(f.name))) for f in schema.fields if found.get(f.name) != f.dataType}
+    if different or len(found) != len(schema.fields):
+        raise SpecError(f"The rows do not have the declared columns: {different or sorted(set(found) - set(schema.names))}")
+    return rows.select(*(quoted(f.name) if f.nullable else _required(f.name, f.dataType) for f in schema.fields))
+
+
+def stage_table(
+    rows: DataFrame, uri: str, rows_per_file: int = 10_000_000, schema: st.StructType | None = None
+) -> None:
+    """Write a generated table as a Parquet directory, one or more files per task.
+
+    With a ``schema`` the files declare its types and which columns hold no NULL.
+    """
+    if schema is not None:
+        rows = declared(rows, schema)
     rows.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(uri)
 
 
