@@ -8,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tests.llm.test_words import thue_morse
+from twinloom.llm import queries
 from twinloom.llm import near as N
 from twinloom.llm.graph import components
 from twinloom.llm.words import Words, text_bytes
@@ -143,3 +144,11 @@ def test_words_that_agree_under_every_polynomial(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     found = N.near_duplicates(docs, size=3, similar=(85, 100)).collect()
     assert sorted((r.doc_id, r.component_id) for r in found) == [(0, 0), (1, 1)]
+
+
+def test_query_keeps_by_number(spark, tmp_path):
+    rows = [(3, "a b c d e f"), (3, "a b c d e f"), (5, "a b c d e f"), (None, ""), (7, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = queries.op5_near_duplicates(spark, str(tmp_path)).collect()
+    key = lambda t: tuple((x is not None, x) for x in t)
+    assert sorted(map(tuple, found), key=key) == sorted([(3, 4, 3, True), (3, 4, 3, True), (5, 4, 3, False), (None, 0, None, True), (7, 0, 7, True)], key=key)

@@ -53,7 +53,8 @@ FROM plain WINDOW same AS (PARTITION BY body)
 
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near.near_duplicates(_read(spark, sf_dir, "documents"), size=3, similar=(85, 100))
-    return found.select("doc_id", "n_shingles", "component_id", "kept")
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))  # by number, where the operator keeps one row
+    return found.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
 
 
 def op6_nearest_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
