@@ -17,9 +17,10 @@ numbers) and the number is drawn given all others, whatever the cell's size. The
 after each of ``ROUNDS`` exchanges and the next one goes on from there. The predictive
 probabilities of several sweeps are averaged before the logarithm is taken.
 
-Texts are tokenised once. A map task emits its tokens by shard in packed arrays (4 bytes a token, 12
-a distinct word and 8 a distinct context), which are shuffled once and written as shards; later rounds read these.
-Scores come back as sparse sums by document.
+Texts are tokenised once for the words that fill much and once for the shards. A map task emits its
+tokens by partition in packed arrays (4 bytes a token, 12 a distinct word and 8 a distinct context),
+which are shuffled once, split into shards and written in buckets; later rounds read these where
+they lie, and only the seating and the totals travel. Scores come back as sparse sums by document.
 
 Defined cases: a null or empty text is the end token alone; a null doc_id belongs to training
 unless the caller's condition says otherwise; repeated rows count each; other columns are ignored;
@@ -28,6 +29,7 @@ without training texts every word is unknown; an empty table gives no rows.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
 from functools import lru_cache
@@ -40,7 +42,7 @@ from pyspark.sql import functions as F
 
 from twinloom.llm.rows import written
 from twinloom.llm.words import Words, mixed, rolling, steps, text_bytes
-from twinloom.session import session_conf
+from twinloom.session import session_conf, shared_folder
 
 #: Share of all tokens from which on a word is dealt over all shards.
 FREQUENT = 1 / 1024
@@ -83,6 +85,7 @@ def _frequent(docs: DataFrame) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([pa.array(values.astype(np.int64)), pa.array(counts)], ["word", "n"])
 
     found = docs.select("text").mapInArrow(work, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    found = written(found, "frequent")
     total = found.where("word = 0").agg(F.sum("n")).first()[0] or 0
     kept = found.where(f"word <> 0 AND n >= {total * FREQUENT}").collect()
     return np.sort(np.array([row.word for row in kept], np.int64).view(np.uint64))
@@ -94,8 +97,22 @@ def _is_in(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
 
 
-def _packed(docs: DataFrame, frequent: np.ndarray, shards: int) -> DataFrame:
-    """Tokens by shard and step; rows of shard -1 describe the documents of a step."""
+def _homes(docs: DataFrame, shards: int, partitions: int) -> np.ndarray:
+    """For each shard the first one of its partition, under which Spark's hash sends tokens there."""
+    numbers = docs.sparkSession.range(shards).select(F.pmod(F.hash(F.col("id").cast("int")), F.lit(partitions)).alias("at"), "id")
+    at = np.array([r.at for r in numbers.orderBy("id").collect()])  # as many as shards
+    _, first, which = np.unique(at, return_index=True, return_inverse=True)
+    return first[which].astype(np.int32)
+
+
+def _shard_of(word: np.ndarray, context: np.ndarray, frequent: np.ndarray, shards: int) -> np.ndarray:
+    place = np.where(_is_in(word, frequent), mixed(word + context), mixed(word))
+    return ((place >> np.uint64(32)) % np.uint64(shards)).astype(np.int32)
+
+
+def _packed(docs: DataFrame, frequent: np.ndarray, homes: np.ndarray) -> DataFrame:
+    """Tokens by partition (its first shard) and step; rows of shards below 0 describe the documents of a step."""
+    shards = len(homes)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = TaskContext.get().partitionId() << 32
@@ -110,22 +127,20 @@ def _packed(docs: DataFrame, frequent: np.ndarray, shards: int) -> DataFrame:
                 before[1:] = word[:-1]
                 before[np.append(0, ends[:-1] + 1)] = START
                 context = mixed(before)
-                spread = _is_in(word, frequent)
-                place = np.where(spread, mixed(word + context), mixed(word))
-                shard = ((place >> np.uint64(32)) % np.uint64(shards)).astype(np.int32)
-                order = np.lexsort((word, shard))
-                shard, word, context, text = shard[order], word[order], context[order], text[order].astype(np.uint16)
+                home = homes[_shard_of(word, context, frequent, shards)]
+                order = np.lexsort((word, home))
+                home, word, context, text = home[order], word[order], context[order], text[order].astype(np.uint16)
                 text |= np.where(held[a:b][text], HELD, np.uint16(0))
-                cut = np.flatnonzero(np.diff(shard, prepend=-1))
+                cut = np.flatnonzero(np.diff(home, prepend=-1))
                 ids = np.asarray(batch.column(0).slice(a, texts).fill_null(0)).astype(np.int64)
                 null = np.asarray(batch.column(0).slice(a, texts).is_null())
-                rows = [(-1, step, ids, null, (words.counts + 1).astype(np.int64), held[a:b], ids[:0])]
-                for s, e in zip(cut, np.append(cut[1:], len(shard)), strict=True):
+                rows = [(-1 - (step + (step >> 32)) % shards, step, ids, null, (words.counts + 1).astype(np.int64), held[a:b], ids[:0])]
+                for s, e in zip(cut, np.append(cut[1:], len(home)), strict=True):
                     new = np.flatnonzero(word[s:e] != np.append(~word[s : s + 1], word[s : e - 1]))
                     counts = np.diff(np.append(new, e - s)).astype(np.uint32)
                     restaurants, at = np.unique(context[s:e], return_inverse=True)
                     at = at.astype(np.uint16 if len(restaurants) <= 1 << 16 else np.uint32)
-                    rows.append((int(shard[s]), step, word[s:e][new], counts, at, text[s:e], restaurants))
+                    rows.append((int(home[s]), step, word[s:e][new], counts, at, text[s:e], restaurants))
                 columns = [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64())]
                 columns += [pa.array([np.ascontiguousarray(r[i]).tobytes() for r in rows], pa.binary()) for i in range(2, 7)]
                 yield pa.RecordBatch.from_arrays(columns, ["shard", "step", "words", "counts", "contexts", "texts", "restaurants"])
@@ -140,26 +155,27 @@ _ARRAYS = {"word": np.uint64, "cells": np.uint32, "context": np.uint32, "trained
 _SHARD = "shard int, about bigint, " + ", ".join(f"{name} binary" for name in _ARRAYS)
 
 
-def _shards(packed: DataFrame, partitions: int) -> DataFrame:
+def _shards(packed: DataFrame, frequent: np.ndarray, homes: np.ndarray, partitions: int) -> DataFrame:
     """One row a shard: its words, each word's cells by context, each cell's counts and uses, and its restaurants."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple]] = {}
         for batch in batches:
-            for shard, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if shard >= 0:
-                    held.setdefault(shard, []).append(rest)
+            for home, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if home >= 0:
+                    for shard, part in _split(rest, frequent, len(homes)):
+                        held.setdefault(shard, []).append(part)
                 else:
-                    yield _shard_batch([shard, *rest[:5], None, None, None, None, None])
+                    yield _shard_batch([home, *rest[:5], None, None, None, None, None])
         for shard in sorted(held):
             parts = held.pop(shard)
-            counts = np.concatenate([np.frombuffer(p[2], np.uint32) for p in parts])
-            word = np.repeat(np.concatenate([np.frombuffer(p[1], np.uint64) for p in parts]), counts)
-            restaurant, at = np.unique(np.concatenate([np.frombuffer(p[5], np.uint64) for p in parts]), return_inverse=True)
-            ends = np.cumsum([len(p[5]) // 8 for p in parts])
-            context = np.concatenate([at[e - len(p[5]) // 8 : e][np.frombuffer(p[3], f"u{2 * len(p[3]) // len(p[4])}")] for p, e in zip(parts, ends, strict=True)])
-            text = np.concatenate([np.frombuffer(p[4], np.uint16) for p in parts])
-            of_step = np.repeat(np.arange(len(parts), dtype=np.uint32), [len(p[4]) // 2 for p in parts])
+            counts = np.concatenate([p[2] for p in parts])
+            word = np.repeat(np.concatenate([p[1] for p in parts]), counts)
+            restaurant, at = np.unique(np.concatenate([p[5] for p in parts]), return_inverse=True)
+            ends = np.cumsum([len(p[5]) for p in parts])
+            context = np.concatenate([at[e - len(p[5]) : e][p[3]] for p, e in zip(parts, ends, strict=True)])
+            text = np.concatenate([p[4] for p in parts])
+            of_step = np.repeat(np.arange(len(parts), dtype=np.uint32), [len(p[4]) for p in parts])
             order = np.lexsort((context, word))
             word, context, text, of_step = word[order], context[order], text[order], of_step[order]
             new_word = np.diff(word, prepend=~word[:1]) != 0
@@ -172,7 +188,39 @@ def _shards(packed: DataFrame, partitions: int) -> DataFrame:
             arrays = dict(word=word[new_word], cells=cells, context=context[first], trained=trained, used=used, step=step, of_step=of_step, text=text, restaurant=restaurant)
             yield _shard_batch([shard, None, *(np.ascontiguousarray(arrays[n], t).tobytes() for n, t in _ARRAYS.items())])
 
-    return packed.repartition(partitions, "shard", F.when(F.col("shard") < 0, F.col("step"))).mapInArrow(work, _SHARD)
+    return packed.repartition(partitions, "shard").mapInArrow(work, _SHARD)
+
+
+def _split(row: list, frequent: np.ndarray, shards: int) -> Iterator[tuple[int, tuple]]:
+    """A step's tokens of one partition by shard: step, words, counts, contexts, texts, restaurants."""
+    step, words, counts, contexts, texts, restaurants = row
+    words, counts, text, restaurants = (np.frombuffer(x, t) for x, t in ((words, np.uint64), (counts, np.uint32), (texts, np.uint16), (restaurants, np.uint64)))
+    context = np.frombuffer(contexts, f"u{2 * len(contexts) // len(texts)}")
+    word = np.repeat(np.arange(len(words), dtype=np.uint32), counts)
+    shard = _shard_of(words[word], restaurants[context], frequent, shards)
+    order = np.argsort(shard, kind="stable")
+    shard, word, context, text = shard[order], word[order], context[order], text[order]
+    cut = np.flatnonzero(np.diff(shard, prepend=-1))
+    for s, e in zip(cut, np.append(cut[1:], len(shard)), strict=True):
+        new = np.flatnonzero(np.diff(word[s:e].astype(np.int64), prepend=-1))
+        own, at = np.unique(context[s:e], return_inverse=True)
+        at = at.astype(np.uint16 if len(own) <= 1 << 16 else np.uint32)
+        yield int(shard[s]), (step, words[word[s:e][new]], np.diff(np.append(new, e - s)).astype(np.uint32), at, text[s:e], restaurants[own])
+
+
+def _bucketed(frame: DataFrame, purpose: str, partitions: int) -> DataFrame:
+    """A written copy in buckets by shard, which joins by shard read where they lie.
+
+    The table needs a name while it is written; its files stay like those of other written frames.
+    """
+    spark = frame.sparkSession
+    folder = shared_folder(spark, purpose)
+    name = f"twinloom_{purpose}_{uuid.uuid4().hex}"
+    try:
+        frame.write.bucketBy(partitions, "shard").option("path", folder).option("compression", "zstd").saveAsTable(name, format="parquet")
+        return spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def _shard_batch(row: list) -> pa.RecordBatch:
@@ -276,8 +324,9 @@ class Shard:
                 setattr(self, name, np.frombuffer(row[name], kind))
         self.context = np.frombuffer(row["context"], f"u{len(row['context']) // len(self.trained)}")
         if row.get("totals") is not None:
-            customers, tables = (np.concatenate([np.frombuffer(r[n], np.int64) for r in row["totals"]]).astype(float) for n in ("customers", "tables"))
-            totals = replace(totals, customers=customers, tables=tables)
+            known = {n: [r[n] for r in row["totals"]] for n in ("customers", "tables")}
+            known = {n: np.concatenate([np.frombuffer(x, np.int64) for x in v]).astype(float) for n, v in known.items() if None not in v}
+            totals = replace(totals, **known)
         self.totals, self.random = totals, np.random.default_rng((seed, int(row["shard"]), totals.round))
         self.of_word = np.repeat(np.arange(len(self.word)), self.cells)
         self.count = np.bincount(self.of_word, self.trained, len(self.word))
@@ -391,6 +440,15 @@ class Shard:
             own, now = np.where(taken, to, own), np.where(taken, then, now)
         return own
 
+    def catch_up(self) -> None:
+        """Add what this shard has moved since the last exchange to the totals, so that predictions sum to one."""
+        t, moved = self.totals, self.tables - self.told
+        frequent = t.frequent_tables.copy()
+        frequent[self.central] += np.bincount(self.of_word, moved, len(self.word))[self.spread]
+        here = t.tables + np.bincount(self.context, moved, len(t.tables))
+        self.totals = replace(t, tables=here, root=t.root + moved.sum(), frequent_tables=frequent)
+        self.told = self.tables.copy()
+
     def predictions(self) -> np.ndarray:
         """The probability of each cell's word after its context."""
         t = self.totals
@@ -408,8 +466,11 @@ def _sums(kinds: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]) -> list[n
     return [np.concatenate([np.full(len(k), kind) for kind, k, _, _ in kinds]), *(np.concatenate([np.asarray(x[i], float) if i > 1 else x[i] for x in kinds]) for i in (1, 2, 3))]
 
 
-def _returned(keys: DataFrame, parts: DataFrame, partitions: int) -> DataFrame:
-    """Totals of each shard's restaurants, by ranges, from all shards' restaurants and tables: rows (shard, totals)."""
+def _returned(keys: DataFrame, parts: DataFrame, partitions: int, customers: bool) -> DataFrame:
+    """Totals of each shard's restaurants, by ranges, from all shards' restaurants and tables: rows (shard, totals).
+
+    Sweeps need the tables only; the customers, which never change, are returned for the predictions.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, dict[int, list]] = {}
@@ -420,15 +481,21 @@ def _returned(keys: DataFrame, parts: DataFrame, partitions: int) -> DataFrame:
         for part in sorted(held):
             rows = list(held.pop(part).values())
             keys, at = np.unique(np.concatenate([np.frombuffer(r[1], np.uint64) for r in rows]), return_inverse=True)
-            sums = [np.bincount(at, np.concatenate([np.frombuffer(r[i], np.int64) for r in rows]), len(keys)).astype(np.int64)[at] for i in (2, 3)]
             upto = np.cumsum([0, *(len(r[1]) // 8 for r in rows)])
-            packed = [[x[s:e].tobytes() for s, e in zip(upto, upto[1:], strict=False)] for x in sums]
+            packed = []
+            for i in (2, 3):
+                if i == 2 and not customers:
+                    packed.append([None] * len(rows))
+                    continue
+                sums = np.bincount(at, np.concatenate([np.frombuffer(r[i], np.int64) for r in rows]), len(keys)).astype(np.int64)[at]
+                packed.append([sums[s:e].tobytes() for s, e in zip(upto, upto[1:], strict=False)])
             for i in range(0, len(rows), 1000):
                 columns = [pa.array([r[0] for r in rows[i : i + 1000]], pa.int32()), pa.array([part] * len(rows[i : i + 1000]), pa.int32())]
                 yield pa.RecordBatch.from_arrays([*columns, *(pa.array(p[i : i + 1000], pa.binary()) for p in packed)], ["shard", "range", "customers", "tables"])
 
     none = F.lit(None).cast("binary")
-    keys = keys.select("range", "shard", "restaurants", "customers", none.alias("tables"))
+    known = F.col("customers") if customers else none
+    keys = keys.select("range", "shard", "restaurants", known.alias("customers"), none.alias("tables"))
     parts = parts.select("range", "shard", none.alias("restaurants"), none.alias("customers"), "tables")
     found = keys.union(parts).repartition(partitions, "range").mapInArrow(work, "shard int, range int, customers binary, tables binary")
     return found.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("range", "customers", "tables"))).alias("totals"))
@@ -497,7 +564,11 @@ def _gathered(shards: DataFrame, totals: Totals, seed: int, seating: DataFrame |
     seated = after.where("shard IS NOT NULL AND range IS NULL").select("shard", "seating")
     parts = after.where("range IS NOT NULL")
     keys = parts if counted else keys
-    return seated.join(_returned(keys, parts, partitions), "shard"), keys
+    return seated.join(_returned(keys, parts, partitions, customers=totals.round > ROUNDS), "shard"), keys
+
+
+#: How partial sums of scores (means of samples, good to a few digits), base scores and known tokens travel.
+_SUMS = (np.float32, np.float64, np.uint32)
 
 
 class _Sums:
@@ -529,7 +600,7 @@ class _Sums:
 
     def taken(self) -> Iterator[pa.RecordBatch]:
         self._merge()
-        rows = [(step, t.tobytes(), *(x.tobytes() for x in sums)) for step, [(t, sums)] in self.held.items()]
+        rows = [(step, t.tobytes(), *(x.astype(k).tobytes() for x, k in zip(sums, _SUMS, strict=True))) for step, [(t, sums)] in self.held.items()]
         self.held, self.entries = {}, 0
         if rows:
             types = [pa.int64(), *[pa.binary()] * 4]
@@ -551,6 +622,7 @@ def _scored(shards: DataFrame, totals: Totals, seed: int, seating: DataFrame) ->
             mean = np.zeros(len(shard.context))
             for _ in range(SAMPLES):
                 shard.sweep()
+                shard.catch_up()
                 mean += shard.predictions() / SAMPLES
             known = shard.known()
             base = np.log10((known + 1) / (totals.tokens + totals.words + 1))
@@ -577,7 +649,7 @@ def _by_document(shards: DataFrame, sums: DataFrame, totals: Totals) -> DataFram
                 if texts is None:
                     held["about"] = rest[3:]
                     continue
-                held["sums"].append((np.frombuffer(texts, np.uint16), *(np.frombuffer(x, float) for x in rest[:3])))
+                held["sums"].append((np.frombuffer(texts, np.uint16), *(np.frombuffer(x, t) for x, t in zip(rest[:3], _SUMS, strict=True))))
         for held in steps_of.values():
             ids, null, tokens, out = (np.frombuffer(x, t) for x, t in zip(held["about"], (np.int64, bool, np.int64, bool), strict=True))
             sums = np.zeros((3, len(ids)))
@@ -610,8 +682,10 @@ def score(docs: DataFrame, held_out: Column, seed: int = 42) -> DataFrame:
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     with session_conf(docs.sparkSession, _CLEANED):
         totals = Totals(_frequent(docs))
-        shards = written(_shards(_packed(docs, totals.frequent, SHARDS * partitions), partitions), "shards")
+        homes = _homes(docs, SHARDS * partitions, partitions)
+        shards = _bucketed(_shards(_packed(docs, totals.frequent, homes), totals.frequent, homes, partitions), "shards", partitions)
         seating, keys = _gathered(shards, totals, seed)
         for _ in range(ROUNDS):
             seating, _ = _gathered(shards, totals, seed, seating, keys)
+        seating = _bucketed(seating, "seating", partitions)
     return _by_document(shards, _scored(shards, totals, seed, seating), totals)
