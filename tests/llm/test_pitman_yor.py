@@ -90,6 +90,57 @@ def test_shards_are_a_distribution_and_valid_seatings(spread, monkeypatch):
         assert np.allclose(shard.predictions()[context == c], ((own + weight * root) / (totals.strength + totals.customers[c]))[shard.of_word[context == c]])
 
 
+@pytest.mark.parametrize("spread", [False, True])
+def test_predictions_sum_to_one_after_sweeps_without_an_exchange(spread):
+    rng = np.random.default_rng(2)
+    word, context = (x.ravel() for x in np.meshgrid(np.arange(1, 40), np.arange(4), indexing="ij"))
+    trained = rng.integers(1, 60, len(word))
+    totals = P.Totals(np.array([5, 9], np.uint64) if spread else np.zeros(0, np.uint64), round=1, words=39)
+    totals.customers[:4], totals.tables[:4] = np.bincount(context, trained, 4), np.bincount(context, minlength=4)
+    totals.root = len(word)
+    totals.frequent_tables = np.array([4.0, 4.0])[: len(totals.frequent)]
+    totals.frequent_counts = np.array([trained[word == w].sum() for w in (5, 9)])[: len(totals.frequent)]
+    row = dict(shard=0, word=np.arange(1, 40).astype(np.uint64).tobytes(), cells=np.full(39, 4, np.uint32).tobytes(), context=context.astype(np.uint16).tobytes(), trained=trained.astype(np.uint32).tobytes())
+    shard = P.Shard(row, totals, 1)
+    shard.go_on(np.ones(len(word), np.uint32).tobytes())
+    for _ in range(3):
+        shard.sweep()
+        shard.catch_up()
+        t = shard.totals
+        assert t.root == shard.tables.sum() > len(word) and totals.root == len(word)
+        unknown = (t.root_strength + t.root_discount * t.words) / (t.root_strength + t.root)
+        assert abs(shard._root().sum() + unknown - 1) < 1e-9
+        found = np.bincount(context, shard.predictions(), 4)
+        opening = (t.strength + t.discount * t.tables[:4]) * unknown / (t.strength + t.customers[:4])
+        assert np.allclose(found + opening, 1)
+
+
+@pytest.mark.parametrize("shards, partitions", [(12, 1), (144, 12), (84, 7)])
+def test_tokens_are_sent_to_the_partition_of_their_shard(spark, shards, partitions):
+    homes = P._homes(spark.range(1), shards, partitions)
+    sent = spark.createDataFrame([(s, int(h)) for s, h in enumerate(homes)], "shard int, home int")
+    at = {c: dict(sent.repartition(partitions, c).select("shard", F.spark_partition_id()).collect()) for c in ("shard", "home")}
+    assert at["shard"] == at["home"] and (homes <= np.arange(shards)).all() and (homes[homes] == homes).all()
+
+
+def test_shards_are_joined_in_place(spark, monkeypatch):
+    """The only exchanges of a sweep are those of the seating and the totals; names of tables do not stay."""
+    plans = []
+    bucketed = P._bucketed
+
+    def kept(frame, purpose, partitions):
+        plans.append((purpose, frame._jdf.queryExecution().executedPlan().toString()))
+        return bucketed(frame, purpose, partitions)
+
+    monkeypatch.setattr(P, "_bucketed", kept)
+    before = {t.name for t in spark.catalog.listTables()}
+    scored = P.score(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), HELD())
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert [p for p, _ in plans] == ["shards", "seating"]
+    assert plan.count("Exchange hashpartitioning") == 1  # by step, of the sums
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
 def test_edge_rows(spark):
     rows = [(1, None), (2, ""), (None, "a B"), (5, "a b c a b"), (5, "a b c a b"), (9, "zz " * 40_000), (10, "\t\n")]
     docs = spark.createDataFrame([(*r, True, "x") for r in rows], "doc_id long, text string, held_out boolean, step string").repartition(3)

@@ -51,8 +51,8 @@ STEP_BYTES, STEP_TEXTS = 3 << 20, 30_000
 SHARDS = 12
 #: What a round shuffles goes when its result is written.
 _CLEANED = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
-#: Ranges of restaurants: one a partition, beyond RANGES one for SHARDS partitions more.
-RANGES = 256
+#: Ranges of restaurants: one for so many entries of shards, but each shard sends to RANGES and one for SHARDS partitions at most.
+ENTRIES, RANGES = 1 << 20, 256
 END, START = np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9FB21C651E98DF25)
 HELD = np.uint16(1 << 15)
 #: Exchanges of totals, sweeps before each of them, sweeps before samples are taken, and samples.
@@ -234,6 +234,7 @@ class Totals:
 
     frequent: np.ndarray
     round: int = 0
+    ranges: int = 1
     customers: np.ndarray = field(default_factory=lambda: np.zeros(1 << 16))
     tables: np.ndarray = field(default_factory=lambda: np.zeros(1 << 16))
     frequent_counts: np.ndarray | None = None
@@ -466,7 +467,7 @@ def _sums(kinds: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]) -> list[n
     return [np.concatenate([np.full(len(k), kind) for kind, k, _, _ in kinds]), *(np.concatenate([np.asarray(x[i], float) if i > 1 else x[i] for x in kinds]) for i in (1, 2, 3))]
 
 
-def _returned(keys: DataFrame, parts: DataFrame, partitions: int, customers: bool) -> DataFrame:
+def _returned(keys: DataFrame, parts: DataFrame, ranges: int, customers: bool) -> DataFrame:
     """Totals of each shard's restaurants, by ranges, from all shards' restaurants and tables: rows (shard, totals).
 
     Sweeps need the tables only; the customers, which never change, are returned for the predictions.
@@ -497,7 +498,7 @@ def _returned(keys: DataFrame, parts: DataFrame, partitions: int, customers: boo
     known = F.col("customers") if customers else none
     keys = keys.select("range", "shard", "restaurants", known.alias("customers"), none.alias("tables"))
     parts = parts.select("range", "shard", none.alias("restaurants"), none.alias("customers"), "tables")
-    found = keys.union(parts).repartition(partitions, "range").mapInArrow(work, "shard int, range int, customers binary, tables binary")
+    found = keys.union(parts).repartitionById(ranges, "range").mapInArrow(work, "shard int, range int, customers binary, tables binary")
     return found.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("range", "customers", "tables"))).alias("totals"))
 
 
@@ -509,8 +510,7 @@ def _gathered(shards: DataFrame, totals: Totals, seed: int, seating: DataFrame |
     columns = ["shard", "word", "cells", "context", "trained", "restaurant"]
     shared = shards.sparkSession.sparkContext.broadcast(totals)
     counted = seating is None
-    partitions = int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = min(partitions, RANGES + partitions // SHARDS)
+    ranges = totals.ranges
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
@@ -564,7 +564,7 @@ def _gathered(shards: DataFrame, totals: Totals, seed: int, seating: DataFrame |
     seated = after.where("shard IS NOT NULL AND range IS NULL").select("shard", "seating")
     parts = after.where("range IS NOT NULL")
     keys = parts if counted else keys
-    return seated.join(_returned(keys, parts, partitions, customers=totals.round > ROUNDS), "shard"), keys
+    return seated.join(_returned(keys, parts, ranges, customers=totals.round > ROUNDS), "shard"), keys
 
 
 #: How partial sums of scores (means of samples, good to a few digits), base scores and known tokens travel.
@@ -684,6 +684,8 @@ def score(docs: DataFrame, held_out: Column, seed: int = 42) -> DataFrame:
         totals = Totals(_frequent(docs))
         homes = _homes(docs, SHARDS * partitions, partitions)
         shards = _bucketed(_shards(_packed(docs, totals.frequent, homes), totals.frequent, homes, partitions), "shards", partitions)
+        entries = (shards.agg(F.sum(F.octet_length("restaurant"))).first()[0] or 0) // 8
+        totals.ranges = min(1 + entries // ENTRIES, RANGES + partitions // SHARDS)
         seating, keys = _gathered(shards, totals, seed)
         for _ in range(ROUNDS):
             seating, _ = _gathered(shards, totals, seed, seating, keys)
