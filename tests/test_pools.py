@@ -156,3 +156,34 @@ def test_repeating_columns_in_one_pass(spark):
 
 def test_stream_of_a_list_is_its_own():
     assert stream_key(1, "list", "a") != stream_key(1, "list", "b")
+
+
+def test_positions_of_frequent_values_are_never_written_out(spark, monkeypatch):
+    """One value with nearly all positions, few and many tiles, long spans cut into pieces."""
+    monkeypatch.setattr(indexing, "TILES_PER_PIECE", 3)
+    values = [1] * 5_000 + [2] * 300 + [v for v in range(3, 40) for _ in range(v % 5)]
+    for tiles in (1, 20, 7_000):
+        monkeypatch.setattr(indexing, "TILES", tiles)
+        index = dense_index(numbers(spark, values), len(values), 5, shared_folder(spark, "test"), True)
+        asked = spark.range(-4, len(values) + 4).withColumnRenamed("id", "k")
+        found = {r.k: r.v for r in index.look_up(asked.select("k", asked.k.alias("at")), "at", "v").collect()}
+        held = dict(index.rows.select("position", "value").collect())
+        assert found == {k: held.get(k) for k in range(-4, len(values) + 4)}
+        assert index._tiles().count() <= index.spans.count() + max(tiles, index.spans.count())
+
+
+def test_a_list_of_few_values_is_looked_up_by_few_rows(spark):
+    lists = {"few": spark.range(3_000_000).selectExpr("id % 7 AS v")}
+    frame = build(spark, table("t", 2_000, col("v", "INT", allowed_from="few")), lists=lists)["t"]
+    assert frame.distinct().count() == 7
+
+    def rows_out(node):
+        own = [node.metrics().apply("numOutputRows").value()] if node.metrics().contains("numOutputRows") else []
+        inner = [node.finalPhysicalPlan()] if hasattr(node, "finalPhysicalPlan") and "AdaptiveSparkPlan" in node.nodeName() else []
+        inner += [node.plan()] if "QueryStage" in node.nodeName() else []
+        below = [node.children().apply(i) for i in range(node.children().size())]
+        return own + [n for child in inner + below for n in rows_out(child)]
+
+    frame.collect()
+    counted = rows_out(frame._jdf.queryExecution().executedPlan())
+    assert counted and max(counted) < 10_000

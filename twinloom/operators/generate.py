@@ -10,6 +10,7 @@ row, so it needs no join; only a one-to-one reference to a column that may repea
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Mapping
+from dataclasses import replace
 from datetime import datetime
 from graphlib import CycleError, TopologicalSorter
 
@@ -244,8 +245,8 @@ class Generator:
         outputs, lookups = [], []
         for column in columns:
             if self._joins(column):
-                lookup, key = self._lookup(writer, table, column, row)
-                lookups.append((column, lookup))
+                pool, key = self._lookup(writer, table, column, row)
+                lookups.append((column, pool))
                 outputs.append(key.column.alias(f"__key_{column.name}"))
             else:
                 value = writer.value(column, row)
@@ -254,13 +255,11 @@ class Generator:
             outputs.append(writer.rank(with_rank, row).column.alias("__rank"))
         kept = [F.col(name) for name in rows.columns if name != ROW_ID]
         frame = writer.stages.apply(rows).select(*kept, *outputs)
-        for column, lookup in lookups:
-            key = f"__key_{column.name}"
-            lookup = lookup.select(F.col("position").alias(key), F.col("value").alias(column.name))
-            frame = frame.join(lookup, key, "left").drop(key)
+        for column, pool in lookups:
+            frame = pool.look_up(frame, f"__key_{column.name}", column.name)
         return frame
 
-    def _lookup(self, writer: "_RowWriter", table: Table, column: Column, row: Term) -> tuple[DataFrame, Term]:
+    def _lookup(self, writer: "_RowWriter", table: Table, column: Column, row: Term) -> tuple[DenseIndex, Term]:
         """The pool that the column draws from, and the position each row takes there.
 
         Rows that stay NULL get distinct negative positions that match nothing, so they
@@ -275,7 +274,7 @@ class Generator:
                     f"{table.name}.{column.name} needs {needed} distinct values, only {pool.count} exist"
                 )
             if not needed:
-                return pool.rows, rank
+                return pool, rank
             purpose = "stratum" if isinstance(column, ReferenceColumn) else "value"
             seat = combine(lambda r: F.greatest(r, bigint(0)), rank)
             position = combine(lambda r: spread_index(r, needed, pool.count, self._key(table, column, purpose), r), seat)
@@ -284,7 +283,7 @@ class Generator:
                 raise UnsatisfiableError(f"{table.name}.{column.name} needs {needed} values, none exist")
             count = max(1, pool.count)
             position = combine(lambda r: draw_below(count, self._key(table, column, "value"), r), row)
-        return pool.rows, combine(lambda r, p: F.when(r >= 0, p).otherwise(r), rank, position)
+        return pool, combine(lambda r, p: F.when(r >= 0, p).otherwise(r), rank, position)
 
     # --- value pools ---------------------------------------------------------------------
 
@@ -348,7 +347,7 @@ class Generator:
         with strict_casts(self._spark):
             values = given.select(F.col(f"`{given.columns[0]}`").cast(source.spark_type).alias("value"))
             index = dense_index(values, values.count(), stream_key(self._seed, "list", name), folder, weighted)
-        return DenseIndex(index.rows.select("position", cv.convert(F.col("value"), source, output, fmt).alias("value")), index.count)
+        return replace(index, spans=index.spans.withColumn("value", cv.convert(F.col("value"), source, output, fmt)))
 
     # --- the final uniqueness check ------------------------------------------------------
 

@@ -15,12 +15,54 @@ from twinloom.functions.draws import bigint, int_div
 ROWS_PER_BUCKET = 500_000
 #: Buckets whose starts are summed together; one number for each such group reaches the driver.
 BUCKETS_PER_GROUP = 1_000
+#: Tiles of a weighted index, or as many as it has distinct values if these are more.
+TILES = 1_000
+TILES_PER_PIECE = 1_000
 
 
 @dataclass(frozen=True)
 class DenseIndex:
-    rows: DataFrame  # columns: position (0..count-1), value
+    """Values by position, 0..count-1.
+
+    In a weighted index a row of ``spans`` stands for ``n`` positions, which are never written out for a
+    lookup: it goes by tiles of ``tile`` positions, each listing the spans that reach into it. There are at
+    least as many tiles as spans, so a position is compared with two spans on average, and a value that has most
+    positions is spread over many tiles.
+    """
+
+    spans: DataFrame  # columns: position, value; if weighted, also n
     count: int
+    tile: int = 0
+
+    @property
+    def rows(self) -> DataFrame:
+        """Each position and its value."""
+        if not self.tile:
+            return self.spans.select("position", "value")
+        more = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1))
+        return self.spans.select("position", "value", more.alias("more")).select((F.col("position") + F.col("more")).alias("position"), "value")
+
+    def look_up(self, frame: DataFrame, key: str, name: str) -> DataFrame:
+        """``frame`` with the value at position ``key`` as ``name`` in place of the key; NULL where there is none."""
+        if not self.tile:
+            pool = self.spans.select(F.col("position").alias(key), F.col("value").alias(name))
+            return frame.join(pool, key, "left").drop(key)
+        at = F.col(key)  # negative positions match nothing and stay apart
+        frame = frame.withColumn("__tile", F.when(at < 0, at).otherwise(int_div(at, self.tile)))
+        pool = self._tiles().withColumnRenamed("value", name)
+        same = (F.col("__tile") == F.col("__of")) & (at >= F.col("__from")) & (at < F.col("__to"))
+        return frame.join(pool, same, "left").drop(key, "__tile", "__of", "__from", "__to")
+
+    def _tiles(self) -> DataFrame:
+        """The spans that reach into each tile; spans over very many tiles are cut and dealt over tasks before."""
+        spans = self.spans.select(F.col("position").alias("__from"), (F.col("position") + F.col("n")).alias("__to"), "value")
+        first, last = int_div(F.col("__from"), self.tile), int_div(F.col("__to") - 1, self.tile)
+        long = last - first >= TILES_PER_PIECE
+        starts = F.explode(F.sequence(first, last, bigint(TILES_PER_PIECE))).alias("__of")
+        pieces = spans.where(long).select("*", starts).repartition("__of")
+        most = F.least(last, F.col("__of") + (TILES_PER_PIECE - 1))
+        pieces = pieces.withColumn("__of", F.explode(F.sequence("__of", most)))
+        return spans.where(~long).select("*", F.explode(F.sequence(first, last)).alias("__of")).unionByName(pieces)
 
 
 def dense_index(values: DataFrame, at_most: int, seed_key: int, folder: str, weighted: bool = False) -> DenseIndex:
@@ -47,11 +89,13 @@ def dense_index(values: DataFrame, at_most: int, seed_key: int, folder: str, wei
     combined.select("bucket", place, "n", "value").write.parquet(folder)
     spark = values.sparkSession
     numbered = spark.read.schema(f"bucket bigint, place bigint, n bigint, value {kind}").parquet(folder)
-    starts, count = _starts(numbered.groupBy("bucket").agg(F.sum("n").alias("n")))
-    positions = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)) if weighted else F.lit(0)
+    sizes = numbered.groupBy("bucket").agg(F.sum("n").alias("n"), F.count("*").alias("spans"))
+    starts, count, spans = _starts(sizes)
     rows = numbered.join(F.broadcast(starts) if buckets <= ROWS_PER_BUCKET else starts, "bucket")
-    rows = rows.select("start", "place", "value", positions.alias("more"))
-    return DenseIndex(rows.select((F.col("start") + F.col("place") + F.col("more")).alias("position"), "value"), count)
+    position = (F.col("start") + F.col("place")).alias("position")
+    if not weighted:
+        return DenseIndex(rows.select(position, "value"), count)
+    return DenseIndex(rows.select(position, "n", "value"), count, max(1, -(-count // max(TILES, spans))))
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -60,19 +104,19 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(found.flatten(), ["value", "n"])
 
 
-def _starts(sizes: DataFrame) -> tuple[DataFrame, int]:
-    """Where each bucket starts, and the sum of all sizes."""
+def _starts(sizes: DataFrame) -> tuple[DataFrame, int, int]:
+    """Where each bucket starts, the sum of all sizes, and how many spans there are."""
     sizes = sizes.withColumn("part", int_div(F.col("bucket"), BUCKETS_PER_GROUP))
-    sums = dict(sizes.groupBy("part").agg(F.sum("n")).collect())
-    before, reached = [], 0
-    for part in sorted(sums):
+    sums = sizes.groupBy("part").agg(F.sum("n"), F.sum("spans")).collect()
+    before, reached, spans = [], 0, 0
+    for part, n, own in sorted(sums):
         before += [F.lit(part), bigint(reached)]
-        reached += sums[part]
+        reached, spans = reached + n, spans + own
     if not before:
-        return sizes.select("bucket", F.col("n").alias("start")), 0
+        return sizes.select("bucket", F.col("n").alias("start")), 0, 0
     earlier = Window.partitionBy("part").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum("n").over(earlier), F.lit(0)) + F.get(F.array(*before[1::2]), _rank_of(before[::2]))
-    return sizes.select("bucket", start.alias("start")), reached
+    return sizes.select("bucket", start.alias("start")), reached, spans
 
 
 def _rank_of(parts: list) -> Column:
