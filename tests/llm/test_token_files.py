@@ -141,3 +141,30 @@ def test_query_equals_brute_force(spark):
         expected.append((doc_id, at, len(ids), zlib.crc32(ids.tobytes())))
         at += len(ids)
     assert sorted(map(tuple, op13_token_ids(spark, sf_dir).collect())) == expected
+
+
+class _Counting:
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_new_pieces_are_tokenized_together():
+    """Thousands of unseen words take few texts, and none is taken apart differently for its neighbours."""
+    words = [f"w{'äöüßéz'[n % 6]}{n:x}{'ñab'[n % 3]}" for n in range(5_000)]
+    text = " ".join(words) + " 日本 x  y 　z"
+    data = np.frombuffer(text.encode(), np.uint8)
+    expected = PLAIN.encode(text, add_special_tokens=False).ids
+    for sizes in (None, 7):
+        pieces = PieceTokens(TOKENIZER)
+        pieces.tokenizer = _Counting(pieces.tokenizer)
+        if sizes:  # sizes that do not meet the pieces' ends lead to one text a piece
+            pieces.sizes = np.full_like(pieces.sizes, sizes)
+        ids, counts = pieces.ids(data, np.array([0, len(data)]))
+        assert ids.tolist() == expected and counts.tolist() == [len(expected)]
+        assert (pieces.tokenizer.texts < 500) == (sizes is None)
+        pieces.ids(data, np.array([0, len(data)]))
+        assert len(pieces.pieces) == len(set(pieces.pieces.to_pylist()))

@@ -23,47 +23,75 @@ import numpy as np
 BLOCK = 4096
 #: Steps before which the order-0 frequencies are brought up to date.
 REFRESH = frozenset({32, 128, 512, 1536})
-_TOTAL_BITS = 20
+_TOTAL_BITS = 19
 _TOTAL = 1 << _TOTAL_BITS
-_ORDER0_BITS = 14
+_ORDER0_BITS = 13
+#: Frequencies that share an entry of the table in which a search for one begins: 2 to this power.
+_FINE_BITS = 4
 _GAIN = 7
 _SLOTS = 1 << 10
 _SURE = 7
+#: A weight is 16 bits; the two of a state share a word, that of order 2 above.
+_WEIGHT_BITS = 16
+_RATE = 5
+_DECAYED = np.uint32(((1 << _WEIGHT_BITS - _RATE) - 1) * 0x10001)
+_RAISE = (1 << _WEIGHT_BITS - _RATE) - 1
 _WORD = np.uint64(32)
 _LOW_WORD = np.uint64(0xFFFFFFFF)
 _UNIT_BITS = np.uint64(_TOTAL_BITS)
 _LAST = np.uint64(_TOTAL - 1)
+_NUMBERS = {
+    np.int64: "i1 i2 iw place t",
+    np.uint16: "e1 e2 c1 c2 k1 k2 hash state new short level16 x8 before x",
+    np.uint32: "weight both a2 a12 rest start end aim level u",
+    np.uint64: "low ahead unit moved",
+    bool: "hit1 hit2 right1 far flag",
+}
+
+
+def _zeros(arrays: dict[str, tuple[int, type]]) -> dict[str, np.ndarray]:
+    """Arrays of the given lengths and types side by side, so that they share large pages of memory."""
+    starts = np.cumsum([0] + [-(-n * np.dtype(kind).itemsize // 64) * 64 for n, kind in arrays.values()]).tolist()
+    room = np.zeros(starts[-1], np.uint8)
+    return {
+        name: room[at : at + n * np.dtype(kind).itemsize].view(kind)
+        for at, (name, (n, kind)) in zip(starts, arrays.items())
+    }
 
 
 class _Model:
     """The predictions of all lanes; lane l has ``sizes[l]`` distinct ids.
 
-    All steps work in the same buffers, since arrays that come and go cost more than their contents.
+    All steps work in the same buffers, as narrow as their numbers allow, since arrays that come and go
+    and wide ones cost more than their contents.
     """
 
-    def __init__(self, sizes: np.ndarray):
-        lanes, self.bits = len(sizes), int(sizes.max(initial=1)).bit_length()
-        width = 1 << self.bits  # more than any lane has ids
-        self.lanes, self.sizes = lanes, sizes.astype(np.int64)
+    def __init__(self, sizes: np.ndarray, search: bool):
+        lanes = len(sizes)
+        width = int(sizes.max(initial=1)) + (1 << _FINE_BITS)  # a search stays in its row
+        self.lanes, self.width, self.sizes = lanes, width, sizes.astype(np.int64)
         lane = np.arange(lanes)
-        self.whole = {"at0": lane * width, "at2": lane * _SLOTS, "atw": lane * 128}
-        numbers = "i1 i2 iw e1 e2 k1 k2 c1 c2 w1 w2 a2 a12 rest start end place level x t u before before2"
-        self.whole |= {name: np.zeros(lanes, np.int64) for name in numbers.split()}
-        self.whole |= {name: np.zeros(lanes, bool) for name in ("hit1", "hit2", "right1", "far", "flag")}
-        self.whole |= {name: np.zeros(lanes, np.uint16) for name in ("short", "level16")}
-        self.whole |= {name: np.zeros(lanes, np.uint64) for name in ("low", "ahead", "unit", "moved")}
-        self.whole["span"] = np.full(lanes, (1 << 64) - 1, np.uint64)
+        self.row = lane * width
+        self.whole = {"at0": self.row, "at2": lane * _SLOTS, "atw": lane * 128, "atf": lane << _ORDER0_BITS - _FINE_BITS}
+        kinds = {name: (lanes, kind) for kind, names in _NUMBERS.items() for name in names.split()}
+        self.whole |= _zeros(kinds | {"span": (lanes, np.uint64)})
+        self.whole["span"][:] = (1 << 64) - 1
+        self.first_width = 1 << _ORDER0_BITS - _FINE_BITS if search else 0
+        tables = {"after1": width, "after2": _SLOTS, "order0": width, "first": self.first_width}
+        tables = {name: (lanes * each, np.uint16) for name, each in tables.items()} | {"weights": (lanes * 128, np.uint32)}
+        for name, table in _zeros(tables).items():
+            setattr(self, name, table)
         self.unknown = np.arange(width) >= sizes[:, None]
-        self.counts = (~self.unknown).astype(np.uint16)
-        self.flat_counts = self.counts.reshape(-1)
-        self.after1 = np.zeros(lanes * width, np.uint16)
-        self.after2 = np.zeros(lanes * _SLOTS, np.uint16)
+        self.counts = (~self.unknown).astype(np.int64)
+        self.listed = np.flatnonzero(~self.unknown)
+        # Numbers since the last refresh.
+        self.seen, self.since = np.zeros((max(REFRESH), lanes), np.uint16), 0
         # Before anything is learned, a prediction with confidence k is right in k of k + 2 or 3 cases.
-        state = np.arange(128)
+        state, full = np.arange(128), 1 << _WEIGHT_BITS
         sure2, sure1 = state % 64 // 8, state % 8
-        weight2 = _TOTAL * sure2 // (sure2 + 2)
-        weight1 = np.where(state < 64, (_TOTAL - weight2) * sure1 // (sure1 + 3), 0)
-        self.weights = np.tile(weight2 << 32 | weight1, lanes)
+        weight2 = full * sure2 // (sure2 + 2)
+        weight1 = np.where(state < 64, (full - weight2) * sure1 // (sure1 + 3), 0)
+        self.weights.reshape(lanes, 128)[:] = weight2 << _WEIGHT_BITS | weight1
         self.step, self.n = 0, -1
 
     def begin(self, n: int) -> None:
@@ -78,7 +106,12 @@ class _Model:
         self._predict()
 
     def _refresh(self) -> None:
-        """Cumulative frequencies of 2^14 in which every listed id has at least one; beyond them, more."""
+        """Cumulative frequencies of 2^13 in which every listed id has at least one; beyond them, more."""
+        for first in range(self.since, self.step, 512):
+            found = np.bincount((self.seen[first : min(first + 512, self.step)] + self.row).reshape(-1), minlength=self.counts.size)
+            found *= _GAIN
+            self.counts += found.reshape(self.counts.shape)
+        self.since = self.step
         sums = np.cumsum(self.counts, 1, dtype=np.int32)
         room = ((1 << _ORDER0_BITS) - self.sizes) / np.maximum(sums[:, -1], 1)
         starts = np.zeros(sums.shape, np.uint16)
@@ -86,96 +119,115 @@ class _Model:
         starts += np.arange(sums.shape[1], dtype=np.uint16)
         starts[self.unknown] = (1 << _ORDER0_BITS) + 1
         starts[np.arange(self.lanes), self.sizes] = 1 << _ORDER0_BITS
-        self.order0 = starts.reshape(-1)
+        self.order0[:] = starts.reshape(-1)
+        if self.first_width:
+            # The last number that starts not above each multiple of 2^_FINE_BITS.
+            multiple = (self.order0[self.listed] + np.uint16((1 << _FINE_BITS) - 1)) >> _FINE_BITS
+            multiple = multiple + np.repeat(np.arange(self.lanes) * (self.first_width + 1), self.sizes)
+            found = np.bincount(multiple, minlength=self.lanes * (self.first_width + 1)).reshape(self.lanes, -1)[:, :-1]
+            np.cumsum(found, 1, out=self.first.reshape(self.lanes, -1), dtype=np.uint16)
+            self.first -= 1
 
     def _predict(self) -> None:
         np.add(self.at0, self.before, out=self.i1)
-        i2, iw, t = self.i2, self.iw, self.t
-        np.multiply(self.before2, 1103, out=i2)
-        i2 += self.before
-        i2 &= _SLOTS - 1
-        i2 += self.at2
+        self.hash += self.before
+        self.hash &= _SLOTS - 1
+        np.add(self.at2, self.hash, out=self.i2)
         for table, index, entry, number, sure in (
             (self.after1, self.i1, self.e1, self.c1, self.k1),
-            (self.after2, i2, self.e2, self.c2, self.k2),
+            (self.after2, self.i2, self.e2, self.c2, self.k2),
         ):
-            table.take(index, out=self.short, mode="clip")
-            np.copyto(entry, self.short)
+            table.take(index, out=entry, mode="wrap")
             np.right_shift(entry, 3, out=number)
             np.bitwise_and(entry, 7, out=sure)
-        np.multiply(self.k2, 8, out=iw)
-        iw += self.k1
+        state = self.state
         np.equal(self.c1, self.c2, out=self.flag)
-        np.multiply(self.flag, 64, out=t)
-        iw += t
-        iw += self.atw
-        self.weights.take(iw, out=t, mode="clip")
-        np.right_shift(t, 32, out=self.w2)
-        np.bitwise_and(t, 0xFFFFFFFF, out=self.w1)
-        for weight, bound in ((self.w2, self.a2), (self.w1, self.a12)):
-            np.right_shift(weight, 5, out=t)
-            np.subtract(weight, t, out=bound)
-            bound += 1
-        self.a12 += self.a2
-        np.subtract(_TOTAL, self.a12, out=self.rest)
+        np.multiply(self.flag.view(np.uint8), 8, out=state)
+        state += self.k2
+        state <<= 3
+        state += self.k1
+        np.add(self.atw, state, out=self.iw)
+        weight, both, a2, a12 = self.weight, self.both, self.a2, self.a12
+        self.weights.take(self.iw, out=weight, mode="wrap")
+        np.right_shift(weight, _RATE, out=both)
+        both &= _DECAYED
+        np.subtract(weight, both, out=both)
+        # A share is the weight without what it is about to lose, plus one.
+        np.right_shift(both, _WEIGHT_BITS, out=a2)
+        np.bitwise_and(both, (1 << _WEIGHT_BITS) - 1, out=a12)
+        a12 += a2
+        a12 += 2
+        a2 += 1
+        a2 <<= _TOTAL_BITS - _WEIGHT_BITS
+        a12 <<= _TOTAL_BITS - _WEIGHT_BITS
+        np.subtract(_TOTAL, a12, out=self.rest)
 
     def interval(self, place: np.ndarray) -> None:
         """Start and end of each lane's number, with ``place`` where its order-0 frequency stands."""
         for bound in (self.start, self.end):
-            self.order0.take(place, out=self.short, mode="clip")
-            np.copyto(bound, self.short)
-            bound *= self.rest
+            self.order0.take(place, out=self.short, mode="wrap")
+            np.multiply(self.rest, self.short, out=bound)
             bound >>= _ORDER0_BITS
             bound += self.a12
             place += 1
-        self.start = np.where(self.hit2, 0, np.where(self.hit1, self.a2, self.start))
-        self.end = np.where(self.hit2, self.a2, np.where(self.hit1, self.a12, self.end))
+        np.copyto(self.start, self.a2, where=self.right1)
+        np.copyto(self.end, self.a12, where=self.right1)
+        np.copyto(self.start, 0, where=self.hit2)
+        np.copyto(self.end, self.a2, where=self.hit2)
 
-    def learn(self) -> None:
+    def learn(self, x: np.ndarray) -> None:
         """What the number x of each lane teaches; hit1, hit2 and right1 say who named it."""
-        t, u, x = self.t, self.u, self.x
-        for hit, weight, new in ((self.hit2, self.w2, t), (self.hit1, self.w1, u)):
-            np.multiply(hit, _TOTAL, out=new)
-            new -= weight
-            new >>= 5
-            new += weight
-        t <<= 32
-        t += u
-        self.weights[self.iw] = t
+        both, u, new = self.both, self.u, self.new
+        for hit, gain in ((self.hit1, _RAISE), (self.hit2, _RAISE << _WEIGHT_BITS)):
+            np.multiply(hit, np.uint32(gain), out=u)
+            both += u
+        self.weights[self.iw] = both
         # The last number that followed is the next one named; its confidence counts how often in a row.
-        np.multiply(x, 8, out=u)
+        np.left_shift(x, 3, out=self.x8)
         for table, index, entry, sure, right in (
             (self.after1, self.i1, self.e1, self.k1, self.right1),
             (self.after2, self.i2, self.e2, self.k2, self.hit2),
         ):
             np.less(sure, _SURE, out=self.flag)
             entry += self.flag
-            table[index] = np.where(right, entry, u).astype(np.uint16)
-        np.add(self.at0, x, out=t)
-        self.flat_counts.take(t, out=self.short, mode="clip")
-        self.short += _GAIN
-        self.flat_counts[t] = self.short
-        np.copyto(self.before2, self.before)
+            np.copyto(new, self.x8)
+            np.copyto(new, entry, where=right)
+            table[index] = new
+        if self.step <= len(self.seen):
+            self.seen[self.step - 1, : self.n] = x
+        np.multiply(self.before, 1103, out=self.hash)  # of which only the lowest bits count
         np.copyto(self.before, x)
 
     def narrow(self) -> np.ndarray:
         """Take the interval out of low and span; the lanes that have a word to shift."""
         self.end -= self.start
-        np.multiply(self.unit, self.start.view(np.uint64), out=self.moved)
+        np.multiply(self.unit, self.start, out=self.moved)
         self.low += self.moved
-        np.multiply(self.unit, self.end.view(np.uint64), out=self.span)
+        np.multiply(self.unit, self.end, out=self.span)
         np.less_equal(self.span, _LOW_WORD, out=self.flag)
         return np.flatnonzero(self.flag)
 
 
 def _settle(low: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Intervals below 2^32 cut to the larger side of a word boundary, if they straddle one."""
-    last = low + span - np.uint64(1)
+    last = low + (span - np.uint64(1))
     boundary = last & ~_LOW_WORD
-    straddles = (low ^ last) >> _WORD != 0
-    head, tail = boundary - low, last - boundary + np.uint64(1)
-    upper = straddles & (tail > head)
-    return np.where(upper, boundary, low), np.where(straddles, np.where(upper, tail, head), span)
+    cut = np.flatnonzero(boundary > low)
+    if len(cut):
+        middle, first = boundary[cut], low[cut]
+        head, tail = middle - first, last[cut] - middle + np.uint64(1)
+        upper = tail > head
+        low, span = low.copy(), span.copy()
+        low[cut], span[cut] = np.where(upper, middle, first), np.where(upper, tail, head)
+    return low, span
+
+
+def _turned(values: np.ndarray) -> np.ndarray:
+    """Rows as columns, in strips of which the cache holds all lines."""
+    turned = np.empty(values.shape[::-1], values.dtype)
+    for a in range(0, values.shape[1], 32):
+        turned[a : a + 32] = values[:, a : a + 32].T
+    return turned
 
 
 def _active(lengths: np.ndarray) -> np.ndarray:
@@ -186,19 +238,19 @@ def _active(lengths: np.ndarray) -> np.ndarray:
 def encode(numbers: np.ndarray, lengths: np.ndarray, sizes: np.ndarray) -> list[bytes]:
     """The code of each lane; ``numbers`` is lanes by steps, ``lengths`` falls."""
     lanes = len(lengths)
-    model = _Model(sizes)
-    steps = np.ascontiguousarray(numbers.T)
-    words = np.zeros((lanes, BLOCK * _TOTAL_BITS // 32 + 8), np.uint32)
+    model = _Model(sizes, search=False)
+    steps = _turned(numbers)
+    words = np.zeros((lanes, BLOCK * (_TOTAL_BITS + 1) // 32 + 8), np.uint32)
     flat_words, word_at = words.reshape(-1), np.arange(lanes) * words.shape[1]
     for n, x in zip(_active(lengths).tolist(), steps):
         model.begin(n)
-        np.copyto(model.x, x[:n])
-        np.equal(model.c2, model.x, out=model.hit2)
-        np.equal(model.c1, model.x, out=model.right1)
+        x = x[:n]
+        np.equal(model.c2, x, out=model.hit2)
+        np.equal(model.c1, x, out=model.right1)
         np.greater(model.right1, model.hit2, out=model.hit1)
-        np.add(model.at0, model.x, out=model.place)
+        np.add(model.at0, x, out=model.place)
         model.interval(model.place)
-        model.learn()
+        model.learn(x)
         np.right_shift(model.span, _UNIT_BITS, out=model.unit)
         due = model.narrow()
         if len(due):
@@ -215,21 +267,23 @@ def encode(numbers: np.ndarray, lengths: np.ndarray, sizes: np.ndarray) -> list[
 def decode(codes: list[bytes], lengths: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The numbers of each lane, lanes by steps; beyond a lane's length they mean nothing."""
     lanes = len(lengths)
-    model = _Model(sizes)
+    model = _Model(sizes, search=True)
     words = np.zeros((lanes, max((len(code) for code in codes), default=0) // 4 + 3), np.uint32)
     for lane, code in enumerate(codes):
         words[lane, : len(code) // 4] = np.frombuffer(code, "<u4")
     flat_words, word_at = words.reshape(-1), np.arange(lanes) * words.shape[1] + 2
+    lane_end = np.arange(1, lanes + 1) * words.shape[1] - 1
     # How far the coded value lies above low.
     model.whole["ahead"][:] = (words[:, 0].astype(np.uint64) << _WORD) | words[:, 1]
     out = np.zeros((int(lengths.max(initial=0)), lanes), np.uint16)
-    halves = [1 << bit for bit in range(model.bits - 1, -1, -1)]
+    halves = [1 << bit for bit in range(_FINE_BITS - 1, -1, -1)]
     for step, n in enumerate(_active(lengths).tolist()):
         model.begin(n)
         np.right_shift(model.span, _UNIT_BITS, out=model.unit)
         np.floor_divide(model.ahead, model.unit, out=model.moved)
         np.minimum(model.moved, _LAST, out=model.moved)
-        aim, level, t = model.moved.view(np.int64), model.level, model.t
+        aim, level, place, t, x = model.aim, model.level, model.place, model.t, model.x
+        np.copyto(aim, model.moved, casting="unsafe")
         np.less(aim, model.a2, out=model.hit2)
         np.greater_equal(aim, model.a12, out=model.far)
         # The last number whose order-0 start is not above the aim; of use in far lanes only.
@@ -238,28 +292,34 @@ def decode(codes: list[bytes], lengths: np.ndarray, sizes: np.ndarray) -> np.nda
         level <<= _ORDER0_BITS
         level -= 1
         level //= model.rest
+        level &= (1 << _ORDER0_BITS) - 1
         np.copyto(model.level16, level, casting="unsafe")
-        place = model.place
-        np.copyto(place, model.at0)
+        level >>= _FINE_BITS
+        np.add(model.atf, level, out=place)
+        model.first.take(place, out=model.short, mode="wrap")
+        np.add(model.at0, model.short, out=place)
         for half in halves:
             np.add(place, half, out=t)
-            model.order0.take(t, out=model.short, mode="clip")
+            model.order0.take(t, out=model.short, mode="wrap")
             np.less_equal(model.short, model.level16, out=model.flag)
             np.multiply(model.flag, half, out=t)
             place += t
         np.subtract(place, model.at0, out=t)
-        np.copyto(model.x, np.where(model.far, t, np.where(model.hit2, model.c2, model.c1)))
-        np.equal(model.c1, model.x, out=model.right1)
+        np.copyto(x, model.c1)
+        np.copyto(x, t, where=model.far, casting="unsafe")
+        np.copyto(x, model.c2, where=model.hit2)
+        np.equal(model.c1, x, out=model.right1)
         np.greater(model.right1, model.hit2, out=model.hit1)
         model.interval(place)
-        model.learn()
-        np.copyto(out[step, :n], model.x, casting="unsafe")
+        model.learn(x)
+        np.copyto(out[step, :n], x)
         due = model.narrow()
         model.ahead -= model.moved
         if len(due):
             before = model.low[due]
             own, width = _settle(before, model.span[due])
-            model.ahead[due] = ((model.ahead[due] - (own - before)) << _WORD) | flat_words[word_at[due]]
-            word_at[due] = np.minimum(word_at[due] + 1, (due + 1) * words.shape[1] - 1)
+            at = word_at[due]
+            model.ahead[due] = ((model.ahead[due] - (own - before)) << _WORD) | flat_words[at]
+            word_at[due] = np.minimum(at + 1, lane_end[due])
             model.low[due], model.span[due] = own << _WORD, width << _WORD
-    return out.T
+    return _turned(out)

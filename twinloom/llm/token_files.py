@@ -33,6 +33,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -41,6 +42,7 @@ from pyspark.sql import functions as F
 from twinloom.llm import coder
 from twinloom.llm.rows import written
 from twinloom.llm.runs import gathered, kind, spread
+from twinloom.llm.words import text_bytes
 from twinloom.session import shared_folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -51,17 +53,22 @@ LANES = 2048
 RANGE = 40 << 20
 #: Bytes of text that are tokenized at once.
 STEP = 8 << 20
-MAGIC, VERSION = b"TLID", 1
+MAGIC, VERSION = b"TLID", 2
 MANIFEST = "range int, number int, file string, n_docs bigint, n_ids bigint, n_bytes bigint"
+#: Ids below this are found by flags instead of sorting a block's ids.
+FLAGGED = 1 << 17
 #: Files of a manifest that is sent to all tasks.
 BROADCAST_FILES = 500_000
 
+#: Bytes of text of a call of the tokenizer for pieces laid together.
+JOINED = 1 << 10
+
 _PLAIN = kind((0x21, 0x7E))
 #: First bytes of two-byte characters from U+00C0 to U+07FF, none of which is white space.
 _PAIR = kind((0xC3, 0xDF))
 _LETTER = kind((0x41, 0x5A), (0x61, 0x7A))
 _STOP = np.isin(np.arange(256), list(b"!),.:;?"))
-_WORD = re.compile(rb" ?[A-Za-z]+")
+_BREAK = np.isin(np.arange(256), list(b" \n"))
 
 
 class PieceTokens:
@@ -71,10 +78,11 @@ class PieceTokens:
     characters other than white space, and at a closing mark after an ASCII letter, so a text's ids
     are those of the pieces cut there. Only characters that are surely no white space count; elsewhere
     pieces are just longer. Whether the tokenizer is of this kind is checked once; texts of any
-    other are taken whole. Ids of pieces are remembered in two generations of bounded size.
+    other are taken whole. About ``remembered`` pieces and their ids are kept in arrays; when these are
+    full, what the last call did not use is forgotten.
     """
 
-    def __init__(self, name: str, remembered: int = 400_000):
+    def __init__(self, name: str, remembered: int = 800_000):
         import public_tokenizers
         from tokenizers import Tokenizer
 
@@ -92,38 +100,90 @@ class PieceTokens:
             and not re.search(r"[\s!),.:;?]", added)
             and not re.fullmatch("[A-Za-z]*", added or "<")
         )
-        self.model = self.tokenizer.model
+        if self.cuts:  # bytes of text that an id stands for; a character of a byte-level vocabulary is a byte
+            own = {token["id"]: token["content"].encode() for token in about.get("added_tokens", ())}
+            sizes = {number: len(own.get(number, token)) for token, number in self.tokenizer.get_vocab().items()}
+            self.sizes = np.zeros(max(sizes) + 1, np.int64)
+            self.sizes[list(sizes)] = list(sizes.values())
         self.remembered = remembered
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    def _known(self, pieces: list[bytes]) -> list[bytes]:
-        if len(self.young) + len(pieces) > self.remembered and self.young:
-            self.old, self.young = self.young, {}
-        young, old, other = self.young, self.old, []
-        for piece in [piece for piece in pieces if piece not in young]:
-            if piece in old:
-                young[piece] = old[piece]
-            elif self.cuts and _WORD.fullmatch(piece):  # one word: the model alone; a space is shown as U+0120
-                word = piece.decode().replace(" ", "\u0120")
-                young[piece] = array("I", [token.id for token in self.model.tokenize(word)]).tobytes()
+        self.pieces = pa.array([], pa.large_binary())
+        # Where a piece's ids start, how many they are, and the last call that needed them.
+        self.start, self.count, self.used = (np.zeros(0, np.int64) for _ in range(3))
+        self.flat, self.call = np.zeros(0, np.uint32), 0
+
+    def _entries(self, pieces: pa.Array) -> np.ndarray:
+        """The numbers of the distinct pieces among the remembered ones; new ones are tokenized."""
+        if len(self.pieces) + len(pieces) > self.remembered:
+            recent = self.used == self.call
+            self.pieces, count = self.pieces.filter(pa.array(recent)), self.count[recent]
+            self.flat = self.flat[spread(self.start[recent], count)]
+            self.start, self.count, self.used = np.cumsum(count) - count, count, self.used[recent]
+        self.call += 1
+        found = pc.index_in(pieces, value_set=self.pieces)
+        new, entry = found.is_null().to_numpy(zero_copy_only=False), found.fill_null(0).to_numpy().astype(np.int64)
+        if new.any():
+            fresh = pieces.filter(pa.array(new))
+            entry[new] = len(self.pieces) + np.arange(len(fresh))
+            count, ids = self._encoded(fresh)
+            self.pieces = pa.concat_arrays([self.pieces, fresh])
+            self.start = np.append(self.start, len(self.flat) + np.cumsum(count) - count)
+            self.count, self.flat = np.append(self.count, count), np.append(self.flat, ids)
+            self.used = np.append(self.used, np.zeros(len(fresh), np.int64))
+        self.used[entry] = self.call
+        return entry
+
+    def _encoded(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each piece has, and all of them one after the other.
+
+        Pieces that begin with a space before, and end in, a character that is surely no white space may
+        follow one another in one text, which is cut between them. Where each one's ids end follows from the
+        bytes that the ids stand for; should these not meet the pieces' ends, all are tokenized one by one.
+        """
+        data, at = text_bytes(pieces)
+        first, last, size = at[:-1], at[1:] - 1, np.diff(at)
+        fit = np.zeros(len(pieces), bool)
+        if self.cuts:
+            some = np.flatnonzero((size > 1) & (data[first] == 32))
+            second, end = data[first[some] + 1], data[last[some]]
+            after = _PLAIN[second] | _PAIR[second]
+            fit[some] = after & (_PLAIN[end] | (_PAIR[data[last[some] - 1]] & (end >= 0x80)))
+        count, parts = np.zeros(len(pieces), np.int64), []
+        if fit.any():
+            text, ends = data[np.repeat(fit, size)].tobytes(), np.cumsum(size[fit])
+            cuts = ends[np.searchsorted(ends, np.arange(JOINED, len(text), JOINED))].tolist() + [len(text)]
+            texts = [text[a:b].decode() for a, b in zip([0, *cuts], cuts) if a < b]
+            encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            ids = np.concatenate([np.array(one.ids, np.uint32) for one in encoded])
+            reached = np.append(np.cumsum(self.sizes[ids]), len(text) + 1)
+            stop = np.searchsorted(reached, ends)
+            if (reached[stop] == ends).all() and stop[-1] + 1 == len(ids):
+                count[fit] = np.diff(stop, prepend=-1)
+                parts.append(ids)
             else:
-                other.append(piece)
-        encoded = self.tokenizer.encode_batch_fast([piece.decode() for piece in other], add_special_tokens=False)
-        for piece, one in zip(other, encoded, strict=True):
-            young[piece] = array("I", one.ids).tobytes()
-        return list(map(young.__getitem__, pieces))
+                fit[:] = False
+        encoded = self.tokenizer.encode_batch_fast(
+            [piece.decode() for piece in pieces.filter(pa.array(~fit)).to_pylist()], add_special_tokens=False
+        )
+        alone = [array("I", one.ids) for one in encoded]
+        count[~fit] = list(map(len, alone))
+        ids = np.concatenate([*parts, np.frombuffer(b"".join(one.tobytes() for one in alone), np.uint32)])
+        order = np.concatenate((np.flatnonzero(fit), np.flatnonzero(~fit)))
+        start = np.zeros(len(pieces), np.int64)
+        start[order] = np.cumsum(count[order]) - count[order]
+        return count, ids[spread(start, count)]
 
     def _starts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         mark = np.zeros(len(data) + 1, bool)
+        if self.cuts and len(data) > 2:
+            at = np.flatnonzero(_BREAK[data[1:-1]]) + 1
+            before, after = data[at - 1], data[at + 1]
+            earlier = np.where(at > 1, data[at - 2], 0)
+            at = at[(_PLAIN[before] | (_PAIR[earlier] & (before >= 0x80))) & (_PLAIN[after] | _PAIR[after])]
+            mark[at] = True
+            mark[at[data[at] == 10] + 1] = True
         if self.cuts:
-            after = _PLAIN[data[2:]] | _PAIR[data[2:]]
-            before = _PLAIN[data[:-2]]
-            before[1:] |= _PAIR[data[:-3]] & (data[1:-2] >= 0x80)
-            between = before & after
-            mark[1:-2] = between & ((data[1:-1] == 32) | (data[1:-1] == 10))
-            mark[2:-1] |= between & (data[1:-1] == 10)
-            mark[1:-1] |= _STOP[data[1:]] & _LETTER[data[:-1]]
+            at = np.flatnonzero(_STOP[data[1:]]) + 1
+            mark[at[_LETTER[data[at - 1]]]] = True
         mark[offsets[:-1]] = True
         return np.flatnonzero(mark[: len(data)])
 
@@ -134,12 +194,9 @@ class PieceTokens:
             pa.large_binary(), len(starts), [None, pa.py_buffer(np.append(starts, len(data))), pa.py_buffer(data.tobytes())]
         )
         found = texts.dictionary_encode()
-        parts = self._known(found.dictionary.to_pylist())
-        length = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
-        flat = np.frombuffer(b"".join(parts), np.uint32)
-        code = found.indices.to_numpy()
-        size = length[code]
-        ids = flat[spread((np.cumsum(length) - length)[code], size)]
+        entry = self._entries(found.dictionary)[found.indices.to_numpy()]
+        size = self.count[entry]
+        ids = self.flat[spread(self.start[entry], size)]
         at = np.concatenate(([0], np.cumsum(size)))
         return ids, np.diff(at[np.searchsorted(starts, offsets)])
 
@@ -162,19 +219,28 @@ def _gaps(ids: np.ndarray) -> bytes:
 def _listed(data: bytes, count: int) -> np.ndarray:
     gaps = np.frombuffer(data, np.uint8, count).astype(np.int64)
     gaps[gaps == 255] = np.frombuffer(data, "<u4", offset=count)
-    return np.cumsum(gaps + 1) - 1
+    return (np.cumsum(gaps + 1) - 1).astype("<u4")
 
 
 def to_bytes(doc_ids: list[int | None], counts: np.ndarray, ids: np.ndarray, lanes: int = LANES) -> bytes:
     """A file of documents with the given numbers of ids."""
     blocks = -(-len(ids) // coder.BLOCK)
     columns, bodies = np.zeros((5, blocks), "<u4"), []
+    held = np.zeros(int(ids.max(initial=0)) + 1, bool) if ids.max(initial=0) < FLAGGED else None
+    place = np.zeros(0 if held is None else len(held), np.uint16)
     for first in range(0, blocks, lanes):
         numbers = np.zeros((min(lanes, blocks - first), coder.BLOCK), np.uint16)
         lists = []
         for lane in range(len(numbers)):
             own = ids[(first + lane) * coder.BLOCK : (first + lane + 1) * coder.BLOCK]
-            listed, inverse = np.unique(own, return_inverse=True)
+            if held is None:
+                listed, inverse = np.unique(own, return_inverse=True)
+            else:  # the same without sorting
+                held[own] = True
+                listed = np.flatnonzero(held)
+                held[listed] = False
+                place[listed] = np.arange(len(listed))
+                inverse = place[own]
             numbers[lane, : len(own)] = inverse
             lists.append(_gaps(listed))
             columns[:3, first + lane] = len(own), len(listed), len(lists[-1])
@@ -217,7 +283,7 @@ def from_bytes(data: bytes) -> Iterator[tuple[list[int | None], np.ndarray, np.n
         found = coder.decode(codes, length[first : part.stop], distinct[first : part.stop])
         parts = [rest]
         for lane, block in enumerate(part):
-            own = lists[lane][np.minimum(found[lane, : length[block]], distinct[block] - 1)].astype("<u4")
+            own = lists[lane][np.minimum(found[lane, : length[block]], int(distinct[block] - 1))]
             if zlib.crc32(own.tobytes()) != crc[block]:
                 raise ValueError(f"block {block} of a file of token ids is damaged")
             parts.append(own)
