@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -168,3 +169,53 @@ def test_new_pieces_are_tokenized_together():
         assert (pieces.tokenizer.texts < 500) == (sizes is None)
         pieces.ids(data, np.array([0, len(data)]))
         assert len(pieces.pieces) == len(set(pieces.pieces.to_pylist()))
+
+
+def pieces_of(pieces, text):
+    data = np.frombuffer(text.encode(), np.uint8)
+    ids, counts = pieces.ids(data, np.array([0, len(data)]))
+    assert ids.tolist() == PLAIN.encode(text, add_special_tokens=False).ids and counts.tolist() == [len(ids)]
+
+
+def test_words_are_cut_from_all_marks():
+    """A word is tokenized once, whatever marks follow it and whichever Latin letter it ends in."""
+    pieces = PieceTokens(TOKENIZER)
+    pieces_of(pieces, "".join(f" wordo{end} wordé{end} wordß{end}" for end in ("&&&", "###", "***", "$$$", "'s", ".", "-", "\"", "")))
+    words = [piece for piece in pieces.pieces.to_pylist() if b"word" in piece]
+    assert len(words) == 3
+    pieces_of(pieces, "a<|endoftext|>b é<|endoftext|>é<|é|>é>é <|endoftext|>\u00d7&\u00f7&\u0301& x\u00d7& y\u00f7&")
+
+
+def test_recent_pieces_survive_a_small_call():
+    pieces = PieceTokens(TOKENIZER, remembered=1_000)
+    pieces.tokenizer = _Counting(pieces.tokenizer)
+    first, second = (" ".join(f"{kind}{n:x}z" for n in range(600)) for kind in ("qa", "qb"))
+    for text in (first, "small", second):
+        pieces_of(pieces, text)
+    known = set(pieces.pieces.to_pylist())
+    assert sum(f" qa{n:x}z".encode() in known for n in range(600)) > 250
+    for text in (first, second, first):
+        pieces_of(pieces, text)
+    assert len(pieces.pieces) < 1_300 and (np.diff(pieces.keys.astype(object)) > 0).all()
+
+
+def test_long_pieces_do_not_pile_up(monkeypatch):
+    monkeypatch.setattr(token_files, "REMEMBERED_BYTES", 20_000)
+    pieces = PieceTokens(TOKENIZER)
+    for n in range(40):
+        pieces_of(pieces, " ".join(f"{'日' * 300}{n}{k}" for k in range(4)))
+    assert pieces.pieces.nbytes < 30_000
+
+
+def test_pieces_of_equal_keys_stay_apart(monkeypatch):
+    monkeypatch.setattr(token_files, "_keys", lambda pieces: np.full(len(pieces), 7, np.uint64))
+    pieces = PieceTokens(TOKENIZER, remembered=40)
+    for text in ("one two three one", "two three four", " ".join(map(str, range(60))), "one two", ""):
+        pieces_of(pieces, text)
+
+
+def test_keys_take_no_other_piece_in():
+    pieces = [b"a" * n + end for n in range(30) for end in (b"", b"x", b"xyz")]
+    together = token_files._keys(pa.array(pieces, pa.large_binary()))
+    alone = [token_files._keys(pa.array([piece], pa.large_binary()))[0] for piece in pieces if piece]
+    assert together[1:].tolist() == [int(key) for key in alone] and len(set(alone)) == len(set(pieces)) - 1

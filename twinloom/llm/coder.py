@@ -34,16 +34,21 @@ _SURE = 7
 #: A weight is 16 bits; the two of a state share a word, that of order 2 above.
 _WEIGHT_BITS = 16
 _RATE = 5
-_DECAYED = np.uint32(((1 << _WEIGHT_BITS - _RATE) - 1) * 0x10001)
+#: Lanes whose frequencies are brought up to date at once.
+_STRIP = 64
 _RAISE = (1 << _WEIGHT_BITS - _RATE) - 1
-_WORD = np.uint64(32)
-_LOW_WORD = np.uint64(0xFFFFFFFF)
-_UNIT_BITS = np.uint64(_TOTAL_BITS)
-_LAST = np.uint64(_TOTAL - 1)
+# Numbers that steps work with are arrays of their kind, since any other number is converted anew each time.
+_WORD, _LOW_WORD, _UNIT_BITS, _LAST = (np.array(x, np.uint64) for x in (32, 0xFFFFFFFF, _TOTAL_BITS, _TOTAL - 1))
+_ONE16, _SURE_BITS, _SURE16, _SLOT, _FACTOR, _ALL16 = (np.array(x, np.uint16) for x in (1, 3, _SURE, _SLOTS - 1, 1103, 0xFFFF))
+_RATE32, _WEIGHT32, _LOW_WEIGHT = (np.array(x, np.uint32) for x in (_RATE, _WEIGHT_BITS, (1 << _WEIGHT_BITS) - 1))
+_DECAYED, _RAISE1, _RAISE2 = (np.array(x, np.uint32) for x in (((1 << _WEIGHT_BITS - _RATE) - 1) * 0x10001, _RAISE, _RAISE << _WEIGHT_BITS))
+_ONE32, _TWO32, _TOTAL32, _SCALE = (np.array(x, np.uint32) for x in (1, 2, _TOTAL, _TOTAL_BITS - _WEIGHT_BITS))
+_ORDER0, _ORDER0_LAST, _FINE, _ALL32 = (np.array(x, np.uint32) for x in (_ORDER0_BITS, (1 << _ORDER0_BITS) - 1, _FINE_BITS, (1 << 32) - 1))
+_ONE64, _HALVES = np.array(1), [np.array(1 << bit) for bit in range(_FINE_BITS - 1, -1, -1)]
 _NUMBERS = {
     np.int64: "i1 i2 iw place t",
-    np.uint16: "e1 e2 c1 c2 k1 k2 hash state new short level16 x8 before x",
-    np.uint32: "weight both a2 a12 rest start end aim level u",
+    np.uint16: "entry c1 c2 k1 k2 hash state new short level16 x8 before x other mask",
+    np.uint32: "weight both a2 a12 rest start end aim level u miss named1 named2",
     np.uint64: "low ahead unit moved",
     bool: "hit1 hit2 right1 far flag",
 }
@@ -59,6 +64,11 @@ def _zeros(arrays: dict[str, tuple[int, type]]) -> dict[str, np.ndarray]:
     }
 
 
+def table(rows: int, columns: int) -> np.ndarray:
+    """A table of 16-bit numbers whose rows do not lie a power of two apart, for then a column's would share a cache line."""
+    return np.zeros((rows, columns + 32), np.uint16)[:, :columns]
+
+
 class _Model:
     """The predictions of all lanes; lane l has ``sizes[l]`` distinct ids.
 
@@ -76,14 +86,14 @@ class _Model:
         kinds = {name: (lanes, kind) for kind, names in _NUMBERS.items() for name in names.split()}
         self.whole |= _zeros(kinds | {"span": (lanes, np.uint64)})
         self.whole["span"][:] = (1 << 64) - 1
+        self.whole |= {f"{name}_8": self.whole[name].view(np.uint8) for name in _NUMBERS[bool].split()}
         self.first_width = 1 << _ORDER0_BITS - _FINE_BITS if search else 0
         tables = {"after1": width, "after2": _SLOTS, "order0": width, "first": self.first_width}
         tables = {name: (lanes * each, np.uint16) for name, each in tables.items()} | {"weights": (lanes * 128, np.uint32)}
         for name, table in _zeros(tables).items():
             setattr(self, name, table)
         self.unknown = np.arange(width) >= sizes[:, None]
-        self.counts = (~self.unknown).astype(np.int64)
-        self.listed = np.flatnonzero(~self.unknown)
+        self.counts = (~self.unknown).astype(np.int32)
         # Numbers since the last refresh.
         self.seen, self.since = np.zeros((max(REFRESH), lanes), np.uint16), 0
         # Before anything is learned, a prediction with confidence k is right in k of k + 2 or 3 cases.
@@ -107,95 +117,110 @@ class _Model:
 
     def _refresh(self) -> None:
         """Cumulative frequencies of 2^13 in which every listed id has at least one; beyond them, more."""
-        for first in range(self.since, self.step, 512):
-            found = np.bincount((self.seen[first : min(first + 512, self.step)] + self.row).reshape(-1), minlength=self.counts.size)
-            found *= _GAIN
-            self.counts += found.reshape(self.counts.shape)
+        for first in range(0, self.lanes, _STRIP):  # as many lanes as the cache holds
+            part = slice(first, first + _STRIP)
+            counts, sizes, unknown = self.counts[part], self.sizes[part], self.unknown[part]
+            if self.step > self.since:
+                at = self.seen[self.since : self.step, part] + (self.row[part] - self.row[first])
+                found = np.bincount(at.reshape(-1), minlength=counts.size).reshape(counts.shape)
+                found *= _GAIN
+                counts += found
+            sums = np.cumsum(counts, 1, dtype=np.int32)
+            room = ((1 << _ORDER0_BITS) - sizes) / np.maximum(sums[:, -1], 1)
+            starts = self.order0.reshape(self.lanes, -1)[part]
+            starts[:, 0] = 0
+            starts[:, 1:] = (sums[:, :-1] * room[:, None]).astype(np.uint16)
+            starts += np.arange(self.width, dtype=np.uint16)
+            starts[unknown] = (1 << _ORDER0_BITS) + 1
+            lane = np.arange(len(sizes))
+            starts[lane, sizes] = 1 << _ORDER0_BITS
+            if self.first_width:
+                # The last number that starts not above each multiple of 2^_FINE_BITS.
+                multiple = (starts[~unknown] + np.uint16((1 << _FINE_BITS) - 1)) >> _FINE_BITS
+                multiple = multiple + np.repeat(lane * (self.first_width + 1), sizes)
+                found = np.bincount(multiple, minlength=len(sizes) * (self.first_width + 1)).reshape(len(sizes), -1)[:, :-1]
+                fine = self.first.reshape(self.lanes, -1)[part]
+                np.cumsum(found, 1, out=fine, dtype=np.uint16)
+                fine -= 1
         self.since = self.step
-        sums = np.cumsum(self.counts, 1, dtype=np.int32)
-        room = ((1 << _ORDER0_BITS) - self.sizes) / np.maximum(sums[:, -1], 1)
-        starts = np.zeros(sums.shape, np.uint16)
-        starts[:, 1:] = (sums[:, :-1] * room[:, None]).astype(np.uint16)
-        starts += np.arange(sums.shape[1], dtype=np.uint16)
-        starts[self.unknown] = (1 << _ORDER0_BITS) + 1
-        starts[np.arange(self.lanes), self.sizes] = 1 << _ORDER0_BITS
-        self.order0[:] = starts.reshape(-1)
-        if self.first_width:
-            # The last number that starts not above each multiple of 2^_FINE_BITS.
-            multiple = (self.order0[self.listed] + np.uint16((1 << _FINE_BITS) - 1)) >> _FINE_BITS
-            multiple = multiple + np.repeat(np.arange(self.lanes) * (self.first_width + 1), self.sizes)
-            found = np.bincount(multiple, minlength=self.lanes * (self.first_width + 1)).reshape(self.lanes, -1)[:, :-1]
-            np.cumsum(found, 1, out=self.first.reshape(self.lanes, -1), dtype=np.uint16)
-            self.first -= 1
 
     def _predict(self) -> None:
         np.add(self.at0, self.before, out=self.i1)
         self.hash += self.before
-        self.hash &= _SLOTS - 1
+        self.hash &= _SLOT
         np.add(self.at2, self.hash, out=self.i2)
-        for table, index, entry, number, sure in (
-            (self.after1, self.i1, self.e1, self.c1, self.k1),
-            (self.after2, self.i2, self.e2, self.c2, self.k2),
-        ):
+        entry = self.entry
+        for table, index, number, sure in ((self.after1, self.i1, self.c1, self.k1), (self.after2, self.i2, self.c2, self.k2)):
             table.take(index, out=entry, mode="wrap")
-            np.right_shift(entry, 3, out=number)
-            np.bitwise_and(entry, 7, out=sure)
+            np.right_shift(entry, _SURE_BITS, out=number)
+            np.bitwise_and(entry, _SURE16, out=sure)
         state = self.state
         np.equal(self.c1, self.c2, out=self.flag)
-        np.multiply(self.flag.view(np.uint8), 8, out=state)
+        np.left_shift(self.flag_8, _SURE_BITS, out=state)
         state += self.k2
-        state <<= 3
+        state <<= _SURE_BITS
         state += self.k1
         np.add(self.atw, state, out=self.iw)
         weight, both, a2, a12 = self.weight, self.both, self.a2, self.a12
         self.weights.take(self.iw, out=weight, mode="wrap")
-        np.right_shift(weight, _RATE, out=both)
+        np.right_shift(weight, _RATE32, out=both)
         both &= _DECAYED
         np.subtract(weight, both, out=both)
         # A share is the weight without what it is about to lose, plus one.
-        np.right_shift(both, _WEIGHT_BITS, out=a2)
-        np.bitwise_and(both, (1 << _WEIGHT_BITS) - 1, out=a12)
+        np.right_shift(both, _WEIGHT32, out=a2)
+        np.bitwise_and(both, _LOW_WEIGHT, out=a12)
         a12 += a2
-        a12 += 2
-        a2 += 1
-        a2 <<= _TOTAL_BITS - _WEIGHT_BITS
-        a12 <<= _TOTAL_BITS - _WEIGHT_BITS
-        np.subtract(_TOTAL, a12, out=self.rest)
+        a12 += _TWO32
+        a2 += _ONE32
+        a2 <<= _SCALE
+        a12 <<= _SCALE
+        np.subtract(_TOTAL32, a12, out=self.rest)
 
     def interval(self, place: np.ndarray) -> None:
-        """Start and end of each lane's number, with ``place`` where its order-0 frequency stands."""
-        for bound in (self.start, self.end):
-            self.order0.take(place, out=self.short, mode="wrap")
-            np.multiply(self.rest, self.short, out=bound)
-            bound >>= _ORDER0_BITS
-            bound += self.a12
-            place += 1
-        np.copyto(self.start, self.a2, where=self.right1)
-        np.copyto(self.end, self.a12, where=self.right1)
-        np.copyto(self.start, 0, where=self.hit2)
-        np.copyto(self.end, self.a2, where=self.hit2)
+        """Start and end of each lane's number, with ``place`` where its order-0 frequency stands.
+
+        Masks choose between orders, since choices by flag that follow no pattern take longer.
+        """
+        named1, named2, miss, start, end, u = self.named1, self.named2, self.miss, self.start, self.end, self.u
+        np.multiply(self.hit1_8, _ALL32, out=named1)
+        np.multiply(self.hit2_8, _ALL32, out=named2)
+        np.bitwise_or(named1, named2, out=miss)
+        np.invert(miss, out=miss)
+        self.rest &= miss
+        self.order0.take(place, out=self.short, mode="wrap")
+        np.multiply(self.rest, self.short, out=start)
+        start >>= _ORDER0
+        miss &= self.a12
+        start += miss
+        np.bitwise_and(named1, self.a2, out=u)
+        start += u
+        place += _ONE64
+        self.order0.take(place, out=self.short, mode="wrap")
+        np.multiply(self.rest, self.short, out=end)
+        end >>= _ORDER0
+        np.bitwise_xor(self.a2, self.a12, out=u)
+        u &= named2
+        u ^= self.a12
+        end += u
 
     def learn(self, x: np.ndarray) -> None:
         """What the number x of each lane teaches; hit1, hit2 and right1 say who named it."""
-        both, u, new = self.both, self.u, self.new
-        for hit, gain in ((self.hit1, _RAISE), (self.hit2, _RAISE << _WEIGHT_BITS)):
-            np.multiply(hit, np.uint32(gain), out=u)
+        both, u, new, x8 = self.both, self.u, self.new, self.x8
+        for named, gain in ((self.named1, _RAISE1), (self.named2, _RAISE2)):
+            np.bitwise_and(named, gain, out=u)
             both += u
         self.weights[self.iw] = both
         # The last number that followed is the next one named; its confidence counts how often in a row.
-        np.left_shift(x, 3, out=self.x8)
-        for table, index, entry, sure, right in (
-            (self.after1, self.i1, self.e1, self.k1, self.right1),
-            (self.after2, self.i2, self.e2, self.k2, self.hit2),
-        ):
-            np.less(sure, _SURE, out=self.flag)
-            entry += self.flag
-            np.copyto(new, self.x8)
-            np.copyto(new, entry, where=right)
+        np.left_shift(x, _SURE_BITS, out=x8)
+        for table, index, sure, right in ((self.after1, self.i1, self.k1, self.right1_8), (self.after2, self.i2, self.k2, self.hit2_8)):
+            sure += _ONE16
+            np.minimum(sure, _SURE16, out=sure)
+            np.multiply(sure, right, out=new)
+            new += x8
             table[index] = new
         if self.step <= len(self.seen):
             self.seen[self.step - 1, : self.n] = x
-        np.multiply(self.before, 1103, out=self.hash)  # of which only the lowest bits count
+        np.multiply(self.before, _FACTOR, out=self.hash)  # of which only the lowest bits count
         np.copyto(self.before, x)
 
     def narrow(self) -> np.ndarray:
@@ -275,39 +300,44 @@ def decode(codes: list[bytes], lengths: np.ndarray, sizes: np.ndarray) -> np.nda
     lane_end = np.arange(1, lanes + 1) * words.shape[1] - 1
     # How far the coded value lies above low.
     model.whole["ahead"][:] = (words[:, 0].astype(np.uint64) << _WORD) | words[:, 1]
-    out = np.zeros((int(lengths.max(initial=0)), lanes), np.uint16)
-    halves = [1 << bit for bit in range(_FINE_BITS - 1, -1, -1)]
+    out = table(int(lengths.max(initial=0)), lanes)
     for step, n in enumerate(_active(lengths).tolist()):
         model.begin(n)
         np.right_shift(model.span, _UNIT_BITS, out=model.unit)
         np.floor_divide(model.ahead, model.unit, out=model.moved)
         np.minimum(model.moved, _LAST, out=model.moved)
-        aim, level, place, t, x = model.aim, model.level, model.place, model.t, model.x
+        aim, level, place, t, x, other, mask = model.aim, model.level, model.place, model.t, model.x, model.other, model.mask
         np.copyto(aim, model.moved, casting="unsafe")
         np.less(aim, model.a2, out=model.hit2)
         np.greater_equal(aim, model.a12, out=model.far)
         # The last number whose order-0 start is not above the aim; of use in far lanes only.
         np.subtract(aim, model.a12, out=level)
-        level += 1
-        level <<= _ORDER0_BITS
-        level -= 1
+        level += _ONE32
+        level <<= _ORDER0
+        level -= _ONE32
         level //= model.rest
-        level &= (1 << _ORDER0_BITS) - 1
+        level &= _ORDER0_LAST
         np.copyto(model.level16, level, casting="unsafe")
-        level >>= _FINE_BITS
+        level >>= _FINE
         np.add(model.atf, level, out=place)
         model.first.take(place, out=model.short, mode="wrap")
         np.add(model.at0, model.short, out=place)
-        for half in halves:
+        for half in _HALVES:
             np.add(place, half, out=t)
             model.order0.take(t, out=model.short, mode="wrap")
             np.less_equal(model.short, model.level16, out=model.flag)
-            np.multiply(model.flag, half, out=t)
+            np.multiply(model.flag_8, half, out=t)
             place += t
         np.subtract(place, model.at0, out=t)
-        np.copyto(x, model.c1)
-        np.copyto(x, t, where=model.far, casting="unsafe")
-        np.copyto(x, model.c2, where=model.hit2)
+        np.bitwise_xor(model.c1, model.c2, out=x)
+        np.multiply(model.hit2_8, _ALL16, out=mask)
+        x &= mask
+        x ^= model.c1
+        np.copyto(other, t, casting="unsafe")
+        other ^= x
+        np.multiply(model.far_8, _ALL16, out=mask)
+        other &= mask
+        x ^= other
         np.equal(model.c1, x, out=model.right1)
         np.greater(model.right1, model.hit2, out=model.hit1)
         model.interval(place)

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from twinloom.llm import coder
 from twinloom.llm.rows import written
 from twinloom.llm.runs import gathered, kind, spread
-from twinloom.llm.words import text_bytes
+from twinloom.llm.words import mixed, text_bytes
 from twinloom.session import shared_folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -63,26 +63,61 @@ BROADCAST_FILES = 500_000
 #: Bytes of text of a call of the tokenizer for pieces laid together.
 JOINED = 1 << 10
 
+#: Bytes of remembered pieces beyond which half of them are forgotten.
+REMEMBERED_BYTES = 64 << 20
+#: Pieces whose ids are laid side by side at once.
+SPREAD = 1 << 15
+
 _PLAIN = kind((0x21, 0x7E))
 #: First bytes of two-byte characters from U+00C0 to U+07FF, none of which is white space.
 _PAIR = kind((0xC3, 0xDF))
 _LETTER = kind((0x41, 0x5A), (0x61, 0x7A))
-_STOP = np.isin(np.arange(256), list(b"!),.:;?"))
-_BREAK = np.isin(np.arange(256), list(b" \n"))
+_MARKS = "!\"#$%&'()*+,-./:;=?@[\\]^_`{}~<|>"
+#: What a byte can be, in bits: white space to cut at, a mark to cut at, an ASCII character other than white space, an
+#: ASCII letter, the rest of a character, the first byte of a pair, that of one from U+00C0 to U+024F, which but for the
+#: signs of times and division are letters, and either byte of these signs.
+_SPACE, _MARK, _ASCII, _ALPHA, _REST, _LEAD, _LATIN, _SIGN = (1 << bit for bit in range(8))
+_KINDS = sum(
+    bit * flags.astype(np.uint8)
+    for bit, flags in (
+        (_SPACE, kind((0x20, 0x20), (0x0A, 0x0A))),
+        (_MARK, np.isin(np.arange(256), list(_MARKS.encode()))),
+        (_ASCII, _PLAIN),
+        (_ALPHA, _LETTER),
+        (_REST, kind((0x80, 0xBF))),
+        (_LEAD, _PAIR),
+        (_LATIN, kind((0xC3, 0xC9))),
+        (_SIGN, np.isin(np.arange(256), (0xC3, 0x97, 0xB7))),
+    )
+)
+
+
+def _keys(pieces: pa.Array) -> np.ndarray:
+    """A number for each piece, made of its length, its first 16 and its last 8 bytes."""
+    data, at = text_bytes(pieces)
+    size = np.diff(at)
+    padded = np.concatenate((np.zeros(8, np.uint8), data, np.zeros(16, np.uint8)))
+    eight = np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))  # the eight bytes from each place on
+    bits = (np.clip(8 - size, 0, 7) * 8).astype(np.uint64)  # that lie beyond a short piece
+    more = (np.clip(16 - size, 0, 7) * 8).astype(np.uint64)
+    key = mixed((eight[at[:-1] + 8] << bits) + mixed(size.astype(np.uint64)))
+    key = mixed(key + np.where(size > 8, eight[at[:-1] + 16] << more, 0))
+    return mixed(key + (eight[at[1:]] >> bits))
 
 
 class PieceTokens:
     """Token ids of texts, by pieces that the tokenizer never merges across.
 
     A byte-level pre-tokenizer starts anew at a space and around a line feed that stand between two
-    characters other than white space, and at a closing mark after an ASCII letter, so a text's ids
+    characters other than white space, and at a mark after a Latin letter, so a text's ids
     are those of the pieces cut there. Only characters that are surely no white space count; elsewhere
     pieces are just longer. Whether the tokenizer is of this kind is checked once; texts of any
     other are taken whole. About ``remembered`` pieces and their ids are kept in arrays; when these are
-    full, what the last call did not use is forgotten.
+    full, the half that was used last stays. A piece is looked up by its key and then compared; one whose
+    key belongs to another piece is not found again.
     """
 
-    def __init__(self, name: str, remembered: int = 800_000):
+    def __init__(self, name: str, remembered: int = 1_200_000):
         import public_tokenizers
         from tokenizers import Tokenizer
 
@@ -100,35 +135,60 @@ class PieceTokens:
             and not re.search(r"[\s!),.:;?]", added)
             and not re.fullmatch("[A-Za-z]*", added or "<")
         )
+        kinds = _KINDS.copy()
+        kinds[list(added.encode())] &= 255 - _MARK  # no cuts inside an added token
+        self.kinds = kinds.tobytes()
         if self.cuts:  # bytes of text that an id stands for; a character of a byte-level vocabulary is a byte
             own = {token["id"]: token["content"].encode() for token in about.get("added_tokens", ())}
             sizes = {number: len(own.get(number, token)) for token, number in self.tokenizer.get_vocab().items()}
             self.sizes = np.zeros(max(sizes) + 1, np.int64)
             self.sizes[list(sizes)] = list(sizes.values())
         self.remembered = remembered
-        self.pieces = pa.array([], pa.large_binary())
+        # The empty piece comes first and stays. Keys ascend, each with its piece's number.
+        self.pieces = pa.array([b""], pa.large_binary())
+        self.keys, self.entry = _keys(self.pieces), np.zeros(1, np.int32)
         # Where a piece's ids start, how many they are, and the last call that needed them.
-        self.start, self.count, self.used = (np.zeros(0, np.int64) for _ in range(3))
+        self.start, self.count, self.used = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(1, np.int32)
         self.flat, self.call = np.zeros(0, np.uint32), 0
 
+    def _forget(self) -> None:
+        half = (len(self.used) + 1) // 2
+        stays = np.zeros(len(self.used), bool)
+        stays[np.argpartition(self.used, -half)[-half:]] = True
+        stays[0] = True
+        self.pieces, count = self.pieces.filter(pa.array(stays)), self.count[stays]
+        self.flat = self.flat[spread(self.start[stays], count)]
+        self.start, self.count, self.used = np.cumsum(count) - count, count, self.used[stays]
+        keyed = stays[self.entry]
+        self.keys, self.entry = self.keys[keyed], (np.cumsum(stays, dtype=np.int32) - 1)[self.entry[keyed]]
+
     def _entries(self, pieces: pa.Array) -> np.ndarray:
         """The numbers of the distinct pieces among the remembered ones; new ones are tokenized."""
-        if len(self.pieces) + len(pieces) > self.remembered:
-            recent = self.used == self.call
-            self.pieces, count = self.pieces.filter(pa.array(recent)), self.count[recent]
-            self.flat = self.flat[spread(self.start[recent], count)]
-            self.start, self.count, self.used = np.cumsum(count) - count, count, self.used[recent]
+        if len(self.pieces) + len(pieces) > self.remembered or self.pieces.nbytes > REMEMBERED_BYTES:
+            self._forget()
         self.call += 1
-        found = pc.index_in(pieces, value_set=self.pieces)
-        new, entry = found.is_null().to_numpy(zero_copy_only=False), found.fill_null(0).to_numpy().astype(np.int64)
+        key = _keys(pieces)
+        order = np.argsort(key)
+        key = key[order]
+        place = np.searchsorted(self.keys, key)
+        near = np.minimum(place, len(self.keys) - 1)
+        taken = self.keys[near] == key
+        entry = np.zeros(len(pieces), np.int64)
+        entry[order] = self.entry[near]
+        alike = pc.equal(self.pieces.take(pa.array(entry)), pieces).to_numpy(zero_copy_only=False)
+        new = ~alike
         if new.any():
             fresh = pieces.filter(pa.array(new))
             entry[new] = len(self.pieces) + np.arange(len(fresh))
+            free = new[order] & ~taken
+            free[1:] &= key[1:] != key[:-1]
+            self.keys = np.insert(self.keys, place[free], key[free])
+            self.entry = np.insert(self.entry, place[free], entry[order[free]])
             count, ids = self._encoded(fresh)
             self.pieces = pa.concat_arrays([self.pieces, fresh])
             self.start = np.append(self.start, len(self.flat) + np.cumsum(count) - count)
             self.count, self.flat = np.append(self.count, count), np.append(self.flat, ids)
-            self.used = np.append(self.used, np.zeros(len(fresh), np.int64))
+            self.used = np.append(self.used, np.zeros(len(fresh), np.int32))
         self.used[entry] = self.call
         return entry
 
@@ -175,15 +235,20 @@ class PieceTokens:
     def _starts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         mark = np.zeros(len(data) + 1, bool)
         if self.cuts and len(data) > 2:
-            at = np.flatnonzero(_BREAK[data[1:-1]]) + 1
-            before, after = data[at - 1], data[at + 1]
-            earlier = np.where(at > 1, data[at - 2], 0)
-            at = at[(_PLAIN[before] | (_PAIR[earlier] & (before >= 0x80))) & (_PLAIN[after] | _PAIR[after])]
-            mark[at] = True
-            mark[at[data[at] == 10] + 1] = True
-        if self.cuts:
-            at = np.flatnonzero(_STOP[data[1:]]) + 1
-            mark[at[_LETTER[data[at - 1]]]] = True
+            kinds = np.frombuffer(data.tobytes().translate(self.kinds), np.uint8)
+            first, second = kinds[:-1], kinds[1:]
+            # Whether a character that is surely no white space, or a letter, ends at a byte.
+            solid, letter = (kinds & _ASCII) > 0, (kinds & _ALPHA) > 0
+            rest = (second & _REST) > 0
+            solid[1:] |= ((first & _LEAD) > 0) & rest
+            rest &= (first & _LATIN) > 0
+            letter[1:] |= rest & ((first & second & _SIGN) == 0)
+            space = (kinds[1:-1] & _SPACE) > 0
+            space &= solid[:-2]
+            space &= (kinds[2:] & (_ASCII | _LEAD)) > 0
+            mark[1:-2] = space
+            mark[2:-1] |= space & (data[1:-1] == 10)
+            mark[1:-1] |= ((second & _MARK) > 0) & letter[:-1]
         mark[offsets[:-1]] = True
         return np.flatnonzero(mark[: len(data)])
 
@@ -194,10 +259,14 @@ class PieceTokens:
             pa.large_binary(), len(starts), [None, pa.py_buffer(np.append(starts, len(data))), pa.py_buffer(data.tobytes())]
         )
         found = texts.dictionary_encode()
-        entry = self._entries(found.dictionary)[found.indices.to_numpy()]
-        size = self.count[entry]
-        ids = self.flat[spread(self.start[entry], size)]
-        at = np.concatenate(([0], np.cumsum(size)))
+        entry = self._entries(found.dictionary)
+        own, start, count = found.indices.to_numpy(), self.start[entry], self.count[entry]
+        at = np.zeros(len(own) + 1, np.int64)
+        np.cumsum(count[own], out=at[1:])
+        ids = np.empty(at[-1], np.uint32)
+        for a in range(0, len(own), SPREAD):
+            part = own[a : a + SPREAD]
+            ids[at[a] : at[a + len(part)]] = self.flat[spread(start[part], count[part])]
         return ids, np.diff(at[np.searchsorted(starts, offsets)])
 
 
@@ -229,7 +298,7 @@ def to_bytes(doc_ids: list[int | None], counts: np.ndarray, ids: np.ndarray, lan
     held = np.zeros(int(ids.max(initial=0)) + 1, bool) if ids.max(initial=0) < FLAGGED else None
     place = np.zeros(0 if held is None else len(held), np.uint16)
     for first in range(0, blocks, lanes):
-        numbers = np.zeros((min(lanes, blocks - first), coder.BLOCK), np.uint16)
+        numbers = coder.table(min(lanes, blocks - first), coder.BLOCK)
         lists = []
         for lane in range(len(numbers)):
             own = ids[(first + lane) * coder.BLOCK : (first + lane + 1) * coder.BLOCK]
