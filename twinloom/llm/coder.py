@@ -38,7 +38,8 @@ _RATE = 5
 _STRIP = 64
 _RAISE = (1 << _WEIGHT_BITS - _RATE) - 1
 # Numbers that steps work with are arrays of their kind, since any other number is converted anew each time.
-_WORD, _LOW_WORD, _UNIT_BITS, _LAST = (np.array(x, np.uint64) for x in (32, 0xFFFFFFFF, _TOTAL_BITS, _TOTAL - 1))
+_ONE, _WORD, _LOW_WORD, _UNIT_BITS, _LAST = (np.array(x, np.uint64) for x in (1, 32, 0xFFFFFFFF, _TOTAL_BITS, _TOTAL - 1))
+_HIGH_WORD = ~_LOW_WORD
 _ONE16, _SURE_BITS, _SURE16, _SLOT, _FACTOR, _ALL16 = (np.array(x, np.uint16) for x in (1, 3, _SURE, _SLOTS - 1, 1103, 0xFFFF))
 _RATE32, _WEIGHT32, _LOW_WEIGHT = (np.array(x, np.uint32) for x in (_RATE, _WEIGHT_BITS, (1 << _WEIGHT_BITS) - 1))
 _DECAYED, _RAISE1, _RAISE2 = (np.array(x, np.uint32) for x in (((1 << _WEIGHT_BITS - _RATE) - 1) * 0x10001, _RAISE, _RAISE << _WEIGHT_BITS))
@@ -82,7 +83,7 @@ class _Model:
         self.lanes, self.width, self.sizes = lanes, width, sizes.astype(np.int64)
         lane = np.arange(lanes)
         self.row = lane * width
-        self.whole = {"at0": self.row, "at2": lane * _SLOTS, "atw": lane * 128, "atf": lane << _ORDER0_BITS - _FINE_BITS}
+        self.whole = {"at0": self.row, "at2": lane * _SLOTS, "atw": lane, "atf": lane << _ORDER0_BITS - _FINE_BITS}
         kinds = {name: (lanes, kind) for kind, names in _NUMBERS.items() for name in names.split()}
         self.whole |= _zeros(kinds | {"span": (lanes, np.uint64)})
         self.whole["span"][:] = (1 << 64) - 1
@@ -101,7 +102,9 @@ class _Model:
         sure2, sure1 = state % 64 // 8, state % 8
         weight2 = full * sure2 // (sure2 + 2)
         weight1 = np.where(state < 64, (full - weight2) * sure1 // (sure1 + 3), 0)
-        self.weights.reshape(lanes, 128)[:] = weight2 << _WEIGHT_BITS | weight1
+        # The weights of a state lie side by side, since most lanes are in a few of them.
+        self.weights.reshape(128, lanes)[:] = (weight2 << _WEIGHT_BITS | weight1)[:, None]
+        self.state_width = np.array(lanes)
         self.step, self.n = 0, -1
 
     def begin(self, n: int) -> None:
@@ -160,7 +163,8 @@ class _Model:
         state += self.k2
         state <<= _SURE_BITS
         state += self.k1
-        np.add(self.atw, state, out=self.iw)
+        np.multiply(state, self.state_width, out=self.iw)
+        self.iw += self.atw
         weight, both, a2, a12 = self.weight, self.both, self.a2, self.a12
         self.weights.take(self.iw, out=weight, mode="wrap")
         np.right_shift(weight, _RATE32, out=both)
@@ -235,12 +239,13 @@ class _Model:
 
 def _settle(low: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Intervals below 2^32 cut to the larger side of a word boundary, if they straddle one."""
-    last = low + (span - np.uint64(1))
-    boundary = last & ~_LOW_WORD
+    last = span - _ONE
+    last += low
+    boundary = last & _HIGH_WORD
     cut = np.flatnonzero(boundary > low)
     if len(cut):
         middle, first = boundary[cut], low[cut]
-        head, tail = middle - first, last[cut] - middle + np.uint64(1)
+        head, tail = middle - first, last[cut] - middle + _ONE
         upper = tail > head
         low, span = low.copy(), span.copy()
         low[cut], span[cut] = np.where(upper, middle, first), np.where(upper, tail, head)
