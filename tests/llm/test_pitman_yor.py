@@ -247,3 +247,54 @@ def test_each_previous_word_has_its_own_restaurant(spark, monkeypatch):
     assert len(customers) == 80_001
     counts = Counter(customers.values())
     assert counts == {1: 77_000, 2: 3000, 83: 1}
+
+
+def test_frequent_words_are_found_by_their_whole_hash(spark, monkeypatch):
+    monkeypatch.setattr(P, "WHOLE", 1)
+    texts = [" ".join(f"w{i % 7}" if i % 2 else f"r{j}x{i}" for i in range(700)) for j in range(10)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    words, counts, tokens = P._frequent(docs, 40)  # 7 words of 500 or more in 7010 tokens; the others occur once
+    found = P.Words(*P.text_bytes(P.pa.array([" ".join(f"w{i}" for i in range(7))])))
+    assert sorted(found.hashes().tolist()) == words.tolist() and (counts == 500).all() and tokens == 7010
+
+
+@pytest.mark.parametrize("shards", [96, 7332])
+def test_no_shard_holds_a_frequent_word_alone(shards):
+    """Words of up to three hundredths of all tokens, as many shards as a few gigabytes have."""
+    rng = np.random.default_rng(3)
+    share = 1 / (np.arange(1, 2000) + 33)
+    word, context = P.mixed(rng.choice(1999, 400_000, p=share / share.sum()).astype(np.uint64)), P.mixed(rng.integers(0, 1 << 60, 400_000).astype(np.uint64))
+    words, counts = np.unique(word, return_counts=True)
+    many = counts >= 2 * len(word) / shards
+    deal = P.Deal(np.arange(shards, dtype=np.int32), words[many], counts[many], len(word))
+    at = deal.shard(word, context)
+    assert max(np.bincount(at[word == w]).max() for w in words) < max(3 * len(word) / shards, 60)
+    pairs = {(w, s) for w, s in zip(word.tolist(), at.tolist()) if w in set(words[many].tolist())} if shards == 96 else set()
+    assert len(pairs) <= 3 * shards
+
+
+def test_a_common_pair_of_words_is_not_held_token_by_token(spark, monkeypatch):
+    """Shards hold few text references; counts and scores are those of the tokens one by one."""
+    texts = ["ab " * 4000 + f"c{i} ab D d" for i in range(25)] + ["ab ab c1", None, "d d"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    bucketed, held = P._bucketed, []
+
+    def kept(frame, purpose, partitions):
+        table = bucketed(frame, purpose, partitions)
+        if purpose == "shards":
+            held.extend(n for (n,) in table.where("about IS NULL").selectExpr("octet_length(text) div 2").collect())
+        return table
+
+    monkeypatch.setattr(P, "_bucketed", kept)
+    monkeypatch.setattr(P, "HEAVY", 1 << 30)
+    single = {r.doc_id: r for r in P.score(docs, HELD()).collect()}
+    assert sum(held) > 100_000
+    held.clear()
+    monkeypatch.setattr(P, "HEAVY", 1 << 12)
+    found = P.score(docs, HELD()).collect()
+    assert 100 < sum(held) < 1000
+    rows = counted(list(enumerate(texts)))
+    assert len(found) == len(rows)
+    for (doc_id, *exact, base), r in zip(rows, sorted(found, key=lambda r: r.doc_id)):
+        assert [r[c] for c in ("held_out", "n_tokens", "n_known", "train_tokens")] == exact
+        assert abs(r.base_score - base) < 1e-6 * max(1, abs(base)) and abs(r.score - single[doc_id].score) < 1e-5 * abs(r.score)

@@ -6,9 +6,9 @@ previous word, known by its 64-bit hash, so that the model grows with the corpus
 as parent: a customer who opens a table there becomes a customer of the root.
 
 Words are dealt to shards by hash, so that all restaurants' customers of a word, and its customers
-at the root, are in one shard. Words that fill a noticeable part of all tokens are dealt by word
-and context, and their number at the root is kept centrally; there are at most ``1 / FREQUENT`` of
-them. What couples shards are the totals of the restaurants. Each shard sends its restaurants' sums
+at the root, are in one shard. Words that would fill two shards or more are dealt by word and
+context to pieces of half a shard, and their number at the root is kept centrally; there are at most half
+as many of them as shards. What couples shards are the totals of the restaurants. Each shard sends its restaurants' sums
 in packed ranges of the hash; a task sums a range over all shards and returns to each of them the
 totals of its own restaurants, in its order. Shards sweep with the totals of the round before, as in
 distributed topic models, corrected by what they changed themselves. In a sweep all customers of each cell (restaurant, word) sit anew: predictions
@@ -18,8 +18,10 @@ after each of ``ROUNDS`` exchanges and the next one goes on from there. The pred
 probabilities of several sweeps are averaged before the logarithm is taken.
 
 Texts are tokenised once for the words that fill much and once for the shards. A map task emits its
-tokens by partition in packed arrays (4 bytes a token, 12 a distinct word and 8 a distinct context),
-which are shuffled once, split into shards and written in buckets; later rounds read these where
+tokens by partition in packed arrays (4 bytes a token, 12 a distinct word and 8 a distinct context).
+A cell that a step has often is one token there, with its number of customers and a text number of
+its own; how often each text has it stays with the step's documents, whose sums it joins at the end.
+So no shard holds a common pair of words token by token. The arrays are shuffled once, split into shards and written in buckets; later rounds read these where
 they lie, and only the seating and the totals travel. Scores come back as sparse sums by document.
 
 Defined cases: a null or empty text is the end token alone; a null doc_id belongs to training
@@ -44,9 +46,11 @@ from twinloom.llm.rows import written
 from twinloom.llm.words import Words, mixed, rolling, steps, text_bytes
 from twinloom.session import session_conf, shared_folder
 
-#: Share of all tokens from which on a word is dealt over all shards.
-FREQUENT = 1 / 1024
-STEP_BYTES, STEP_TEXTS = 3 << 20, 30_000
+#: Tokens up to which a word is never dealt over several shards.
+WHOLE = 1 << 18
+STEP_BYTES, STEP_TEXTS = 3 << 20, 1 << 14
+#: A cell goes through a step as one token if the step has MANY of it, and the corpus HEAVY at this rate.
+HEAVY, MANY = 1 << 16, 32
 #: Shards of each shuffle partition; one is held in memory at a time.
 SHARDS = 12
 #: What a round shuffles goes when its result is written.
@@ -55,6 +59,8 @@ _CLEANED = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 ENTRIES, RANGES = 1 << 20, 256
 END, START = np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9FB21C651E98DF25)
 HELD = np.uint16(1 << 15)
+#: Text numbers of a step from which on they mean such cells.
+OFTEN = np.uint16(STEP_TEXTS)
 #: Exchanges of totals, sweeps before each of them, sweeps before samples are taken, and samples.
 ROUNDS, EXCHANGE, BURN_IN, SAMPLES = 3, 2, 1, 3
 #: Cells up to ENUMERATED customers draw their tables from all numbers, larger ones by STEPS Metropolis steps.
@@ -72,23 +78,28 @@ def _pieces(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, Word
             yield i, j, Words(data, offsets[i : j + 1], lower=True)
 
 
-def _frequent(docs: DataFrame) -> np.ndarray:
-    """Hashes of words that fill a noticeable part of the tokens; decides where they are counted only."""
+def _frequent(docs: DataFrame, shards: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Words of many tokens that would fill two shards, about how often they occur, and the number of all tokens.
+
+    This decides where words are counted only.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, words in _pieces(batch, 0):
                 values, counts = np.unique(words.hashes(), return_counts=True)
                 total = len(words.starts) + b - a
-                many = counts >= total * FREQUENT / 2
-                values, counts = np.append(values[many], [0, END]), np.append(counts[many], [total, b - a])
-                yield pa.RecordBatch.from_arrays([pa.array(values.astype(np.int64)), pa.array(counts)], ["word", "n"])
+                many = counts >= total / shards
+                values, counts = np.append(values[many], np.array([0, END], np.uint64)), np.append(counts[many], [total, b - a])
+                yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts)], ["word", "n"])
 
     found = docs.select("text").mapInArrow(work, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     found = written(found, "frequent")
     total = found.where("word = 0").agg(F.sum("n")).first()[0] or 0
-    kept = found.where(f"word <> 0 AND n >= {total * FREQUENT}").collect()
-    return np.sort(np.array([row.word for row in kept], np.int64).view(np.uint64))
+    kept = found.where(f"word <> 0 AND n >= {max(WHOLE, 2 * total / shards)}").collect()
+    words, counts = np.array([row.word for row in kept], np.int64).view(np.uint64), np.array([row.n for row in kept], np.int64)
+    order = np.argsort(words)
+    return words[order], counts[order], total
 
 
 def _is_in(values: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -105,14 +116,70 @@ def _homes(docs: DataFrame, shards: int, partitions: int) -> np.ndarray:
     return first[which].astype(np.int32)
 
 
-def _shard_of(word: np.ndarray, context: np.ndarray, frequent: np.ndarray, shards: int) -> np.ndarray:
-    place = np.where(_is_in(word, frequent), mixed(word + context), mixed(word))
-    return ((place >> np.uint64(32)) % np.uint64(shards)).astype(np.int32)
+@dataclass
+class Deal:
+    """Which shard a token goes to, and the first shard of its partition.
 
+    A frequent word goes to as many pieces as it would fill half shards, so that shards tell each other of few words.
+    """
 
-def _packed(docs: DataFrame, frequent: np.ndarray, homes: np.ndarray) -> DataFrame:
+    homes: np.ndarray
+    frequent: np.ndarray
+    counts: np.ndarray
+    tokens: int
+    heavy: int = HEAVY
+
+    def __post_init__(self):
+        self.pieces = np.ceil(2 * len(self.homes) * self.counts / max(self.tokens, 1)).astype(np.uint64)
+
+    def shard(self, word: np.ndarray, context: np.ndarray) -> np.ndarray:
+        place = mixed(word)
+        if len(self.frequent):
+            spread = np.flatnonzero(_is_in(word, self.frequent))
+            piece = context[spread] % self.pieces[np.searchsorted(self.frequent, word[spread])]
+            place[spread] = mixed(word[spread] + piece)
+        return ((place >> np.uint64(32)) % np.uint64(len(self.homes))).astype(np.int32)
+
+    def often(self, tokens: int) -> int:
+        """Tokens of a cell from which on it is one token of a step of so many tokens."""
+        return max(MANY, -(-self.heavy * tokens // max(self.tokens, 1)), -(-tokens // int(HELD - OFTEN)))
+
+
+def _often(word: np.ndarray, context: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens of cells that occur so many times: their places, the cell's number, and a token of each cell."""
+    pair = word + context
+    values = np.sort(pair)
+    values = values[least - 1 :][values[least - 1 :] == values[: max(len(values) - least + 1, 0)]]
+    values = values[np.diff(values, prepend=~values[:1]) != 0]
+    place = np.flatnonzero(_is_in(pair, values))
+    cell = np.searchsorted(values, pair[place])
+    first = np.zeros(len(values), np.int64)
+    first[cell[::-1]] = place[::-1]
+    same = (word[place] == word[first[cell]]) & (context[place] == context[first[cell]])  # not by the sum only
+    return place[same], cell[same], first
+
+
+def _cells_by_text(cell: np.ndarray, text: np.ndarray, cells: int) -> bytes:
+    """How many texts have each cell, how often each of them, and which."""
+    pairs, counts = np.unique(cell << 16 | text, return_counts=True)
+    sizes = np.bincount(pairs >> 16, minlength=cells)
+    return b"".join(np.asarray(x).astype(k).tobytes() for x, k in ((cells, np.uint32), (sizes, np.uint32), (counts, np.uint32), (pairs & 0xFFFF, np.uint16)))
+
+
+def _add_cells(sums: np.ndarray, texts: int, packed: bytes) -> None:
+    """Add the sums of often met cells, at ``OFTEN`` and after, to those of the texts that have them."""
+    cells = int(np.frombuffer(packed, np.uint32, 1)[0])
+    sizes = np.frombuffer(packed, np.uint32, cells, 4)
+    entries = int(sizes.sum())
+    counts = np.frombuffer(packed, np.uint32, entries, 4 + 4 * cells)
+    text = np.frombuffer(packed, np.uint16, entries, 4 + 4 * cells + 4 * entries)
+    for row in sums:
+        row[:texts] += np.bincount(text, counts * np.repeat(row[OFTEN : OFTEN + cells], sizes), texts)
+
+
+def _packed(docs: DataFrame, deal: Deal) -> DataFrame:
     """Tokens by partition (its first shard) and step; rows of shards below 0 describe the documents of a step."""
-    shards = len(homes)
+    shards = len(deal.homes)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = TaskContext.get().partitionId() << 32
@@ -127,35 +194,49 @@ def _packed(docs: DataFrame, frequent: np.ndarray, homes: np.ndarray) -> DataFra
                 before[1:] = word[:-1]
                 before[np.append(0, ends[:-1] + 1)] = START
                 context = mixed(before)
-                home = homes[_shard_of(word, context, frequent, shards)]
+                place, cell, first = _often(word, context, deal.often(len(word)))
+                cells = _cells_by_text(cell, text[place], len(first))
+                weights = np.bincount(cell, ~held[a:b][text[place]], len(first)).astype(np.uint32)
+                text = text.astype(np.uint16) | np.where(held[a:b], HELD, np.uint16(0))[text]
+                if len(place):
+                    single = np.ones(len(word), bool)
+                    single[place] = False
+                    word, context = (np.append(x[single], x[first]) for x in (word, context))
+                    text = np.append(text[single], OFTEN + np.arange(len(first), dtype=np.uint16))
+                home = deal.homes[deal.shard(word, context)]
                 order = np.lexsort((word, home))
-                home, word, context, text = home[order], word[order], context[order], text[order].astype(np.uint16)
-                text |= np.where(held[a:b][text], HELD, np.uint16(0))
+                home, word, context, text = home[order], word[order], context[order], text[order]
                 cut = np.flatnonzero(np.diff(home, prepend=-1))
+                place = np.flatnonzero(_is_often(text))
+                weights, until = weights[text[place] - OFTEN], np.searchsorted(place, np.append(cut, len(home)))
                 ids = np.asarray(batch.column(0).slice(a, texts).fill_null(0)).astype(np.int64)
                 null = np.asarray(batch.column(0).slice(a, texts).is_null())
-                rows = [(-1 - (step + (step >> 32)) % shards, step, ids, null, (words.counts + 1).astype(np.int64), held[a:b], ids[:0])]
-                for s, e in zip(cut, np.append(cut[1:], len(home)), strict=True):
+                rows = [(-1 - (step + (step >> 32)) % shards, step, ids, null, (words.counts + 1).astype(np.int64), held[a:b], np.frombuffer(cells, np.uint8), weights[:0])]
+                for s, e, i, j in zip(cut, np.append(cut[1:], len(home)), until, until[1:], strict=False):
                     new = np.flatnonzero(word[s:e] != np.append(~word[s : s + 1], word[s : e - 1]))
                     counts = np.diff(np.append(new, e - s)).astype(np.uint32)
                     restaurants, at = np.unique(context[s:e], return_inverse=True)
                     at = at.astype(np.uint16 if len(restaurants) <= 1 << 16 else np.uint32)
-                    rows.append((int(home[s]), step, word[s:e][new], counts, at, text[s:e], restaurants))
+                    rows.append((int(home[s]), step, word[s:e][new], counts, at, text[s:e], restaurants, weights[i:j]))
                 columns = [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64())]
-                columns += [pa.array([np.ascontiguousarray(r[i]).tobytes() for r in rows], pa.binary()) for i in range(2, 7)]
-                yield pa.RecordBatch.from_arrays(columns, ["shard", "step", "words", "counts", "contexts", "texts", "restaurants"])
+                columns += [pa.array([np.ascontiguousarray(r[i]).tobytes() for r in rows], pa.binary()) for i in range(2, 8)]
+                yield pa.RecordBatch.from_arrays(columns, ["shard", "step", "words", "counts", "contexts", "texts", "restaurants", "weights"])
                 step += 1
 
-    schema = "shard int, step bigint, words binary, counts binary, contexts binary, texts binary, restaurants binary"
+    schema = "shard int, step bigint, words binary, counts binary, contexts binary, texts binary, restaurants binary, weights binary"
     return docs.select("doc_id", "text", "held_out").mapInArrow(work, schema)
 
 
 _ARRAYS = {"word": np.uint64, "cells": np.uint32, "context": np.uint32, "trained": np.uint32, "used": np.uint32, "step": np.int64, "of_step": np.uint32, "text": np.uint16, "restaurant": np.uint64}
-#: A row with ``about`` describes the documents of that step instead: ids, nulls, token counts, held out.
+#: A row with ``about`` describes the documents of that step instead: ids, nulls, token counts, held out, and as ``step`` the cells met often.
 _SHARD = "shard int, about bigint, " + ", ".join(f"{name} binary" for name in _ARRAYS)
 
 
-def _shards(packed: DataFrame, frequent: np.ndarray, homes: np.ndarray, partitions: int) -> DataFrame:
+def _is_often(text: np.ndarray) -> np.ndarray:
+    return (text & (HELD - np.uint16(1))) >= OFTEN
+
+
+def _shards(packed: DataFrame, deal: Deal, partitions: int) -> DataFrame:
     """One row a shard: its words, each word's cells by context, each cell's counts and uses, and its restaurants."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,10 +244,10 @@ def _shards(packed: DataFrame, frequent: np.ndarray, homes: np.ndarray, partitio
         for batch in batches:
             for home, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if home >= 0:
-                    for shard, part in _split(rest, frequent, len(homes)):
+                    for shard, part in _split(rest, deal):
                         held.setdefault(shard, []).append(part)
                 else:
-                    yield _shard_batch([home, *rest[:5], None, None, None, None, None])
+                    yield _shard_batch([home, *rest[:5], None, rest[5], None, None, None])
         for shard in sorted(held):
             parts = held.pop(shard)
             counts = np.concatenate([p[2] for p in parts])
@@ -176,13 +257,15 @@ def _shards(packed: DataFrame, frequent: np.ndarray, homes: np.ndarray, partitio
             context = np.concatenate([at[e - len(p[5]) : e][p[3]] for p, e in zip(parts, ends, strict=True)])
             text = np.concatenate([p[4] for p in parts])
             of_step = np.repeat(np.arange(len(parts), dtype=np.uint32), [len(p[4]) for p in parts])
+            weight = (text < HELD).astype(np.uint32)
+            weight[_is_often(text)] = np.concatenate([p[6] for p in parts])
             order = np.lexsort((context, word))
-            word, context, text, of_step = word[order], context[order], text[order], of_step[order]
+            word, context, text, of_step, weight = word[order], context[order], text[order], of_step[order], weight[order]
             new_word = np.diff(word, prepend=~word[:1]) != 0
             new_cell = new_word | (np.diff(context, prepend=-1) != 0)
             first = np.flatnonzero(new_cell)
             used = np.diff(np.append(first, len(word)))
-            trained = np.add.reduceat((text < HELD).astype(np.uint32), first)
+            trained = np.add.reduceat(weight, first)
             cells = np.diff(np.append(np.flatnonzero(new_word[first]), len(first)))
             step = np.array([p[0] for p in parts], np.int64)
             arrays = dict(word=word[new_word], cells=cells, context=context[first], trained=trained, used=used, step=step, of_step=of_step, text=text, restaurant=restaurant)
@@ -191,21 +274,24 @@ def _shards(packed: DataFrame, frequent: np.ndarray, homes: np.ndarray, partitio
     return packed.repartition(partitions, "shard").mapInArrow(work, _SHARD)
 
 
-def _split(row: list, frequent: np.ndarray, shards: int) -> Iterator[tuple[int, tuple]]:
-    """A step's tokens of one partition by shard: step, words, counts, contexts, texts, restaurants."""
-    step, words, counts, contexts, texts, restaurants = row
-    words, counts, text, restaurants = (np.frombuffer(x, t) for x, t in ((words, np.uint64), (counts, np.uint32), (texts, np.uint16), (restaurants, np.uint64)))
+def _split(row: list, deal: Deal) -> Iterator[tuple[int, tuple]]:
+    """A step's tokens of one partition by shard: step, words, counts, contexts, texts, restaurants, weights."""
+    step, words, counts, contexts, texts, restaurants, weights = row
+    words, counts, text, restaurants, weights = (np.frombuffer(x, t) for x, t in ((words, np.uint64), (counts, np.uint32), (texts, np.uint16), (restaurants, np.uint64), (weights, np.uint32)))
     context = np.frombuffer(contexts, f"u{2 * len(contexts) // len(texts)}")
     word = np.repeat(np.arange(len(words), dtype=np.uint32), counts)
-    shard = _shard_of(words[word], restaurants[context], frequent, shards)
+    shard = deal.shard(words[word], restaurants[context])
     order = np.argsort(shard, kind="stable")
+    place = np.cumsum(_is_often(text))[order] - 1
     shard, word, context, text = shard[order], word[order], context[order], text[order]
     cut = np.flatnonzero(np.diff(shard, prepend=-1))
-    for s, e in zip(cut, np.append(cut[1:], len(shard)), strict=True):
+    often = np.flatnonzero(_is_often(text))
+    weights, until = weights[place[often]], np.searchsorted(often, np.append(cut, len(shard)))
+    for s, e, i, j in zip(cut, np.append(cut[1:], len(shard)), until, until[1:], strict=False):
         new = np.flatnonzero(np.diff(word[s:e].astype(np.int64), prepend=-1))
         own, at = np.unique(context[s:e], return_inverse=True)
         at = at.astype(np.uint16 if len(own) <= 1 << 16 else np.uint32)
-        yield int(shard[s]), (step, words[word[s:e][new]], np.diff(np.append(new, e - s)).astype(np.uint32), at, text[s:e], restaurants[own])
+        yield int(shard[s]), (step, words[word[s:e][new]], np.diff(np.append(new, e - s)).astype(np.uint32), at, text[s:e], restaurants[own], weights[i:j])
 
 
 def _bucketed(frame: DataFrame, purpose: str, partitions: int) -> DataFrame:
@@ -651,11 +737,13 @@ def _by_document(shards: DataFrame, sums: DataFrame, totals: Totals) -> DataFram
                     continue
                 held["sums"].append((np.frombuffer(texts, np.uint16), *(np.frombuffer(x, t) for x, t in zip(rest[:3], _SUMS, strict=True))))
         for held in steps_of.values():
-            ids, null, tokens, out = (np.frombuffer(x, t) for x, t in zip(held["about"], (np.int64, bool, np.int64, bool), strict=True))
-            sums = np.zeros((3, len(ids)))
+            ids, null, tokens, out = (np.frombuffer(x, t) for x, t in zip(held["about"][:4], (np.int64, bool, np.int64, bool), strict=True))
+            sums = np.zeros((3, max(len(ids), int(HELD))))
             for texts, *values in held["sums"]:
                 for i, value in enumerate(values):
                     sums[i, texts] += value
+            _add_cells(sums, len(ids), held["about"][4])
+            sums = sums[:, : len(ids)]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, mask=null),
@@ -669,8 +757,8 @@ def _by_document(shards: DataFrame, sums: DataFrame, totals: Totals) -> DataFram
                 ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
             )
 
-    told, summed = ["word", "cells", "context", "trained"], ["texts", "score", "base", "known"]
-    about = shards.where("about IS NOT NULL").select(F.col("about").alias("step"), *(F.lit(None).cast("binary").alias(c) for c in summed), *told)
+    told, summed = ["word", "cells", "context", "trained", "cells_often"], ["texts", "score", "base", "known"]
+    about = shards.where("about IS NOT NULL").select(F.col("about").alias("step"), *(F.lit(None).cast("binary").alias(c) for c in summed), *told[:4], F.col("step").alias(told[4]))
     sums = sums.select("step", *summed, *(F.lit(None).cast("binary").alias(c) for c in told))
     schema = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     return about.unionByName(sums).repartition("step").mapInArrow(work, schema)
@@ -681,9 +769,9 @@ def score(docs: DataFrame, held_out: Column, seed: int = 42) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), held_out.alias("held_out"))
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     with session_conf(docs.sparkSession, _CLEANED):
-        totals = Totals(_frequent(docs))
-        homes = _homes(docs, SHARDS * partitions, partitions)
-        shards = _bucketed(_shards(_packed(docs, totals.frequent, homes), totals.frequent, homes, partitions), "shards", partitions)
+        deal = Deal(_homes(docs, SHARDS * partitions, partitions), *_frequent(docs, SHARDS * partitions), HEAVY)
+        totals = Totals(deal.frequent)
+        shards = _bucketed(_shards(_packed(docs, deal), deal, partitions), "shards", partitions)
         entries = (shards.agg(F.sum(F.octet_length("restaurant"))).first()[0] or 0) // 8
         totals.ranges = min(1 + entries // ENTRIES, RANGES + partitions // SHARDS)
         seating, keys = _gathered(shards, totals, seed)
